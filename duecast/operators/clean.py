@@ -4,37 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 SYSTEM_TENANT = 0
 
 
 def _ids_filled(df: DataFrame, nullable_ids: list[str]) -> DataFrame:
     filled = df.fillna(0, subset=nullable_ids)
-    return filled.withColumns({c: F.col(c).cast("long") for c in filled.columns if c.endswith("id")})
+    return filled.selectExpr(
+        *[f"CAST({c} AS BIGINT) AS {c}" if c.endswith("id") else c for c in filled.columns]
+    )
 
 
 def _of_tenants(df: DataFrame) -> DataFrame:
-    return df.where(F.col("ad_client_id") != SYSTEM_TENANT)
+    return df.where(f"ad_client_id <> {SYSTEM_TENANT}")
 
 
 def sales_invoices(df: DataFrame) -> DataFrame:
     """Completed sales invoices that are not returns."""
-    kept = _of_tenants(df).where(
-        (F.col("issotrx") == "Y") & (F.col("docstatus") == "CO") & (F.col("isreturntrx") == "N")
-    )
+    kept = _of_tenants(df).where("issotrx = 'Y' AND docstatus = 'CO' AND isreturntrx = 'N'")
     return _ids_filled(kept.drop("issotrx", "docstatus", "isreturntrx"), ["c_payment_id", "c_cashline_id"])
 
 
 def customer_allocations(df: DataFrame) -> DataFrame:
     """Allocations with a positive amount; negative ones pay suppliers."""
     ids = [c for c in df.columns if c.endswith("id")]
-    return _ids_filled(_of_tenants(df).where(F.col("amount") > 0), ids)
+    return _ids_filled(_of_tenants(df).where("amount > 0"), ids)
 
 
 def receipts(df: DataFrame) -> DataFrame:
     """Completed incoming payments."""
-    kept = _of_tenants(df).where((F.col("isreceipt") == "Y") & (F.col("docstatus") == "CO"))
+    kept = _of_tenants(df).where("isreceipt = 'Y' AND docstatus = 'CO'")
     return _ids_filled(kept.drop("isreceipt", "docstatus"), ["c_invoice_id", "c_bpartner_id"])
 
 
@@ -53,7 +53,7 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 def scanned(entity: str, df: DataFrame) -> DataFrame:
     """The rows a cleaning run reads: what the scan itself already filters."""
     rows = _of_tenants(df)
-    return rows.where(F.col("issotrx") == "Y") if entity == "c_invoice" else rows
+    return rows.where("issotrx = 'Y'") if entity == "c_invoice" else rows
 
 
 def clean_all(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import ratio, zero_if_null
-
 PARTNER_KEY = ["ad_client_id", "c_bpartner_id"]
 
 # Which line amount each family of extremes and averages describes.
@@ -19,23 +17,35 @@ SPREADS = {
 
 def line_features(facts: DataFrame) -> DataFrame:
     """The six per-line values."""
-    late, paid = F.col("late"), F.col("paid")
-    lined = facts.withColumns(
-        {
-            "closed_late_invoice": F.when((late == 1) & (paid == 1), 1).otherwise(0),
-            "paid_late_sum": (F.col("allocatedamt") * late).cast("decimal(18,2)"),
-            "invoice_late_unpaid": late * (1 - paid),
-            "unpaid_sum": (F.col("grandtotal") - F.col("paidamt")).cast("decimal(18,2)"),
-        }
+    first = facts.selectExpr(
+        "*",
+        "IF(late = 1 AND paid = 1, 1, 0) AS closed_late_invoice",
+        "CAST(allocatedamt * late AS DECIMAL(18,2)) AS paid_late_sum",
+        "late * (1 - paid) AS invoice_late_unpaid",
+        "CAST(grandtotal - paidamt AS DECIMAL(18,2)) AS unpaid_sum",
     )
-    return lined.withColumns(
-        {
-            "days_late_closed_invoices_late": F.col("dayslate") * F.col("closed_late_invoice"),
-            "unpaid_late_sum": (F.col("unpaid_sum") * late).cast("decimal(18,2)"),
-        }
+    return first.selectExpr(
+        "*",
+        "dayslate * closed_late_invoice AS days_late_closed_invoices_late",
+        "CAST(unpaid_sum * late AS DECIMAL(18,2)) AS unpaid_late_sum",
     )
 
 
+def _ratio(part: str, whole: str) -> str:
+    """Null where the division has no finite result."""
+    return f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
+
+
+def _spread(suffix: str, amount: str) -> list[str]:
+    average = _ratio(f"sum({amount})", f"count({amount})")
+    return [
+        f"max({amount}) AS max_{suffix}",
+        f"min({amount}) AS min_{suffix}",
+        f"{average} AS avg_{suffix}",
+        f"stddev_samp(CAST({amount} AS DOUBLE)) AS std_{suffix}",
+    ]
+
+
 def partner_features(lined: DataFrame) -> DataFrame:
     """The thirty per-partner values in one aggregation.
 
@@ -43,47 +53,37 @@ def partner_features(lined: DataFrame) -> DataFrame:
     data is reduced before the shuffle. Money is summed exactly.
     """
     aggregates = [
-        F.count("c_invoice_id").alias("total_invoices"),
-        F.count_if(F.col("paid") == 1).alias("closed_invoices_no"),
-        F.sum(F.col("closed_late_invoice").cast("long")).alias("closed_late_invoices_no"),
-        zero_if_null(F.sum("allocatedamt")).alias("paid_total"),
-        zero_if_null(F.sum("paid_late_sum")).alias("paid_late_total"),
-        F.sum("days_late_closed_invoices_late").alias("_late_days"),
-        F.count_if(F.col("days_late_closed_invoices_late") != 0).alias("_late_lines"),
-        F.sum(F.col("invoice_late_unpaid").cast("long")).alias("late_unpaid_invoices_no"),
-        zero_if_null(F.sum("unpaid_sum")).alias("unpaid_invoices_sum"),
-        zero_if_null(F.sum("unpaid_late_sum")).alias("unpaid_invoices_late_sum"),
+        "count(c_invoice_id) AS total_invoices",
+        "count_if(paid = 1) AS closed_invoices_no",
+        "sum(CAST(closed_late_invoice AS BIGINT)) AS closed_late_invoices_no",
+        "coalesce(sum(allocatedamt), 0) AS paid_total",
+        "coalesce(sum(paid_late_sum), 0) AS paid_late_total",
+        "sum(days_late_closed_invoices_late) AS late_days",
+        "count_if(days_late_closed_invoices_late <> 0) AS late_lines",
+        "sum(CAST(invoice_late_unpaid AS BIGINT)) AS late_unpaid_invoices_no",
+        "coalesce(sum(unpaid_sum), 0) AS unpaid_invoices_sum",
+        "coalesce(sum(unpaid_late_sum), 0) AS unpaid_invoices_late_sum",
     ]
     for suffix, amount in SPREADS.items():
-        value = F.col(amount)
-        aggregates += [
-            F.max(value).alias(f"max_{suffix}"),
-            F.min(value).alias(f"min_{suffix}"),
-            ratio(F.sum(value), F.count(value)).alias(f"avg_{suffix}"),
-            F.stddev_samp(value.cast("double")).alias(f"std_{suffix}"),
-        ]
-    table = lined.groupBy(*PARTNER_KEY).agg(*aggregates)
-    table = table.withColumn("unpaid_invoices_no", F.col("total_invoices") - F.col("closed_invoices_no"))
-    table = table.withColumns(
-        {
-            "paid_late_percent": ratio(F.col("closed_late_invoices_no"), F.col("closed_invoices_no")),
-            "paid_late_raport_percent": ratio(F.col("paid_late_total"), F.col("paid_total")),
-            "avg_days_paid_late": zero_if_null(ratio(F.col("_late_days"), F.col("_late_lines"))),
-            "late_unpaid_invoices_percent": zero_if_null(
-                ratio(F.col("late_unpaid_invoices_no"), F.col("unpaid_invoices_no"))
-            ),
-            "late_unpaid_invoices_sum_percent": ratio(
-                F.col("unpaid_invoices_late_sum"), F.col("unpaid_invoices_sum")
-            ),
-        }
-    )
-    spreads = [f"{stat}_{suffix}" for suffix in SPREADS for stat in ("max", "min", "avg", "std")]
-    return table.select(
-        *PARTNER_KEY, "total_invoices", "closed_invoices_no", "closed_late_invoices_no",
-        "paid_late_percent", "paid_total", "paid_late_total", "paid_late_raport_percent",
-        "avg_days_paid_late", "unpaid_invoices_no", "late_unpaid_invoices_no",
-        "late_unpaid_invoices_percent", "unpaid_invoices_sum", "unpaid_invoices_late_sum",
-        "late_unpaid_invoices_sum_percent", *spreads,
+        aggregates += _spread(suffix, amount)
+    sums = lined.groupBy(*PARTNER_KEY).agg(*[F.expr(a) for a in aggregates])
+    return sums.withColumn("unpaid_invoices_no", F.expr("total_invoices - closed_invoices_no")).selectExpr(
+        *PARTNER_KEY,
+        "total_invoices",
+        "closed_invoices_no",
+        "closed_late_invoices_no",
+        f"{_ratio('closed_late_invoices_no', 'closed_invoices_no')} AS paid_late_percent",
+        "paid_total",
+        "paid_late_total",
+        f"{_ratio('paid_late_total', 'paid_total')} AS paid_late_raport_percent",
+        f"coalesce({_ratio('late_days', 'late_lines')}, 0D) AS avg_days_paid_late",
+        "unpaid_invoices_no",
+        "late_unpaid_invoices_no",
+        f"coalesce({_ratio('late_unpaid_invoices_no', 'unpaid_invoices_no')}, 0D) AS late_unpaid_invoices_percent",
+        "unpaid_invoices_sum",
+        "unpaid_invoices_late_sum",
+        f"{_ratio('unpaid_invoices_late_sum', 'unpaid_invoices_sum')} AS late_unpaid_invoices_sum_percent",
+        *[f"{stat}_{suffix}" for suffix in SPREADS for stat in ("max", "min", "avg", "std")],
     )
 
 

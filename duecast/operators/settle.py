@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import is_true, money, plus_days
+from ..functions.columns import is_true, plus_days
 from ..params import Params
 from ..sources.tables import NULL_TEXT
 
@@ -30,79 +30,67 @@ BRANCHES = [
 ]
 
 LINE_TYPES = {
-    "ad_client_id": "long",
-    "ad_org_id": "long",
+    "ad_client_id": "bigint",
+    "ad_org_id": "bigint",
     "dateinvoiced": "timestamp_ntz",
-    "c_bpartner_id": "long",
-    "c_invoice_id": "long",
-    "c_bpartner_location_id": "long",
-    "c_currency_id": "long",
+    "c_bpartner_id": "bigint",
+    "c_invoice_id": "bigint",
+    "c_bpartner_location_id": "bigint",
+    "c_currency_id": "bigint",
     "paymentrule": "string",
     "grandtotal": "decimal(18,2)",
-    "c_payment_id": "long",
-    "c_cashline_id": "long",
+    "c_payment_id": "bigint",
+    "c_cashline_id": "bigint",
     "duedate": "timestamp_ntz",
     "totalopenamt": "decimal(18,2)",
     "paidamt": "decimal(18,2)",
-    "c_payment_id_paym": "long",
+    "c_payment_id_paym": "bigint",
     "datetrx": "timestamp_ntz",
-    "c_doctype_id": "long",
+    "c_doctype_id": "bigint",
     "tendertype": "string",
     "payamt": "decimal(18,2)",
     "isallocated": "string",
     "allocatedamt": "decimal(18,2)",
-    "c_allocationline_id": "long",
+    "c_allocationline_id": "bigint",
     "branch": "string",
-    "source_payment_id": "long",
+    "source_payment_id": "bigint",
 }
 
-PAYMENT_PART = {
-    "c_payment_id_paym": "long",
-    "datetrx": "timestamp_ntz",
-    "c_doctype_id": "long",
-    "tendertype": "string",
-    "payamt": "decimal(18,2)",
-    "isallocated": "string",
-    "allocatedamt": "decimal(18,2)",
+PAYMENT_PART = [
+    "c_payment_id_paym", "datetrx", "c_doctype_id", "tendertype", "payamt", "isallocated", "allocatedamt",
+]
+ALLOCATION_PART = {
+    "c_allocationline_id": "bigint",
+    "alloc_payment_id": "bigint",
+    "alloc_cashline_id": "bigint",
+    "amount": "decimal(18,2)",
 }
 
-
-def _balance() -> Column:
-    return F.col("grandtotal") - F.col("paidamt")
-
-
-def _keeps_balance() -> Column:
-    return ~is_true(_balance() < 0)
+BALANCE = "(grandtotal - paidamt)"
+KEEPS_BALANCE = f"NOT coalesce({BALANCE} < 0, false)"
+IN_ADVANCE = "coalesce(datetrx < dateinvoiced, false)"
 
 
-def _in_advance() -> Column:
-    return is_true(F.col("datetrx") < F.col("dateinvoiced"))
-
-
-def _capped(amount: str) -> Column:
+def _capped(amount: str) -> str:
     """An amount reduced by what was paid above the invoice total."""
-    return F.when(_balance() < 0, F.col(amount) + _balance()).otherwise(F.col(amount))
-
+    return f"IF({BALANCE} < 0, {amount} + {BALANCE}, {amount})"
 
-def _per_branch(default: Column, cases: dict[str, Column]) -> Column:
-    chosen = reduce(
-        lambda acc, item: acc.when(F.col("branch") == item[0], item[1]), cases.items(), F
-    ) if cases else None
-    return default if chosen is None else chosen.otherwise(default)
 
-
-def _same(branches: list[str], value: Column) -> dict[str, Column]:
+def _same(branches: list[str], value: str) -> dict[str, str]:
     return {b: value for b in branches}
 
 
-def _lines(df: DataFrame, changes: dict[str, dict[str, Column]]) -> DataFrame:
+def _lines(df: DataFrame, changes: dict[str, dict[str, str]]) -> DataFrame:
     """The ledger-line columns, with per-branch values where they change."""
     present = set(df.columns)
     picked = []
     for name, kind in LINE_TYPES.items():
-        base = F.col(name) if name in present else F.lit(None).cast(kind)
-        picked.append(_per_branch(base, changes.get(name, {})).cast(kind).alias(name))
-    return df.select(*picked)
+        value = name if name in present else "NULL"
+        if name in changes:
+            cases = " ".join(f"WHEN '{branch}' THEN {new}" for branch, new in changes[name].items())
+            value = f"CASE branch {cases} ELSE {value} END"
+        picked.append(f"CAST({value} AS {kind}) AS {name}")
+    return df.selectExpr(*picked)
 
 
 def due_invoices(invoices: DataFrame, terms: DataFrame, params: Params) -> DataFrame:
@@ -130,36 +118,33 @@ def due_invoices(invoices: DataFrame, terms: DataFrame, params: Params) -> DataF
 
 def linked_payments(payments: DataFrame) -> DataFrame:
     """Payments that name an invoice. Those that do not would all meet on key 0."""
-    return payments.where(F.col("c_invoice_id") != 0).select(
-        *INVOICE_KEY,
-        F.col("c_payment_id").alias("c_payment_id_paym"),
-        *[c for c in PAYMENT_PART if c != "c_payment_id_paym"],
+    return payments.where("c_invoice_id <> 0").selectExpr(
+        *INVOICE_KEY, "c_payment_id AS c_payment_id_paym", *[c for c in PAYMENT_PART if c != "c_payment_id_paym"]
     )
 
 
 def allocated_amounts(allocations: DataFrame) -> DataFrame:
-    return allocations.select(
+    return allocations.selectExpr(
         *INVOICE_KEY,
         "c_allocationline_id",
-        F.col("c_payment_id").alias("alloc_payment_id"),
-        F.col("c_cashline_id").alias("alloc_cashline_id"),
+        "c_payment_id AS alloc_payment_id",
+        "c_cashline_id AS alloc_cashline_id",
         "amount",
     )
 
 
 def stage1_case() -> Column:
-    at_once = F.col("paidamt") == F.col("allocatedamt")
-    return (
-        F.when(at_once & (F.col("paidamt") == F.col("grandtotal")), "fully_paid")
-        .when(at_once, "partially_paid")
-        .when(F.col("datetrx").isNotNull(), "partially_paid_2")
-        .when(F.col("paidamt") == 0, "unpaid_invoices")
-        .otherwise("residual")
+    return F.expr(
+        """CASE WHEN paidamt = allocatedamt AND paidamt = grandtotal THEN 'fully_paid'
+                WHEN paidamt = allocatedamt THEN 'partially_paid'
+                WHEN datetrx IS NOT NULL THEN 'partially_paid_2'
+                WHEN paidamt = 0 THEN 'unpaid_invoices'
+                ELSE 'residual' END"""
     )
 
 
 def _with_empty(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.withColumns({name: F.lit(None).cast(kind) for name, kind in columns.items()})
+    return df.selectExpr("*", *[f"CAST(NULL AS {kind}) AS {name}" for name, kind in columns.items()])
 
 
 def invoices_with_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
@@ -170,8 +155,8 @@ def invoices_with_payments(invoices: DataFrame, payments: DataFrame) -> DataFram
 
 def invoices_without_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     keys = linked_payments(payments).select(*INVOICE_KEY).distinct()
-    lonely = _with_empty(invoices.join(keys, INVOICE_KEY, "left_anti"), PAYMENT_PART)
-    return lonely.withColumn("branch", stage1_case())
+    lonely = invoices.join(keys, INVOICE_KEY, "left_anti")
+    return _with_empty(lonely, {c: LINE_TYPES[c] for c in PAYMENT_PART}).withColumn("branch", stage1_case())
 
 
 def stage1(invoices: DataFrame, payments: DataFrame) -> DataFrame:
@@ -182,31 +167,20 @@ def stage1(invoices: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def stage2_case() -> Column:
-    whole = F.col("paidamt") == F.col("amount")
-    total = F.col("paidamt") == F.col("grandtotal")
-    has_cash = F.col("alloc_cashline_id") != 0
-    has_payment = F.col("alloc_payment_id") != 0
-    return (
-        F.when(F.col("amount").isNull(), "paid_nodata")
-        .when(whole & total & has_cash & ~has_payment, "cash_paid")
-        .when(whole & total, "fp2")
-        .when(whole & has_payment, "p2")
-        .when(total & has_cash, "cash_paid2")
-        .when(total, "p3")
-        .when(~has_payment & ~has_cash, "de_eliminat")
-        .when(has_cash, "cash_paid3")
-        .otherwise("p4")
+    return F.expr(
+        """CASE WHEN amount IS NULL THEN 'paid_nodata'
+                WHEN paidamt = amount AND paidamt = grandtotal
+                     AND alloc_cashline_id <> 0 AND alloc_payment_id = 0 THEN 'cash_paid'
+                WHEN paidamt = amount AND paidamt = grandtotal THEN 'fp2'
+                WHEN paidamt = amount AND alloc_payment_id <> 0 THEN 'p2'
+                WHEN paidamt = grandtotal AND alloc_cashline_id <> 0 THEN 'cash_paid2'
+                WHEN paidamt = grandtotal THEN 'p3'
+                WHEN alloc_payment_id = 0 AND alloc_cashline_id = 0 THEN 'de_eliminat'
+                WHEN alloc_cashline_id <> 0 THEN 'cash_paid3'
+                ELSE 'p4' END"""
     )
 
 
-ALLOCATION_PART = {
-    "c_allocationline_id": "long",
-    "alloc_payment_id": "long",
-    "alloc_cashline_id": "long",
-    "amount": "decimal(18,2)",
-}
-
-
 def _matched_allocations(rows: DataFrame, allocations: DataFrame) -> DataFrame:
     return rows.join(allocated_amounts(allocations), INVOICE_KEY)
 
@@ -225,13 +199,11 @@ def stage2(residual: DataFrame, allocations: DataFrame) -> DataFrame:
 
 
 def stage3_case() -> Column:
-    return F.when(is_true(F.col("alloc_cashline_id") == 0), "p1").otherwise("cash_paid4")
+    return F.expr("IF(coalesce(alloc_cashline_id = 0, false), 'p1', 'cash_paid4')")
 
 
 def paid_in_installments(matched: DataFrame) -> DataFrame:
-    return matched.where(
-        (F.col("branch") == "partially_paid_2") & (F.col("grandtotal") == F.col("paidamt"))
-    )
+    return matched.where("branch = 'partially_paid_2' AND grandtotal = paidamt")
 
 
 def stage3(installments: DataFrame, allocations: DataFrame) -> DataFrame:
@@ -257,48 +229,42 @@ def payment_lines(matched: DataFrame, allocations: DataFrame, params: Params) ->
     """
     allocated = allocations.select(*INVOICE_KEY).distinct().withColumn("has_allocation", F.lit(True))
     rows = matched.join(allocated, INVOICE_KEY, "left")
-    empty_cash = (
-        (F.col("grandtotal") == F.col("paidamt")) & F.col("has_allocation").isNull()
-        & F.lit(not params.dedupe_installments)
-    )
-    first = F.col("branch")
-    parts = (
-        F.when((first == "partially_paid_2") & empty_cash, F.array(first, F.lit("cash_paid4")))
-        .when(first == "partially_paid_2", F.array(first))
-        .when(_in_advance(), F.array().cast("array<string>"))
-        .when((first == "partially_paid") & _keeps_balance(), F.array(first, F.lit("unpaid_balance")))
-        .when(first.isin("fully_paid", "partially_paid"), F.array(first))
-    )
-    lines = rows.withColumn("branch", F.explode(parts)).withColumn(
-        "source_payment_id", F.col("c_payment_id_paym")
+    empty_cash = "false" if params.dedupe_installments else "grandtotal = paidamt AND has_allocation IS NULL"
+    lines = rows.withColumn("source_payment_id", F.col("c_payment_id_paym")).withColumn(
+        "branch",
+        F.expr(
+            f"""explode(CASE
+                WHEN branch = 'partially_paid_2' AND {empty_cash} THEN array(branch, 'cash_paid4')
+                WHEN branch = 'partially_paid_2' THEN array(branch)
+                WHEN {IN_ADVANCE} THEN NULL
+                WHEN branch = 'partially_paid' AND {KEEPS_BALANCE} THEN array(branch, 'unpaid_balance')
+                WHEN branch IN ('fully_paid', 'partially_paid') THEN array(branch) END)"""
+        ),
     )
-    nothing = F.lit(None)
     amounts = {
         "partially_paid": _capped("allocatedamt"),
-        "partially_paid_2": F.col("allocatedamt"),
-        "cash_paid4": nothing,
+        "partially_paid_2": "allocatedamt",
+        "unpaid_balance": BALANCE,
+        "cash_paid4": "NULL",
     }
-    dropped = _same(["unpaid_balance", "cash_paid4"], nothing)
+    dropped = _same(["unpaid_balance", "cash_paid4"], "NULL")
     return _lines(
         lines,
         {
-            "grandtotal": {**amounts, "unpaid_balance": _balance()},
-            "totalopenamt": {**amounts, "unpaid_balance": _balance()},
-            "paidamt": {**amounts, "unpaid_balance": money(0)},
+            "grandtotal": amounts,
+            "totalopenamt": amounts,
+            "paidamt": {**amounts, "unpaid_balance": "0"},
             "allocatedamt": {"partially_paid": _capped("allocatedamt"), **dropped},
             "payamt": {"partially_paid": _capped("allocatedamt"), **dropped},
-            "datetrx": {"unpaid_balance": nothing, "cash_paid4": F.col("dateinvoiced")},
-            "c_cashline_id": {"cash_paid4": nothing},
-            "tendertype": dropped,
-            "c_doctype_id": dropped,
-            "isallocated": dropped,
-            "c_payment_id_paym": dropped,
+            "datetrx": {"unpaid_balance": "NULL", "cash_paid4": "dateinvoiced"},
+            "c_cashline_id": {"cash_paid4": "NULL"},
+            **{c: dropped for c in ("tendertype", "c_doctype_id", "isallocated", "c_payment_id_paym")},
         },
     )
 
 
 def open_lines(without_payments: DataFrame) -> DataFrame:
-    return _lines(without_payments.where(F.col("branch") == "unpaid_invoices"), {})
+    return _lines(without_payments.where("branch = 'unpaid_invoices'"), {})
 
 
 FROM_PAYMENT = ["fp2", "p2", "p3", "p4"]
@@ -311,56 +277,47 @@ def allocation_lines(residual: DataFrame, allocations: DataFrame, payments: Data
     The rows that need no payment carry a key no payment has, minus their own
     allocation id, so that they spread instead of meeting on one null key.
     """
-    rows = _matched_allocations(residual, allocations).withColumn("branch", stage2_case())
-    needs_payment = F.col("branch").isin(FROM_PAYMENT)
-    reachable = ~F.col("branch").isin("paid_nodata", "de_eliminat") & (
-        ~needs_payment | (F.col("alloc_payment_id") != 0)
+    rows = _matched_allocations(residual.drop(*PAYMENT_PART), allocations)
+    needs_payment = "branch IN ('fp2', 'p2', 'p3', 'p4')"
+    rows = (
+        rows.withColumn("branch", stage2_case())
+        .where("branch NOT IN ('paid_nodata', 'de_eliminat')")
+        .where(f"NOT ({needs_payment}) OR alloc_payment_id <> 0")
+        .withColumn("lookup_id", F.expr(f"IF({needs_payment}, alloc_payment_id, -c_allocationline_id)"))
     )
-    rows = rows.where(reachable).drop(*PAYMENT_PART).withColumn(
-        "lookup_id", F.when(needs_payment, F.col("alloc_payment_id")).otherwise(-F.col("c_allocationline_id"))
-    )
-    paid_by = payments.select(
-        "ad_client_id",
-        F.col("c_payment_id").alias("lookup_id"),
-        "datetrx",
-        "c_doctype_id",
-        "tendertype",
-        "isallocated",
+    paid_by = payments.selectExpr(
+        "ad_client_id", "c_payment_id AS lookup_id", "datetrx", "c_doctype_id", "tendertype", "isallocated"
     )
     found = rows.join(paid_by, ["ad_client_id", "lookup_id"], "left")
-    first = F.col("branch")
-    none = F.array().cast("array<string>")
-    parts = (
-        F.when(first.isin(CASH), F.array(first))
-        .when(first == "p2", F.array_compact(F.array(
-            F.when(~_in_advance(), first), F.when(_keeps_balance(), F.lit("unpaid_balance2"))
-        )))
-        .when(F.col("datetrx").isNull() | _in_advance(), none)
-        .otherwise(F.array(first))
+    lines = found.withColumn(
+        "branch",
+        F.expr(
+            f"""explode(CASE
+                WHEN branch IN ('cash_paid', 'cash_paid2', 'cash_paid3') THEN array(branch)
+                WHEN branch = 'p2' AND NOT {IN_ADVANCE} AND {KEEPS_BALANCE} THEN array(branch, 'unpaid_balance2')
+                WHEN branch = 'p2' AND NOT {IN_ADVANCE} THEN array(branch)
+                WHEN branch = 'p2' AND {KEEPS_BALANCE} THEN array('unpaid_balance2')
+                WHEN branch <> 'p2' AND datetrx IS NOT NULL AND NOT {IN_ADVANCE} THEN array(branch) END)"""
+        ),
     )
-    lines = found.withColumn("branch", F.explode(parts))
-    amount = F.col("amount")
-    nothing = F.lit(None)
-    settled = {**_same(["p3", "p4", "cash_paid2", "cash_paid3"], amount), "p2": _capped("amount")}
-    shown = {**_same(["fp2", "p3", "p4", *CASH], amount), "p2": _capped("amount"), "unpaid_balance2": nothing}
-    balance = {"unpaid_balance2": _balance()}
+    balance = {"unpaid_balance2": BALANCE}
+    settled = {**_same(["p3", "p4", "cash_paid2", "cash_paid3"], "amount"), "p2": _capped("amount")}
+    # The second cash kind keeps the paid amount of the whole invoice.
+    paid = {b: v for b, v in settled.items() if b != "cash_paid2"}
+    shown = {**_same(["fp2", "p3", "p4", *CASH], "amount"), "p2": _capped("amount")}
     return _lines(
-        lines.withColumn("allocatedamt", amount).withColumn("payamt", amount),
+        lines,
         {
             "grandtotal": {**settled, **balance},
             "totalopenamt": {**settled, **balance},
-            # The second cash kind keeps the paid amount of the whole invoice.
-            "paidamt": {
-                **{b: v for b, v in settled.items() if b != "cash_paid2"},
-                "unpaid_balance2": money(0),
-            },
+            "paidamt": {**paid, "unpaid_balance2": "0"},
             "allocatedamt": shown,
             "payamt": shown,
-            "datetrx": {**_same(CASH, F.col("dateinvoiced")), "unpaid_balance2": nothing},
-            "c_cashline_id": _same(CASH, F.col("alloc_cashline_id")),
-            "c_payment_id_paym": _same(FROM_PAYMENT, F.col("c_payment_id")),
-            "c_payment_id": _same(FROM_PAYMENT, F.col("alloc_payment_id")),
-            **{c: {"unpaid_balance2": nothing} for c in ("c_doctype_id", "tendertype", "isallocated")},
+            "datetrx": {**_same(CASH, "dateinvoiced"), "unpaid_balance2": "NULL"},
+            "c_cashline_id": _same(CASH, "alloc_cashline_id"),
+            "c_payment_id_paym": _same(FROM_PAYMENT, "c_payment_id"),
+            "c_payment_id": _same(FROM_PAYMENT, "alloc_payment_id"),
+            **{c: {"unpaid_balance2": "NULL"} for c in ("c_doctype_id", "tendertype", "isallocated")},
         },
     )
 
@@ -368,19 +325,16 @@ def allocation_lines(residual: DataFrame, allocations: DataFrame, payments: Data
 def installment_lines(matched: DataFrame, allocations: DataFrame) -> DataFrame:
     """(payment, allocation) lines of invoices paid in instalments."""
     rows = _matched_allocations(paid_in_installments(matched), allocations)
-    rows = rows.withColumn("branch", stage3_case()).withColumn(
-        "source_payment_id", F.col("c_payment_id_paym")
-    )
-    amount = F.col("amount")
-    both = _same(["p1", "cash_paid4"], amount)
-    dropped = {"cash_paid4": F.lit(None)}
+    rows = rows.withColumns({"branch": stage3_case(), "source_payment_id": F.col("c_payment_id_paym")})
+    both = _same(["p1", "cash_paid4"], "amount")
+    dropped = {"cash_paid4": "NULL"}
     return _lines(
         rows,
         {
             **{c: both for c in ("grandtotal", "totalopenamt", "paidamt", "allocatedamt")},
-            "payamt": {"cash_paid4": amount},
-            "datetrx": {"cash_paid4": F.col("dateinvoiced")},
-            "c_cashline_id": {"cash_paid4": F.col("alloc_cashline_id")},
+            "payamt": {"cash_paid4": "amount"},
+            "datetrx": {"cash_paid4": "dateinvoiced"},
+            "c_cashline_id": {"cash_paid4": "alloc_cashline_id"},
             **{c: dropped for c in ("c_payment_id_paym", "c_doctype_id", "tendertype", "isallocated")},
         },
     )
@@ -407,11 +361,11 @@ def ledger_lines(
     The currency is a property of the invoice, so it is filtered before the
     joins. ``only`` limits the work to the arms that yield those branches.
     """
-    due = due_invoices(invoices.where(F.col("c_currency_id") == params.currency), terms, params)
+    due = due_invoices(invoices.where(f"c_currency_id = {params.currency}"), terms, params)
     due = due.drop("c_paymentterm_id", "netdays", "duedate_calculated", "created")
     matched = invoices_with_payments(due, payments)
     lonely = invoices_without_payments(due, payments)
-    residual = lonely.where(F.col("branch") == "residual")
+    residual = lonely.where("branch = 'residual'")
     arms = {
         "payments": lambda: payment_lines(matched, allocations, params),
         "open": lambda: open_lines(lonely),
@@ -426,5 +380,5 @@ def ledger_lines(
     )
     if only is not None:
         union = union.where(F.col("branch").isin(sorted(only)))
-    order = F.array_position(F.array(*[F.lit(b) for b in BRANCHES]), F.col("branch")) - 1
-    return union.withColumn("branch_ord", order.cast("int"))
+    listed = ", ".join(f"'{b}'" for b in BRANCHES)
+    return union.withColumn("branch_ord", F.expr(f"CAST(array_position(array({listed}), branch) - 1 AS INT)"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 
 def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -10,19 +10,21 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
 
     Sample deviations keep four digits: they are summed in floating point.
     """
-    out = []
+    shown = []
     for field in df.schema:
-        column = F.col(f"`{field.name}`")
+        name = f"`{field.name}`"
         if isinstance(field.dataType, T.DecimalType):
-            column = F.round(column.cast("double"), 2)
+            value = f"round(CAST({name} AS DOUBLE), 2)"
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = F.round(column.cast("double"), 4 if field.name.startswith("std_") else digits)
+            value = f"round(CAST({name} AS DOUBLE), {4 if field.name.startswith('std_') else digits})"
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
-            column = column.cast("long")
+            value = f"CAST({name} AS BIGINT)"
         elif isinstance(field.dataType, T.BooleanType):
-            column = column.cast("int").cast("long")
-        out.append(column.alias(field.name))
-    return df.select(*out)
+            value = f"CAST(CAST({name} AS INT) AS BIGINT)"
+        else:
+            value = name
+        shown.append(f"{value} AS {name}")
+    return df.selectExpr(*shown)
 
 
 def sql_columns(spec: str) -> str:

@@ -18,6 +18,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Set where the session is built: recording the call site of every column
+# costs more than planning does.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tuned(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():

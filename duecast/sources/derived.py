@@ -11,172 +11,112 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.columns import money, plus_days
 from ..params import Params
 from . import tables
 
-TENANTS = 4
-TERMS = 5
-
 PARAMS = Params(as_of=datetime(2001, 2, 1))
 
-
-def _days(n: int) -> Column:
-    return F.make_dt_interval(days=F.lit(n))
-
-
-def _by_story(cases: dict[int, Column], default: Column) -> Column:
-    out = None
-    for story, value in cases.items():
-        hit = F.col("story") == story
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    return out.otherwise(default)
-
-
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("partner"),
-        (F.col("c_nationkey") % TENANTS).cast("long").alias("ad_client_id"),
-        F.col("c_nationkey").cast("long").alias("ad_org_id"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("day"),
-        money(F.col("o_totalprice")).alias("total"),
-        (F.col("o_orderkey") % 12).alias("story"),
-        F.substring("o_orderpriority", 1, 1).alias("priority"),
-    )
-
-
-def _share(fraction: str) -> Column:
-    return money(F.col("total") * F.lit(fraction).cast("decimal(2,1)"))
-
-
-def _every(n: int) -> Column:
-    return F.col("id") % n == 0
-
-
-def _terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    tenants = customers.select((F.col("c_nationkey") % TENANTS).cast("long").alias("ad_client_id")).distinct()
-    numbered = tenants.withColumn("c_paymentterm_id", F.explode(F.sequence(*[F.lit(n).cast("long") for n in (1, TERMS)])))
-    return numbered.select(
-        "c_paymentterm_id",
-        "ad_client_id",
-        (F.col("c_paymentterm_id") * 15).alias("netdays"),
-        F.lit(datetime(1994, 12, 31)).cast("timestamp_ntz").alias("created"),
-    )
-
-
-def _invoices(base: DataFrame) -> DataFrame:
-    term = F.col("id") % 5 + 1
-    zero = money(0)
-    total = F.col("total")
-    return base.select(
-        F.col("id").alias("c_invoice_id"),
-        "ad_client_id",
-        "ad_org_id",
-        F.col("day").alias("dateinvoiced"),
-        F.col("partner").alias("c_bpartner_id"),
-        (F.col("partner") % 7).alias("c_bpartner_location_id"),
-        F.when(_every(29), 100).otherwise(346).cast("long").alias("c_currency_id"),
-        F.col("priority").alias("paymentrule"),
-        term.alias("c_paymentterm_id"),
-        total.alias("grandtotal"),
-        F.when(F.col("story").isin(0, 1), F.col("id") * 10 + 1_000_000).alias("c_payment_id"),
-        F.when(F.col("story") == 7, F.col("id") + 9_000_000).alias("c_cashline_id"),
-        F.when(_every(31), None)
-        .when(_every(37), F.col("day") - _days(5))
-        .otherwise(plus_days(F.col("day"), term * 15))
-        .alias("duedate"),
-        _by_story(
-            {4: total, 2: _share("0.6"), 8: _share("0.5"), 10: _share("0.4"), 11: _share("0.4")}, zero
-        ).alias("totalopenamt"),
-        _by_story(
-            {4: zero, 2: _share("0.4"), 3: _share("1.1"), 8: _share("0.5"), 10: _share("0.6"), 11: _share("0.6")},
-            total,
-        ).alias("paidamt"),
-        F.when(_every(41), "N").otherwise("Y").alias("issotrx"),
-        F.when(_every(43), "DR").otherwise("CO").alias("docstatus"),
-        F.when(_every(47), "Y").otherwise("N").alias("isreturntrx"),
-        (F.col("day") + _days(1)).alias("created"),
-    )
-
-
-def _payments(base: DataFrame) -> DataFrame:
-    story, total = F.col("story"), F.col("total")
-    copies = F.when(story.isin(5, 9, 10), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = base.where(~story.isin(4, 7, 11)).withColumn("s", F.explode(copies.cast("array<bigint>")))
-    early = (story == 1) | (story.isin(2, 5, 6, 8, 9, 10) & _every(5))
-    return rows.select(
-        (F.col("id") * 10 + 1_000_000 + F.col("s")).alias("c_payment_id"),
-        "ad_client_id",
-        "ad_org_id",
-        F.when(early, F.col("day") - _days(3))
-        .otherwise(plus_days(F.col("day"), (F.col("id") * 7 + F.col("s") * 13) % 90 + 5))
-        .alias("datetrx"),
-        (F.col("id") % 3 + 500).alias("c_doctype_id"),
-        F.col("partner").alias("c_bpartner_id"),
-        F.when(story.isin(0, 1, 2, 3, 5), F.col("id")).alias("c_invoice_id"),
-        F.element_at(F.array(F.lit("K"), F.lit("A"), F.lit("C")), (F.col("id") % 3 + 1).cast("int")).alias("tendertype"),
-        F.lit(346).cast("long").alias("c_currency_id"),
-        total.alias("payamt"),
-        F.lit("Y").alias("isallocated"),
-        (F.col("day") + _days(30)).alias("duedate"),
-        F.when((story == 5) & (F.col("s") == 0), _share("0.7"))
-        .when(story == 5, _share("0.3"))
-        .when(story == 2, _share("0.4"))
-        .when(story == 3, _share("1.1"))
-        .otherwise(total)
-        .alias("allocatedamt"),
-        F.when(_every(53), "N").otherwise("Y").alias("isreceipt"),
-        F.when(_every(59), "DR").otherwise("CO").alias("docstatus"),
-        (F.col("day") + _days(2)).alias("created"),
-    )
-
-
-def _allocations(base: DataFrame) -> DataFrame:
-    story, total = F.col("story"), F.col("total")
-    one = F.array(F.lit(0))
-    copies = (
-        F.when(story.isin(5, 9, 10), F.array(F.lit(0), F.lit(1), F.lit(2)))
-        .when(story.isin(6, 7, 8), one)
-        .when(F.col("id") % 24 == 23, one)
-    )
-    rows = base.withColumn("s", F.explode(copies.cast("array<bigint>")))
-    s = F.col("s")
-    return rows.select(
-        (F.col("id") * 10 + 5_000_000 + s).alias("c_allocationline_id"),
-        "ad_client_id",
-        "ad_org_id",
-        F.col("id").alias("c_invoice_id"),
-        F.col("partner").alias("c_bpartner_id"),
-        F.when(story.isin(7, 11) | (s == 2), None).otherwise(F.col("id") * 10 + 1_000_000 + s).alias("c_payment_id"),
-        F.when((story == 7) | (s == 2), F.col("id") + 9_000_000).alias("c_cashline_id"),
-        F.when(_every(61), -total)
-        .when(story.isin(6, 7), total)
-        .when(story == 8, _share("0.5"))
-        .when(story.isin(5, 9) & (s == 0), _share("0.5"))
-        .when(story.isin(5, 9) & (s == 1), _share("0.3"))
-        .when(story.isin(5, 9, 10), _share("0.2"))
-        .otherwise(_share("0.3"))
-        .cast("decimal(18,2)")
-        .alias("amount"),
-        (F.col("day") + _days(3)).alias("created"),
-    )
+BASE = [
+    "o_orderkey AS id",
+    "o_custkey AS partner",
+    "CAST(c_nationkey % 4 AS BIGINT) AS ad_client_id",
+    "CAST(c_nationkey AS BIGINT) AS ad_org_id",
+    "CAST(o_orderdate AS TIMESTAMP_NTZ) AS day",
+    "CAST(o_totalprice AS DECIMAL(18,2)) AS total",
+    "o_orderkey % 12 AS story",
+    "substr(o_orderpriority, 1, 1) AS priority",
+]
+
+INVOICES = [
+    "id AS c_invoice_id",
+    "ad_client_id",
+    "ad_org_id",
+    "day AS dateinvoiced",
+    "partner AS c_bpartner_id",
+    "partner % 7 AS c_bpartner_location_id",
+    "IF(id % 29 = 0, 100, 346) AS c_currency_id",
+    "priority AS paymentrule",
+    "1 + id % 5 AS c_paymentterm_id",
+    "total AS grandtotal",
+    "IF(story IN (0, 1), 1000000 + id * 10, NULL) AS c_payment_id",
+    "IF(story = 7, 9000000 + id, NULL) AS c_cashline_id",
+    """CASE WHEN id % 31 = 0 THEN NULL
+            WHEN id % 37 = 0 THEN day - INTERVAL 5 DAYS
+            ELSE day + make_dt_interval(CAST(15 * (1 + id % 5) AS INT)) END AS duedate""",
+    """CASE story WHEN 4 THEN total WHEN 2 THEN total * 0.6 WHEN 8 THEN total * 0.5
+            WHEN 10 THEN total * 0.4 WHEN 11 THEN total * 0.4 ELSE 0 END AS totalopenamt""",
+    """CASE story WHEN 4 THEN 0 WHEN 2 THEN total * 0.4 WHEN 3 THEN total * 1.1 WHEN 8 THEN total * 0.5
+            WHEN 10 THEN total * 0.6 WHEN 11 THEN total * 0.6 ELSE total END AS paidamt""",
+    "IF(id % 41 = 0, 'N', 'Y') AS issotrx",
+    "IF(id % 43 = 0, 'DR', 'CO') AS docstatus",
+    "IF(id % 47 = 0, 'Y', 'N') AS isreturntrx",
+    "day + INTERVAL 1 DAY AS created",
+]
+
+PAYMENT_COPIES = "explode(IF(story IN (5, 9, 10), array(0L, 1L), array(0L))) AS s"
+
+PAYMENTS = [
+    "1000000 + id * 10 + s AS c_payment_id",
+    "ad_client_id",
+    "ad_org_id",
+    """CASE WHEN story = 1 OR (story IN (2, 5, 6, 8, 9, 10) AND id % 5 = 0) THEN day - INTERVAL 3 DAYS
+            ELSE day + make_dt_interval(CAST(5 + (id * 7 + s * 13) % 90 AS INT)) END AS datetrx""",
+    "500 + id % 3 AS c_doctype_id",
+    "partner AS c_bpartner_id",
+    "IF(story IN (0, 1, 2, 3, 5), id, NULL) AS c_invoice_id",
+    "CASE id % 3 WHEN 0 THEN 'K' WHEN 1 THEN 'A' ELSE 'C' END AS tendertype",
+    "346 AS c_currency_id",
+    "total AS payamt",
+    "'Y' AS isallocated",
+    "day + INTERVAL 30 DAYS AS duedate",
+    """CASE WHEN story = 5 AND s = 0 THEN total * 0.7 WHEN story = 5 THEN total * 0.3
+            WHEN story = 2 THEN total * 0.4 WHEN story = 3 THEN total * 1.1
+            ELSE total END AS allocatedamt""",
+    "IF(id % 53 = 0, 'N', 'Y') AS isreceipt",
+    "IF(id % 59 = 0, 'DR', 'CO') AS docstatus",
+    "day + INTERVAL 2 DAYS AS created",
+]
+
+ALLOCATION_COPIES = """explode(CASE WHEN story IN (5, 9, 10) THEN array(0L, 1L, 2L)
+    WHEN story IN (6, 7, 8) OR id % 24 = 23 THEN array(0L) END) AS s"""
+
+ALLOCATIONS = [
+    "5000000 + id * 10 + s AS c_allocationline_id",
+    "ad_client_id",
+    "ad_org_id",
+    "id AS c_invoice_id",
+    "partner AS c_bpartner_id",
+    "IF(story IN (7, 11) OR s = 2, NULL, 1000000 + id * 10 + s) AS c_payment_id",
+    "IF(story = 7 OR s = 2, 9000000 + id, NULL) AS c_cashline_id",
+    """CASE WHEN id % 61 = 0 THEN -total WHEN story IN (6, 7) THEN total WHEN story = 8 THEN total * 0.5
+            WHEN story IN (5, 9) AND s = 0 THEN total * 0.5 WHEN story IN (5, 9) AND s = 1 THEN total * 0.3
+            WHEN story IN (5, 9, 10) THEN total * 0.2 ELSE total * 0.3 END AS amount""",
+    "day + INTERVAL 3 DAYS AS created",
+]
+
+TERMS = [
+    "c_paymentterm_id",
+    "ad_client_id",
+    "15 * c_paymentterm_id AS netdays",
+    "TIMESTAMP_NTZ '1994-12-31 00:00:00' AS created",
+]
 
 
 def ledger_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five source tables."""
-    base = _base(spark, sf_dir)
-    terms = _terms(spark, sf_dir)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    base = orders.join(customers, orders.o_custkey == customers.c_custkey).selectExpr(*BASE)
+    tenants = customers.selectExpr("CAST(c_nationkey % 4 AS BIGINT) AS ad_client_id").distinct()
+    with_payments = base.where("story NOT IN (4, 7, 11)").selectExpr("*", PAYMENT_COPIES)
+    with_allocations = base.selectExpr("*", ALLOCATION_COPIES)
     built = {
-        "c_invoice": _invoices(base),
-        "c_payment": _payments(base),
-        "c_allocationline": _allocations(base),
-        "c_paymentterm": terms,
-        "ad_client": terms.select("ad_client_id").distinct(),
+        "c_invoice": base.selectExpr(*INVOICES),
+        "c_payment": with_payments.selectExpr(*PAYMENTS),
+        "c_allocationline": with_allocations.selectExpr(*ALLOCATIONS),
+        "c_paymentterm": tenants.selectExpr("*", "explode(sequence(1L, 5L)) AS c_paymentterm_id").selectExpr(*TERMS),
+        "ad_client": tenants,
     }
     return {name: tables.project(df, name) for name, df in built.items()}

@@ -13,7 +13,8 @@ NULL_TEXT = "\\N"
 
 def project(df: DataFrame, entity: str) -> DataFrame:
     """Only the columns that are read, in their declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCES[entity]])
+    fields = SOURCES[entity]
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields])
 
 
 def read_parquet(spark: SparkSession, entity: str, path: str, where: Column | None = None) -> DataFrame:
