@@ -2,73 +2,67 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 SYSTEM_TENANT = 0
 
+# What the scan itself filters: only real tenants, only sales invoices.
+SCANNED = {
+    "c_invoice": f"ad_client_id <> {SYSTEM_TENANT} AND issotrx = 'Y'",
+    "c_payment": f"ad_client_id <> {SYSTEM_TENANT}",
+    "c_allocationline": f"ad_client_id <> {SYSTEM_TENANT}",
+    "c_paymentterm": f"ad_client_id <> {SYSTEM_TENANT}",
+}
 
-def _ids_filled(df: DataFrame, nullable_ids: list[str]) -> DataFrame:
-    filled = df.fillna(0, subset=nullable_ids)
-    return filled.selectExpr(
-        *[f"CAST({c} AS BIGINT) AS {c}" if c.endswith("id") else c for c in filled.columns]
-    )
-
-
-def _of_tenants(df: DataFrame) -> DataFrame:
-    return df.where(f"ad_client_id <> {SYSTEM_TENANT}")
-
-
-def sales_invoices(df: DataFrame) -> DataFrame:
-    """Completed sales invoices that are not returns."""
-    kept = _of_tenants(df).where("issotrx = 'Y' AND docstatus = 'CO' AND isreturntrx = 'N'")
-    return _ids_filled(kept.drop("issotrx", "docstatus", "isreturntrx"), ["c_payment_id", "c_cashline_id"])
-
-
-def customer_allocations(df: DataFrame) -> DataFrame:
-    """Allocations with a positive amount; negative ones pay suppliers."""
-    ids = [c for c in df.columns if c.endswith("id")]
-    return _ids_filled(_of_tenants(df).where("amount > 0"), ids)
-
-
-def receipts(df: DataFrame) -> DataFrame:
-    """Completed incoming payments."""
-    kept = _of_tenants(df).where("isreceipt = 'Y' AND docstatus = 'CO'")
-    return _ids_filled(kept.drop("isreceipt", "docstatus"), ["c_invoice_id", "c_bpartner_id"])
+# Which scanned rows are kept: completed documents that are not returns,
+# completed receipts, and allocations from customers (negative ones pay suppliers).
+KEPT = {
+    "c_invoice": "docstatus = 'CO' AND isreturntrx = 'N'",
+    "c_payment": "isreceipt = 'Y' AND docstatus = 'CO'",
+    "c_allocationline": "amount > 0",
+    "c_paymentterm": "true",
+}
 
+USED_UP = {"c_invoice": ["issotrx", "docstatus", "isreturntrx"], "c_payment": ["isreceipt", "docstatus"]}
 
-def payment_terms(df: DataFrame) -> DataFrame:
-    return _of_tenants(df)
+NULLABLE_IDS = {
+    "c_invoice": ["c_payment_id", "c_cashline_id"],
+    "c_payment": ["c_invoice_id", "c_bpartner_id"],
+}
 
 
-CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "c_invoice": sales_invoices,
-    "c_payment": receipts,
-    "c_allocationline": customer_allocations,
-    "c_paymentterm": payment_terms,
-}
+def clean(entity: str, df: DataFrame) -> DataFrame:
+    """The kept rows of one entity, without its flags, with null ids as 0."""
+    kept = df.where(f"{SCANNED[entity]} AND {KEPT[entity]}").drop(*USED_UP.get(entity, []))
+    ids = [c for c in kept.columns if c.endswith("id")]
+    zeroed = set(ids if entity == "c_allocationline" else NULLABLE_IDS.get(entity, []))
+    return kept.selectExpr(
+        *[
+            f"CAST({f'coalesce({c}, 0)' if c in zeroed else c} AS BIGINT) AS {c}" if c in ids else c
+            for c in kept.columns
+        ]
+    )
 
 
-def scanned(entity: str, df: DataFrame) -> DataFrame:
-    """The rows a cleaning run reads: what the scan itself already filters."""
-    rows = _of_tenants(df)
-    return rows.where("issotrx = 'Y'") if entity == "c_invoice" else rows
+CLEANERS = {entity: partial(clean, entity) for entity in KEPT}
 
 
 def clean_all(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: CLEANERS[name](sources[name]) for name in CLEANERS}
+    return {entity: clean(entity, sources[entity]) for entity in KEPT}
 
 
 def tenants(df: DataFrame) -> DataFrame:
     """The tenants to process, in order."""
-    return _of_tenants(df.select("ad_client_id").distinct()).orderBy("ad_client_id")
+    listed = df.select("ad_client_id").distinct().where(f"ad_client_id <> {SYSTEM_TENANT}")
+    return listed.orderBy("ad_client_id")
 
 
-def settleable_invoices(clean: dict[str, DataFrame]) -> DataFrame:
+def settleable_invoices(cleaned: dict[str, DataFrame]) -> DataFrame:
     """Invoices of tenants that also have payments and allocations."""
-    invoices = clean["c_invoice"]
+    invoices = cleaned["c_invoice"]
     for other in ("c_payment", "c_allocationline"):
-        present = clean[other].select("ad_client_id").distinct()
+        present = cleaned[other].select("ad_client_id").distinct()
         invoices = invoices.join(present, "ad_client_id", "left_semi")
     return invoices
