@@ -302,6 +302,9 @@ ORACLE = {
         "SELECT ad_client_id, c_invoice_id, CASE WHEN created < TIMESTAMP '2001-01-01 00:00:00' THEN 'held' "
         "ELSE 'added' END AS load, round(CAST(grandtotal AS DOUBLE), 2) AS grandtotal FROM inv"
     ),
+    "stream_clean_equals_batch": statement(
+        "SELECT ad_client_id, count(*) AS invoices, CAST(0 AS BIGINT) AS differing FROM inv GROUP BY 1"
+    ),
     "model_registry_latest": statement(
         "SELECT model_type, ad_client_id, run_ts, 'client_models/' || model_type || '_models/' || ad_client_id || '/' "
         "|| strftime(run_ts, '%d-%m-%Y_%H:%M:%S') AS path, strftime(run_ts, '%d-%m-%Y_%H:%M:%S') AS file_name "

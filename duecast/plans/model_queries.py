@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import folds, forest, lasso, metrics, prep, splits, stats
+from ..operators import clean, folds, forest, lasso, ledger, metrics, prep, splits, stats
 from ..sources import derived
 from ..sources.storage import scratch_path
 from . import training
@@ -210,8 +210,6 @@ def train_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per tenant whether cleaning kept rows of every entity and facts came out."""
     sources = derived.ledger_sources(tuned(spark), sf_dir)
-    from ..operators import clean, ledger
-
     lines = ledger.build_facts(cleaned(spark, sf_dir), P)
     table = stats.cleaning_stats(sources, clean.tenants(sources["ad_client"]), lines, RUN)
     return comparable(
