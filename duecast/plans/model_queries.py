@@ -12,7 +12,7 @@ from ..sources.storage import scratch_path
 from . import training
 from .oracle_base import statement
 from .output import comparable, sql_columns
-from .session import cleaned, fact_table, facts, full_fact_table, tuned
+from .session import cleaned_tables, fact_table, facts, full_fact_table, tuned
 
 P = derived.PARAMS
 RUN = datetime(2001, 2, 1)
@@ -210,7 +210,7 @@ def train_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per tenant whether cleaning kept rows of every entity and facts came out."""
     sources = derived.ledger_sources(tuned(spark), sf_dir)
-    lines = ledger.build_facts(cleaned(spark, sf_dir), P)
+    lines = ledger.build_facts(cleaned_tables(spark, sf_dir), P)
     table = stats.cleaning_stats(sources, clean.tenants(sources["ad_client"]), lines, RUN)
     return comparable(
         table.selectExpr(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import clean, features, ledger
 from ..params import Params
 from ..sources import derived
-from ..sources.storage import stored
+from ..sources.storage import stored, stored_all
 
 # Adaptive execution picks join strategies from measured sizes and splits
 # skewed partitions, also where the split costs one more shuffle.
@@ -33,9 +33,18 @@ def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return clean.clean_all(derived.ledger_sources(tuned(spark), sf_dir))
 
 
+def cleaned_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The cleaned entities written to the lake and read back.
+
+    Settlement reads each of them several times; from the lake every read is
+    pruned to its columns and its size is known when joins are chosen.
+    """
+    return stored_all(cleaned(spark, sf_dir))
+
+
 def facts(spark: SparkSession, sf_dir: str, params: Params = derived.PARAMS) -> DataFrame:
     """Fact lines with their six derived values."""
-    return features.line_features(ledger.build_facts(cleaned(spark, sf_dir), params))
+    return features.line_features(ledger.build_facts(cleaned_tables(spark, sf_dir), params))
 
 
 def fact_table(spark: SparkSession, sf_dir: str, params: Params = derived.PARAMS) -> DataFrame:

@@ -10,7 +10,7 @@ from ..operators import clean, features, ledger, settle
 from ..sources import derived
 from .oracle_base import statement
 from .output import comparable, sql_columns
-from .session import cleaned, fact_table, facts, tuned
+from .session import cleaned, cleaned_tables, fact_table, facts, tuned
 
 P = derived.PARAMS
 
@@ -78,7 +78,7 @@ LINE_SPEC = (
 
 
 def _line_query(only: set[str] | None, spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = cleaned(spark, sf_dir)
+    tables = cleaned_tables(spark, sf_dir)
     lines = settle.ledger_lines(
         clean.settleable_invoices(tables), tables["c_allocationline"], tables["c_payment"],
         tables["c_paymentterm"], P, only,
@@ -88,7 +88,7 @@ def _line_query(only: set[str] | None, spark: SparkSession, sf_dir: str) -> Data
 
 
 def ledger_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    identified = ledger.identified_lines(cleaned(spark, sf_dir), P)
+    identified = ledger.identified_lines(cleaned_tables(spark, sf_dir), P)
     return comparable(
         identified.select("ad_client_id", "src_invoice_id", "c_invoice_id", "branch", "line_no", "line_count", "grandtotal")
     )
@@ -96,7 +96,7 @@ def ledger_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tenants that reach the facts, and whether any of their invoices is split."""
-    identified = ledger.identified_lines(cleaned(spark, sf_dir), P)
+    identified = ledger.identified_lines(cleaned_tables(spark, sf_dir), P)
     return comparable(
         identified.groupBy("ad_client_id")
         .agg(
@@ -107,7 +107,7 @@ def ledger_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    identified = ledger.identified_lines(cleaned(spark, sf_dir), P)
+    identified = ledger.identified_lines(cleaned_tables(spark, sf_dir), P)
     return comparable(ledger.profile(identified), digits=2)
 
 
@@ -133,7 +133,7 @@ ROW_SPEC = (
 
 
 def ledger_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(ledger.build_facts(cleaned(spark, sf_dir), P))
+    return comparable(ledger.build_facts(cleaned_tables(spark, sf_dir), P))
 
 
 def partner_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import folds, forest, lasso, metrics, prep, splits
@@ -78,12 +81,13 @@ def tenant_ids(table: DataFrame) -> Iterator[int]:
 
 
 def train_classifiers(
-    table: DataFrame, grid: forest.Grid, params: Params, root: str, run_ts: datetime
+    table: DataFrame, grid: forest.Grid, params: Params, root: str, run_ts: datetime, at_once: int = 4
 ) -> tuple[DataFrame, DataFrame | None]:
     """One forest per tenant, saved, with a status row each, and test predictions.
 
-    Every fit is a distributed job over one tenant's rows. A tenant whose data
-    does not suffice fails alone.
+    Every fit is a distributed job over one tenant's rows; a few tenants are
+    in work at a time, so that small ones do not wait for each other. A tenant
+    whose data does not suffice fails alone.
     """
     spark = table.sparkSession
     train, test = class_training_rows(table, grid, params)
@@ -91,20 +95,26 @@ def train_classifiers(
         r["ad_client_id"]: r["problem"]
         for r in splits.class_problem(splits.class_sizes(table)).where("problem IS NOT NULL").toLocalIterator()
     }
-    status, predictions = [], None
-    for tenant in tenant_ids(table):
+
+    def one(tenant: int) -> tuple[tuple, DataFrame | None]:
         try:
             if tenant in problems:
                 raise ValueError(problems[tenant])
             own = F.col("ad_client_id") == tenant
             model, score, chosen = forest.fit(train.where(own), grid, params)
-            registry.save_model(spark, model, root, "classification", tenant, run_ts)
-            scored = forest.predict(model, test.where(own))
-            predictions = scored if predictions is None else predictions.unionByName(scored)
-            status.append((tenant, "classification", 1, f"accuracy {score:.4f} with {chosen}"))
+            path = registry.save_model(model, root, "classification", tenant, run_ts)
+            done = (tenant, "classification", 1, f"accuracy {score:.4f} with {chosen}", path)
+            return done, forest.predict(model, test.where(own))
         except Exception as error:  # one tenant must not stop the others
-            status.append((tenant, "classification", 0, str(error)[:200]))
-    return spark.createDataFrame(status, STATUS), predictions
+            return (tenant, "classification", 0, str(error)[:200], None), None
+
+    with ThreadPool(at_once) as pool:
+        results = pool.map(inheritable_thread_target(spark)(one), tenant_ids(table))
+    saved = [("classification", row[0], run_ts, row[4]) for row, _ in results if row[4]]
+    registry.register(spark, saved, root)
+    status = spark.createDataFrame([row[:4] for row, _ in results], STATUS)
+    predictions = [p for _, p in results if p is not None]
+    return status, reduce(DataFrame.unionByName, predictions) if predictions else None
 
 
 def days_status(table: DataFrame, models: DataFrame) -> DataFrame:

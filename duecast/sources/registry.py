@@ -25,17 +25,19 @@ def model_path(root: str, model_type: str, tenant: int, run_ts: datetime) -> str
     return f"{root}/{model_type}_models/{tenant}/{stamp}"
 
 
-def save_model(
-    spark: SparkSession, model: PipelineModel, root: str, model_type: str, tenant: int, run_ts: datetime
-) -> str:
-    """Save under (type, tenant, run time) and enter it in the registry."""
+def save_model(model: PipelineModel, root: str, model_type: str, tenant: int, run_ts: datetime) -> str:
+    """Save under (type, tenant, run time)."""
     path = model_path(root, model_type, tenant, run_ts)
     model.write().overwrite().save(path)
-    row = spark.createDataFrame([(model_type, tenant, run_ts, path)], REGISTRY)
-    row.write.mode("append").parquet(f"{root}/registry")
     return path
 
 
+def register(spark: SparkSession, saved: list[tuple[str, int, datetime, str]], root: str) -> None:
+    """Enter saved models, (type, tenant, run time, path) each, in the registry."""
+    if saved:
+        spark.createDataFrame(saved, REGISTRY).coalesce(1).write.mode("append").parquet(f"{root}/registry")
+
+
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(REGISTRY).parquet(f"{root}/registry")
 

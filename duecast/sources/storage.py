@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,3 +51,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Independent tables stored side by side; one small job does not hold up the next."""
+    spark = next(iter(tables.values())).sparkSession
+    with ThreadPool(len(tables)) as pool:
+        store = inheritable_thread_target(spark)(lambda item: stored(item[1], item[0]))
+        return dict(zip(tables, pool.map(store, tables.items())))
