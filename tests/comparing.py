@@ -37,8 +37,15 @@ def duck_rows(con, sql: str):
     return [columns[i] for i in order], rows
 
 
+SAME_TYPE = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def differences(df, con, sql: str) -> str | None:
-    """None when both give the same multiset of rows, else what differs."""
+    """None when both give the same columns, types and multiset of rows, else what differs."""
+    described = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    ours_typed = {f.name: SAME_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    if described != ours_typed:
+        return f"types {sorted(set(ours_typed.items()) ^ set(described.items()))}"
     names, ours = spark_rows(df)
     their_names, theirs = duck_rows(con, sql)
     if names != their_names:
