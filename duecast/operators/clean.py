@@ -6,6 +6,8 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 
+from ..sources.storage import measured
+
 SYSTEM_TENANT = 0
 
 # What the scan itself filters: only real tenants, only sales invoices.
@@ -61,8 +63,8 @@ def tenants(df: DataFrame) -> DataFrame:
 
 def settleable_invoices(cleaned: dict[str, DataFrame]) -> DataFrame:
     """Invoices of tenants that also have payments and allocations."""
-    invoices = cleaned["c_invoice"]
-    for other in ("c_payment", "c_allocationline"):
-        present = cleaned[other].select("ad_client_id").distinct()
-        invoices = invoices.join(present, "ad_client_id", "left_semi")
-    return invoices
+    with_payments, with_allocations = (
+        cleaned[other].select("ad_client_id").distinct() for other in ("c_payment", "c_allocationline")
+    )
+    present = measured(with_payments.intersect(with_allocations), "tenants")
+    return cleaned["c_invoice"].join(present, "ad_client_id", "left_semi")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..params import Params
+from ..sources.storage import measured
 from .stats import SUFFIX
 
 
@@ -18,12 +19,8 @@ def high_water_marks(stats: DataFrame) -> DataFrame:
 
 
 def rows_after(df: DataFrame, marks: DataFrame, entity: str, params: Params) -> DataFrame:
-    """Rows changed after their tenant's mark; all rows where there is none.
-
-    The marks hold one row per tenant. Whether they are broadcast is left to
-    their measured size.
-    """
-    own = marks.where(F.col("entity") == entity).select("ad_client_id", "high_water_mark")
+    """Rows changed after their tenant's mark; all rows where there is none."""
+    own = measured(marks.where(F.col("entity") == entity).select("ad_client_id", "high_water_mark"), "marks")
     joined = df.join(own, "ad_client_id", "left")
     newer = F.col("high_water_mark").isNull() | (F.col(params.change_column) > F.col("high_water_mark"))
     return joined.where(newer).drop("high_water_mark")

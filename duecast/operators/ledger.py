@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.columns import floor_days, is_true, zero_if_null
 from ..params import Params
 from ..schemas import FACT_LINE
+from ..sources.storage import measured
 from . import clean, positions, settle
 
 LINE_ORDER = ["branch_ord", "c_allocationline_id", "source_payment_id"]
@@ -25,7 +26,8 @@ def crowded_invoices(allocations: DataFrame, payments: DataFrame, params: Params
     )
     sizes = links.groupBy(*settle.INVOICE_KEY).agg(F.sum("p").alias("p"), F.sum("a").alias("a"))
     may_hold = (F.col("p") + 1) * (F.col("a") + 1) + 1
-    return sizes.where(may_hold > params.hot_group_rows).select(*settle.INVOICE_KEY)
+    crowded = sizes.where(may_hold > params.hot_group_rows).select(*settle.INVOICE_KEY)
+    return measured(crowded, "crowded_invoices")
 
 
 def numbered_lines(lines: DataFrame, crowded: DataFrame, params: Params) -> DataFrame:
@@ -93,7 +95,7 @@ def build_facts(cleaned: dict[str, DataFrame], params: Params) -> DataFrame:
     """Cleaned tables to fact lines, all tenants in one job."""
     identified = identified_lines(cleaned, params)
     if params.require_split_invoices:
-        split = identified.where(F.col("line_count") > 1).select("ad_client_id").distinct()
+        split = measured(identified.where(F.col("line_count") > 1).select("ad_client_id").distinct(), "split_tenants")
         identified = identified.join(split, "ad_client_id", "left_semi")
     return fact_lines(identified, params)
 

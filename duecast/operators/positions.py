@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..sources.storage import checkpointed
+from ..sources.storage import checkpointed, measured
 
 
 def _windowed(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, Column]) -> DataFrame:
@@ -53,7 +53,7 @@ def running_sums(
     hot_total = hot.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     if hot_total == 0:
         return _windowed(df, group, order, sums)
-    hot = hot.drop("_rows")
+    hot = measured(hot.drop("_rows"), "hot_groups")
     slices = max(2, -(-hot_total // hot_rows))
     large = sliced_running_sums(df.join(hot, group, "left_semi"), group, order, sums, slices)
     small = _windowed(df.join(hot, group, "left_anti"), group, order, sums)

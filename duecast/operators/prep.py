@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.storage import measured
 from .features import SPREADS
 
 # The model inputs in their order (fixed values).
@@ -44,6 +45,7 @@ def mean_impute(rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame
     A column without any value in the group stays null.
     """
     means = rows.groupBy(*by).agg(*[F.expr(f"avg(CAST({c} AS DOUBLE))").alias(f"mean_{c}") for c in columns])
+    means = measured(means, "means")
     filled = {c: F.expr(f"coalesce(CAST({c} AS DOUBLE), mean_{c})") for c in columns}
     return rows.join(means, by).withColumns(filled).drop(*[f"mean_{c}" for c in columns])
 
@@ -58,6 +60,7 @@ def standard_scale(rows: DataFrame, fit_on: str, columns: list[str]) -> DataFram
         *[F.expr(f"avg(CAST({c} AS DOUBLE))").alias(f"mean_{c}") for c in columns],
         *[F.expr(spread.format(c)).alias(f"dev_{c}") for c in columns],
     )
+    fitted = measured(fitted, "scales")
     scaled = {c: F.expr(f"(CAST({c} AS DOUBLE) - mean_{c}) / dev_{c}") for c in columns}
     return rows.join(fitted, "ad_client_id").withColumns(scaled).drop(
         *[f"{p}_{c}" for c in columns for p in ("mean", "dev")]

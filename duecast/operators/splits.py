@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..params import Params
+from ..sources.storage import measured
 from .positions import positions
 
 # The order of a tenant's rows wherever one is needed; it is total.
@@ -39,7 +40,7 @@ def split_windows(facts: DataFrame, eligible: str = "true", start: int = 365) ->
         F.max(F.expr(f"IF({eligible}, {MOMENT}, NULL)")).alias("newest_eligible"),
     )
     cases = " ".join(f"WHEN newest_eligible > {_before_newest(n)} THEN {n}" for n in backoff_days(start))
-    return newest.withColumn("n_days", F.expr(f"CASE {cases} END"))
+    return measured(newest.withColumn("n_days", F.expr(f"CASE {cases} END")), "split_windows")
 
 
 def time_split(facts: DataFrame, eligible: str = "true", start: int = 365) -> DataFrame:
@@ -72,7 +73,7 @@ def yearly_split(facts: DataFrame, years: int = 4, eligible: str = "true") -> Da
 
     Test rows of n lie in the n-th year back, training rows before it.
     """
-    newest = facts.groupBy("ad_client_id").agg(F.max(MOMENT).alias("newest"))
+    newest = measured(facts.groupBy("ad_client_id").agg(F.max(MOMENT).alias("newest")), "newest")
     rows = facts.where(eligible).join(newest, "ad_client_id").selectExpr(
         "*", f"explode(sequence(1, {years})) AS n_years"
     )
@@ -84,9 +85,10 @@ def yearly_split(facts: DataFrame, years: int = 4, eligible: str = "true") -> Da
 
 
 def class_sizes(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("ad_client_id").agg(
+    sizes = rows.groupBy("ad_client_id").agg(
         F.count_if(F.col("paid") == 1).alias("n_paid"), F.count_if(F.col("paid") == 0).alias("n_unpaid")
     )
+    return measured(sizes, "class_sizes")
 
 
 def class_problem(sizes: DataFrame) -> DataFrame:

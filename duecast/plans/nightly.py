@@ -11,7 +11,7 @@ from pyspark.sql.utils import AnalysisException
 from ..operators import clean, features, incremental, ledger, stats
 from ..params import Params
 from ..schemas import CLEANING_STATS, PRIMARY_KEY
-from ..sources.storage import stored
+from ..sources.storage import measured, stored
 from ..sources.tables import append_table, replace_tenants
 
 
@@ -49,7 +49,8 @@ def run(sources: dict[str, DataFrame], lake: str, params: Params, date_run: date
     spark = sources["c_invoice"].sparkSession
     cleaned = {entity: load_entity(sources, entity, lake, params) for entity in clean.KEPT}
     lines = stored(features.line_features(ledger.build_facts(cleaned, params)), "facts")
-    full = features.with_partner_features(lines, features.partner_features(lines))
+    partners = measured(features.partner_features(lines), "partners")
+    full = features.with_partner_features(lines, partners)
     replace_tenants(full, f"{lake}/facts")
     recorded = stats.cleaning_stats(
         sources, clean.tenants(sources["ad_client"]), lines, date_run, time.monotonic() - started

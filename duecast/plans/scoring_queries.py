@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import features, score
 from ..schemas import REQUEST
 from ..sources import derived, tables
-from ..sources.storage import scratch_path
+from ..sources.storage import measured, scratch_path, stored
 from . import scoring, training
 from .model_queries import QUICK_GRID
 from .oracle_base import statement
@@ -34,7 +34,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fact_table(spark, sf_dir)
-    return features.feature_snapshot(lines, features.partner_features(lines))
+    return stored(features.feature_snapshot(lines, features.partner_features(lines)), "snapshot")
 
 
 EVENT_INPUT = "array<struct<c_invoice_id:bigint,grandtotal:decimal(18,2)>>"
@@ -135,8 +135,8 @@ def score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "models")
     training.train_classifiers(table, QUICK_GRID, P, root, RUN)
     vocabulary = training.vocabulary_of(table)
-    models, _ = training.days_models(table, vocabulary, P)
-    snapshot = features.feature_snapshot(table, features.partner_features(table))
+    models = measured(training.days_models(table, vocabulary, P)[0], "days_models")
+    snapshot = stored(features.feature_snapshot(table, features.partner_features(table)), "snapshot")
     return scoring.score_requests(requests(spark, sf_dir), snapshot, root, models, vocabulary)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import clean, features, ledger
 from ..params import Params
 from ..sources import derived
-from ..sources.storage import stored, stored_all
+from ..sources.storage import measured, stored, stored_all
 
 # Adaptive execution picks join strategies from measured sizes and splits
 # skewed partitions, also where the split costs one more shuffle.
@@ -55,4 +55,5 @@ def fact_table(spark: SparkSession, sf_dir: str, params: Params = derived.PARAMS
 def full_fact_table(spark: SparkSession, sf_dir: str, params: Params = derived.PARAMS) -> DataFrame:
     """Stored facts with the thirty partner values, as the models read them."""
     lines = fact_table(spark, sf_dir, params)
-    return stored(features.with_partner_features(lines, features.partner_features(lines)), "features")
+    partners = measured(features.partner_features(lines), "partners")
+    return stored(features.with_partner_features(lines, partners), "features")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import clean, features, ledger, settle
 from ..sources import derived
+from ..sources.storage import measured
 from .oracle_base import statement
 from .output import comparable, sql_columns
 from .session import cleaned, cleaned_tables, fact_table, facts, tuned
@@ -142,7 +143,8 @@ def partner_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fact_table(spark, sf_dir)
-    return comparable(features.with_partner_features(lines, features.partner_features(lines)))
+    partners = measured(features.partner_features(lines), "partners")
+    return comparable(features.with_partner_features(lines, partners))
 
 
 def feature_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import folds, forest, lasso, metrics, prep, splits
 from ..params import Params
 from ..sources import registry
-from ..sources.storage import checkpointed, stored
+from ..sources.storage import measured, stored
 
 PAID = "paid = 1"
 REGRESSION_FOLDS = 10
@@ -61,7 +61,7 @@ def days_model_stats(table: DataFrame, vocabulary: dict[str, list[str]], params:
     """
     models, names = days_models(table, vocabulary, params)
     # Evaluated once; the sums behind it are small, the rows are not.
-    models = checkpointed(models)
+    models = measured(models, "days_models")
     judged = lasso.fit_tenants(evaluation_sums(table, vocabulary, params), len(names))
     errors = judged.select("ad_client_id", F.col("train_mse").alias("test_mse"), "test_r2")
     return models, models.select("ad_client_id", "train_r2").join(errors, "ad_client_id", "left")

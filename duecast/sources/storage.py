@@ -53,6 +53,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, name: str) -> DataFrame:
+    """A reduced table, such as one row per tenant, stored before it is joined.
+
+    Its size is then known when the join is planned: Spark broadcasts it when
+    it is below ``spark.sql.autoBroadcastJoinThreshold``, and the large side is
+    not shuffled on a key that may hold a third of it. A larger one is joined by
+    shuffle, with skewed partitions split.
+    """
+    return stored(df, name)
+
+
 def stored_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Independent tables stored side by side; one small job does not hold up the next."""
     spark = next(iter(tables.values())).sparkSession
