@@ -36,57 +36,105 @@ def _ratio(part: str, whole: str) -> str:
     return f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
 
 
-def _spread(suffix: str, amount: str) -> list[str]:
-    average = _ratio(f"sum({amount})", f"count({amount})")
-    return [
-        f"max({amount}) AS max_{suffix}",
-        f"min({amount}) AS min_{suffix}",
-        f"{average} AS avg_{suffix}",
-        f"stddev_samp(CAST({amount} AS DOUBLE)) AS std_{suffix}",
-    ]
+# What a partner's lines add up to. Every column can be added up again, so sums
+# of parts of the lines can be merged.
+COUNTS = ["lines", "closed", "closed_late", "late_days", "late_lines", "late_unpaid"]
+SUM_TYPES = {c: "BIGINT" for c in COUNTS} | {
+    f"{part}_{suffix}": kind
+    for suffix in SPREADS
+    for part, kind in (
+        ("n", "BIGINT"), ("sum", "DECIMAL(38,2)"), ("sq", "DECIMAL(38,4)"),
+        ("max", "DECIMAL(18,2)"), ("min", "DECIMAL(18,2)"),
+    )
+}
 
 
-def partner_features(lined: DataFrame) -> DataFrame:
-    """The thirty per-partner values in one aggregation.
+def as_sums(df: DataFrame, values: dict[str, str]) -> DataFrame:
+    """The partner key and the sums, each given as an expression."""
+    return df.selectExpr(*PARTNER_KEY, *[f"CAST({values[c]} AS {kind}) AS {c}" for c, kind in SUM_TYPES.items()])
+
+
+def partner_sums(lined: DataFrame) -> DataFrame:
+    """One aggregation per partner.
 
     Every aggregate has a partial form, so a partner that holds much of the
-    data is reduced before the shuffle. Money is summed exactly.
+    data is reduced before the shuffle. Money is summed exactly, its squares
+    too, so the result does not depend on the order of the rows.
     """
-    aggregates = [
-        "count(c_invoice_id) AS total_invoices",
-        "count_if(paid = 1) AS closed_invoices_no",
-        "sum(CAST(closed_late_invoice AS BIGINT)) AS closed_late_invoices_no",
-        "coalesce(sum(allocatedamt), 0) AS paid_total",
-        "coalesce(sum(paid_late_sum), 0) AS paid_late_total",
-        "sum(days_late_closed_invoices_late) AS late_days",
-        "count_if(days_late_closed_invoices_late <> 0) AS late_lines",
-        "sum(CAST(invoice_late_unpaid AS BIGINT)) AS late_unpaid_invoices_no",
-        "coalesce(sum(unpaid_sum), 0) AS unpaid_invoices_sum",
-        "coalesce(sum(unpaid_late_sum), 0) AS unpaid_invoices_late_sum",
-    ]
+    aggregates = {
+        "lines": "count(*)",
+        "closed": "count_if(paid = 1)",
+        "closed_late": "sum(CAST(closed_late_invoice AS BIGINT))",
+        "late_days": "sum(days_late_closed_invoices_late)",
+        "late_lines": "count_if(days_late_closed_invoices_late <> 0)",
+        "late_unpaid": "sum(CAST(invoice_late_unpaid AS BIGINT))",
+    }
     for suffix, amount in SPREADS.items():
-        aggregates += _spread(suffix, amount)
-    sums = lined.groupBy(*PARTNER_KEY).agg(*[F.expr(a) for a in aggregates])
-    return sums.withColumn("unpaid_invoices_no", F.expr("total_invoices - closed_invoices_no")).selectExpr(
+        aggregates |= {
+            f"n_{suffix}": f"count({amount})",
+            f"sum_{suffix}": f"coalesce(sum({amount}), 0)",
+            f"sq_{suffix}": f"coalesce(sum({amount} * {amount}), 0)",
+            f"max_{suffix}": f"max({amount})",
+            f"min_{suffix}": f"min({amount})",
+        }
+    grouped = lined.groupBy(*PARTNER_KEY).agg(*[F.expr(v).alias(c) for c, v in aggregates.items()])
+    return as_sums(grouped, {c: c for c in SUM_TYPES})
+
+
+def merged_sums(parts: DataFrame) -> DataFrame:
+    """Sums of several parts of a partner's lines put together."""
+
+    def merge(column: str) -> str:
+        rule = column.split("_")[0]
+        return f"{rule if rule in ('max', 'min') else 'sum'}({column})"
+
+    grouped = parts.groupBy(*PARTNER_KEY).agg(*[F.expr(merge(c)).alias(c) for c in SUM_TYPES])
+    return as_sums(grouped, {c: c for c in SUM_TYPES})
+
+
+def _deviation(suffix: str) -> str:
+    """Sample deviation; exact as long as the products fit a decimal."""
+    n, total, squares = f"n_{suffix}", f"sum_{suffix}", f"sq_{suffix}"
+    exact = f"CAST(try_subtract(try_multiply({squares}, {n}), try_multiply({total}, {total})) AS DOUBLE)"
+    rough = f"CAST({squares} AS DOUBLE) * {n} - CAST({total} AS DOUBLE) * CAST({total} AS DOUBLE)"
+    spread = f"greatest(coalesce({exact}, {rough}), 0D)"
+    return f"IF({n} > 1, sqrt({spread} / (CAST({n} AS DOUBLE) * ({n} - 1))), NULL)"
+
+
+def features_of_sums(sums: DataFrame) -> DataFrame:
+    """The thirty per-partner values from a partner's sums."""
+    spreads = []
+    for suffix in SPREADS:
+        spreads += [
+            f"max_{suffix}", f"min_{suffix}",
+            f"{_ratio(f'sum_{suffix}', f'n_{suffix}')} AS avg_{suffix}",
+            f"{_deviation(suffix)} AS std_{suffix}",
+        ]
+    return sums.selectExpr(
         *PARTNER_KEY,
-        "total_invoices",
-        "closed_invoices_no",
-        "closed_late_invoices_no",
-        f"{_ratio('closed_late_invoices_no', 'closed_invoices_no')} AS paid_late_percent",
-        "paid_total",
-        "paid_late_total",
-        f"{_ratio('paid_late_total', 'paid_total')} AS paid_late_raport_percent",
+        "lines AS total_invoices",
+        "closed AS closed_invoices_no",
+        "closed_late AS closed_late_invoices_no",
+        f"{_ratio('closed_late', 'closed')} AS paid_late_percent",
+        "sum_paid AS paid_total",
+        "sum_late_paid AS paid_late_total",
+        f"{_ratio('sum_late_paid', 'sum_paid')} AS paid_late_raport_percent",
         f"coalesce({_ratio('late_days', 'late_lines')}, 0D) AS avg_days_paid_late",
-        "unpaid_invoices_no",
-        "late_unpaid_invoices_no",
-        f"coalesce({_ratio('late_unpaid_invoices_no', 'unpaid_invoices_no')}, 0D) AS late_unpaid_invoices_percent",
-        "unpaid_invoices_sum",
-        "unpaid_invoices_late_sum",
-        f"{_ratio('unpaid_invoices_late_sum', 'unpaid_invoices_sum')} AS late_unpaid_invoices_sum_percent",
-        *[f"{stat}_{suffix}" for suffix in SPREADS for stat in ("max", "min", "avg", "std")],
+        "lines - closed AS unpaid_invoices_no",
+        "late_unpaid AS late_unpaid_invoices_no",
+        f"coalesce({_ratio('late_unpaid', 'lines - closed')}, 0D) AS late_unpaid_invoices_percent",
+        "sum_unpaid AS unpaid_invoices_sum",
+        "sum_late_unpaid AS unpaid_invoices_late_sum",
+        f"{_ratio('sum_late_unpaid', 'sum_unpaid')} AS late_unpaid_invoices_sum_percent",
+        *spreads,
     )
 
 
+def partner_features(lined: DataFrame) -> DataFrame:
+    """The thirty per-partner values of stored fact lines."""
+    return features_of_sums(partner_sums(lined))
+
+
 def with_partner_features(lined: DataFrame, partners: DataFrame) -> DataFrame:
     """Every fact line with the values of its partner.
 

@@ -61,22 +61,25 @@ def line_ids(numbered: DataFrame) -> DataFrame:
     )
 
 
-def fact_lines(identified: DataFrame, params: Params) -> DataFrame:
+def dated_lines(lines: DataFrame, params: Params) -> DataFrame:
     """Lines after advance payments and empty lines, with lateness and flags."""
-    kept = identified.where(
+    kept = lines.where(
         ~is_true(F.col("datetrx") < F.col("dateinvoiced")) & (F.col("grandtotal") > 0)
     )
     settled_at = F.coalesce(F.col("datetrx"), F.lit(params.as_of).cast("timestamp_ntz"))
     open_amount = F.col("grandtotal") - F.col("paidamt")
     tolerance = F.lit(params.paid_tolerance).cast("decimal(3,2)")
-    facts = kept.withColumns(
+    return kept.withColumns(
         {
             "dayslate": F.greatest(floor_days(settled_at, F.col("duedate")), F.lit(0).cast("long")),
             "daystosettle": floor_days(F.col("datetrx"), F.col("dateinvoiced")),
             "paid": F.when(open_amount <= tolerance, 1).otherwise(0),
         }
     ).withColumn("late", F.when(F.col("dayslate") > 0, 1).otherwise(0))
-    return facts.select(*FACT_LINE, "src_invoice_id", "line_no", "branch")
+
+
+def fact_lines(identified: DataFrame, params: Params) -> DataFrame:
+    return dated_lines(identified, params).select(*FACT_LINE, "src_invoice_id", "line_no", "branch")
 
 
 def identified_lines(cleaned: dict[str, DataFrame], params: Params) -> DataFrame:

@@ -348,6 +348,13 @@ ARM_BRANCHES = {
 }
 
 
+def ledger_invoices(invoices: DataFrame, terms: DataFrame, params: Params) -> DataFrame:
+    """The invoices that lines are made of. The currency is a property of the
+    invoice, so it is filtered before any join."""
+    due = due_invoices(invoices.where(f"c_currency_id = {params.currency}"), terms, params)
+    return due.drop("c_paymentterm_id", "netdays", "duedate_calculated", "created")
+
+
 def ledger_lines(
     invoices: DataFrame,
     allocations: DataFrame,
@@ -358,11 +365,9 @@ def ledger_lines(
 ) -> DataFrame:
     """The union of all lines in the run's currency.
 
-    The currency is a property of the invoice, so it is filtered before the
-    joins. ``only`` limits the work to the arms that yield those branches.
+    ``only`` limits the work to the arms that yield those branches.
     """
-    due = due_invoices(invoices.where(f"c_currency_id = {params.currency}"), terms, params)
-    due = due.drop("c_paymentterm_id", "netdays", "duedate_calculated", "created")
+    due = ledger_invoices(invoices, terms, params)
     matched = invoices_with_payments(due, payments)
     lonely = invoices_without_payments(due, payments)
     residual = lonely.where("branch = 'residual'")

@@ -6,12 +6,12 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import clean, features, ledger, settle
+from ..operators import clean, features, ledger, partners, settle
 from ..sources import derived
 from ..sources.storage import measured
 from .oracle_base import statement
 from .output import comparable, sql_columns
-from .session import cleaned, cleaned_tables, fact_table, facts, tuned
+from .session import cleaned, cleaned_tables, fact_table, tuned
 
 P = derived.PARAMS
 
@@ -138,13 +138,13 @@ def ledger_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partner_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(features.partner_features(facts(spark, sf_dir)))
+    return comparable(partners.build_partner_features(cleaned_tables(spark, sf_dir), P))
 
 
 def ledger_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fact_table(spark, sf_dir)
-    partners = measured(features.partner_features(lines), "partners")
-    return comparable(features.with_partner_features(lines, partners))
+    table = measured(features.partner_features(lines), "partners")
+    return comparable(features.with_partner_features(lines, table))
 
 
 def feature_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

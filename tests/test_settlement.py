@@ -7,7 +7,7 @@ import making
 import pytest
 from pyspark.sql import functions as F
 
-from duecast.operators import clean, features, ledger, settle
+from duecast.operators import clean, features, ledger, partners, settle
 from duecast.params import Params
 from duecast.sources import derived
 
@@ -105,6 +105,49 @@ def test_features_by_window_and_by_aggregation_agree(cleaned):
     assert wrong.count() == 0
 
 
+def _same_features(cleaned, params):
+    lines = features.line_features(ledger.build_facts(cleaned, params))
+    by_lines = {(r[0], r[1]): r for r in features.partner_features(lines).collect()}
+    direct = {(r[0], r[1]): r for r in partners.build_partner_features(cleaned, params).collect()}
+    assert by_lines == direct
+    return direct
+
+
+def test_features_without_pairs_equal_features_of_the_lines(spark, cleaned):
+    assert len(_same_features(cleaned, derived.PARAMS)) == 111
+    assert _same_features(clean.clean_all(making.hand_sources(spark)), Params())
+    _same_features(cleaned, replace(derived.PARAMS, dedupe_installments=True))
+
+
+def test_an_invoice_with_very_many_installments(spark):
+    """Fifty thousand payments and as many allocations: 2.5 billion lines."""
+    n = 50_000
+    parts = making.sources(spark, [{"c_invoice_id": 1, "grandtotal": 100, "paidamt": 100}])
+    pays, allocs = parts["c_payment"].schema, parts["c_allocationline"].schema
+    created = "TIMESTAMP_NTZ '2020-01-11 00:00:00' AS created"
+    parts["c_payment"] = spark.range(n).selectExpr(
+        "id + 1 AS c_payment_id", "1L AS ad_client_id", "10L AS ad_org_id",
+        "TIMESTAMP_NTZ '2020-02-01 00:00:00' + make_dt_interval(CAST(id % 20 AS INT)) AS datetrx",
+        "500L AS c_doctype_id", "'K' AS tendertype", "346L AS c_currency_id", "CAST(1 AS DECIMAL(18,2)) AS payamt",
+        "'Y' AS isallocated", "CAST(2 AS DECIMAL(18,2)) AS allocatedamt", "'Y' AS isreceipt", "'CO' AS docstatus",
+        created, "7L AS c_bpartner_id", "1L AS c_invoice_id", "CAST(NULL AS TIMESTAMP_NTZ) AS duedate",
+    ).select(*pays.fieldNames())
+    parts["c_allocationline"] = spark.range(n).selectExpr(
+        "id + 1 AS c_allocationline_id", "1L AS ad_client_id", "10L AS ad_org_id",
+        "CAST(1 + id % 3 AS DECIMAL(18,2)) AS amount", created, "1L AS c_invoice_id", "7L AS c_bpartner_id",
+        "id + 1 AS c_payment_id", "0L AS c_cashline_id",
+    ).select(*allocs.fieldNames())
+    got = partners.build_partner_features(clean.clean_all(parts), Params()).first()
+    assert got["total_invoices"] == n * n + n
+    # Ten of the twenty payment days lie after the due date (2020-02-10).
+    assert got["closed_late_invoices_no"] == n * n // 2 + n // 2
+    total = sum(1 + i % 3 for i in range(n)) * n + 2 * n
+    assert got["paid_total"] == total
+    squares = sum((1 + i % 3) ** 2 for i in range(n)) * n + 4 * n
+    lines = n * n + n
+    assert got["std_paid"] == pytest.approx(((squares - total**2 / lines) / (lines - 1)) ** 0.5, rel=1e-9)
+
+
 # ---- hand rows -------------------------------------------------------------
 
 # (branch, total, paid amount, allocated, days to settle, days late, paid)
