@@ -349,9 +349,17 @@ ARM_BRANCHES = {
 
 
 def ledger_invoices(invoices: DataFrame, terms: DataFrame, params: Params) -> DataFrame:
-    """The invoices that lines are made of. The currency is a property of the
-    invoice, so it is filtered before any join."""
-    due = due_invoices(invoices.where(f"c_currency_id = {params.currency}"), terms, params)
+    """The invoices that lines are made of.
+
+    The currency is a property of the invoice, so it is filtered before any
+    join. The term only serves to fill a due date; as it is unique, it is not
+    joined where nothing is filled.
+    """
+    own = invoices.where(f"c_currency_id = {params.currency}")
+    if params.fill_missing_duedate or isinstance(own.schema["duedate"].dataType, T.StringType):
+        due = due_invoices(own, terms, params)
+    else:
+        due = own.where("dateinvoiced <= duedate")
     return due.drop("c_paymentterm_id", "netdays", "duedate_calculated", "created")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -69,9 +68,9 @@ def days_model_stats(table: DataFrame, vocabulary: dict[str, list[str]], params:
 
 def class_training_rows(table: DataFrame, grid: forest.Grid, params: Params) -> tuple[DataFrame, DataFrame]:
     """Interleaved rows split by time: training rows with folds, and test rows."""
-    rows = stored(splits.class_interleave(splits.time_split(table), params), "interleaved")
+    rows = stored(splits.class_interleave(splits.time_split(table), params), "interleaved", ["ad_client_id"])
     train = folds.stratified_folds(rows.where("is_test = 0"), grid.folds, params)
-    return stored(train, "class_train"), rows.where("is_test = 1")
+    return stored(train, "class_train", ["ad_client_id"]), rows.where("is_test = 1")
 
 
 def tenant_ids(table: DataFrame) -> Iterator[int]:
@@ -86,35 +85,36 @@ def train_classifiers(
     """One forest per tenant, saved, with a status row each, and test predictions.
 
     Every fit is a distributed job over one tenant's rows; a few tenants are
-    in work at a time, so that small ones do not wait for each other. A tenant
-    whose data does not suffice fails alone.
+    in work at a time, so that small ones do not wait for each other. Each
+    writes its own results, so no plan grows with the number of tenants. A
+    tenant whose data does not suffice fails alone.
     """
     spark = table.sparkSession
+    results_path = f"{root}/test_predictions"
     train, test = class_training_rows(table, grid, params)
     problems = {
         r["ad_client_id"]: r["problem"]
         for r in splits.class_problem(splits.class_sizes(table)).where("problem IS NOT NULL").toLocalIterator()
     }
 
-    def one(tenant: int) -> tuple[tuple, DataFrame | None]:
+    def one(tenant: int) -> tuple:
         try:
             if tenant in problems:
                 raise ValueError(problems[tenant])
             own = F.col("ad_client_id") == tenant
             model, score, chosen = forest.fit(train.where(own), grid, params)
             path = registry.save_model(model, root, "classification", tenant, run_ts)
-            done = (tenant, "classification", 1, f"accuracy {score:.4f} with {chosen}", path)
-            return done, forest.predict(model, test.where(own))
+            forest.predict(model, test.where(own)).write.parquet(f"{results_path}/tenant={tenant}")
+            return tenant, "classification", 1, f"accuracy {score:.4f} with {chosen}", path
         except Exception as error:  # one tenant must not stop the others
-            return (tenant, "classification", 0, str(error)[:200], None), None
+            return tenant, "classification", 0, str(error)[:200], None
 
     with ThreadPool(at_once) as pool:
         results = pool.map(inheritable_thread_target(spark)(one), tenant_ids(table))
-    saved = [("classification", row[0], run_ts, row[4]) for row, _ in results if row[4]]
+    saved = [("classification", row[0], run_ts, row[4]) for row in results if row[4]]
     registry.register(spark, saved, root)
-    status = spark.createDataFrame([row[:4] for row, _ in results], STATUS)
-    predictions = [p for _, p in results if p is not None]
-    return status, reduce(DataFrame.unionByName, predictions) if predictions else None
+    status = spark.createDataFrame([row[:4] for row in results], STATUS)
+    return status, spark.read.schema(forest.PREDICTIONS).parquet(results_path) if saved else None
 
 
 def days_status(table: DataFrame, models: DataFrame) -> DataFrame:

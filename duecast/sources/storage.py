@@ -42,15 +42,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """The rows written as a table in the shared folder and read back.
 
     Unlike a checkpoint this keeps column pruning, filter pushdown and the file
-    sizes that the optimizer uses to choose joins.
+    sizes that the optimizer uses to choose joins. ``by`` gives the columns
+    that get a folder per value, so that a reader of one value reads no other.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*(by or [])).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def measured(df: DataFrame, name: str) -> DataFrame:
