@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.columns import floor_days, is_true, zero_if_null
 from ..params import Params
 from ..schemas import FACT_LINE
-from ..sources.storage import measured
+from ..sources.storage import measured, stored
 from . import clean, positions, settle
 
 LINE_ORDER = ["branch_ord", "c_allocationline_id", "source_payment_id"]
@@ -45,6 +45,8 @@ def numbered_lines(lines: DataFrame, crowded: DataFrame, params: Params) -> Data
 
     if crowded.isEmpty():
         return in_one_task(lines)
+    # Read several times from here on: twice below, and again to find the slices.
+    lines = stored(lines, "lines")
     few = in_one_task(lines.join(crowded, settle.INVOICE_KEY, "left_anti"))
     many = lines.join(crowded, settle.INVOICE_KEY, "left_semi")
     many = positions.positions(many, settle.INVOICE_KEY, order, "line_no", params.hot_group_rows)

@@ -172,7 +172,7 @@ def model_registry_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn(
         "path",
         F.expr(
-            "concat('client_models/', model_type, '_models/', ad_client_id, '/', date_format(run_ts, 'dd-MM-yyyy_HH:mm:ss'))"
+            "concat('models/', model_type, '_models/', ad_client_id, '/', date_format(run_ts, 'dd-MM-yyyy_HH:mm:ss'))"
         ),
     )
     return comparable(registry.with_file_name(registry.latest_models(runs)))
@@ -306,7 +306,7 @@ ORACLE = {
         "SELECT ad_client_id, count(*) AS invoices, CAST(0 AS BIGINT) AS differing FROM inv GROUP BY 1"
     ),
     "model_registry_latest": statement(
-        "SELECT model_type, ad_client_id, run_ts, 'client_models/' || model_type || '_models/' || ad_client_id || '/' "
+        "SELECT model_type, ad_client_id, run_ts, 'models/' || model_type || '_models/' || ad_client_id || '/' "
         "|| strftime(run_ts, '%d-%m-%Y_%H:%M:%S') AS path, strftime(run_ts, '%d-%m-%Y_%H:%M:%S') AS file_name "
         "FROM (SELECT ad_client_id, CAST(max(date_trunc('month', dateinvoiced)) AS TIMESTAMP) AS run_ts FROM facts "
         "GROUP BY 1) CROSS JOIN (VALUES ('classification'), ('regression')) AS t(model_type)"

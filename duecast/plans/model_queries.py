@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import clean, folds, forest, lasso, ledger, metrics, prep, splits, stats
 from ..sources import derived
-from ..sources.storage import scratch_path
+from ..sources.storage import measured, scratch_path
 from . import training
 from .oracle_base import statement
 from .output import comparable, sql_columns
@@ -182,13 +182,14 @@ def lasso_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lasso_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chosen penalty of every tenant and the coefficients under it."""
     table = _in_full(spark, sf_dir)
-    models, names = training.days_models(table, training.vocabulary_of(table), P)
-    return lasso.coefficient_rows(models, names)
+    return lasso.coefficient_rows(training.days_models(table, training.vocabulary_of(table), P))
 
 
 def lasso_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _in_full(spark, sf_dir)
-    return training.days_model_stats(table, training.vocabulary_of(table), P)[1]
+    vocabulary = training.vocabulary_of(table)
+    models = measured(training.days_models(table, vocabulary, P), "days_models")
+    return training.days_model_stats(table, models, vocabulary, P)
 
 
 def train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,10 +202,7 @@ def train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each tenant got both models."""
     root = scratch_path(spark, "models")
-    table = _in_full(spark, sf_dir)
-    status, _ = training.train_classifiers(table, QUICK_GRID, P, root, RUN)
-    models, _ = training.days_models(table, training.vocabulary_of(table), P)
-    return status.unionByName(training.days_status(table, models))
+    return training.run(_in_full(spark, sf_dir), root, QUICK_GRID, P, RUN)
 
 
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:

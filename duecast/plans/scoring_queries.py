@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import features, score
 from ..schemas import REQUEST
 from ..sources import derived, tables
-from ..sources.storage import measured, scratch_path, stored
+from ..sources.storage import scratch_path, stored
 from . import scoring, training
 from .model_queries import QUICK_GRID
 from .oracle_base import statement
@@ -133,11 +133,9 @@ def score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train both models of every tenant, then answer all requests with them."""
     table = full_fact_table(spark, sf_dir)
     root = scratch_path(spark, "models")
-    training.train_classifiers(table, QUICK_GRID, P, root, RUN)
-    vocabulary = training.vocabulary_of(table)
-    models = measured(training.days_models(table, vocabulary, P)[0], "days_models")
+    training.run(table, root, QUICK_GRID, P, RUN)
     snapshot = stored(features.feature_snapshot(table, features.partner_features(table)), "snapshot")
-    return scoring.score_requests(requests(spark, sf_dir), snapshot, root, models, vocabulary)
+    return scoring.score_requests(requests(spark, sf_dir), snapshot, root)
 
 
 QUERIES = {

@@ -37,33 +37,32 @@ def final_sums(table: DataFrame, vocabulary: dict[str, list[str]], params: Param
     return lasso.product_sums(inputs), names
 
 
-def evaluation_sums(table: DataFrame, vocabulary: dict[str, list[str]], params: Params) -> DataFrame:
+def evaluation_sums(table: DataFrame, vocabulary: dict[str, list[str]], params: Params) -> tuple[DataFrame, int]:
     rows = days_split_rows(table)
     train = folds.contiguous_folds(rows.where("is_test = 0"), REGRESSION_FOLDS, params)
     test = rows.where("is_test = 1").withColumn("fold", F.lit(lasso.HELD_OUT))
-    inputs, _ = lasso.design(train.unionByName(test), vocabulary)
-    return lasso.product_sums(inputs)
+    inputs, names = lasso.design(train.unionByName(test), vocabulary)
+    return lasso.product_sums(inputs), len(names)
 
 
-def days_models(table: DataFrame, vocabulary: dict[str, list[str]], params: Params) -> tuple[DataFrame, list[str]]:
+def days_models(table: DataFrame, vocabulary: dict[str, list[str]], params: Params) -> DataFrame:
     """Fitted days-to-settle models of all tenants, one row each."""
     sums, names = final_sums(table, vocabulary, params)
-    return lasso.fit_tenants(sums, len(names)), names
+    return lasso.with_names(lasso.fit_tenants(sums, len(names)), names)
 
 
-def days_model_stats(table: DataFrame, vocabulary: dict[str, list[str]], params: Params) -> tuple[DataFrame, DataFrame]:
-    """The models, and per tenant their errors.
+def days_model_stats(
+    table: DataFrame, models: DataFrame, vocabulary: dict[str, list[str]], params: Params
+) -> DataFrame:
+    """Per tenant the errors of its days-to-settle model.
 
     As recorded by the business: ``test_mse`` is measured on the training side
     of the split and ``test_r2`` on the test side; ``train_r2`` belongs to the
     final model.
     """
-    models, names = days_models(table, vocabulary, params)
-    # Evaluated once; the sums behind it are small, the rows are not.
-    models = measured(models, "days_models")
-    judged = lasso.fit_tenants(evaluation_sums(table, vocabulary, params), len(names))
+    judged = lasso.fit_tenants(*evaluation_sums(table, vocabulary, params))
     errors = judged.select("ad_client_id", F.col("train_mse").alias("test_mse"), "test_r2")
-    return models, models.select("ad_client_id", "train_r2").join(errors, "ad_client_id", "left")
+    return models.select("ad_client_id", "train_r2").join(errors, "ad_client_id", "left")
 
 
 def class_training_rows(table: DataFrame, grid: forest.Grid, params: Params) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +89,7 @@ def train_classifiers(
     tenant whose data does not suffice fails alone.
     """
     spark = table.sparkSession
-    results_path = f"{root}/test_predictions"
+    results_path = f"{root}/test_predictions/{run_ts.strftime('%Y%m%d%H%M%S')}"
     train, test = class_training_rows(table, grid, params)
     problems = {
         r["ad_client_id"]: r["problem"]
@@ -139,3 +138,28 @@ def vocabulary_of(table: DataFrame) -> dict[str, list[str]]:
 
 def latest_classifier(spark: SparkSession, root: str, tenant: int):
     return registry.load_latest(spark, root, "classification", tenant)
+
+
+def latest_days_models(spark: SparkSession, root: str) -> DataFrame:
+    """The newest days-to-settle model of each tenant."""
+    kept = spark.read.parquet(f"{root}/regression_models")
+    columns = [c for c in kept.columns if c != "ad_client_id"]
+    newest = kept.groupBy("ad_client_id").agg(F.max_by(F.struct(*columns), "run_ts").alias("model"))
+    return measured(newest.select("ad_client_id", "model.*"), "days_models")
+
+
+def run(table: DataFrame, root: str, grid: forest.Grid, params: Params, run_ts: datetime) -> DataFrame:
+    """Train, save and judge both models of every tenant; returns the status rows.
+
+    Models and the two statistics tables are appended below ``root``.
+    """
+    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    vocabulary = vocabulary_of(table)
+    models = measured(days_models(table, vocabulary, params), "days_models").withColumn("run_ts", stamp)
+    models.write.mode("append").parquet(f"{root}/regression_models")
+    errors = days_model_stats(table, models, vocabulary, params).withColumn("date_run", stamp)
+    errors.write.mode("append").parquet(f"{root}/regression_stats")
+    status, predictions = train_classifiers(table, grid, params, root, run_ts)
+    if predictions is not None:
+        classification_stats(predictions, run_ts).write.mode("append").parquet(f"{root}/classification_stats")
+    return status.unionByName(days_status(table, models))

@@ -200,6 +200,27 @@ def test_sums_of_many_groups_are_flushed(spark):
     assert lasso.product_sums(table).groupBy("cell").count().where("count <> 1200").count() == 0
 
 
+def test_days_come_from_the_newest_model_of_the_tenant(spark, tmp_path):
+    from datetime import datetime
+
+    from duecast.operators import score
+    from duecast.plans import training
+
+    names = [*prep.NUMERIC, "paymentrule=P", "tendertype=Missing"]
+    for year, base in ((2020, 100.0), (2021, 10.0)):
+        fits = spark.createDataFrame([(1, base, [float(i) for i in range(len(names))])],
+                                     "ad_client_id long, intercept double, coefficients array<double>")
+        models = lasso.with_names(fits, names).withColumn("run_ts", F.lit(datetime(year, 1, 1)).cast("timestamp_ntz"))
+        models.write.mode("append").parquet(str(tmp_path / "regression_models"))
+    values = {c: float(i % 3) for i, c in enumerate(prep.NUMERIC)}
+    rows = spark.createDataFrame([(1, 1, "P", None), (2, 1, "Q", "A")],
+                                 "row_id long, ad_client_id long, paymentrule string, tendertype string")
+    rows = rows.withColumns({c: F.lit(v) for c, v in values.items()}).withColumn("late", F.lit(None).cast("int"))
+    days = {r["row_id"]: r["days"] for r in score.predict_days(rows, training.latest_days_models(spark, str(tmp_path))).collect()}
+    dot = 10.0 + sum(i * (i % 3) for i, c in enumerate(prep.NUMERIC) if c != "late")
+    assert days == {1: dot + len(prep.NUMERIC) + len(prep.NUMERIC) + 1, 2: dot}
+
+
 def test_unknown_category_is_all_zeros(spark):
     hot = prep.one_hot_expressions({"tendertype": ["A", "it's"]})
     rows = spark.createDataFrame([("A",), ("it's",), ("Z",)], "tendertype string")
