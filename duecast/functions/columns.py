@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 from ..schemas import MONEY
@@ -16,6 +18,11 @@ def money(value) -> Column:
     return (F.lit(value) if not isinstance(value, Column) else value).cast(MONEY)
 
 
+def moment(value: datetime) -> Column:
+    """A wall-clock literal; built from text so that no time zone enters."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def plus_days(start: Column, days: Column) -> Column:
     return start + F.make_dt_interval(days=days.cast("int"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.columns import floor_days, is_true, zero_if_null
+from ..functions.columns import floor_days, is_true, moment, zero_if_null
 from ..params import Params
 from ..schemas import FACT_LINE
 from ..sources.storage import measured, stored
@@ -68,7 +68,7 @@ def dated_lines(lines: DataFrame, params: Params) -> DataFrame:
     kept = lines.where(
         ~is_true(F.col("datetrx") < F.col("dateinvoiced")) & (F.col("grandtotal") > 0)
     )
-    settled_at = F.coalesce(F.col("datetrx"), F.lit(params.as_of).cast("timestamp_ntz"))
+    settled_at = F.coalesce(F.col("datetrx"), moment(params.as_of))
     open_amount = F.col("grandtotal") - F.col("paidamt")
     tolerance = F.lit(params.paid_tolerance).cast("decimal(3,2)")
     return kept.withColumns(

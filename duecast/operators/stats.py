@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.columns import moment
 from ..schemas import CLEANING_STATS
 from .clean import KEPT, SCANNED
 
@@ -57,7 +58,7 @@ def cleaning_stats(
     )
     table = table.withColumns(
         {
-            "date_run": F.lit(date_run).cast("timestamp_ntz"),
+            "date_run": moment(date_run),
             "runtime_in_seconds": F.lit(float(runtime_in_seconds)),
         }
     )

@@ -119,14 +119,11 @@ def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.high_water_marks(run_history(_sources(spark, sf_dir)))
 
 
-def _marks_and_invoices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    sources = _sources(spark, sf_dir)
-    return incremental.high_water_marks(run_history(sources)), sources["c_invoice"]
-
-
 def incremental_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marks, invoices = _marks_and_invoices(spark, sf_dir)
-    fresh = clean.clean("c_invoice", incremental.rows_after(invoices, marks, "c_invoice", P))
+    sources = _sources(spark, sf_dir)
+    marks = incremental.high_water_marks(run_history(sources))
+    tenants = clean.tenants(sources["ad_client"])
+    fresh = clean.clean("c_invoice", incremental.rows_after(sources["c_invoice"], marks, "c_invoice", P, tenants))
     return comparable(fresh.select("ad_client_id", "c_invoice_id", "created", "grandtotal"))
 
 

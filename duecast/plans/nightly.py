@@ -29,7 +29,8 @@ def load_entity(sources: dict[str, DataFrame], entity: str, lake: str, params: P
     run_stats = _existing(spark, f"{lake}/cleaning_stats", CLEANING_STATS)
     rows = sources[entity]
     if run_stats is not None:
-        rows = incremental.rows_after(rows, incremental.high_water_marks(run_stats), entity, params)
+        marks = incremental.high_water_marks(run_stats)
+        rows = incremental.rows_after(rows, marks, entity, params, clean.tenants(sources["ad_client"]))
     cleaned = clean.clean(entity, rows)
     held = _existing(spark, path, cleaned.schema)
     fresh = cleaned if held is None else incremental.new_rows(cleaned, held, _key(entity))

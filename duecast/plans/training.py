@@ -9,6 +9,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.columns import moment
 from ..operators import folds, forest, lasso, metrics, prep, splits
 from ..params import Params
 from ..sources import registry
@@ -129,7 +130,7 @@ def classification_stats(predictions: DataFrame, date_run: datetime) -> DataFram
     """The statistics row of each tenant's classifier."""
     return metrics.classification(predictions).selectExpr(
         "ad_client_id", "auc", "precision", "recall", "accuracy", "accuracy AS score", "fp", "fn", "tp", "tn"
-    ).withColumn("date_run", F.lit(date_run).cast("timestamp_ntz"))
+    ).withColumn("date_run", moment(date_run))
 
 
 def vocabulary_of(table: DataFrame) -> dict[str, list[str]]:
@@ -153,7 +154,7 @@ def run(table: DataFrame, root: str, grid: forest.Grid, params: Params, run_ts:
 
     Models and the two statistics tables are appended below ``root``.
     """
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    stamp = moment(run_ts)
     vocabulary = vocabulary_of(table)
     models = measured(days_models(table, vocabulary, params), "days_models").withColumn("run_ts", stamp)
     models.write.mode("append").parquet(f"{root}/regression_models")

@@ -166,6 +166,18 @@ def test_defaults_fill_only_nulls(spark):
     assert [tuple(r) for r in tables.with_defaults(rows, "c_payment").collect()] == [("K", Decimal("0.00")), ("A", Decimal("5.00"))]
 
 
+def test_tenants_without_a_mark_are_read_whole(spark):
+    day = datetime(2020, 1, 1)
+    rows = spark.createDataFrame([(1, 1, day), (1, 2, datetime(2020, 5, 1)), (2, 3, day), (3, 4, day)],
+                                 "ad_client_id long, id long, created timestamp_ntz")
+    marks = spark.createDataFrame([(1, "c_invoice", datetime(2020, 3, 1)), (3, "c_invoice", datetime(2019, 1, 1))],
+                                  "ad_client_id long, entity string, high_water_mark timestamp_ntz")
+    tenants = rows.select("ad_client_id").distinct()
+    for known in (None, tenants):
+        got = incremental.rows_after(rows, marks, "c_invoice", Params(), known)
+        assert sorted(r["id"] for r in got.collect()) == [2, 3, 4]
+
+
 def test_marks_take_any_change_column(spark):
     rows = spark.createDataFrame([(1, 1, datetime(2020, 1, 1), datetime(2020, 6, 1))],
                                  "ad_client_id long, id long, created timestamp_ntz, updated timestamp_ntz")

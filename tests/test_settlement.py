@@ -236,6 +236,17 @@ def test_tenant_without_split_invoices_can_be_dropped(spark):
     assert ledger.build_facts(cleaned, Params(require_split_invoices=True)).count() == 0
 
 
+def test_lateness_does_not_depend_on_the_session_time_zone(spark):
+    cleaned = clean.clean_all(making.hand_sources(spark))
+    params = Params(as_of=datetime(2021, 1, 31))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+        late = {r["c_invoice_id"]: r["dayslate"] for r in ledger.build_facts(cleaned, params).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert late["6"] == 356 and late["8"] == 5
+
+
 def test_days_are_floored_on_the_wall_clock(spark):
     from duecast.functions.columns import floor_days
 
