@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import clean, folds, forest, lasso, ledger, metrics, prep, splits, stats
 from ..sources import derived
-from ..sources.storage import measured, scratch_path
+from ..sources.storage import measured, scratch_path, stored
 from . import training
 from .oracle_base import statement
 from .output import comparable, sql_columns
@@ -29,10 +29,8 @@ def _in_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored facts of one tenant, read by partition."""
-    path = scratch_path(spark, "lake")
-    lines = facts(spark, sf_dir)
-    lines.write.partitionBy("ad_client_id").parquet(path)
-    one = spark.read.schema(lines.schema).parquet(path).where("ad_client_id = 1")
+    lake = stored(facts(spark, sf_dir), "lake", ["ad_client_id"])
+    one = lake.where("ad_client_id = 1")
     return comparable(one.select("ad_client_id", "c_invoice_id", "paid", "late", "dayslate", "daystosettle", "grandtotal"))
 
 

@@ -7,7 +7,7 @@ import uuid
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,6 +42,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def by_folder(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows gathered for a write into one folder per value of ``columns``.
+
+    Adaptive execution merges small folders' rows into few tasks and splits a
+    dominant one over many, so neither tiny files nor one huge task result.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def stored(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """The rows written as a table in the shared folder and read back.
 
@@ -50,7 +59,10 @@ def stored(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     that get a folder per value, so that a reader of one value reads no other.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.partitionBy(*(by or [])).parquet(path)
+    if by:
+        by_folder(df, by).write.partitionBy(*by).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

@@ -7,8 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import DEFAULTS, PRIMARY_KEY, REQUEST, SOURCES
+from .storage import by_folder
 
 NULL_TEXT = "\\N"
+TENANT_FOLDERS = ["ad_client_id"]
 
 
 def project(df: DataFrame, entity: str) -> DataFrame:
@@ -61,15 +63,16 @@ def write_csv(df: DataFrame, path: str, null_text: str = NULL_TEXT) -> None:
 
 def append_table(df: DataFrame, path: str) -> None:
     """Append to a lake table, one folder per tenant."""
-    df.write.mode("append").partitionBy("ad_client_id").parquet(path)
+    by_folder(df, TENANT_FOLDERS).write.mode("append").partitionBy(*TENANT_FOLDERS).parquet(path)
 
 
 def replace_tenants(df: DataFrame, path: str) -> None:
     """Replace the rows of exactly the tenants that occur in ``df``."""
     (
-        df.write.mode("overwrite")
+        by_folder(df, TENANT_FOLDERS)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ad_client_id")
+        .partitionBy(*TENANT_FOLDERS)
         .parquet(path)
     )
 
