@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import warc
+from . import mixing, top_k, warc
 from .common import table
 
 
@@ -31,10 +31,40 @@ FROM d LEFT JOIN g ON d.digest = g.digest AND d.n = g.n
 """
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP8_SQL = """
+WITH raw AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS score
+  FROM raw q JOIN raw c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM ranked WHERE rank <= 10
+"""
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
+
+
 QUERIES = {
     "op7_warc": op7_warc,
+    "op8_top_k": op8_top_k,
+    "op9_mixing": op9_mixing,
 }
 
 ORACLE = {
     "op7_warc": OP7_SQL,
+    "op8_top_k": OP8_SQL,
 }
