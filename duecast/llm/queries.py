@@ -4,8 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, top_k, warc
-from .common import table
+from . import line_dedup, mixing, pieces, sharding, top_k, warc
+from .common import body, table
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(body("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+OP4_SQL = """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+),
+shared AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (k.doc_id < s.keeper) AS n_dropped,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY pos) FILTER (NOT coalesce(k.doc_id < s.keeper, FALSE)), ''))
+         AS kept_sha256
+FROM keyed k LEFT JOIN shared s ON k.key = s.key GROUP BY k.doc_id
+"""
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,13 +89,29 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.model_bytes()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = docs.withColumn("ids", pieces.encoded(F.col("text"), model))
+    return coded.withColumn("decoded", pieces.decoded(F.col("ids"), model)).select(
+        "doc_id",
+        F.size("ids").alias("n_tokens"),
+        "ids",
+        (F.col("decoded") == body("text")).alias("round_trip"),
+    )
+
+
 QUERIES = {
+    "op3_sharding": op3_sharding,
+    "op4_line_dedup": op4_line_dedup,
     "op7_warc": op7_warc,
     "op8_top_k": op8_top_k,
     "op9_mixing": op9_mixing,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLE = {
+    "op4_line_dedup": OP4_SQL,
     "op7_warc": OP7_SQL,
     "op8_top_k": OP8_SQL,
 }
