@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import line_dedup, mixing, pieces, sharding, top_k, toxicity, warc
+from . import line_dedup, mixing, near_dedup, pieces, sharding, top_k, toxicity, warc
 from .common import body, table
 
 
@@ -53,6 +53,38 @@ FROM keyed k LEFT JOIN shared s ON k.key = s.key GROUP BY k.doc_id
 """
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words
+),
+items AS (SELECT doc_id, len(s) AS n, md5_number(unnest(s)) AS h FROM sets),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, a.n AS nu, b.n AS nv, count(*) AS c
+  FROM items a JOIN items b ON a.h = b.h AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+),
+links AS (SELECT u, v FROM shared WHERE 100 * c >= 80 * (nu + nv - c)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.v FROM reach r JOIN links l ON r.other = l.u
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s.s) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN least l ON s.doc_id = l.doc_id
+"""
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archives(table(spark, sf_dir, "pages"))
     number = lambda c: F.regexp_extract(c, r"(-?\d+)$", 1).try_cast("long")
@@ -119,6 +151,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_sharding": op3_sharding,
     "op4_line_dedup": op4_line_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op7_warc": op7_warc,
     "op8_top_k": op8_top_k,
     "op9_mixing": op9_mixing,
@@ -127,6 +160,7 @@ QUERIES = {
 
 ORACLE = {
     "op4_line_dedup": OP4_SQL,
+    "op5_near_dedup": OP5_SQL,
     "op7_warc": OP7_SQL,
     "op8_top_k": OP8_SQL,
 }
