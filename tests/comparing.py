@@ -37,7 +37,7 @@ def duck_rows(con, sql: str):
     return [columns[i] for i in order], rows
 
 
-SAME_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+SAME_TYPE = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
 
 
 def differences(df, con, sql: str) -> str | None:
