@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import line_dedup, mixing, near_dedup, pieces, sharding, top_k, toxicity, warc
+from . import fingerprints, line_dedup, mixing, near_dedup, passages, pieces, sharding, top_k, toxicity, warc
 from .common import body, table
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -85,6 +89,10 @@ FROM sets s JOIN least l ON s.doc_id = l.doc_id
 """
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_neighbour(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archives(table(spark, sf_dir, "pages"))
     number = lambda c: F.regexp_extract(c, r"(-?\d+)$", 1).try_cast("long")
@@ -148,10 +156,12 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_passages": op1_passages,
     "op2_toxicity": op2_toxicity,
     "op3_sharding": op3_sharding,
     "op4_line_dedup": op4_line_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_fingerprints": op6_fingerprints,
     "op7_warc": op7_warc,
     "op8_top_k": op8_top_k,
     "op9_mixing": op9_mixing,
