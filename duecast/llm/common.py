@@ -30,6 +30,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns as one struct ``row``, so that no name of theirs meets a working column."""
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+
+
+def kept(rows: DataFrame, added: list[str]) -> list[str]:
+    """The columns of ``rows`` but those named, in any letter case, like the added ones."""
+    names = {a.lower() for a in added}
+    return [c for c in rows.columns if c.lower() not in names]
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    return [F.col("row").getField(c).alias(c) for c in columns]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

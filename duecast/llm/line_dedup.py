@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.storage import stored
-from .common import SPACE, body, lowered
+from .common import SPACE, body, kept, lowered, packed, unpacked
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -172,13 +172,12 @@ def drop_lines(
     min_docs: int = MIN_DOCS,
 ) -> DataFrame:
     """``docs`` with the kept text, ``n_lines`` (before) and ``n_dropped``."""
-    docs = docs.drop(*ADDED)
-    whole = body(text)
-    n_lines = F.regexp_count(whole, F.lit("\n")).cast("long") + 1
-    lines = docs.agg(F.coalesce(F.sum(n_lines), F.lit(0))).first()[0]
+    columns = kept(docs, ADDED)
+    count = lambda column: F.regexp_count(column, F.lit("\n")).cast("long") + 1
+    lines = docs.agg(F.coalesce(F.sum(count(body(text))), F.lit(0))).first()[0]
     bits = min(MAX_BITS, max(BLOCK_BITS, 1 << (BITS_PER_LINE * lines - 1).bit_length()))
     texts = docs.where(F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("doc_id"), whole.cast("binary").alias("text")
+        F.col(key).cast("long").alias("doc_id"), body(text).cast("binary").alias("text")
     )
     suspected = stored(suspects(texts, bits, min_chars), "suspected_lines")
     shared = (
@@ -193,14 +192,15 @@ def drop_lines(
         .groupBy(F.col("doc_id").alias("_doc"))
         .agg(F.collect_set("line").alias("_lines"))
     )
-    joined = docs.join(stored(dropped, "dropped_lines"), F.col(key).cast("long") == F.col("_doc"), "left")
-    kept = F.filter(F.split(whole, "\n"), lambda line: ~F.array_contains("_lines", line_key(line)))
-    parts = F.when(F.col("_lines").isNotNull(), kept)
-    new = F.when(F.col("_lines").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n"))
-    n_dropped = F.when(F.col("_lines").isNull(), F.lit(0)).otherwise(n_lines - F.size("_kept")).cast("long")
-    out = {c: F.col(c) for c in docs.columns} | {text: new}
-    return joined.withColumn("_kept", parts).select(
-        *[column.alias(name) for name, column in out.items()],
+    own = F.col("row").getField(key).cast("long")
+    joined = packed(docs, columns).join(stored(dropped, "dropped_lines"), own == F.col("_doc"), "left")
+    before, loses = F.col("row").getField(text), F.col("_lines").isNotNull()
+    left = F.filter(F.split(before, "\n"), lambda line: ~F.array_contains("_lines", line_key(line)))
+    joined = joined.withColumn("_kept", F.when(loses, left))
+    after = F.when(loses, F.array_join("_kept", "\n")).otherwise(before)
+    n_lines = count(body(before))
+    return joined.select(
+        *[after.alias(c) if c == text else column for c, column in zip(columns, unpacked(columns))],
         n_lines.alias("n_lines"),
-        n_dropped.alias("n_dropped"),
+        F.when(loses, n_lines - F.size("_kept")).otherwise(0).cast("long").alias("n_dropped"),
     )

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.positions import positions
 from ..sources.storage import stored
-from .common import WORD, body, uniform
+from .common import WORD, body, kept, packed, uniform, unpacked
 
 HOT_ROWS = 1_000_000
 ADDED = ["size", "source_size", "target", "copies"]
@@ -126,13 +126,15 @@ def mix(
     Only (identifier, source, size, text hash) is stored and aggregated; texts
     meet the table of cuts, one row per source, which is broadcast if small.
     """
-    sized = docs.drop(*ADDED).withColumns(
+    columns = kept(docs, ADDED)
+    own = lambda name: F.col("row").getField(name)
+    sized = packed(docs, columns).withColumns(
         {
-            "size": words(body(text)),
-            "_id": F.col(key).cast("string"),
-            "_text": F.xxhash64(text),
-            "_source": F.coalesce(F.col(source), F.lit("")),
-            "_unknown": F.col(source).isNull(),
+            "size": words(body(own(text))),
+            "_id": own(key).cast("string"),
+            "_text": F.xxhash64(own(text)),
+            "_source": F.coalesce(own(source), F.lit("")),
+            "_unknown": own(source).isNull(),
         }
     )
     narrow = stored(sized.select("_id", "_text", *SOURCE, "size"), "document_sizes")
@@ -141,12 +143,12 @@ def mix(
     sampled = F.when(F.col("_rank").isNull(), False).otherwise(
         F.coalesce((bin_of < F.col("_edge")) | (bin_of == F.col("_edge")) & (_place() <= F.col("_last")), F.lit(False))
     )
-    return ranked.withColumn("copies", F.col("_whole").cast("long") + sampled.cast("long")).select(
-        *[c for c in docs.columns if c not in ADDED], *ADDED
-    )
+    copies = F.col("_whole").cast("long") + sampled.cast("long")
+    return ranked.select(*unpacked(columns), "size", "source_size", "target", copies.alias("copies"))
 
 
 def copied(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows of a mix: each as often as it is taken."""
-    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return mixed.where("copies > 0").select(*columns, each.alias("_copy")).drop("_copy")
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    taken = mixed.where("copies > 0").select(F.explode(F.array_repeat(row, F.col("copies").cast("int"))).alias("row"))
+    return taken.select(*unpacked(list(columns)))

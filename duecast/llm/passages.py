@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import stored
+from .common import packed, unpacked
 
 RUN = 3
 LONG_WORDS = 40
@@ -164,5 +165,10 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     found = repeated(docs, key, text).groupBy(F.col("doc_id").alias("_doc")).agg(
         F.collect_list(F.struct("begin", "stop")).alias("_passages")
     )
-    joined = docs.join(stored(found, "passages"), F.col(key).cast("long") == F.col("_doc"), "left")
-    return joined.withColumn(text, without(F.col(text), F.col("_passages"))).select(*docs.columns)
+    own = F.col("row").getField(key).cast("long")
+    joined = packed(docs, docs.columns).join(stored(found, "passages"), own == F.col("_doc"), "left")
+    after = without(F.col("row").getField(text), F.col("_passages"))
+    joined = joined.withColumn("_after", after)
+    return joined.select(
+        *[F.col("_after").alias(c) if c == text else column for c, column in zip(docs.columns, unpacked(docs.columns))]
+    )

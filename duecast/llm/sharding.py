@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import by_folder, stored
-from .common import body, uniform
+from .common import body, kept, uniform, unpacked
 
 RECORD_BYTES = 8
 RANGES_PER_SHARD = 64
@@ -109,16 +109,15 @@ def assign(
 
     ``keep`` without the text keeps texts out of the shuffle.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
-    rows = docs.drop(*ADDED).withColumns(
-        {
-            "size": F.octet_length(body(text)).cast("long") + RECORD_BYTES,
-            "text_crc32": F.crc32(body(text).cast("binary")),
-            "_hash": F.xxhash64(body(text)),
-            "_id": F.coalesce(F.col(key).cast("long"), F.lit(FIRST)),
-        }
+    columns = [c for c in kept(docs, ADDED) if keep is None or c in keep]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
+        (F.octet_length(body(text)).cast("long") + RECORD_BYTES).alias("size"),
+        F.crc32(body(text).cast("binary")).alias("text_crc32"),
+        F.xxhash64(body(text)).alias("_hash"),
+        F.coalesce(F.col(key).cast("long"), F.lit(FIRST)).alias("_id"),
     )
-    rows = stored(rows.select(*kept, "size", "text_crc32", "_hash", "_id"), "sized")
+    rows = stored(rows, "sized")
     keys = rows.select("_hash", "_id", "size")
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     ranges = max(shards * RANGES_PER_SHARD, total // RANGE_BYTES)
@@ -146,10 +145,10 @@ def assign(
     small = F.col("_group") <= F.lit(TOLERANCE * total / shards)
     middle = F.when(small, F.col("_start") + F.col("_group") / 2).otherwise(F.col("_before") + F.col("size") / 2)
     shard = F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(float(max(total, 1))))).cast("int")
-    assigned = stored(ranged.select(*kept, "size", "text_crc32", shard.alias("shard"), "_row"), "assigned")
+    assigned = stored(ranged.select("row", "size", "text_crc32", shard.alias("shard"), "_row"), "assigned")
     first = assigned.groupBy("shard").agg(F.min("_row").alias("_first"))
     return assigned.join(F.broadcast(first), "shard").select(
-        *kept,
+        *unpacked(columns),
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),

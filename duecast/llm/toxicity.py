@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import stored
-from .common import body, uniform
+from .common import body, kept, packed, uniform, unpacked
 
 LABELLED_ROWS = 200_000
 FOLDS = 5
@@ -307,12 +307,12 @@ def fit(
 
 def scored(docs: DataFrame, model: Model, text: str = "text", with_passages: bool = True) -> DataFrame:
     """``docs`` with ``score``, ``evidence`` and the significant ``passages`` (character offsets of the text)."""
-    kept = [c for c in docs.columns if c not in ADDED]
-    found = docs.select(*kept, findings(F.col(text), model, with_passages).alias("_found"))
-    value = F.col("_found.evidence") * F.lit(model.slope) + F.lit(model.offset)
+    columns = kept(docs, ADDED)
+    found = packed(docs, columns).withColumn("found", findings(F.col("row").getField(text), model, with_passages))
+    value = F.col("found.evidence") * F.lit(model.slope) + F.lit(model.offset)
     return found.select(
-        *kept,
+        *unpacked(columns),
         (1 / (1 + F.exp(-value))).alias("score"),
-        F.col("_found.evidence").alias("evidence"),
-        F.col("_found.passages").alias("passages"),
+        F.col("found.evidence").alias("evidence"),
+        F.col("found.passages").alias("passages"),
     )
