@@ -280,10 +280,14 @@ def met(left: pa.Table, right: pa.Table) -> pa.Table:
 
 def _met_by(rows: DataFrame, hubs: DataFrame) -> DataFrame:
     """Links of every part of (hood, part, node, shingles) with every part of ``hubs`` of its neighbourhood."""
+    # Columns of their own, as both sides may come from one table.
+    hubs = hubs.select(*[F.col(c).alias(c) for c in ("hood", "part", "node", "shingles")])
     pairs = hubs.select("hood", F.col("part").alias("with")).distinct()
     spread = rows.join(pairs, "hood").select("hood", "part", "with", "node", "shingles")
-    own = rows.select("hood", "part").distinct()
-    aimed = hubs.withColumnRenamed("part", "with").join(own, "hood").select("hood", "part", "with", "node", "shingles")
+    own = rows.select(F.col("hood").alias("hood"), F.col("part").alias("to")).distinct()
+    aimed = hubs.join(own, "hood").select(
+        "hood", F.col("to").alias("part"), F.col("part").alias("with"), "node", "shingles"
+    )
     cell = ["hood", "part", "with"]
     return spread.groupBy(*cell).cogroup(aimed.groupBy(*cell)).applyInArrow(met, "u long, v long")
 

@@ -21,7 +21,8 @@ part, nor does a row without identifier; vectors of different lengths are not
 compared; a row that repeats identifier and vector counts once; rows with a
 query's identifier are the query's own; fewer than k others give fewer rows;
 empty tables give no rows; other columns are ignored. Products are taken in
-doubles where they are exact and in integers of any size elsewhere.
+doubles where they are exact and in integers of any size elsewhere; a score
+beyond a long is shown as the largest one.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ BLOCK_ROWS = 4096
 LEAF_ROWS = 64
 FANOUT = 32
 SCALE = 1024
+LONG = (1 << 63) - 1
 
 
 def quantised(vector: Column) -> Column:
@@ -255,7 +257,8 @@ def search(
     entries = stored(entries, "entries")
     drawn = entries.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE_ROWS).toArrow()["vec"].to_pylist()
     dims = max({len(v) for v in drawn}, key=[len(v) for v in drawn].count, default=0)
-    sample = np.array([v for v in drawn if len(v) == dims], dtype=np.float64).reshape(-1, dims)
+    sample = [v for v in drawn if len(v) == dims]
+    sample = np.array(sample, dtype=np.float64).reshape(len(sample), dims)
     pivots = farthest_first(sample, PIVOTS) if len(sample) else sample
 
     data = stored(indexed(entries, pivots, sample, k + 1), "indexed")
@@ -311,7 +314,7 @@ def search(
                 for score, row in hits:
                     out["first"].append(first_)
                     out["query"].append(query)
-                    out["score"].append(score)
+                    out["score"].append(max(-LONG, min(LONG, score)))
                     out["ids"].append(ids[row])
         kinds = [("first", pa.int64()), ("query", pa.int64()), ("score", pa.int64()), ("ids", pa.list_(pa.int64()))]
         return pa.table({n: pa.array(out[n], t) for n, t in kinds})
