@@ -148,12 +148,12 @@ def in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
     rate = min(1.0, ranges * SAMPLES_PER_RANGE / max(count, 1))
     # At most about SAMPLES_PER_RANGE identifiers for each range.
     sample = ids.where(uniform(F.col("_id"), F.lit(6)) < F.lit(rate)).distinct().toArrow()["_id"]
-    sample = np.sort(np.asarray(sample))[::-1]
-    cuts = -sample[np.unique(np.linspace(0, len(sample), ranges, endpoint=False).astype(int))[1:]] if len(sample) else sample
+    sample = np.sort(np.asarray(sample))
+    cuts = sample[np.unique(np.linspace(0, len(sample), ranges, endpoint=False).astype(int))[1:]]
 
     @arrow_udf("int")
     def number(id_: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(cuts, -np.asarray(id_), "right").astype(np.int32))
+        return pa.array((len(cuts) - np.searchsorted(cuts, np.asarray(id_), "right")).astype(np.int32))
 
     # One line per range.
     heads = sorted(ids.groupBy(number("_id").alias("r")).agg(F.max("_id")).collect())
