@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from datetime import datetime
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import moment
 from ..params import Params
 from ..sources.storage import measured, stored
 from .stats import SUFFIX
 
-MAX_NAMED_TENANTS = 100
-
-
 def high_water_marks(stats: DataFrame) -> DataFrame:
     """Per tenant and entity, the last run that kept any row."""
     pairs = ", ".join(f"'{entity}', no_clean_entries_{suffix}" for entity, suffix in SUFFIX.items())
@@ -21,42 +20,47 @@ def high_water_marks(stats: DataFrame) -> DataFrame:
     )
 
 
-def _prefilter(own: DataFrame, tenants: DataFrame, params: Params) -> Column | None:
-    """A condition the scan itself can apply: later than the oldest mark.
-
-    Tenants without a mark are named; with many of them nothing is filtered.
-    """
-    oldest = own.agg(F.min("high_water_mark")).first()[0]
-    unmarked = tenants.join(own, "ad_client_id", "left_anti").limit(MAX_NAMED_TENANTS + 1).collect()
-    if oldest is None or len(unmarked) > MAX_NAMED_TENANTS:
+def _oldest_mark(own: DataFrame, tenants: DataFrame) -> datetime | None:
+    """The mark that all listed tenants have reached; none if one of them has no mark."""
+    if not tenants.join(own, "ad_client_id", "left_anti").isEmpty():
         return None
-    later = F.col(params.change_column) > moment(oldest)
-    named = [row["ad_client_id"] for row in unmarked]
-    return later | F.col("ad_client_id").isin(named) if named else later
+    return own.join(tenants, "ad_client_id", "left_semi").agg(F.min("high_water_mark")).first()[0]
 
 
 def rows_after(
     df: DataFrame, marks: DataFrame, entity: str, params: Params, tenants: DataFrame | None = None
 ) -> DataFrame:
-    """Rows changed after their tenant's mark; all rows where there is none.
+    """Rows changed after their tenant's mark; all rows of a tenant without one.
 
-    With the list of ``tenants`` the scan skips what is older than every mark.
+    With a list of ``tenants`` only their rows are read, and the scan itself
+    skips what is older than every mark.
     """
     own = measured(marks.where(F.col("entity") == entity).select("ad_client_id", "high_water_mark"), "marks")
-    wanted = None if tenants is None else _prefilter(own, tenants, params)
-    if wanted is not None:
-        df = df.where(wanted)
+    if tenants is not None:
+        df = df.join(tenants, "ad_client_id", "left_semi")
+        oldest = _oldest_mark(own, tenants)
+        if oldest is not None:
+            df = df.where(F.col(params.change_column) > moment(oldest))
     joined = df.join(own, "ad_client_id", "left")
     newer = F.col("high_water_mark").isNull() | (F.col(params.change_column) > F.col("high_water_mark"))
     return joined.where(newer).drop("high_water_mark")
 
 
-def new_rows(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """The batch rows whose key the target does not hold yet, each key once.
+def newest(batch: DataFrame, key: list[str], change_column: str) -> DataFrame:
+    """One row per key: the last changed, and of equal ones the greatest in all its values."""
+    order = [c for c in batch.columns if c == change_column] + [c for c in batch.columns if c not in (change_column, *key)]
+    chosen = batch.groupBy(*key).agg(F.max(F.struct(*order)).alias("_row"))
+    return chosen.select(*[F.col(c) if c in key else F.col("_row").getField(c).alias(c) for c in batch.columns])
+
+
+def new_rows(batch: DataFrame, target: DataFrame | None, key: list[str], change_column: str = "created") -> DataFrame:
+    """The batch rows whose key the target does not hold yet, each key once, the newest.
 
     The target is only searched for the keys of the batch. A batch that is
     small next to it is broadcast, and the target is not shuffled.
     """
-    batch = stored(batch.dropDuplicates(key), "batch")
+    batch = stored(newest(batch, key, change_column), "batch")
+    if target is None:
+        return batch
     known = measured(target.select(*key).join(batch.select(*key), key, "left_semi"), "known_keys")
     return batch.join(known, key, "left_anti")

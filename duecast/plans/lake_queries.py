@@ -11,6 +11,7 @@ from ..schemas import CLEAN_REQUIRED, FACT_FLAGS, FACT_REQUIRED, PRIMARY_KEY, SO
 from ..sources import derived, registry, tables
 from ..sources.storage import scratch_path
 from ..streaming.incremental_stream import arrived, clean_arrivals
+from . import nightly
 from .oracle_base import statement
 from .output import comparable, sql_columns
 from .session import cleaned, fact_table, facts, tuned
@@ -127,6 +128,32 @@ def incremental_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(fresh.select("ad_client_id", "c_invoice_id", "created", "grandtotal"))
 
 
+RUNS = [datetime(2000, 12, 31, 23, 59, 59), datetime(2001, 9, 1), datetime(2001, 9, 2)]
+
+
+def nightly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and marks of three runs: a first load, the rest, and nothing new."""
+    sources = _sources(spark, sf_dir)
+    lake = scratch_path(spark, "lake")
+    early = {k: v.where(f"created < '{LOADED_UNTIL}'") if "created" in v.columns else v for k, v in sources.items()}
+    for date_run, rows in zip(RUNS, (early, sources, sources)):
+        runs = nightly.run(rows, lake, P, date_run)
+    marks = incremental.high_water_marks(runs).groupBy("ad_client_id").pivot("entity", list(stats.SUFFIX)).agg(
+        F.first("high_water_mark")
+    )
+    held = [
+        tables.read_lake(spark, f"{lake}/{entity}_cleaned", clean.clean(entity, sources[entity]).schema)
+        .groupBy("ad_client_id")
+        .agg(F.count("*").alias(f"held_{suffix}"))
+        for entity, suffix in stats.SUFFIX.items()
+    ]
+    table = runs.select("ad_client_id", "date_run", *[c for c in runs.columns if c.startswith("no_") and "total" not in c])
+    marks = marks.select("ad_client_id", *[F.col(e).alias(f"mark_{s}") for e, s in stats.SUFFIX.items()])
+    for more in (marks, *held):
+        table = table.join(more, "ad_client_id", "left")
+    return comparable(table)
+
+
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load that repeats a month of known rows adds only the unknown ones."""
     invoices = cleaned(spark, sf_dir)["c_invoice"]
@@ -186,6 +213,7 @@ QUERIES = {
     "high_water_mark": high_water_mark,
     "incremental_invoices": incremental_invoices,
     "incremental_merge": incremental_merge,
+    "nightly_runs": nightly_runs,
     "stream_clean_equals_batch": stream_clean_equals_batch,
     "model_registry_latest": model_registry_latest,
 }
@@ -265,7 +293,59 @@ _PAYMENTS = sql_columns(
     "tendertype:x c_currency_id:i payamt:m isallocated:x duedate:t allocatedamt:m created:t"
 )
 
+# Which rows a run reads and keeps, written out apart from the engine.
+_READ = {
+    "c_invoice": "ad_client_id <> 0 AND issotrx = 'Y'",
+    "c_payment": "ad_client_id <> 0",
+    "c_allocationline": "ad_client_id <> 0",
+    "c_paymentterm": "ad_client_id <> 0",
+}
+_KEPT = {
+    "c_invoice": "docstatus = 'CO' AND isreturntrx = 'N'",
+    "c_payment": "isreceipt = 'Y' AND docstatus = 'CO'",
+    "c_allocationline": "amount > 0",
+    "c_paymentterm": "TRUE",
+}
+
+
+def _runs_sql() -> str:
+    first, second, third = (f"TIMESTAMP '{run}'" for run in RUNS)
+    ctes, joins, columns = [], [], []
+    suffixes = {"c_invoice": "invoices", "c_allocationline": "alloc", "c_payment": "payments", "c_paymentterm": "terms"}
+    for entity, s in suffixes.items():
+        # Of each tenant: rows before the cut, after the first and after the second run.
+        spans = {"a": f"created < '{LOADED_UNTIL}'", "b": f"created > {first}", "c": f"created > {second}", "n": "TRUE"}
+        counts = ", ".join(
+            f"count(*) FILTER ({span}) AS r{k}, count(*) FILTER (({span}) AND ({_KEPT[entity]})) AS k{k}" for k, span in spans.items()
+        )
+        ctes.append(f"n_{s} AS (SELECT ad_client_id, {counts} FROM {entity} WHERE {_READ[entity]} GROUP BY 1)")
+        # A run starts after the last one that kept rows.
+        ctes.append(
+            f"two_{s} AS (SELECT *, CASE WHEN ka > 0 THEN rb ELSE rn END AS r2, "
+            f"CASE WHEN ka > 0 THEN kb ELSE kn END AS k2 FROM n_{s})"
+        )
+        ctes.append(
+            f"t_{s} AS (SELECT ad_client_id, ka + k2 AS held, unnest([{first}, {second}, {third}]) AS date_run, "
+            "unnest([ra, r2, CASE WHEN k2 > 0 THEN rc WHEN ka > 0 THEN rb ELSE rn END]) AS seen, "
+            "unnest([ka, k2, CASE WHEN k2 > 0 THEN kc WHEN ka > 0 THEN kb ELSE kn END]) AS kept, "
+            f"CASE WHEN k2 > 0 THEN {second} WHEN ka > 0 THEN {first} END AS mark FROM two_{s})"
+        )
+        joins.append(f"LEFT JOIN t_{s} USING (ad_client_id, date_run)")
+        columns += [
+            f"coalesce(t_{s}.seen, 0) AS no_entries_{s}",
+            f"coalesce(t_{s}.kept, 0) AS no_clean_entries_{s}",
+            f"t_{s}.mark AS mark_{s}",
+            f"t_{s}.held AS held_{s}",
+        ]
+    tenants = (
+        "(SELECT DISTINCT ad_client_id FROM c_paymentterm WHERE ad_client_id <> 0) "
+        f"CROSS JOIN (SELECT unnest([{first}, {second}, {third}]) AS date_run)"
+    )
+    return statement(f"SELECT ad_client_id, date_run, {', '.join(columns)} FROM {tenants} {' '.join(joins)}", *ctes)
+
+
 ORACLE = {
+    "nightly_runs": _runs_sql(),
     "roundtrip_append": statement(f"SELECT {_PAYMENTS} FROM pay"),
     "roundtrip_overwrite_tenant": statement(
         "SELECT "

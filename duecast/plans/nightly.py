@@ -5,56 +5,51 @@ from __future__ import annotations
 import time
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import DataFrame
 
 from ..operators import clean, features, incremental, ledger, stats
 from ..params import Params
-from ..schemas import CLEANING_STATS, PRIMARY_KEY
+from ..schemas import CLEANING_STATS, KEY
 from ..sources.storage import measured, stored
-from ..sources.tables import append_table, replace_tenants
+from ..sources.tables import append_table, existing, read_lake, replace_tenants
 
 
-def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return None
+def read_batch(
+    source: DataFrame, entity: str, run_stats: DataFrame | None, tenants: DataFrame, params: Params
+) -> DataFrame:
+    """The rows this run reads of one entity, stored: listed tenants, after their marks."""
+    if run_stats is None:
+        rows = source.join(tenants, "ad_client_id", "left_semi")
+    else:
+        rows = incremental.rows_after(source, incremental.high_water_marks(run_stats), entity, params, tenants)
+    return stored(rows.where(clean.SCANNED[entity]), "batch")
 
 
-def load_entity(sources: dict[str, DataFrame], entity: str, lake: str, params: Params) -> DataFrame:
-    """Clean the rows after the mark and append the ones not yet held."""
-    spark = sources[entity].sparkSession
+def load_entity(batch: DataFrame, entity: str, lake: str, params: Params) -> DataFrame:
+    """Clean a batch and append the rows not yet held; returns the whole cleaned table."""
     path = f"{lake}/{entity}_cleaned"
-    run_stats = _existing(spark, f"{lake}/cleaning_stats", CLEANING_STATS)
-    rows = sources[entity]
-    if run_stats is not None:
-        marks = incremental.high_water_marks(run_stats)
-        rows = incremental.rows_after(rows, marks, entity, params, clean.tenants(sources["ad_client"]))
-    cleaned = clean.clean(entity, rows)
-    held = _existing(spark, path, cleaned.schema)
-    fresh = cleaned if held is None else incremental.new_rows(cleaned, held, _key(entity))
-    append_table(fresh, path)
-    return spark.read.schema(cleaned.schema).parquet(path)
-
-
-def _key(entity: str) -> list[str]:
-    # Terms are shared, so their ids repeat between tenants.
-    own = PRIMARY_KEY[entity]
-    return ["ad_client_id", own] if entity == "c_paymentterm" else [own]
+    cleaned = clean.clean(entity, batch)
+    held = existing(batch.sparkSession, path, cleaned.schema)
+    append_table(incremental.new_rows(cleaned, held, KEY[entity], params.change_column), path)
+    return read_lake(batch.sparkSession, path, cleaned.schema)
 
 
 def run(sources: dict[str, DataFrame], lake: str, params: Params, date_run: datetime) -> DataFrame:
-    """One run over all tenants; returns the statistics rows it appended."""
+    """One run over the listed tenants; returns the statistics of all runs so far.
+
+    Every source is read once. What the statistics count as read and kept, and
+    so the marks that the next run starts from, is the batch of this run.
+    """
     started = time.monotonic()
     spark = sources["c_invoice"].sparkSession
-    cleaned = {entity: load_entity(sources, entity, lake, params) for entity in clean.KEPT}
+    tenants = measured(clean.tenants(sources["ad_client"]), "tenants")
+    run_stats = existing(spark, f"{lake}/cleaning_stats", CLEANING_STATS)
+    batches = {entity: read_batch(sources[entity], entity, run_stats, tenants, params) for entity in clean.KEPT}
+    cleaned = {entity: load_entity(batch, entity, lake, params) for entity, batch in batches.items()}
     lines = stored(features.line_features(ledger.build_facts(cleaned, params)), "facts")
     partners = measured(features.partner_features(lines), "partners")
     full = features.with_partner_features(lines, partners)
     replace_tenants(full, f"{lake}/facts")
-    recorded = stats.cleaning_stats(
-        sources, clean.tenants(sources["ad_client"]), lines, date_run, time.monotonic() - started
-    )
+    recorded = stats.cleaning_stats(batches, tenants, lines, date_run, time.monotonic() - started)
     recorded.write.mode("append").parquet(f"{lake}/cleaning_stats")
-    return spark.read.schema(CLEANING_STATS).parquet(f"{lake}/cleaning_stats")
+    return read_lake(spark, f"{lake}/cleaning_stats", CLEANING_STATS)

@@ -67,6 +67,9 @@ PRIMARY_KEY = {
     "ad_client": "ad_client_id",
 }
 
+# What identifies a row of each entity; terms are shared, so their ids repeat between tenants.
+KEY = {entity: [own] for entity, own in PRIMARY_KEY.items()} | {"c_paymentterm": ["ad_client_id", "c_paymentterm_id"]}
+
 # Columns a cleaned table may not hold null in.
 CLEAN_REQUIRED = {
     "c_invoice": [

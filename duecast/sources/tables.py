@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import DEFAULTS, PRIMARY_KEY, REQUEST, SOURCES
@@ -81,6 +82,16 @@ def append_jdbc(df: DataFrame, options: dict[str, str], table: str, batch_rows:
     df.write.format("jdbc").options(**options).options(dbtable=table, batchsize=batch_rows).mode("append").save()
 
 
+def existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A lake table, or None before its first load. A table that cannot be read is an error."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_lake(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 

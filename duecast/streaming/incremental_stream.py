@@ -4,19 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from ..operators import clean
 from ..operators.incremental import new_rows
-from ..schemas import PRIMARY_KEY, SOURCES
-from ..sources.tables import append_table
-
-
-def _cleaned_target(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
-    try:
-        return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException:
-        return None
+from ..schemas import KEY, SOURCES
+from ..sources.tables import append_table, existing
 
 
 def clean_arrivals(
@@ -25,35 +17,24 @@ def clean_arrivals(
     arrivals: str,
     target: str,
     checkpoint: str,
-    dedupe_window: str | None = None,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Clean what arrived since the last run and append the rows not yet held.
 
-    A batch repeated after a failure adds nothing, because rows whose key the
-    target holds are left out. ``dedupe_window`` also drops repeats that arrive
-    within that time of each other before they reach the merge.
+    Cleaning comes first, so a draft does not stand in for the completed document of
+    its key. A batch repeated after a failure adds nothing, because rows whose
+    key the target holds are left out, however late they come.
     """
-    key = [PRIMARY_KEY[entity]]
     rows = (
         spark.readStream.schema(SOURCES[entity])
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(arrivals)
     )
-    if dedupe_window is not None:
-        # Watermarks need a zoned timestamp; the wall clock is read as UTC.
-        rows = (
-            rows.selectExpr("*", "to_timestamp(concat(CAST(created AS STRING), 'Z')) AS arrived")
-            .withWatermark("arrived", dedupe_window)
-            .dropDuplicatesWithinWatermark(key)
-            .drop("arrived")
-        )
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         cleaned = clean.clean(entity, batch)
-        held = _cleaned_target(batch.sparkSession, target, cleaned)
-        fresh = cleaned.dropDuplicates(key) if held is None else new_rows(cleaned, held, key)
-        append_table(fresh, target)
+        held = existing(batch.sparkSession, target, cleaned.schema)
+        append_table(new_rows(cleaned, held, KEY[entity]), target)
 
     return (
         rows.writeStream.foreachBatch(merge)

@@ -78,7 +78,7 @@ def test_stream_restarts_without_repeats(spark, tmp_path):
 
     def load(rows):
         rows.write.mode("append").parquet(arrivals)
-        clean_arrivals(spark, "c_payment", arrivals, target, progress, dedupe_window="10 days").awaitTermination()
+        clean_arrivals(spark, "c_payment", arrivals, target, progress).awaitTermination()
 
     load(sources["c_payment"].where("c_payment_id < 900"))
     load(sources["c_payment"])
