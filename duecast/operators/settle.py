@@ -148,7 +148,7 @@ def _with_empty(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def invoices_with_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
-    """(invoice, linked payment) rows; the payment date is never null."""
+    """(invoice, linked payment) rows, classified."""
     matched = invoices.join(linked_payments(payments), INVOICE_KEY)
     return matched.withColumn("branch", stage1_case())
 
@@ -166,16 +166,27 @@ def stage1(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
+def unsettled(invoices: DataFrame, payments: DataFrame) -> DataFrame:
+    """Invoices that no payment settles: without one, or with one that has no date.
+
+    What the second kind is depends on the date alone; the filter on it is
+    pushed into the scan, so only undated payments are joined again.
+    """
+    undated = invoices_with_payments(invoices, payments.where("datetrx IS NULL"))
+    undated = undated.where("branch IN ('unpaid_invoices', 'residual')")
+    return invoices_without_payments(invoices, payments).unionByName(undated)
+
+
 def stage2_case() -> Column:
     return F.expr(
-        """CASE WHEN amount IS NULL THEN 'paid_nodata'
+        """CASE WHEN amount IS NULL THEN 'no_allocation'
                 WHEN paidamt = amount AND paidamt = grandtotal
                      AND alloc_cashline_id <> 0 AND alloc_payment_id = 0 THEN 'cash_paid'
                 WHEN paidamt = amount AND paidamt = grandtotal THEN 'fp2'
                 WHEN paidamt = amount AND alloc_payment_id <> 0 THEN 'p2'
                 WHEN paidamt = grandtotal AND alloc_cashline_id <> 0 THEN 'cash_paid2'
                 WHEN paidamt = grandtotal THEN 'p3'
-                WHEN alloc_payment_id = 0 AND alloc_cashline_id = 0 THEN 'de_eliminat'
+                WHEN alloc_payment_id = 0 AND alloc_cashline_id = 0 THEN 'unsupported'
                 WHEN alloc_cashline_id <> 0 THEN 'cash_paid3'
                 ELSE 'p4' END"""
     )
@@ -268,6 +279,8 @@ def open_lines(without_payments: DataFrame) -> DataFrame:
 
 
 FROM_PAYMENT = ["fp2", "p2", "p3", "p4"]
+# What a residual row does not keep of an undated payment.
+UNDATED = ["datetrx", "payamt", "allocatedamt"]
 CASH = ["cash_paid", "cash_paid2", "cash_paid3"]
 
 
@@ -277,11 +290,12 @@ def allocation_lines(residual: DataFrame, allocations: DataFrame, payments: Data
     The rows that need no payment carry a key no payment has, minus their own
     allocation id, so that they spread instead of meeting on one null key.
     """
-    rows = _matched_allocations(residual.drop(*PAYMENT_PART), allocations)
+    own = {c: f"own_{c}" for c in PAYMENT_PART if c not in UNDATED}
+    rows = _matched_allocations(residual.withColumnsRenamed(own).drop(*UNDATED), allocations)
     needs_payment = "branch IN ('fp2', 'p2', 'p3', 'p4')"
     rows = (
         rows.withColumn("branch", stage2_case())
-        .where("branch NOT IN ('paid_nodata', 'de_eliminat')")
+        .where("branch NOT IN ('no_allocation', 'unsupported')")
         .where(f"NOT ({needs_payment}) OR alloc_payment_id <> 0")
         .withColumn("lookup_id", F.expr(f"IF({needs_payment}, alloc_payment_id, -c_allocationline_id)"))
     )
@@ -315,9 +329,12 @@ def allocation_lines(residual: DataFrame, allocations: DataFrame, payments: Data
             "payamt": shown,
             "datetrx": {**_same(CASH, "dateinvoiced"), "unpaid_balance2": "NULL"},
             "c_cashline_id": _same(CASH, "alloc_cashline_id"),
-            "c_payment_id_paym": _same(FROM_PAYMENT, "c_payment_id"),
+            "c_payment_id_paym": {**_same(FROM_PAYMENT, "c_payment_id"), **_same(CASH, "own_c_payment_id_paym")},
             "c_payment_id": _same(FROM_PAYMENT, "alloc_payment_id"),
-            **{c: {"unpaid_balance2": "NULL"} for c in ("c_doctype_id", "tendertype", "isallocated")},
+            **{
+                c: {"unpaid_balance2": "NULL", **_same(CASH, f"own_{c}")}
+                for c in ("c_doctype_id", "tendertype", "isallocated")
+            },
         },
     )
 
@@ -377,7 +394,7 @@ def ledger_lines(
     """
     due = ledger_invoices(invoices, terms, params)
     matched = invoices_with_payments(due, payments)
-    lonely = invoices_without_payments(due, payments)
+    lonely = unsettled(due, payments)
     residual = lonely.where("branch = 'residual'")
     arms = {
         "payments": lambda: payment_lines(matched, allocations, params),

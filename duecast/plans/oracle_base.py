@@ -32,7 +32,8 @@ c_invoice AS (
   FROM base),
 c_payment AS (
   SELECT 1000000 + id * 10 + s AS c_payment_id, cl AS ad_client_id, org AS ad_org_id,
-    CASE WHEN k = 1 OR (k IN (2, 5, 6, 8, 9, 10) AND id % 5 = 0) THEN d - INTERVAL '3' DAY
+    CASE WHEN id % 67 = 0 THEN NULL
+         WHEN k = 1 OR (k IN (2, 5, 6, 8, 9, 10) AND id % 5 = 0) THEN d - INTERVAL '3' DAY
          ELSE d + INTERVAL '1' DAY * CAST(5 + (id * 7 + s * 13) % 90 AS INT) END AS datetrx,
     CAST(500 + id % 3 AS BIGINT) AS c_doctype_id, bp AS c_bpartner_id,
     CASE WHEN k IN (0, 1, 2, 3, 5) THEN id END AS c_invoice_id,
@@ -98,13 +99,13 @@ s1 AS (
 s2 AS (
   SELECT s1.* EXCLUDE (branch), a.c_allocationline_id, a.c_payment_id AS py, a.c_cashline_id AS cy,
     a.amount,
-    CASE WHEN a.amount IS NULL THEN 'paid_nodata'
+    CASE WHEN a.amount IS NULL THEN 'no_allocation'
          WHEN paidamt = amount AND paidamt = grandtotal AND a.c_cashline_id <> 0 AND a.c_payment_id = 0 THEN 'cash_paid'
          WHEN paidamt = amount AND paidamt = grandtotal THEN 'fp2'
          WHEN paidamt = amount AND a.c_payment_id <> 0 THEN 'p2'
          WHEN paidamt = grandtotal AND a.c_cashline_id <> 0 THEN 'cash_paid2'
          WHEN paidamt = grandtotal THEN 'p3'
-         WHEN a.c_payment_id = 0 AND a.c_cashline_id = 0 THEN 'de_eliminat'
+         WHEN a.c_payment_id = 0 AND a.c_cashline_id = 0 THEN 'unsupported'
          WHEN a.c_cashline_id <> 0 THEN 'cash_paid3' ELSE 'p4' END AS branch
   FROM s1 LEFT JOIN alloc a ON a.c_invoice_id = s1.c_invoice_id AND a.ad_client_id = s1.ad_client_id
   WHERE s1.branch = 'residual'),

@@ -49,7 +49,7 @@ def settle_stage1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def settle_stage2(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables, due = _due(spark, sf_dir)
-    residual = settle.invoices_without_payments(due, tables["c_payment"]).where(F.col("branch") == "residual")
+    residual = settle.unsettled(due, tables["c_payment"]).where(F.col("branch") == "residual")
     rows = settle.stage2(residual, tables["c_allocationline"])
     return comparable(
         rows.select(

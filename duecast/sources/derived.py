@@ -61,7 +61,7 @@ PAYMENTS = [
     "1000000 + id * 10 + s AS c_payment_id",
     "ad_client_id",
     "ad_org_id",
-    """CASE WHEN story = 1 OR (story IN (2, 5, 6, 8, 9, 10) AND id % 5 = 0) THEN day - INTERVAL 3 DAYS
+    """CASE WHEN id % 67 = 0 THEN NULL WHEN story = 1 OR (story IN (2, 5, 6, 8, 9, 10) AND id % 5 = 0) THEN day - INTERVAL 3 DAYS
             ELSE day + make_dt_interval(CAST(5 + (id * 7 + s * 13) % 90 AS INT)) END AS datetrx""",
     "500 + id % 3 AS c_doctype_id",
     "partner AS c_bpartner_id",
