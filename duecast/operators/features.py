@@ -93,12 +93,17 @@ def merged_sums(parts: DataFrame) -> DataFrame:
 
 
 def _deviation(suffix: str) -> str:
-    """Sample deviation; exact as long as the products fit a decimal."""
+    """Sample deviation, for any size.
+
+    The squares are taken around the mean rounded to a cent, exactly, as no
+    term is larger than the sum of squares; what the rounding adds is small
+    and is subtracted last, so nothing cancels.
+    """
     n, total, squares = f"n_{suffix}", f"sum_{suffix}", f"sq_{suffix}"
-    exact = f"CAST(try_subtract(try_multiply({squares}, {n}), try_multiply({total}, {total})) AS DOUBLE)"
-    rough = f"CAST({squares} AS DOUBLE) * {n} - CAST({total} AS DOUBLE) * CAST({total} AS DOUBLE)"
-    spread = f"greatest(coalesce({exact}, {rough}), 0D)"
-    return f"IF({n} > 1, sqrt({spread} / (CAST({n} AS DOUBLE) * ({n} - 1))), NULL)"
+    centre = f"CAST({total} / {n} AS DECIMAL(18,2))"
+    around = f"CAST({squares} - {centre} * {total} - {centre} * ({total} - {n} * {centre}) AS DOUBLE)"
+    beside = f"(CAST({total} - {n} * {centre} AS DOUBLE) / {n})"
+    return f"IF({n} > 1, sqrt(greatest({around} - {n} * {beside} * {beside}, 0D) / ({n} - 1)), NULL)"
 
 
 def features_of_sums(sums: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def score_input_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_partner_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = requests(spark, sf_dir).where("grandtotal > 400000")
+    asked = requests(spark, sf_dir)
     found = score.partner_lookup(_snapshot(spark, sf_dir), asked)
     return comparable(found.select(*score.PLACE_KEY, "total_invoices", "paid_total", "avg_paid"))
 
@@ -135,7 +135,7 @@ def score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "models")
     training.run(table, root, QUICK_GRID, P, RUN)
     snapshot = stored(features.feature_snapshot(table, features.partner_features(table)), "snapshot")
-    return scoring.score_requests(requests(spark, sf_dir), snapshot, root)
+    return scoring.score_requests(requests(spark, sf_dir), snapshot, root, partly=True)
 
 
 QUERIES = {
@@ -198,8 +198,8 @@ ORACLE = {
         + sql_columns(
             "ad_client_id:i ad_org_id:i c_bpartner_id:i c_bpartner_location_id:i total_invoices:i paid_total:m avg_paid:r"
         )
-        + " FROM snapshot s WHERE EXISTS (SELECT 1 FROM request r WHERE r.grandtotal > 400000 "
-        "AND r.ad_client_id = s.ad_client_id AND r.c_bpartner_id = s.c_bpartner_id)",
+        + " FROM snapshot s WHERE EXISTS (SELECT 1 FROM request r "
+        "WHERE r.ad_client_id = s.ad_client_id AND r.c_bpartner_id = s.c_bpartner_id)",
         _REQUESTS,
     ),
     "score_join": statement(

@@ -107,7 +107,7 @@ def train_classifiers(
             forest.predict(model, test.where(own)).write.parquet(f"{results_path}/tenant={tenant}")
             return tenant, "classification", 1, f"accuracy {score:.4f} with {chosen}", path
         except Exception as error:  # one tenant must not stop the others
-            return tenant, "classification", 0, str(error)[:200], None
+            return tenant, "classification", 0, str(error), None
 
     with ThreadPool(at_once) as pool:
         results = pool.map(inheritable_thread_target(spark)(one), tenant_ids(table))

@@ -185,3 +185,15 @@ def test_marks_take_any_change_column(spark):
                                   "ad_client_id long, entity string, high_water_mark timestamp_ntz")
     assert incremental.rows_after(rows, marks, "c_invoice", Params()).count() == 0
     assert incremental.rows_after(rows, marks, "c_invoice", Params(change_column="updated")).count() == 1
+
+
+def test_requests_are_answered_whole_or_refused(spark):
+    from duecast.plans import scoring
+
+    requests = _request(spark, rows=[{"row_id": 1}, {"row_id": 2, "ad_client_id": 2}, {"row_id": 3, "ad_client_id": 2, "c_bpartner_id": 9},
+                                     {"row_id": 4, "ad_client_id": 3}])
+    snapshot = spark.createDataFrame([(t, 1, 1, 1) for t in (1, 2, 3)],
+                                     "ad_client_id long, ad_org_id long, c_bpartner_id long, c_bpartner_location_id long")
+    known = spark.createDataFrame([("classification", t, datetime(2020, 1, 1), "p") for t in (1, 2)], registry.REGISTRY)
+    got = {r["ad_client_id"]: r["reason"] for r in scoring.refusals(requests, snapshot, known).collect()}
+    assert got == {2: "1 rows do not meet exactly one feature row", 3: "no classifier has been trained"}
