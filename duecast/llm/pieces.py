@@ -30,8 +30,10 @@ from __future__ import annotations
 import functools
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -39,14 +41,18 @@ from pyspark.sql.functions import arrow_udf
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-REMEMBERED = 200_000
-"""Stretches and neighbours that a worker remembers; after that it starts anew."""
+REMEMBERED = 250_000
+"""Short stretches that a worker remembers of each of two spells."""
+NEIGHBOURS = 400_000
+"""Pairs of pieces that a worker remembers before it starts anew."""
 SHORT = 48
 
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
+START, LONE = -1, -2
+"""Stand for the start of a stretch and an unknown character among ids."""
 UNKNOWN_SURFACE = " ⁇ "
 
 
@@ -98,14 +104,23 @@ class Vocabulary:
             raise ValueError("only unigram and BPE models that keep all spaces are supported")
         self.least = min(self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.ids))
-        self.neighbours: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        self.kept_as = "H" if len(self.surface) <= 1 << 16 else "I"
+        self.neighbours: dict[tuple[int, int], bool] = {}
+        self.text = {at: piece for piece, at in self.ids.items()} | {START: "", LONE: ""}
+        self.size = {at: len(piece) for piece, at in self.ids.items()} | {LONE: 1}
+        self.matches = ahocorasick.Automaton()
+        for piece, at in self.ids.items():
+            self.matches.add_word(piece, (len(piece), at))
+        self.matches.make_automaton()
+        self.single = {piece for piece in self.ids if len(piece) == 1}
+        if self.kind == BPE and not set("".join(self.ids)) <= self.single:
+            raise ValueError("a character of a BPE piece is no piece itself")
         self.stretches = self._stretches()
         self.cache = _Remembered(self)
 
     def _piece(self, piece: dict) -> None:
-        at, text, kind = len(self.surface), piece[1].decode(), piece.get(3, NORMAL)
-        shown = text.replace(MARK, " ").encode()
+        at, text, kind = len(self.surface), piece[1].decode().replace(MARK, " "), piece.get(3, NORMAL)
+        shown = text.encode()
         if kind in (NORMAL, USER_DEFINED):
             self.ids[text] = at
             self.scores[text] = struct.unpack("<f", piece.get(2, bytes(4)))[0]
@@ -120,103 +135,138 @@ class Vocabulary:
 
     def _stretches(self) -> re.Pattern:
         """Splits a text only at boundaries that no piece crosses."""
-        crossing = any(re.search(f"[^{MARK}]{MARK}", piece) for piece in self.ids)
+        pairs = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         alphabet = set("".join(self.ids))
-        lone = "".join(re.escape(c) for c in map(chr, range(128)) if c not in alphabet)
-        other = f"[^{lone}]" if crossing else f"[^{MARK}{lone}]"
-        return re.compile(f"{other}+|[{lone}]" if crossing else f"{MARK}*{other}+|{MARK}+|[{lone}]")
+        crossing = any(pair[1] == " " != pair[0] for pair in pairs)
+        if crossing:
+            return re.compile(r"[\s\S]+")
+        plain = {c for c in map(chr, range(33, 127)) if not c.isalnum()}
+        before = {c: {pair[0] for pair in pairs if pair[1] == c} - plain - {" "} for c in plain}
+        escaped = lambda signs: "".join(map(re.escape, sorted(signs)))
+        # A word ends before a sign, but for the signs that many letters join with
+        # and for the few letters that others join with.
+        tied = {c for c in plain if len(before[c]) > 20}
+        joined = set().union(*(before[c] for c in plain - tied))
+        lone = escaped({c for c in map(chr, range(128)) if c not in alphabet} - {" "})
+        word = f" *[^ {escaped(plain | joined)}{lone}]++"
+        if tied | joined:
+            word += f"(?![{escaped(tied | joined)}])"
+        return re.compile(f"{word}| *[^ {lone}]+| +|[{lone}]")
 
     def merged(self, text: str) -> list[str]:
         """The library's merging, on a text of two pieces at most."""
-        parts = list(text)
-        while len(parts) > 1:
-            pairs = [(self.scores.get(a + b, -np.inf), -i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-            score, at = max(pairs)
-            if score == -np.inf:
-                break
-            parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
+        parts, get, none = list(text), self.scores.get, -np.inf
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > none:
+            at = scores.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = get(parts[at - 1] + parts[at], none)
+            if at < len(scores):
+                scores[at] = get(parts[at] + parts[at + 1], none)
         return parts
 
-    def beside(self, left: str, right: str) -> bool:
-        known = self.neighbours.get((left, right))
-        if known is None:
-            if len(self.neighbours) > REMEMBERED:
-                self.neighbours.clear()
-            known = self.neighbours[left, right] = self.merged(left + right) == [left, right]
-        return known
-
-    def alone(self, piece: str) -> bool:
-        known = self.whole.get(piece)
-        if known is None:
-            if len(self.whole) > REMEMBERED:
-                self.whole.clear()
-            known = self.whole[piece] = self.merged(piece) == [piece]
+    def beside(self, left: int, right: int) -> bool:
+        """Whether merging keeps two pieces apart. Nothing merges with an unknown character."""
+        if len(self.neighbours) > NEIGHBOURS:
+            self.neighbours.clear()
+        pieces = [p for p in (self.text[left], self.text[right]) if p]
+        known = self.neighbours[left, right] = self.merged("".join(pieces)) == pieces
         return known
 
     def search(self, text: str) -> list[int]:
-        """The ids of a stretch. ``last`` and ``score`` hold the window from ``base`` on."""
+        return self._merged_path(text) if self.kind == BPE else self._best_path(text)
+
+    def _merged_path(self, text: str) -> list[int]:
+        """The path whose neighbours all stand beside each other. ``last`` is the window from ``base`` on."""
+        if len(text) <= 4 * self.longest and self.single.issuperset(text):
+            return self._within_window(text)
+        out: list[int] = []
+        base, last, long = 0, [START], 4 * self.longest
+        known = self.neighbours.get
+        for end, (size, at) in self.matches.iter(text):
+            stop = end + 1 - base
+            while len(last) < stop:
+                last.append(LONE)
+            if len(last) == stop and size <= stop:
+                before = last[stop - size]
+                beside = known((before, at))
+                if beside or beside is None and self.beside(before, at):
+                    last.append(at)
+                    if stop >= long and (cut := self._converged(last)):
+                        out += self._path(last[: cut + 1], text, base)
+                        last, base = last[cut:], base + cut
+        last += [LONE] * (len(text) - base + 1 - len(last))
+        return out + self._path(last, text, base)
+
+    def _within_window(self, text: str) -> list[int]:
+        """The same for a text of known characters that the window holds whole."""
+        last: list[int | None] = [START] + [None] * len(text)
+        known, size = self.neighbours.get, self.size
+        for end, (length, at) in self.matches.iter(text):
+            if last[end + 1] is None:
+                before = last[end + 1 - length]
+                beside = known((before, at))
+                if beside or beside is None and self.beside(before, at):
+                    last[end + 1] = at
+        back, stop = [], len(text)
+        while stop:
+            back.append(last[stop])
+            stop -= size[last[stop]]
+        return back[::-1]
+
+    def _best_path(self, text: str) -> list[int]:
+        """The path of the highest sum of scores, with the longest last piece on ties."""
         out: list[int] = []
-        base, last, score = 0, [""], [0.0]
-        ids, scores, longest, bpe = self.ids, self.scores, self.longest, self.kind == BPE
-        for stop in range(1, len(text) + 1):
-            best, best_score = None, -np.inf
-            for start in range(max(base, stop - longest), stop):
-                piece = text[start:stop]
-                if piece not in ids and stop - start > 1:
-                    continue
-                before = last[start - base]
-                if before is None:
-                    continue
-                if bpe:
-                    if self.beside(before, piece) if before else self.alone(piece):
-                        best = piece
-                        break
-                elif (total := score[start - base] + scores.get(piece, self.least)) > best_score:
-                    best, best_score = piece, total
+        base, last, score, long = 0, [START], [0.0], 4 * self.longest
+        ends: dict[int, list[tuple[int, int]]] = {}
+        for end, match in self.matches.iter(text):
+            ends.setdefault(end, []).append(match)
+        for end in range(len(text)):
+            stop, best, best_score = end + 1 - base, LONE, -np.inf
+            for size, at in ends.pop(end, ()):
+                if size <= stop and (total := score[stop - size] + self.scores[self.text[at]]) > best_score:
+                    best, best_score = at, total
+            if text[end] not in self.ids and (total := score[stop - 1] + self.least) > best_score:
+                best, best_score = LONE, total
             last.append(best)
             score.append(best_score)
-            if stop - base >= 4 * longest:
-                cut = self._converged(last, base, stop)
-                if cut > base:
-                    out += self._path(last, base, cut)
-                    last, score, base = last[cut - base :], score[cut - base :], cut
-        return out + self._path(last, base, len(text))
-
-    def _converged(self, last: list[str | None], base: int, stop: int) -> int:
+            if stop >= long and (cut := self._converged(last)):
+                out += self._path(last[: cut + 1], text, base)
+                last, score, base = last[cut:], score[cut:], base + cut
+        return out + self._path(last, text, base)
+
+    def _converged(self, last: list[int]) -> int:
         """The last boundary on all paths that a later piece can continue."""
-        ends = {p for p in range(max(base, stop - self.longest + 1), stop + 1) if last[p - base] is not None}
+        ends = set(range(max(0, len(last) - self.longest), len(last)))
         while len(ends) > 1:
             latest = max(ends)
             ends.remove(latest)
-            ends.add(latest - len(last[latest - base]))
+            ends.add(latest - self.size[last[latest]])
         return ends.pop()
 
-    def _path(self, last: list[str | None], base: int, stop: int) -> list[int]:
-        pieces = []
-        while stop > base:
-            pieces.append(last[stop - base])
-            stop -= len(pieces[-1])
-        out: list[int] = []
-        for piece in reversed(pieces):
-            if piece in self.ids:
-                out.append(self.ids[piece])
+    def _path(self, last: list[int], text: str, base: int) -> list[int]:
+        """The ids that lead to the end of the window."""
+        back, stop = [], len(last) - 1
+        while stop > 0:
+            at = last[stop]
+            if at != LONE:
+                back.append(at)
             elif self.bytes:
-                out += [self.bytes[b] for b in piece.encode()]
-            elif not out or out[-1] != self.unknown:
-                out.append(self.unknown)
-        return out
+                back += [self.bytes[b] for b in reversed(text[base + stop - 1].encode())]
+            elif not back or back[-1] != self.unknown:
+                back.append(self.unknown)
+            stop -= self.size[at]
+        return back[::-1]
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if not text:
-            return []
-        marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
-        out: list[int] = []
-        cache, search = self.cache, self.search
-        for stretch in self.stretches.findall(marked):
-            out += cache[stretch] if len(stretch) <= SHORT else search(stretch)
-        return out
+            return np.zeros(0, self.kept_as)
+        marked = (" " if self.prefix else "") + text.replace(MARK, " ")
+        return np.frombuffer(b"".join(map(self.cache.__getitem__, self.stretches.findall(marked))), self.kept_as)
 
-    def decode(self, ids: list[int | None]) -> str:
+    def decode(self, ids) -> str:
         surface, size = self.surface, len(self.surface)
         try:
             raw = b"".join([surface[i] for i in ids])
@@ -227,16 +277,23 @@ class Vocabulary:
 
 
 class _Remembered(dict):
-    """Ids of short stretches."""
+    """Ids of short stretches, as bytes; those of the last two spells are kept."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
-
-    def __missing__(self, stretch: str) -> list[int]:
-        if len(self) > REMEMBERED:
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        ids = self.older.get(stretch)
+        if ids is None:
+            ids = array(self.vocabulary.kept_as, self.vocabulary.search(stretch)).tobytes()
+        if len(stretch) > SHORT:
+            return ids
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        ids = self[stretch] = self.vocabulary.search(stretch)
+        self[stretch] = ids
         return ids
 
 
@@ -259,10 +316,10 @@ def encoded(text: Column, model: bytes) -> Column:
     @arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         words = vocabulary(model)
-        lists = [np.array(words.encode(t.as_py() or ""), dtype=np.int32) for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(ids) for ids in lists])]).astype(np.int32)
-        values = np.concatenate(lists) if lists else np.array([], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+        lists = [words.encode(t or "") for t in texts.to_pylist()]
+        offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+        values = np.concatenate([*lists, np.zeros(0, np.int32)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
     return encode(text)
 
