@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources.storage import stored
 from .common import body
 from .components import components
+from .membership import membership
 
 WORDS = 4
 SIMILAR = 80
@@ -57,7 +58,7 @@ PART_ROWS = 1024
 PART_SHINGLES = 1 << 20
 GROUP_SHINGLES = 1 << 18
 COLUMNS = 2048
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _RANDOM = np.random.default_rng(5)
 FACTORS = (_RANDOM.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -325,7 +326,9 @@ def with_shingles(docs: DataFrame, wanted: DataFrame, key: str, text: str, size:
             columns = {n: batch.column(n) for n in ("hood", "parts", "node")} | {"shingles": pa.array(sets, pa.binary())}
             yield pa.RecordBatch.from_pydict(columns).filter(pa.array(right, pa.bool_()))
 
-    rows = docs.select(F.col(key).cast("long").alias("least"), body(text).cast("binary").alias("text"))
+    # Texts of rows without candidates stay out of the shuffle.
+    rows = docs.where(membership(wanted.select("least"))(F.col(key)))
+    rows = rows.select(F.col(key).cast("long").alias("least"), body(text).cast("binary").alias("text"))
     joined = rows.join(wanted, "least").select("hood", "parts", "node", "same", "text")
     return joined.mapInArrow(cut, "hood long, parts long, node long, shingles binary").dropDuplicates(["node"])
 
