@@ -14,21 +14,31 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from duecast.llm import line_dedup, mixing, near_dedup, pieces, toxicity
 from duecast.llm.common import body, table
+from duecast.llm.membership import membership
 from duecast.sources.storage import stored
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """Documents as one column, beside those that operators read: no name of theirs is lost."""
+    return docs.select(F.struct("*").alias("document"), "doc_id", "text", "source")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.scored(docs, model, with_passages=False)
-    return scored.where("score < 0.5").select(*docs.columns)
+    scored = toxicity.scored(carried(docs), model, with_passages=False)
+    return scored.where("score < 0.5").select("document.*")
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them; ``n_chars`` follows the text."""
-    kept = line_dedup.drop_lines(docs)
-    n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    return kept.withColumn("n_chars", n_chars).select(*docs.columns)
+    kept = line_dedup.drop_lines(carried(docs))
+    own = lambda name: F.col("document").getField(name)
+    changed = {
+        "text": F.col("text"),
+        "n_chars": F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(own("n_chars")),
+    }
+    return kept.select(*[changed.get(c, own(c)).alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,18 +48,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     gone = near_dedup.link(docs, size=5).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     gone = stored(gone, "near_copies")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti").select(*docs.columns)
+    maybe = membership(gone)(F.col("doc_id"))
+    checked = docs.where(maybe)
+    checked = checked.join(gone, checked["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    return docs.where(~maybe).unionByName(checked.select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of the sources takes it."""
-    return mixing.copied(mixing.mix(docs), docs.columns)
+    return mixing.copied(mixing.mix(carried(docs)), ["document"]).select("document.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document, after a check that they decode to its text."""
     model = pieces.model_bytes()
-    coded = docs.withColumn("ids", pieces.encoded(F.col("text"), model))
+    coded = docs.select("doc_id", "source", "lang", "text", pieces.encoded(F.col("text"), model).alias("ids"))
     same = pieces.decoded(F.col("ids"), model) == body("text")
     return coded.select("doc_id", "source", "lang", F.size("ids").alias("n_tokens"), "ids", same.alias("round_trip"))
 
