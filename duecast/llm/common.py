@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -20,6 +22,22 @@ SETTINGS = {
 }
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def holding(owner: str, clear: Callable[[], None]) -> None:
+    """Says that a Python worker remembers things for ``owner``; what it held for others goes.
+
+    Workers outlive their tasks, so a job of several operators would otherwise
+    carry the memory of all of them along.
+    """
+    if owner not in _HELD:
+        for let_go in _HELD.values():
+            let_go()
+        _HELD.clear()
+        _HELD[owner] = clear
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.storage import stored
-from .common import body
+from .common import body, holding
 from .components import components
 from .membership import membership
 
@@ -87,6 +87,7 @@ def shingles(words: list[bytes], size: int = WORDS) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     hashes = np.fromiter(map(WORD_HASH.__getitem__, words), np.uint64, len(words))
+    holding("near_dedup", WORD_HASH.clear)
     count = min(size, len(words))
     mixed = np.full(len(words) - count + 1, count, np.uint64)
     for i in range(count):

@@ -28,6 +28,7 @@ formats without a character map are read; others are refused.
 from __future__ import annotations
 
 import functools
+import gc
 import re
 import struct
 from array import array
@@ -39,6 +40,8 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import arrow_udf
 
+from .common import holding
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 REMEMBERED = 250_000
@@ -298,10 +301,21 @@ class _Remembered(dict):
 
 
 @functools.lru_cache(maxsize=2)
-def vocabulary(model: bytes) -> Vocabulary:
+def _read(model: bytes) -> Vocabulary:
     return Vocabulary(model)
 
 
+def _forget() -> None:
+    _read.cache_clear()
+    # A vocabulary and what it remembers refer to each other.
+    gc.collect()
+
+
+def vocabulary(model: bytes) -> Vocabulary:
+    holding("pieces", _forget)
+    return _read(model)
+
+
 def model_bytes(path: str = MODEL) -> bytes:
     """The model file, read by the driver; tasks get its bytes, which its size bounds."""
     with open(path, "rb") as file:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import stored
-from .common import body, kept, packed, uniform, unpacked
+from .common import body, holding, kept, packed, uniform, unpacked
 
 LABELLED_ROWS = 200_000
 FOLDS = 5
@@ -82,6 +82,7 @@ BUCKET = _Buckets()
 
 
 def buckets(text: str) -> np.ndarray:
+    holding("toxicity", BUCKET.clear)
     words = TOKEN.findall(text.lower())
     return np.fromiter(map(BUCKET.__getitem__, words), np.int32, len(words))
 
