@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -25,6 +28,15 @@ SETTINGS = {
 _HELD: dict[str, Callable[[], None]] = {}
 
 
+def _returned() -> None:
+    """Gives memory that is free inside this worker back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def holding(owner: str, clear: Callable[[], None]) -> None:
     """Says that a Python worker remembers things for ``owner``; what it held for others goes.
 
@@ -36,6 +48,7 @@ def holding(owner: str, clear: Callable[[], None]) -> None:
             let_go()
         _HELD.clear()
         _HELD[owner] = clear
+        _returned()
 
 
 def prepared(spark: SparkSession) -> SparkSession:

@@ -28,7 +28,6 @@ formats without a character map are read; others are refused.
 from __future__ import annotations
 
 import functools
-import gc
 import re
 import struct
 from array import array
@@ -44,7 +43,7 @@ from .common import holding
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 """Short stretches that a worker remembers of each of two spells."""
 NEIGHBOURS = 400_000
 """Pairs of pieces that a worker remembers before it starts anew."""
@@ -305,14 +304,8 @@ def _read(model: bytes) -> Vocabulary:
     return Vocabulary(model)
 
 
-def _forget() -> None:
-    _read.cache_clear()
-    # A vocabulary and what it remembers refer to each other.
-    gc.collect()
-
-
 def vocabulary(model: bytes) -> Vocabulary:
-    holding("pieces", _forget)
+    holding("pieces", _read.cache_clear)
     return _read(model)
 
 
