@@ -1,9 +1,12 @@
 """Removal of passages that stand elsewhere already.
 
 Every run of ``RUN`` consecutive sentences is hashed, and shorter runs that have
-``LONG_WORDS`` words already. A run is repeated if another place in the corpus
-has the same run; its first place, by identifier and offset, stays, and sentences
-covered by any other place are removed.
+``LONG_WORDS`` words already. So are stretches of ``LONG_WORDS`` words wherever
+sentences end: of any ``WINDOW`` that start at words in a row the one of least
+hash. What is chosen depends on those words alone, so every repeat of
+``SURE_WORDS`` words holds a stretch that is chosen at both places. A run is
+repeated if another place in the corpus has the same run; its first place, by
+identifier and offset, stays, and what any other place covers is removed.
 
 Runs are counted by a 64-bit hash, a shuffle of hashes alone. Only runs of repeated
 hashes then travel with their places, are told apart by a second hash and meet
@@ -37,8 +40,13 @@ from .common import packed, unpacked
 RUN = 3
 LONG_WORDS = 40
 LEAST_WORDS = 12
+SURE_WORDS = 50
+WINDOW = SURE_WORDS - LONG_WORDS + 1
+WORDS_HELD = 1 << 18
+SPACES = np.array([c for c in range(0x3001) if chr(c).isspace()], np.uint32)
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
 MIX = (np.random.default_rng(1).integers(0, 1 << 63, 2 * RUN + 2, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+BASE = [int(m) for m in MIX[2 * RUN :]]
 
 
 def sentences(text: str) -> list[str]:
@@ -46,6 +54,54 @@ def sentences(text: str) -> list[str]:
     return SENTENCE.findall(text)
 
 
+class Digests(dict):
+    """The two hashes of words, in any letter case; forgotten when they are many."""
+
+    def __missing__(self, word: str) -> tuple[int, int]:
+        if len(self) >= WORDS_HELD:
+            self.clear()
+        d = xxhash.xxh3_128_intdigest(word.lower().encode("utf-8", "surrogatepass"))
+        self[word] = pair = (d & 0xFFFFFFFFFFFFFFFF, d >> 64)
+        return pair
+
+
+_DIGESTS = Digests()
+
+
+def spans(digests: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
+    """A hash of the digests from each start up to its stop."""
+    powers = np.full(len(digests) + 1, base, np.uint64)
+    inverse = np.full(len(digests) + 1, pow(base, -1, 1 << 64), np.uint64)
+    powers[0] = inverse[0] = 1
+    powers, inverse = np.cumprod(powers), np.cumprod(inverse)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(digests * powers[:-1], dtype=np.uint64)])
+    out = (sums[stops] - sums[starts]) * inverse[starts]
+    out = (out ^ (out >> np.uint64(32)) ^ (stops - starts).astype(np.uint64)) * MIX[0]
+    return out ^ (out >> np.uint64(31))
+
+
+def stretches(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, second hash, first character, end) of the chosen stretches of words of a text.
+
+    White space after a stretch goes with it.
+    """
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = np.isin(points, SPACES)
+    begins = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])) if len(points) else np.zeros(0, np.int64)
+    places = len(begins) - LONG_WORDS + 1
+    if places < WINDOW:
+        none = np.zeros(0, np.uint64)
+        return none, none, begins[:0], begins[:0]
+    pairs = np.array([_DIGESTS[w] for w in text.split()], np.uint64)
+    starts = np.arange(places)
+    one = spans(pairs[:, 0], starts, starts + LONG_WORDS, BASE[0])
+    least = np.lib.stride_tricks.sliding_window_view(one, WINDOW).argmin(axis=1)
+    chosen = np.unique(least + np.arange(len(least)))
+    two = spans(pairs[:, 1], chosen, chosen + LONG_WORDS, BASE[1])
+    bounds = np.append(begins, len(points))
+    return one[chosen], two, begins[chosen], bounds[chosen + LONG_WORDS]
+
+
 def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, second hash, first character, end) of every run of a text."""
     parts = sentences(text)
@@ -60,7 +116,7 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     low = np.array([d & 0xFFFFFFFFFFFFFFFF for d in digests], dtype=np.uint64)
     high = np.array([d >> 64 for d in digests], dtype=np.uint64)
     begins, stops = ends[real] if real else ends[:0], ends[1:][real] if real else ends[:0]
-    found = []
+    found = [stretches(text)]
     sums = np.concatenate([[0], np.cumsum(count)])
     for size in range(1, RUN + 1):
         starts = len(real) - size + 1
@@ -76,7 +132,7 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             two ^= two >> np.uint64(31)
         kept = total >= least
         found.append((one[kept], two[kept], begins[:starts][kept], stops[size - 1 :][kept]))
-    return tuple(np.concatenate(c) for c in zip(*found)) if found else (low[:0], low[:0], ends[:0], ends[:0])
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def hashed(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -73,6 +74,42 @@ def test_passage_of_one_long_sentence(spark):
     assert all(long in rows[r["doc_id"]][1][r["begin"] : r["stop"]] for r in found)
 
 
+def windows_met_before(texts, size=50, distinct=20):
+    """For each text the word ranges of its windows that an earlier text has, by brute force."""
+    seen, found = set(), []
+    for text in texts:
+        words = text.lower().split()
+        own = [(i, tuple(words[i : i + size])) for i in range(len(words) - size + 1)]
+        found.append([i for i, w in own if w in seen and len(set(w)) >= distinct])
+        seen.update(w for _, w in own)
+    return found
+
+
+def word_starts(text):
+    return [m.start() for m in re.finditer(r"\S+", text)]
+
+
+def test_passages_inside_long_sentences(spark):
+    rng = random.Random(5)
+    some = lambda n: [rng.choice(awkward.VOCABULARY) for _ in range(n)]
+    shared = some(50)
+    cut = some(19) + ["end."] + some(9) + ["end."] + some(20)
+    texts = [" ".join(some(30 + i) + shared + some(40 - i)) + "." for i in range(4)]
+    texts += [" ".join(some(5 + i) + cut + some(9 - i)) + ".\n" + awkward.prose(rng, 4) for i in range(4)]
+    texts += [" ".join(some(30) + [" ".join(shared).upper()] + some(3))]
+    rows = list(enumerate(texts))
+    got = defaultdict(set)
+    for r in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r["doc_id"]] |= set(range(r["begin"], r["stop"]))
+    met = windows_met_before(texts)
+    assert [len(m) for m in met] == [0, 1, 1, 1, 0, 1, 1, 1, 1]
+    for doc, at in enumerate(met):
+        starts = word_starts(texts[doc])
+        inside = {i for i in at for i in range(i, i + 50)}
+        gone = {i for i, c in enumerate(starts) if c in got[doc]}
+        assert gone <= inside and len(gone) >= 40 * bool(at)
+
+
 def brute_segments(scores):
     """Maximal segments by their definition: the best one, then left and right of it."""
     if not len(scores):
