@@ -15,7 +15,9 @@ counted by partial sums, and its join is split by adaptive execution.
 
 Sentences end after ``.``, ``!``, ``?`` or a line end; they are equal if their
 words are, in any letter case. Runs of fewer than ``LEAST_WORDS`` words are too
-common to mean anything and are not hashed.
+common to mean anything; they are extended, once forwards and once backwards,
+until they have as many. So every sentence of a repeated passage of three
+sentences and ``LEAST_WORDS`` words lies in a run within the passage.
 
 Cases: null and empty texts and rows without identifier keep all they have and
 are never a first place; rows that share an identifier and text are one place;
@@ -43,10 +45,10 @@ LEAST_WORDS = 12
 SURE_WORDS = 50
 WINDOW = SURE_WORDS - LONG_WORDS + 1
 WORDS_HELD = 1 << 18
-SPACES = np.array([c for c in range(0x3001) if chr(c).isspace()], np.uint32)
+SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
-MIX = (np.random.default_rng(1).integers(0, 1 << 63, 2 * RUN + 2, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-BASE = [int(m) for m in MIX[2 * RUN :]]
+MIX = (np.random.default_rng(1).integers(0, 1 << 63, 5, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+BASE = [int(m) for m in MIX[1:]]
 
 
 def sentences(text: str) -> list[str]:
@@ -57,11 +59,10 @@ def sentences(text: str) -> list[str]:
 class Digests(dict):
     """The two hashes of words, in any letter case; forgotten when they are many."""
 
-    def __missing__(self, word: str) -> tuple[int, int]:
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS_HELD:
             self.clear()
-        d = xxhash.xxh3_128_intdigest(word.lower().encode("utf-8", "surrogatepass"))
-        self[word] = pair = (d & 0xFFFFFFFFFFFFFFFF, d >> 64)
+        self[word] = pair = xxhash.xxh3_128_digest(word.lower().encode("utf-8", "surrogatepass"))
         return pair
 
 
@@ -86,13 +87,13 @@ def stretches(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     White space after a stretch goes with it.
     """
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    blank = np.isin(points, SPACES)
+    blank = SPACE[np.minimum(points, len(SPACE) - 1)]
     begins = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])) if len(points) else np.zeros(0, np.int64)
     places = len(begins) - LONG_WORDS + 1
     if places < WINDOW:
         none = np.zeros(0, np.uint64)
         return none, none, begins[:0], begins[:0]
-    pairs = np.array([_DIGESTS[w] for w in text.split()], np.uint64)
+    pairs = np.frombuffer(b"".join(map(_DIGESTS.__getitem__, text.split())), np.uint64).reshape(-1, 2)
     starts = np.arange(places)
     one = spans(pairs[:, 0], starts, starts + LONG_WORDS, BASE[0])
     least = np.lib.stride_tricks.sliding_window_view(one, WINDOW).argmin(axis=1)
@@ -103,7 +104,7 @@ def stretches(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 
 def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, second hash, first character, end) of every run of a text."""
+    """(hash, second hash, first character, end) of every run and chosen stretch of a text."""
     parts = sentences(text)
     lengths = [0]
     lengths += [len(p) for p in parts]
@@ -112,27 +113,29 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     # White space between sentences belongs to no run of its own.
     real = [i for i, w in enumerate(words) if w]
     count = np.array([len(words[i]) for i in real], dtype=np.int64)
-    digests = [xxhash.xxh3_128_intdigest(" ".join(words[i]).encode("utf-8", "surrogatepass")) for i in real]
-    low = np.array([d & 0xFFFFFFFFFFFFFFFF for d in digests], dtype=np.uint64)
-    high = np.array([d >> 64 for d in digests], dtype=np.uint64)
-    begins, stops = ends[real] if real else ends[:0], ends[1:][real] if real else ends[:0]
-    found = [stretches(text)]
-    sums = np.concatenate([[0], np.cumsum(count)])
-    for size in range(1, RUN + 1):
-        starts = len(real) - size + 1
-        if starts <= 0:
-            break
-        total = sums[size:] - sums[:starts]
-        least = LEAST_WORDS if size == RUN else LONG_WORDS
-        one, two = np.full(starts, size, np.uint64), np.full(starts, size, np.uint64)
-        for i in range(size):
-            one = (one ^ low[i : starts + i]) * MIX[i]
-            one ^= one >> np.uint64(31)
-            two = (two ^ high[i : starts + i]) * MIX[RUN + i]
-            two ^= two >> np.uint64(31)
-        kept = total >= least
-        found.append((one[kept], two[kept], begins[:starts][kept], stops[size - 1 :][kept]))
-    return tuple(np.concatenate(c) for c in zip(*found))
+    digests = [xxhash.xxh3_128_digest(" ".join(words[i]).encode("utf-8", "surrogatepass")) for i in real]
+    pairs = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+    begins, stops = ends[:-1][real], ends[1:][real]
+    first, last = sentence_runs(count)
+    one, two = spans(pairs[:, 0], first, last, BASE[2]), spans(pairs[:, 1], first, last, BASE[3])
+    return tuple(np.concatenate(c) for c in zip((one, two, begins[first], stops[last - 1]), stretches(text)))
+
+
+def sentence_runs(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence and the one after the last of every run, from the words of the sentences."""
+    n = len(count)
+    sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(count)])
+    at = np.arange(n + 1)
+    found = [(at[:-size], at[size:]) for size in range(1, min(RUN, n + 1))]
+    found = [(a[sums[b] - sums[a] >= LONG_WORDS], b[sums[b] - sums[a] >= LONG_WORDS]) for a, b in found]
+    ahead = np.maximum(at + RUN, np.searchsorted(sums, sums + LEAST_WORDS, "left"))
+    found.append((at[ahead <= n], ahead[ahead <= n]))
+    back = np.minimum(at - RUN, np.searchsorted(sums, sums - LEAST_WORDS, "right") - 1)
+    # A run that needed no more words was found from its first sentence.
+    new = (back >= 0) & (ahead[np.maximum(back, 0)] != at)
+    found.append((back[new], at[new]))
+    first, last = (np.concatenate(c) for c in zip(*found))
+    return first, last
 
 
 def hashed(docs: DataFrame, key: str, text: str) -> DataFrame:

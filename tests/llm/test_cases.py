@@ -110,6 +110,23 @@ def test_passages_inside_long_sentences(spark):
         assert gone <= inside and len(gone) >= 40 * bool(at)
 
 
+def test_passages_of_short_sentences(spark):
+    rng = random.Random(6)
+    some = lambda n: [rng.choice(awkward.VOCABULARY) for _ in range(n)]
+    menu = "".join(" ".join(some(rng.choice([1, 1, 2, 3]))) + rng.choice([".", "!", "\n"]) + " " for _ in range(30))
+    short = "Yes. No. Yes. "
+    ends = "".join(" ".join(some(n)) + ". " for n in (5, 4, 4, 1))
+    texts = [awkward.prose(rng, 4) + "\n" + part + awkward.prose(rng, 4) for part in (menu, short, ends) for _ in "ab"]
+    rows = list(enumerate(texts))
+    got = defaultdict(set)
+    for r in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r["doc_id"]] |= set(range(r["begin"], r["stop"]))
+    assert set(got) == {1, 5}
+    for doc, part in ((1, menu), (5, ends)):
+        at = texts[doc].index(part)
+        assert got[doc] == set(range(at, at + len(part)))
+
+
 def brute_segments(scores):
     """Maximal segments by their definition: the best one, then left and right of it."""
     if not len(scores):
