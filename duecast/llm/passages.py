@@ -8,8 +8,8 @@ hash. What is chosen depends on those words alone, so every repeat of
 repeated if another place in the corpus has the same run; its first place, by
 identifier and offset, stays, and what any other place covers is removed.
 
-Runs are counted by a 64-bit hash, a shuffle of hashes alone. Only runs of repeated
-hashes then travel with their places, are told apart by a second hash and meet
+Runs are counted by a 64-bit hash, a shuffle of hashes alone. Only runs that a filter
+of the repeated hashes lets through then travel with their places, are told apart by a second hash and meet
 their first place in a join. A passage that a third of all documents share is
 counted by partial sums, and its join is split by adaptive execution.
 
@@ -20,7 +20,8 @@ until they have as many. So every sentence of a repeated passage of three
 sentences and ``LEAST_WORDS`` words lies in a run within the passage.
 
 Cases: null and empty texts and rows without identifier keep all they have and
-are never a first place; rows that share an identifier and text are one place;
+are never a first place; rows that share an identifier and text are one place,
+those that share an identifier alone are places of their own;
 a passage that repeats within a document is removed from its second place on;
 other columns pass through; an empty table stays empty.
 """
@@ -38,6 +39,7 @@ from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import stored
 from .common import packed, unpacked
+from .membership import membership
 
 RUN = 3
 LONG_WORDS = 40
@@ -138,60 +140,69 @@ def sentence_runs(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, last
 
 
+DOCUMENT = ["doc_id", "text_digest"]
+
+
+def identity(key: Column, text: Column) -> tuple[Column, Column]:
+    """What tells documents apart: the identifier, and the text where rows share one."""
+    return key.cast("long"), F.xxhash64(text)
+
+
 def hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(run, check, doc_id, begin, stop) of all runs."""
+    """(run, check, doc_id, text_digest, begin, stop) of all runs."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, columns = [], []
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = runs(body)
-                ids.append(np.full(len(found[0]), doc, np.int64))
-                columns.append(found)
-            if ids:
+            columns = [runs(body) for body in batch.column(2).to_pylist()]
+            if columns:
+                sizes = [len(c[0]) for c in columns]
                 run, check, begin, stop = (np.concatenate(c) for c in zip(*columns))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(run.view(np.int64)),
                         pa.array(check.view(np.int64)),
-                        pa.array(np.concatenate(ids)),
+                        pa.array(np.repeat(np.asarray(batch.column(0)), sizes)),
+                        pa.array(np.repeat(np.asarray(batch.column(1)), sizes)),
                         pa.array(begin.astype(np.int32)),
                         pa.array(stop.astype(np.int32)),
                     ],
-                    names=["run", "check", "doc_id", "begin", "stop"],
+                    names=["run", "check", "doc_id", "text_digest", "begin", "stop"],
                 )
 
     rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull())
-    rows = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(cut, "run long, check long, doc_id long, begin int, stop int")
+    own = [c.alias(name) for c, name in zip(identity(F.col(key), F.col(text)), DOCUMENT)]
+    rows = rows.select(*own, F.col(text).alias("text")).where("doc_id IS NOT NULL")
+    return rows.mapInArrow(cut, "run long, check long, doc_id long, text_digest long, begin int, stop int")
 
 
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, begin, stop, first_doc_id, first_begin): the passages that stand elsewhere already.
+    """(doc_id, text_digest, begin, stop, first_doc_id, first_begin): the passages that stand elsewhere already.
 
     Overlapping runs are one passage; its first place is that of its first run.
     """
     places = stored(hashed(docs, key, text), "runs")
     twice = places.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run")
-    again = stored(places.join(twice, "run", "left_semi"), "repeated_runs")
-    first = again.groupBy("run", "check").agg(F.min(F.struct("doc_id", "begin")).alias("first"))
-    later = again.join(first, ["run", "check"]).where(F.struct("doc_id", "begin") > F.col("first"))
-    later = later.select("doc_id", "begin", "stop", "first")
-    before = Window.partitionBy("doc_id").orderBy("begin", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    twice = stored(twice, "repeated_hashes")
+    suspects = places.where(membership(twice)(F.col("run")))
+    again = stored(suspects.join(twice, "run", "left_semi"), "repeated_runs")
+    first = again.groupBy("run", "check").agg(F.min(F.struct(*DOCUMENT, "begin")).alias("first"))
+    later = again.join(first, ["run", "check"]).where(F.struct(*DOCUMENT, "begin") > F.col("first"))
+    later = later.select(*DOCUMENT, "begin", "stop", "first")
+    before = Window.partitionBy(*DOCUMENT).orderBy("begin", "stop").rowsBetween(Window.unboundedPreceding, -1)
     apart = later.withColumn("reach", F.max("stop").over(before)).withColumn(
         "new", (F.col("reach").isNull() | (F.col("begin") > F.col("reach"))).cast("int")
     )
-    upto = Window.partitionBy("doc_id").orderBy("begin", "stop").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*DOCUMENT).orderBy("begin", "stop").rowsBetween(Window.unboundedPreceding, 0)
     return (
         apart.withColumn("passage", F.sum("new").over(upto))
-        .groupBy("doc_id", "passage")
+        .groupBy(*DOCUMENT, "passage")
         .agg(
             F.min("begin").alias("begin"),
             F.max("stop").alias("stop"),
             F.min(F.struct("begin", "first"))["first"].alias("first"),
         )
         .select(
-            "doc_id",
+            *DOCUMENT,
             "begin",
             "stop",
             F.col("first.doc_id").alias("first_doc_id"),
@@ -219,15 +230,29 @@ def without(text: Column, passages: Column) -> Column:
     return cut(text, passages)
 
 
-def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the repeated passages; only documents that lose something are rewritten."""
-    found = repeated(docs, key, text).groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_list(F.struct("begin", "stop")).alias("_passages")
+def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, passages, kept) of every document: its columns, what is removed (null if nothing), the text that stays.
+
+    Only documents that may lose something are shuffled.
+    """
+    found = repeated(docs, key, text).groupBy(*DOCUMENT).agg(
+        F.sort_array(F.collect_list(F.struct("begin", "stop"))).alias("passages")
     )
-    own = F.col("row").getField(key).cast("long")
-    joined = packed(docs, docs.columns).join(stored(found, "passages"), own == F.col("_doc"), "left")
-    after = without(F.col("row").getField(text), F.col("_passages"))
-    joined = joined.withColumn("_after", after)
-    return joined.select(
-        *[F.col("_after").alias(c) if c == text else column for c, column in zip(docs.columns, unpacked(docs.columns))]
+    found = stored(found, "passages")
+    rows = packed(docs, docs.columns)
+    own = identity(F.col("row").getField(key), F.col("row").getField(text))
+    maybe = membership(found.select("doc_id").distinct())(own[0])
+    same = (own[0] == F.col("doc_id")) & (own[1] == F.col("text_digest"))
+    touched = rows.where(maybe).join(found, same, "left").select("row", "passages")
+    touched = touched.withColumn("kept", without(F.col("row").getField(text), F.col("passages")))
+    nothing = F.lit(None).cast(found.schema["passages"].dataType)
+    rest = rows.where(~maybe).select("row", nothing.alias("passages"), F.col("row").getField(text).alias("kept"))
+    return rest.unionByName(touched)
+
+
+def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the repeated passages."""
+    after = cleaned(docs, key, text)
+    return after.select(
+        *[F.col("kept").alias(c) if c == text else column for c, column in zip(docs.columns, unpacked(docs.columns))]
     )

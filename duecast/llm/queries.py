@@ -8,6 +8,13 @@ from . import fingerprints, line_dedup, mixing, near_dedup, passages, pieces, sh
 from .common import body, table
 
 
+def op1_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document: the passages it loses and the digest of the text that stays."""
+    return passages.cleaned(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "row.doc_id", "passages", F.sha2(body("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated(table(spark, sf_dir, "documents"))
 
@@ -156,6 +163,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_removal": op1_removal,
     "op1_passages": op1_passages,
     "op2_toxicity": op2_toxicity,
     "op3_sharding": op3_sharding,

@@ -127,6 +127,20 @@ def test_passages_of_short_sentences(spark):
         assert got[doc] == set(range(at, at + len(part)))
 
 
+def test_passages_of_documents_that_share_an_identifier(spark):
+    rng = random.Random(8)
+    shared, own, other = (awkward.prose(rng, 5) + "\n" for _ in range(3))
+    texts = [(1, shared + own), (2, other + shared), (2, awkward.prose(rng, 20)), (2, None), (None, shared)]
+    twin = awkward.prose(rng, 5)
+    texts += [(5, twin + " First."), (5, twin + " Second."), (5, twin + " Second.")]
+    after = passages.remove(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    left = Counter((r["doc_id"], r["text"]) for r in after)
+    assert left[2, other] == 1
+    assert all(left[t] == 1 for t in texts[:1] + texts[2:5])
+    fives = sorted(t for i, t in left.elements() if i == 5)
+    assert fives in (sorted([texts[5][1], "Second.", "Second."]), sorted(["First.", texts[6][1], texts[7][1]]))
+
+
 def brute_segments(scores):
     """Maximal segments by their definition: the best one, then left and right of it."""
     if not len(scores):

@@ -47,6 +47,21 @@ def test_passages_by_brute_force(spark, small, documents):
     assert got == covered and covered
 
 
+def test_every_document_without_its_passages(spark, small, documents):
+    gone = defaultdict(list)
+    for row in QUERIES["op1_passages"](spark, small).collect():
+        gone[row["doc_id"]].append((row["begin"], row["stop"]))
+    rows = {r["doc_id"]: r for r in QUERIES["op1_removal"](spark, small).collect()}
+    assert sorted(rows) == [d["doc_id"] for d in documents] and gone
+    for d in documents:
+        text, found = d["text"] or "", sorted(gone[d["doc_id"]])
+        for begin, stop in reversed(found):
+            text = text[:begin] + text[stop:]
+        row = rows[d["doc_id"]]
+        assert [tuple(p) for p in row["passages"] or []] == found
+        assert row["kept_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_toxicity_on_held_out_documents(spark, small):
     rows = QUERIES["op2_toxicity"](spark, small.replace("sf0.001", "sf0.1"))
     labels = spark.read.parquet(small.replace("sf0.001", "sf0.1") + "/labels.parquet").where("toxic is not null")
