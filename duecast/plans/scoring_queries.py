@@ -6,12 +6,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import features, score
+from ..operators import features, forest, score
 from ..schemas import REQUEST
 from ..sources import derived, tables
 from ..sources.storage import scratch_path, stored
 from . import scoring, training
-from .model_queries import QUICK_GRID
 from .oracle_base import statement
 from .output import comparable, sql_columns
 from .session import cleaned, fact_table, full_fact_table
@@ -133,7 +132,7 @@ def score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train both models of every tenant, then answer all requests with them."""
     table = full_fact_table(spark, sf_dir)
     root = scratch_path(spark, "models")
-    training.run(table, root, QUICK_GRID, P, RUN)
+    training.run(table, root, forest.Grid(), P, RUN)
     snapshot = stored(features.feature_snapshot(table, features.partner_features(table)), "snapshot")
     return scoring.score_requests(requests(spark, sf_dir), snapshot, root, partly=True)
 

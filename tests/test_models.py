@@ -249,6 +249,24 @@ def test_forest_beats_the_majority(spark, small):
         training.latest_classifier(spark, root, 30)
 
 
+@pytest.mark.parametrize("name", ["train_classifier", "train_status", "score"])
+def test_registered_queries_search_the_full_grid(monkeypatch, spark, small, name):
+    from duecast.plans import training
+    from duecast.plans.catalog import QUERIES
+
+    class Asked(Exception):
+        pass
+
+    def asked(*args, **_):
+        raise Asked(next(a for a in args if isinstance(a, forest.Grid)))
+
+    monkeypatch.setattr(training, "train_classifiers", asked)
+    monkeypatch.setattr(training, "run", asked)
+    with pytest.raises(Asked) as found:
+        QUERIES[name](spark, small)
+    assert found.value.args[0] == forest.Grid()
+
+
 def making_time():
     from datetime import datetime
 
