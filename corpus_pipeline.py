@@ -44,14 +44,24 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of the least identifier stays.
 
+    Rows that repeat an identifier are told apart by their words; one of those equal in both stays.
     Here words are shingled by five, as in all stages on shingles.
     """
-    gone = near_dedup.link(docs, size=5).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = stored(gone, "near_copies")
-    maybe = membership(gone)(F.col("doc_id"))
-    checked = docs.where(maybe)
-    checked = checked.join(gone, checked["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    return docs.where(~maybe).unionByName(checked.select(*docs.columns))
+    found = near_dedup.linked(docs, size=5).where("same IS NOT NULL")
+    found = found.groupBy(F.col("doc_id").alias("_id"), F.col("same").alias("_same")).agg(
+        F.min("chosen").alias("chosen"), F.count("*").alias("n")
+    )
+    found = stored(found.where("NOT chosen OR n > 1"), "near_copies")
+    maybe = membership(found.select("_id").distinct())(F.col("doc_id"))
+    checked = docs.where(maybe).select(
+        F.struct("*").alias("document"),
+        F.col("doc_id").cast("long").alias("_id"),
+        near_dedup.word_digest(F.col("text")).alias("_same"),
+    )
+    others = checked.join(found, ["_id", "_same"], "left_anti").select("document.*")
+    repeated = checked.join(found.where("chosen"), ["_id", "_same"])
+    one = repeated.groupBy("_id", "_same").agg(F.min("document").alias("document")).select("document.*")
+    return docs.where(~maybe).unionByName(others).unionByName(one)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,7 +37,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import stored
 from .common import body, holding
@@ -162,6 +163,17 @@ def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return rows.mapInArrow(sketch, "doc_id long, same binary, n_shingles long, sketch binary")
 
 
+def word_digest(text: Column) -> Column:
+    """The digest ``same`` of a text."""
+
+    @arrow_udf("binary")
+    def digest(texts: pa.Array) -> pa.Array:
+        words = (words_of(data) for data in texts.to_pylist())
+        return pa.array([xxhash.xxh3_128_digest(b" ".join(w)) if len(w) else None for w in words], pa.binary())
+
+    return digest(body(text).cast("binary"))
+
+
 def candidates(sets: DataFrame) -> DataFrame:
     """(u, v): rows of (node, n_shingles, sketch) and leaders that are not far from them."""
 
@@ -336,6 +348,14 @@ def with_shingles(docs: DataFrame, wanted: DataFrame, key: str, text: str, size:
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
+    return linked(docs, key, text, size).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS) -> DataFrame:
+    """What ``link`` returns, the digest ``same`` of the words, and ``chosen``: kept, and of the least words.
+
+    Rows that repeat an identifier may all be kept; in each component those with one digest are chosen.
+    """
     rows = stored(sketched(docs, key, text, size), "sketches")
     classes = rows.where("same is not null").groupBy("same").agg(
         F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
@@ -361,8 +381,9 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
     found = components(links)
     named = sets.select("same", "node", "least").join(found, "node", "left")
     named = stored(named.select("same", "least", F.coalesce("component", "node").alias("root")), "class_roots")
-    first = named.groupBy("root").agg(F.min("least").alias("_component"))
-    named = stored(named.join(first, "root").select("same", "_component"), "class_components")
+    first = named.groupBy("root").agg(F.min(F.struct("least", "same")).alias("first"))
+    shown = ["same", F.col("first.least").alias("_component"), (F.col("same") == F.col("first.same")).alias("_first")]
+    named = stored(named.join(first, "root").select(*shown), "class_components")
     joined = rows.drop("sketch").join(named, "same", "left")
     component = F.coalesce(F.col("_component"), F.col("doc_id"))
     return joined.select(
@@ -370,4 +391,6 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+        "same",
+        F.coalesce((component == F.col("doc_id")) & F.col("_first"), F.lit(True)).alias("chosen"),
     )

@@ -592,3 +592,18 @@ def test_pipeline_stages(spark, small, docs, none):
     assert rows.where("not round_trip").isEmpty()
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, small).count() == 0
+
+
+def test_near_copies_that_share_an_identifier(spark, docs, none):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    copied, alone, twice, more = (awkward.prose(rng, 20) for _ in range(4))
+    near = lambda text: text.replace(" ", " changed ", 1)
+    rows = [(3, copied), (7, alone), (7, near(copied)), (8, twice), (8, twice), (9, more), (9, near(more)), (9, None), (9, None)]
+    rows += [(None, copied), (None, copied), (10, near(twice))]
+    after = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    left = Counter((r["doc_id"], r["text"]) for r in after.collect())
+    assert left[9, more] + left[9, near(more)] == 1
+    left = Counter({k: n for k, n in left.items() if k[0] != 9 or k[1] is None})
+    assert left == Counter([(3, copied), (7, alone), (8, twice), (9, None), (9, None), (None, copied), (None, copied)])
