@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, line_dedup, mixing, near_dedup, passages, pieces, sharding, top_k, toxicity, warc
+from . import (
+    fingerprints,
+    lexical,
+    line_dedup,
+    mixing,
+    near_dedup,
+    passages,
+    pieces,
+    prefix_trie,
+    sharding,
+    subspace,
+    top_k,
+    toxicity,
+    warc,
+)
 from .common import body, table
 
 
@@ -162,6 +176,128 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with turns of their family's first one."""
+    return prefix_trie.trie(*prefix_trie.borrowed(prefix_trie.numbered(table(spark, sf_dir, "conversations"))))
+
+
+OP11_SQL = """
+WITH turns AS (
+  SELECT conv_id, length(coalesce(text, '')) AS chars,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
+         turn FROM conversations WHERE conv_id IS NOT NULL
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS pos FROM turns
+),
+crc AS (
+  SELECT conv_id, xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda s, k: xor(s >> 1, 3988292384 * (s & 1)), xor(c, b)), 4294967295), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM placed)
+),
+own AS (SELECT conv_id, count(*) AS n FROM placed GROUP BY conv_id),
+plan AS (
+  SELECT c.conv_id, c.h, c.conv_id - c.conv_id % 100 AS base, least(c.h, coalesce(b.n, 0)) AS taken
+  FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+),
+rebuilt AS (
+  SELECT p.conv_id, t.pos AS depth, t.d, t.chars FROM plan p JOIN placed t ON t.conv_id = p.base AND t.pos <= p.h
+  UNION ALL
+  SELECT p.conv_id, t.pos - p.h + p.taken, t.d, t.chars FROM plan p JOIN placed t ON t.conv_id = p.conv_id AND t.pos > p.h
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM plan
+),
+paths AS (
+  SELECT conv_id, depth, chars, md5(string_agg(d, ' ') OVER (PARTITION BY conv_id ORDER BY depth)) AS key,
+         max(depth) OVER (PARTITION BY conv_id) AS length
+  FROM rebuilt
+),
+over_paths AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM paths),
+nodes AS (
+  SELECT key, depth, parent, chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), '') AS ends
+  FROM over_paths GROUP BY key, depth, parent, chars
+),
+kids AS (SELECT parent AS key, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+valued AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children, CASE WHEN k.key IS NULL THEN 1 ELSE 0 END AS leaf,
+         (n.n_convs - 1) * n.chars AS saved
+  FROM nodes n LEFT JOIN kids k ON n.key = k.key
+),
+totals AS (
+  SELECT p.key, sum(v.leaf)::BIGINT AS n_leaves, sum(v.saved)::BIGINT AS saved_tokens
+  FROM valued v JOIN paths p ON p.conv_id = v.conv_id AND p.depth <= v.depth GROUP BY p.key
+)
+SELECT v.conv_id, v.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, t.n_leaves,
+       t.saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN totals t ON v.key = t.key LEFT JOIN nodes u ON v.parent = u.key
+"""
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+),
+sizes AS (SELECT doc_id, len(t)::BIGINT AS n FROM words WHERE len(t) > 0),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+),
+tf AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(t) AS term FROM words)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * max(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, corpus GROUP BY term
+),
+impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))) AS impact
+  FROM tf JOIN weights USING (term) JOIN sizes USING (doc_id), corpus
+),
+scores AS (
+  SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op13_subspace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace.link(table(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = """
+WITH RECURSIVE raw AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM raw a JOIN raw b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.vec_id, l.v FROM reach r JOIN links l ON r.other = l.u
+),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degrees AS (SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l USING (vec_id) LEFT JOIN degrees d USING (vec_id)
+"""
+
+
 QUERIES = {
     "op1_removal": op1_removal,
     "op1_passages": op1_passages,
@@ -174,6 +310,9 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_mixing": op9_mixing,
     "op10_pieces": op10_pieces,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_lexical": op12_lexical,
+    "op13_subspace": op13_subspace,
 }
 
 ORACLE = {
@@ -181,4 +320,7 @@ ORACLE = {
     "op5_near_dedup": OP5_SQL,
     "op7_warc": OP7_SQL,
     "op8_top_k": OP8_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op12_lexical": OP12_SQL,
+    "op13_subspace": OP13_SQL,
 }
