@@ -15,7 +15,9 @@ ids that the model's own library gives.
 
 Boundaries that no piece of the vocabulary crosses (before a word's space mark,
 around characters that it does not know) are points where all paths converge, so
-the stretches between them are searched one by one and short ones remembered.
+the stretches between them are searched apart and short ones remembered. For a BPE model
+the short stretches of a batch that are not remembered are searched side by side:
+the same search, one character further at a time in all of them, on arrays.
 
 Cases: a null or empty text has no ids; unknown characters become byte pieces,
 or the unknown id where the model has none; a text of any length is encoded
@@ -36,6 +38,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -43,11 +46,18 @@ from .common import holding
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-REMEMBERED = 150_000
-"""Short stretches that a worker remembers of each of two spells."""
-NEIGHBOURS = 400_000
-"""Pairs of pieces that a worker remembers before it starts anew."""
+REMEMBERED = 120_000
+"""Short stretches that a worker remembers before it starts anew."""
+NEIGHBOURS = 50_000
+"""Pairs of pieces that the search of a long stretch remembers before it starts anew."""
+PAIR_SLOTS = 1 << 22
+"""Places for pairs of pieces that the search of short stretches remembers, in an array."""
 SHORT = 48
+TOGETHER = 1 << 20
+"""Characters whose stretches are searched side by side."""
+MULTIPLIER = 0x9E3779B97F4A7C15
+DECODED = 1 << 20
+"""Ids that are decoded at once."""
 
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -118,7 +128,11 @@ class Vocabulary:
         if self.kind == BPE and not set("".join(self.ids)) <= self.single:
             raise ValueError("a character of a BPE piece is no piece itself")
         self.stretches = self._stretches()
-        self.cache = _Remembered(self)
+        self.cache: dict[str, bytes] = {}
+        self.side_by_side = _SideBySide(self) if self.kind == BPE else None
+        self.surfaces = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.surface_size = np.array([len(x) for x in self.surface], np.int64)
+        self.surface_start = np.cumsum(self.surface_size) - self.surface_size
 
     def _piece(self, piece: dict) -> None:
         at, text, kind = len(self.surface), piece[1].decode().replace(MARK, " "), piece.get(3, NORMAL)
@@ -173,10 +187,13 @@ class Vocabulary:
         """Whether merging keeps two pieces apart. Nothing merges with an unknown character."""
         if len(self.neighbours) > NEIGHBOURS:
             self.neighbours.clear()
-        pieces = [p for p in (self.text[left], self.text[right]) if p]
-        known = self.neighbours[left, right] = self.merged("".join(pieces)) == pieces
+        known = self.neighbours[left, right] = self.apart(left, right)
         return known
 
+    def apart(self, left: int, right: int) -> bool:
+        pieces = [p for p in (self.text[left], self.text[right]) if p]
+        return self.merged("".join(pieces)) == pieces
+
     def search(self, text: str) -> list[int]:
         return self._merged_path(text) if self.kind == BPE else self._best_path(text)
 
@@ -262,41 +279,225 @@ class Vocabulary:
             stop -= self.size[at]
         return back[::-1]
 
+    def found(self, stretch: str) -> bytes:
+        return array(self.kept_as, self.search(stretch)).tobytes()
+
+    def known(self, stretches: set[str]) -> dict[str, bytes]:
+        """A dictionary with the ids of all these stretches."""
+        missing = stretches.difference(self.cache)
+        if len(self.cache) + len(missing) > REMEMBERED:
+            self.cache.clear()
+            missing = stretches
+        short = [x for x in missing if len(x) <= SHORT]
+        for stretch in self.side_by_side.search(short, self.cache) if self.side_by_side else short:
+            self.cache[stretch] = self.found(stretch)
+        if len(short) == len(missing):
+            return self.cache
+        return self.cache | {x: self.found(x) for x in missing if len(x) > SHORT}
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text, as bytes of the array type ``kept_as``."""
+        out: list[bytes] = []
+        held: list[list[str]] = []
+        size = 0
+
+        def write() -> None:
+            known = self.known(set().union(*held))
+            out.extend(b"".join(map(known.__getitem__, parts)) for parts in held)
+
+        for text in texts:
+            marked = (" " if self.prefix else "") + text.replace(MARK, " ") if text else ""
+            held.append(self.stretches.findall(marked))
+            size += len(marked)
+            if size > TOGETHER:
+                write()
+                held, size = [], 0
+        write()
+        return out
+
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, self.kept_as)
-        marked = (" " if self.prefix else "") + text.replace(MARK, " ")
-        return np.frombuffer(b"".join(map(self.cache.__getitem__, self.stretches.findall(marked))), self.kept_as)
+        return np.frombuffer(self.encode_all([text])[0], self.kept_as)
+
+    def decode_all(self, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """The texts of lists of ids, given as one array and the lists' sizes.
+
+        Surfaces are gathered as bytes for all lists at once.
+        """
+        good = (ids >= 0) & (ids < len(self.surface))
+        ids = np.where(good, ids, 0)
+        own = np.where(good, self.surface_size[ids], 0)
+        parts = []
+        for start in range(0, len(ids), DECODED):
+            size, first = own[start : start + DECODED], self.surface_start[ids[start : start + DECODED]]
+            shift = first - (np.cumsum(size) - size)
+            parts.append(self.surfaces[np.repeat(shift, size) + np.arange(size.sum())])
+        data = np.concatenate([*parts, np.zeros(0, np.uint8)])
+        ends = np.concatenate([[0], np.cumsum(own)])[np.cumsum(sizes)]
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        if self.prefix:
+            spaced = np.flatnonzero((ends > starts) & (np.append(data, np.uint8(0))[starts] == 32))
+            data = np.delete(data, starts[spaced])
+            gone = np.zeros(len(ends), np.int64)
+            gone[spaced] = 1
+            ends = ends - np.cumsum(gone)
+            starts = np.concatenate([[0], ends[:-1]])
+        return self._texts(data, starts, ends)
+
+    @staticmethod
+    def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+        raw = data.tobytes()
+        first = np.append(data, np.uint8(0))[starts[ends > starts]]
+        whole = not ((first & 0xC0) == 0x80).any()
+        try:
+            raw.decode()
+        except UnicodeDecodeError:
+            whole = False
+        if not whole:
+            return pa.array([raw[a:b].decode("utf-8", errors="replace") for a, b in zip(starts, ends)], pa.string())
+        offsets = np.concatenate([[0], ends]).astype(np.int64)
+        texts = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw))
+        return texts.cast(pa.string())
 
     def decode(self, ids) -> str:
-        surface, size = self.surface, len(self.surface)
-        try:
-            raw = b"".join([surface[i] for i in ids])
-        except (IndexError, TypeError):
-            raw = b"".join([surface[i] for i in ids if i is not None and 0 <= i < size])
-        text = raw.decode("utf-8", errors="replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        known = [i for i in ids if i is not None]
+        return self.decode_all(np.array(known, np.int64), np.array([len(known)]))[0].as_py()
 
 
-class _Remembered(dict):
-    """Ids of short stretches, as bytes; those of the last two spells are kept."""
+class _SideBySide:
+    """The search of many short stretches of known characters at once, for a BPE model."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__()
         self.vocabulary = vocabulary
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, stretch: str) -> bytes:
-        ids = self.older.get(stretch)
-        if ids is None:
-            ids = array(self.vocabulary.kept_as, self.vocabulary.search(stretch)).tobytes()
-        if len(stretch) > SHORT:
-            return ids
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        self[stretch] = ids
-        return ids
+        letters = sorted(set("".join(vocabulary.ids)))
+        self.letter = np.full(0x110000, -1, np.int16 if len(letters) < 1 << 15 else np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(len(letters))
+        self.width = len(letters)
+        number = {c: i for i, c in enumerate(letters)}
+        children: dict[int, int] = {}
+        ends = [-1]
+        for piece, at in vocabulary.ids.items():
+            node = 0
+            for c in piece:
+                key = node * self.width + number[c]
+                node = children.setdefault(key, len(ends))
+                if node == len(ends):
+                    ends.append(-1)
+            ends[node] = at
+        self.first = np.full(self.width, -1, np.int32)
+        # The other steps of the trie in an open table with one step a place.
+        bits = max(8, (4 * len(children)).bit_length())
+        self.shift, self.places = np.uint64(64 - bits), 1 << bits
+        self.keys = np.full(self.places, -1, np.int64)
+        self.child = np.full(self.places, -1, np.int32)
+        for key, node in children.items():
+            if key < self.width:
+                self.first[key] = node
+                continue
+            place = (key * MULTIPLIER & (1 << 64) - 1) >> 64 - bits
+            while self.keys[place] >= 0:
+                place = (place + 1) % self.places
+            self.keys[place], self.child[place] = key, node
+        self.piece = np.array(ends, np.int32)
+        self.start = len(vocabulary.surface)
+        self.pieces = self.start + 1
+        self.size = np.zeros(self.pieces, np.int64)
+        for text, at in vocabulary.ids.items():
+            self.size[at] = len(text)
+        self.pairs = np.full(PAIR_SLOTS, -1, np.int32 if self.pieces < 1 << 15 else np.int64)
+
+    def next(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The node that a letter leads to, or -1."""
+        key = node * np.int64(self.width) + letter
+        place = ((key.astype(np.uint64) * np.uint64(MULTIPLIER)) >> self.shift).astype(np.int64)
+        held = self.keys[place]
+        out = np.where(held == key, self.child[place], np.int32(-1))
+        open_ = np.flatnonzero((held != key) & (held >= 0))
+        while len(open_):
+            place[open_] = (place[open_] + 1) % self.places
+            held = self.keys[place[open_]]
+            hit = held == key[open_]
+            out[open_[hit]] = self.child[place[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return out
+
+    def beside(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether merging keeps two pieces apart, pair by pair."""
+        key = left.astype(np.int64) * self.pieces + right
+        slot = (((key.astype(np.uint64) * np.uint64(MULTIPLIER)) >> np.uint64(40)) % np.uint64(PAIR_SLOTS)).astype(np.int64)
+        held = self.pairs[slot].astype(np.int64)
+        known = held >> 1 == key
+        if not known.all():
+            new, place = np.unique(key[~known], return_inverse=True)
+            ask = self.vocabulary.apart
+            told = np.array([ask(START if k // self.pieces == self.start else k // self.pieces, k % self.pieces) for k in new.tolist()])
+            held[~known] = 2 * new[place] + told[place]
+            self.pairs[slot[~known]] = held[~known]
+        return (held & 1).astype(bool)
+
+    def search(self, stretches: list[str], found: dict[str, bytes]) -> list[str]:
+        """Puts the ids of stretches into ``found``; returns those with characters that are no pieces."""
+        if not stretches:
+            return []
+        sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        letters = self.letter[np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)]
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        strange = np.zeros(len(sizes), bool)
+        strange[word[letters < 0]] = True
+        rest = [stretches[i] for i in np.flatnonzero(strange)]
+        if strange.any():
+            letters, word = letters[~strange[word]], word[~strange[word]]
+        stop = np.cumsum(np.where(strange, 0, sizes))
+        begin = stop - np.where(strange, 0, sizes)
+        # Every place where a piece begins, and how far: (word, start, end, piece).
+        longest = int(sizes.max())
+        wide = longest + 1
+        # The place of a letter's boundary in the table of paths, and of its stretch's end.
+        cell = (np.arange(len(letters)) - begin[word] + word * wide).astype(np.int32)
+        room = (stop[word] - np.arange(len(letters))).astype(np.int16)
+        at = np.arange(len(letters), dtype=np.int32)
+        matches, length = [], 0
+        while len(at):
+            node = self.next(node, letters[at + length]) if length else self.first[letters]
+            length += 1
+            live = node >= 0
+            at, node = at[live], node[live]
+            piece = self.piece[node]
+            whole = piece >= 0
+            start = cell[at[whole]]
+            matches.append((start, start + np.int32(length), piece[whole]))
+            more = room[at] > length
+            at, node = at[more], node[more]
+        start, end, piece = (np.concatenate(m) for m in zip(*matches)) if matches else (np.zeros(0, np.int32),) * 3
+        last = np.full(len(sizes) * wide, -1, np.int32)
+        last[::wide] = self.start
+        order = np.argsort((end % wide).astype(np.int16), kind="stable")
+        start, end, piece = start[order], end[order], piece[order]
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(end % wide, minlength=wide))])
+        for stop_at in range(1, wide):
+            some = slice(cuts[stop_at], cuts[stop_at + 1])
+            good = self.beside(last[start[some]], piece[some])
+            last[end[some][good]] = piece[some][good]
+        last = last.reshape(-1, wide)
+        # Back from the ends: the pieces of every stretch, last ones first.
+        left = np.where(strange, 0, sizes)
+        row, back = np.flatnonzero(left), []
+        count = np.zeros(len(sizes), np.int64)
+        while len(row):
+            piece = last[row, left[row]]
+            back.append((row, count[row], piece))
+            count[row] += 1
+            left[row] -= self.size[piece]
+            row = row[left[row] > 0]
+        stop = np.cumsum(count)
+        ids = np.zeros(int(stop[-1]), self.vocabulary.kept_as)
+        for row, place, piece in back:
+            ids[stop[row] - 1 - place] = piece
+        raw, width = ids.tobytes(), ids.itemsize
+        ends = (stop * width).tolist()
+        for i, (a, b) in enumerate(zip([0, *ends], ends)):
+            if not strange[i]:
+                found[stretches[i]] = raw[a:b]
+        return rest
 
 
 @functools.lru_cache(maxsize=2)
@@ -323,10 +524,11 @@ def encoded(text: Column, model: bytes) -> Column:
     @arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         words = vocabulary(model)
-        lists = [words.encode(t or "") for t in texts.to_pylist()]
-        offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-        values = np.concatenate([*lists, np.zeros(0, np.int32)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        lists = words.encode_all(texts.to_pylist())
+        values = np.frombuffer(b"".join(lists), words.kept_as).astype(np.int32)
+        width = np.dtype(words.kept_as).itemsize
+        offsets = np.cumsum([0, *map(len, lists)]) // width
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
     return encode(text)
 
@@ -337,6 +539,8 @@ def decoded(ids: Column, model: bytes) -> Column:
     @arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         words = vocabulary(model)
-        return pa.array([None if ids is None else words.decode(ids) for ids in lists.to_pylist()], pa.string())
+        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        texts = words.decode_all(lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+        return pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
 
     return decode(ids)
