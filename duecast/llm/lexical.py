@@ -52,17 +52,17 @@ TERM = bytes(c + 32 if 65 <= c <= 90 else c if chr(c).isalnum() or c > 127 else
 """Every byte of a term, A-Z lower-cased; all others become spaces."""
 
 
-def terms(text: bytes) -> Iterator[list[bytes]]:
+def terms(text: bytes, window: int = WINDOW) -> Iterator[list[bytes]]:
     """The terms of a text, window by window."""
     start, size = 0, len(text)
     while start < size:
-        stop = min(size, start + WINDOW)
+        stop = min(size, start + window)
         part = text[start:stop].translate(TERM)
         if stop < size:
             # A term that the window cuts belongs to the next one, if it does not fill this one.
             last = part.rfind(b" ")
             while last < 0 and stop < size:
-                stop = min(size, stop + WINDOW)
+                stop = min(size, stop + window)
                 part = text[start:stop].translate(TERM)
                 last = part.rfind(b" ") if stop < size else len(part)
             if stop < size:
@@ -90,7 +90,7 @@ def item_terms(items: DataFrame, key: str, text: str) -> DataFrame:
 def counted(docs: DataFrame, vocabulary: list[bytes], key: str, text: str) -> DataFrame:
     """(doc, n, terms, times): the length of every document and its terms of the vocabulary, as int32 arrays."""
     # Tasks get the vocabulary as one string: the smallest form of it.
-    packed = b" ".join(vocabulary)
+    packed, window = b" ".join(vocabulary), WINDOW
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {t: i for i, t in enumerate(packed.split(b" "))} if packed else {}
@@ -99,7 +99,7 @@ def counted(docs: DataFrame, vocabulary: list[bytes], key: str, text: str) -> Da
             for data in batch.column("text").to_pylist():
                 seen: Counter = Counter()
                 n = 0
-                for part in terms(data):
+                for part in terms(data, window):
                     n += len(part)
                     seen.update(part)
                 own = seen.keys() & number.keys() if len(seen) < len(number) else [t for t in number if t in seen]
@@ -150,11 +150,11 @@ class Best:
             self.scores, self.docs = scores[first], docs[first]
 
 
-def sketches(rows: np.ndarray, coordinates: np.ndarray, impacts: np.ndarray, count: int) -> np.ndarray:
+def sketches(rows: np.ndarray, coordinates: np.ndarray, impacts: np.ndarray, count: int, width: int) -> np.ndarray:
     """The coordinatewise maxima of ``count`` documents. Sketches of parts of a document merge by maximum."""
-    folded = np.zeros(count * WIDTH)
-    np.maximum.at(folded, rows * WIDTH + coordinates, impacts.astype(np.float64))
-    return folded.reshape(count, WIDTH)
+    folded = np.zeros(count * width)
+    np.maximum.at(folded, rows * width + coordinates, impacts.astype(np.float64))
+    return folded.reshape(count, width)
 
 
 def slices(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -165,9 +165,10 @@ def slices(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
 
 def searched(counts: DataFrame, items: list[tuple[int, np.ndarray]], vocabulary: list[bytes], weights: np.ndarray, n_docs: int, n_terms: int, k: int) -> DataFrame:
     """(item_id, doc_id, score): the best k documents of every item, task by task."""
-    hashed = np.array([xxhash.xxh3_64_intdigest(t) % WIDTH for t in vocabulary], np.int64)
+    width = WIDTH
+    hashed = np.array([xxhash.xxh3_64_intdigest(t) % width for t in vocabulary], np.int64)
     # The lookups of all items: how many of an item's terms share a coordinate.
-    lookups = np.zeros((WIDTH, len(items)), np.float32)
+    lookups = np.zeros((width, len(items)), np.float32)
     for at, (_, own) in enumerate(items):
         np.add.at(lookups[:, at], hashed[own], 1)
 
@@ -185,7 +186,7 @@ def searched(counts: DataFrame, items: list[tuple[int, np.ndarray]], vocabulary:
             m = 10 + (90 * n * n_docs) // n_terms
             impacts = weights[term] * ((1_000_000_000 * tf) // (1000 * tf + 8 * m[rows]))
             # Sums of doubles may round down; the factor keeps bounds upper bounds.
-            bounds = (sketches(rows, hashed[term], impacts, len(docs)) @ query) * (1 + 1e-12)
+            bounds = (sketches(rows, hashed[term], impacts, len(docs), width) @ query) * (1 + 1e-12)
             for at, (_, own) in enumerate(items):
                 found, bound = best[at], bounds[:, at]
                 near = np.flatnonzero(bound >= found.least)

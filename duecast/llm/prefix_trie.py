@@ -161,7 +161,7 @@ def rolled_up(paths: DataFrame, nodes: DataFrame, deepest: int, step: int = 1) -
     return stored(both.groupBy(*KEY).agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")), "whole_totals")
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Runs of sorted (depth, hi, lo, conv) as one row of joined identifiers each."""
     node, ids, first = None, [], None
     names = [*KEY, "first", "piece"]
@@ -174,7 +174,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for *key, conv in zip(*[batch.column(c).to_pylist() for c in (*KEY, "conv")]):
-            if key != node or len(ids) == PIECE:
+            if key != node or len(ids) == most:
                 if ids:
                     out.append((*node, first, ",".join(ids)))
                 node, ids, first = key, [], conv
@@ -214,7 +214,8 @@ def ended(ends: DataFrame) -> DataFrame:
     order = [*KEY, "conv"]
     key = "depth long, hi long, lo long"
     ranged = ends.select(*order).repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    pieces = ranged.mapInArrow(_pieces, f"{key}, first long, piece string")
+    most = PIECE
+    pieces = ranged.mapInArrow(lambda batches: _pieces(batches, most), f"{key}, first long, piece string")
     return pieces.repartition(*KEY).sortWithinPartitions(*KEY, "first").mapInArrow(_hashed, f"{key}, ends_sha256 string")
 
 

@@ -75,8 +75,8 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 class Space:
     """The rotation, its blocks, their budgets and pivots."""
 
-    def __init__(self, width: int, least: float, sample: np.ndarray, pivots: int) -> None:
-        self.width, self.least = width, least
+    def __init__(self, width: int, least: float, sample: np.ndarray, pivots: int, chunk: int) -> None:
+        self.width, self.least, self.chunk = width, least, chunk
         self.rotation = np.linalg.qr(np.random.default_rng(13).normal(size=(width, width)))[0]
         edges = np.linspace(0, width, min(BLOCKS, width) + 1).round().astype(int)
         self.blocks = [slice(a, b) for a, b in zip(edges, edges[1:])]
@@ -215,14 +215,14 @@ class Homes:
 
     def meet(self, nodes: np.ndarray, counts: np.ndarray, rows: np.ndarray, sizes: np.ndarray, own: bool = False) -> list[tuple]:
         """(u, v, links) of visitors, or of the homes themselves against those before them."""
-        found = []
-        for start in range(0, len(nodes), CHUNK):
-            some = slice(start, start + CHUNK)
+        found, chunk = [], self.space.chunk
+        for start in range(0, len(nodes), chunk):
+            some = slice(start, start + chunk)
             grains = self.space.grains(rows[some])
             links, least = np.zeros(len(grains), np.int64), np.full(len(grains), -1)
             stop = start + len(grains) if own else len(self.nodes)
-            for first in range(0, stop, 8 * CHUNK):
-                at = slice(first, min(stop, first + 8 * CHUNK))
+            for first in range(0, stop, 8 * chunk):
+                at = slice(first, min(stop, first + 8 * chunk))
                 i, j = self.linked(rows[some], grains, sizes[some], at)
                 if own:
                     before = j < i + start
@@ -308,7 +308,7 @@ def link(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", least:
     if total:
         sample = classes.orderBy("h1", "h2").limit(SAMPLE_ROWS).select("vector").toArrow()
         pivots = min(MOST_PIVOTS, max(PIVOTS, total // PART_ROWS))
-        space = Space(width, least, matrix(sample["vector"], width), pivots)
+        space = Space(width, least, matrix(sample["vector"], width), pivots, CHUNK)
         sizes = census(classes, space)
         tasks = sum(-(-h // PART_ROWS) * max(1, -(-(h + v) // (4 * PART_ROWS))) for h, v in sizes.values())
         found = met(dealt(classes, space, sizes), space, max(partitions(spark), min(tasks, MOST_TASKS)))

@@ -154,17 +154,16 @@ def test_search_of_nothing(spark):
 
 
 @pytest.mark.parametrize("window", [1, 2, 5, 64])
-def test_windows_cut_no_term(monkeypatch, window):
-    monkeypatch.setattr(lexical, "WINDOW", window)
+def test_windows_cut_no_term(window):
     for text in ("alpha beta,gamma", "", "  ", "x" * 300, "été 日本 " * 20, "a b" * 50, "end "):
-        assert [t.decode() for part in lexical.terms(text.encode()) for t in part] == terms_of(text)
+        assert [t.decode() for part in lexical.terms(text.encode(), window) for t in part] == terms_of(text)
 
 
 def test_bounds_are_never_below_scores():
     rng = np.random.default_rng(2)
     rows, coordinates = np.repeat(np.arange(50), 40), rng.integers(0, lexical.WIDTH, 2000)
     impacts = rng.integers(1, 10**10, 2000)
-    folded = lexical.sketches(rows, coordinates, impacts, 50)
+    folded = lexical.sketches(rows, coordinates, impacts, 50, lexical.WIDTH)
     assert (folded[rows, coordinates] >= impacts).all()
 
 
@@ -207,7 +206,7 @@ def vector_rows(width):
             rows.append((len(rows), [float(v) for v in centre * rng.uniform(0.5, 9) + spread * rng.normal(size=width) / width**0.5]))
     path = np.zeros(width)
     for angle in np.arange(0, 3, 0.25):  # a chain whose ends are far apart
-        path[:2] = math.cos(angle), math.sin(angle)
+        path[:2] = (math.cos(angle), math.sin(angle))[:width]
         rows.append((len(rows) + 1000, [float(v) for v in path]))
     rows += [(2000 + i, rows[3][1]) for i in range(40)]
     rows += [(3, rows[3][1]), (4, rows[9][1]), (None, rows[3][1]), (3000, None), (3001, []), (3002, [0.0] * width)]
