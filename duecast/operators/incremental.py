@@ -1,16 +1,21 @@
-"""Incremental loads: high-water marks, rows after them, insert-only merge."""
+"""Incremental loads: high-water marks, rows after them, insert-only merge, upsert."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import moment
 from ..params import Params
+from ..schemas import KEY
+from ..sources import lake
 from ..sources.storage import measured, stored
+from . import clean
 from .stats import SUFFIX
 
+
 def high_water_marks(stats: DataFrame) -> DataFrame:
     """Per tenant and entity, the last run that kept any row."""
     pairs = ", ".join(f"'{entity}', no_clean_entries_{suffix}" for entity, suffix in SUFFIX.items())
@@ -64,3 +69,32 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: list[str], change_
         return batch
     known = measured(target.select(*key).join(batch.select(*key), key, "left_semi"), "known_keys")
     return batch.join(known, key, "left_anti")
+
+
+def changes(batch: DataFrame, entity: str, change_column: str) -> DataFrame:
+    """The last change of every key, cleaned, with ``_gone`` where the row is none that is kept."""
+    last = newest(batch, KEY[entity], change_column)
+    kept = clean.clean(entity, last).withColumn("_gone", F.lit(False))
+    lost = last.where(f"NOT coalesce({clean.KEPT[entity]}, false)")
+    return kept.unionByName(lost.select(*[F.col(c) for c in kept.columns if c != "_gone"], F.lit(True).alias("_gone")))
+
+
+def upsert(batch: DataFrame, entity: str, run: lake.Run, name: str, schema: StructType, change_column: str) -> None:
+    """Puts the last change of every key into a table dealt over buckets of its key.
+
+    Only buckets that hold a changed key are read and written anew. Of the held row and the change of a key
+    the later one stays, the change if they are of the same time; a change that cleaning
+    leaves out, such as a voided document, takes the held row away.
+    """
+    key = KEY[entity]
+    new = stored(changes(batch, entity, change_column).withColumn(lake.BUCKET, lake.bucket_of(key)), "changes")
+    touched = {r[0] for r in new.select(lake.BUCKET).distinct().collect()}  # at most lake.BUCKETS
+    if not touched:
+        return
+    held = run.read(name, schema, touched).withColumns({"_gone": F.lit(False), "_new": F.lit(0)})
+    both = held.unionByName(new.drop(lake.BUCKET).withColumn("_new", F.lit(1)))
+    order = F.struct(change_column, "_new", *[c for c in schema.fieldNames() if c not in (change_column, *key)], "_gone")
+    chosen = both.groupBy(*key).agg(F.max(order).alias("_row")).where("NOT _row._gone")
+    rows = chosen.select(*[F.col(c) if c in key else F.col("_row").getField(c).alias(c) for c in schema.fieldNames()])
+    run.drop(name, touched)
+    run.put(name, rows, key, instead=False)

@@ -13,20 +13,14 @@ from . import clean, positions, settle
 LINE_ORDER = ["branch_ord", "c_allocationline_id", "source_payment_id"]
 
 
-def crowded_invoices(allocations: DataFrame, payments: DataFrame, params: Params) -> DataFrame:
+def crowded_invoices(rows: DataFrame, params: Params) -> DataFrame:
     """Invoices that may get more lines than one task should number.
 
-    p payments and a allocations give at most (p + 1) * (a + 1) + 1 lines.
-    Counted on the key columns alone, before any join.
+    p payments and a allocations give at most (p + 1) * (a + 1) + 1 lines; the
+    classified ``rows`` carry both numbers.
     """
-    links = (
-        payments.where(F.col("c_invoice_id") != 0)
-        .select(*settle.INVOICE_KEY, F.lit(1).alias("p"), F.lit(0).alias("a"))
-        .unionByName(allocations.select(*settle.INVOICE_KEY, F.lit(0).alias("p"), F.lit(1).alias("a")))
-    )
-    sizes = links.groupBy(*settle.INVOICE_KEY).agg(F.sum("p").alias("p"), F.sum("a").alias("a"))
-    may_hold = (F.col("p") + 1) * (F.col("a") + 1) + 1
-    crowded = sizes.where(may_hold > params.hot_group_rows).select(*settle.INVOICE_KEY)
+    may_hold = (F.col("n_payments") + 1) * (F.col("n_allocations") + 1) + 1
+    crowded = rows.where(may_hold > params.hot_group_rows).select(*settle.INVOICE_KEY).distinct()
     return measured(crowded, "crowded_invoices")
 
 
@@ -84,16 +78,20 @@ def fact_lines(identified: DataFrame, params: Params) -> DataFrame:
     return dated_lines(identified, params).select(*FACT_LINE, "src_invoice_id", "line_no", "branch")
 
 
-def identified_lines(cleaned: dict[str, DataFrame], params: Params) -> DataFrame:
-    lines = settle.ledger_lines(
+def classified(cleaned: dict[str, DataFrame], params: Params) -> DataFrame:
+    return settle.classified(
         clean.settleable_invoices(cleaned),
         cleaned["c_allocationline"],
         cleaned["c_payment"],
         cleaned["c_paymentterm"],
         params,
     )
-    crowded = crowded_invoices(cleaned["c_allocationline"], cleaned["c_payment"], params)
-    return line_ids(numbered_lines(lines, crowded, params))
+
+
+def identified_lines(cleaned: dict[str, DataFrame], params: Params) -> DataFrame:
+    rows = classified(cleaned, params)
+    lines = settle.ledger_lines(rows, cleaned["c_allocationline"], cleaned["c_payment"], params)
+    return line_ids(numbered_lines(lines, crowded_invoices(rows, params), params))
 
 
 def build_facts(cleaned: dict[str, DataFrame], params: Params) -> DataFrame:

@@ -14,17 +14,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import floor_days
 from ..params import Params
-from . import clean, features, ledger, settle
+from . import features, ledger, settle
 
 
-def installment_sums(matched: DataFrame, allocations: DataFrame) -> DataFrame:
+def installment_sums(classified: DataFrame, allocations: DataFrame) -> DataFrame:
     """What the instalment lines of each invoice add up to, per partner key.
 
     A pair is a paid line over the allocation's amount. Without a cash line it
     carries the payment's date and drops out if that lies before the invoice;
     with one it is settled on the day of the invoice and never late.
     """
-    rows = settle.paid_in_installments(matched).withColumn(
+    rows = settle.paid_in_installments(classified).withColumn(
         "dayslate", floor_days(F.col("datetrx"), F.col("duedate"))
     )
     on_time = f"NOT {settle.IN_ADVANCE}"
@@ -74,14 +74,10 @@ def build_partner_features(cleaned: dict[str, DataFrame], params: Params) -> Dat
     """The thirty values of every partner, without building the ledger."""
     if params.require_split_invoices:
         return features.partner_features(features.line_features(ledger.build_facts(cleaned, params)))
-    invoices = clean.settleable_invoices(cleaned)
-    payments, allocations, terms = (cleaned[t] for t in ("c_payment", "c_allocationline", "c_paymentterm"))
-    lines = settle.ledger_lines(
-        invoices, allocations, payments, terms, replace(params, dedupe_installments=True)
-    )
+    payments, allocations = cleaned["c_payment"], cleaned["c_allocationline"]
+    rows = ledger.classified(cleaned, params)
+    lines = settle.ledger_lines(rows, allocations, payments, replace(params, dedupe_installments=True))
     sums = features.partner_sums(features.line_features(ledger.dated_lines(lines, params)))
     if not params.dedupe_installments:
-        due = settle.ledger_invoices(invoices, terms, params)
-        matched = settle.invoices_with_payments(due, payments)
-        sums = features.merged_sums(sums.unionByName(installment_sums(matched, allocations)))
+        sums = features.merged_sums(sums.unionByName(installment_sums(rows, allocations)))
     return features.features_of_sums(sums)

@@ -3,10 +3,13 @@
 Three stages, each one equi-join and one ordered CASE. The first matching
 case wins and a comparison with null does not match.
 
-The joins are shaped for skew. Where the many-rows side of a left join may
-repeat a key without bound, the join is written as an inner join, whose both
-sides adaptive execution can split, plus the rows without a partner, found
-against the distinct keys.
+Every invoice first gets the numbers of payments and allocations that name it,
+counted on key columns alone, and is stored with them. They say which rows
+join at all, so each join is an inner one between two stored tables, whose both sides adaptive
+execution can split where a key is frequent, and rows without a partner need no
+join. The classified first stage is stored as well: all lines are made of it. So a table of payments is
+read for its keys, for the first stage and for looking up what allocations name, one of
+allocations for its keys and for one join.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import is_true, plus_days
 from ..params import Params
+from ..sources.storage import stored
 from ..sources.tables import NULL_TEXT
 
 INVOICE_KEY = ["ad_client_id", "c_invoice_id"]
@@ -147,34 +151,23 @@ def _with_empty(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", *[f"CAST(NULL AS {kind}) AS {name}" for name, kind in columns.items()])
 
 
-def invoices_with_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
-    """(invoice, linked payment) rows, classified."""
-    matched = invoices.join(linked_payments(payments), INVOICE_KEY)
-    return matched.withColumn("branch", stage1_case())
+LINKS = ["n_payments", "n_allocations"]
 
 
-def invoices_without_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
-    keys = linked_payments(payments).select(*INVOICE_KEY).distinct()
-    lonely = invoices.join(keys, INVOICE_KEY, "left_anti")
-    return _with_empty(lonely, {c: LINE_TYPES[c] for c in PAYMENT_PART}).withColumn("branch", stage1_case())
+def with_links(invoices: DataFrame, payments: DataFrame, allocations: DataFrame) -> DataFrame:
+    """Invoices with the numbers of payments and allocations that name them, stored."""
+    links = payments.where("c_invoice_id <> 0").selectExpr(*INVOICE_KEY, "1L AS n_payments", "0L AS n_allocations")
+    links = links.unionByName(allocations.selectExpr(*INVOICE_KEY, "0L AS n_payments", "1L AS n_allocations"))
+    counts = links.groupBy(*INVOICE_KEY).agg(*[F.sum(c).alias(c) for c in LINKS])
+    joined = invoices.join(counts, INVOICE_KEY, "left")
+    return stored(joined.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in LINKS}), "linked_invoices")
 
 
-def stage1(invoices: DataFrame, payments: DataFrame) -> DataFrame:
-    """Every invoice with its linked payments, classified."""
-    return invoices_with_payments(invoices, payments).unionByName(
-        invoices_without_payments(invoices, payments)
-    )
-
-
-def unsettled(invoices: DataFrame, payments: DataFrame) -> DataFrame:
-    """Invoices that no payment settles: without one, or with one that has no date.
-
-    What the second kind is depends on the date alone; the filter on it is
-    pushed into the scan, so only undated payments are joined again.
-    """
-    undated = invoices_with_payments(invoices, payments.where("datetrx IS NULL"))
-    undated = undated.where("branch IN ('unpaid_invoices', 'residual')")
-    return invoices_without_payments(invoices, payments).unionByName(undated)
+def stage1(linked: DataFrame, payments: DataFrame) -> DataFrame:
+    """Every invoice of ``with_links`` with its payments, classified."""
+    matched = linked.where("n_payments > 0").join(linked_payments(payments), INVOICE_KEY)
+    lonely = _with_empty(linked.where("n_payments = 0"), {c: LINE_TYPES[c] for c in PAYMENT_PART})
+    return matched.unionByName(lonely).withColumn("branch", stage1_case())
 
 
 def stage2_case() -> Column:
@@ -192,29 +185,30 @@ def stage2_case() -> Column:
     )
 
 
-def _matched_allocations(rows: DataFrame, allocations: DataFrame) -> DataFrame:
-    return rows.join(allocated_amounts(allocations), INVOICE_KEY)
+def _with_allocations(rows: DataFrame, allocations: DataFrame) -> DataFrame:
+    matched = rows.where("n_allocations > 0").join(allocated_amounts(allocations), INVOICE_KEY)
+    return matched.unionByName(_with_empty(rows.where("n_allocations = 0"), ALLOCATION_PART))
 
 
-def _without_allocations(rows: DataFrame, allocations: DataFrame) -> DataFrame:
-    keys = allocations.select(*INVOICE_KEY).distinct()
-    return _with_empty(rows.join(keys, INVOICE_KEY, "left_anti"), ALLOCATION_PART)
+def residual(rows: DataFrame) -> DataFrame:
+    """Rows of the first stage that no payment settles: without one, or with one that has no date."""
+    return rows.where("branch = 'residual'")
 
 
-def stage2(residual: DataFrame, allocations: DataFrame) -> DataFrame:
-    """Residual invoices with their allocations, classified."""
-    both = _matched_allocations(residual, allocations).unionByName(
-        _without_allocations(residual, allocations)
-    )
-    return both.withColumn("branch", stage2_case())
+def stage2(rows: DataFrame, allocations: DataFrame) -> DataFrame:
+    """Residual rows with their allocations, classified."""
+    return _with_allocations(rows, allocations).withColumn("branch", stage2_case())
 
 
 def stage3_case() -> Column:
     return F.expr("IF(coalesce(alloc_cashline_id = 0, false), 'p1', 'cash_paid4')")
 
 
-def paid_in_installments(matched: DataFrame) -> DataFrame:
-    return matched.where("branch = 'partially_paid_2' AND grandtotal = paidamt")
+IN_INSTALLMENTS = "branch = 'partially_paid_2' AND grandtotal = paidamt"
+
+
+def paid_in_installments(rows: DataFrame) -> DataFrame:
+    return rows.where(IN_INSTALLMENTS)
 
 
 def stage3(installments: DataFrame, allocations: DataFrame) -> DataFrame:
@@ -223,30 +217,27 @@ def stage3(installments: DataFrame, allocations: DataFrame) -> DataFrame:
     Each payment meets each allocation of its invoice: that pairing is what
     the ledger is defined to hold.
     """
-    both = _matched_allocations(installments, allocations).unionByName(
-        _without_allocations(installments, allocations)
-    )
-    return both.withColumn("branch", stage3_case())
+    return _with_allocations(installments, allocations).withColumn("branch", stage3_case())
 
 
 # ---- lines -----------------------------------------------------------------
 
 
-def payment_lines(matched: DataFrame, allocations: DataFrame, params: Params) -> DataFrame:
-    """Lines of invoices with linked payments, in one pass over the join.
+def payment_lines(rows: DataFrame, params: Params) -> DataFrame:
+    """Lines of the classified invoices that payments alone give.
 
     One row may give two lines: a part payment leaves a balance, and an
     instalment whose invoice has no allocation also gives an empty cash line.
     """
-    allocated = allocations.select(*INVOICE_KEY).distinct().withColumn("has_allocation", F.lit(True))
-    rows = matched.join(allocated, INVOICE_KEY, "left")
-    empty_cash = "false" if params.dedupe_installments else "grandtotal = paidamt AND has_allocation IS NULL"
-    lines = rows.withColumn("source_payment_id", F.col("c_payment_id_paym")).withColumn(
+    empty_cash = "false" if params.dedupe_installments else "grandtotal = paidamt AND n_allocations = 0"
+    named = F.when(F.col("branch") != "unpaid_invoices", F.col("c_payment_id_paym"))
+    lines = rows.withColumn("source_payment_id", named).withColumn(
         "branch",
         F.expr(
             f"""explode(CASE
                 WHEN branch = 'partially_paid_2' AND {empty_cash} THEN array(branch, 'cash_paid4')
                 WHEN branch = 'partially_paid_2' THEN array(branch)
+                WHEN branch = 'unpaid_invoices' THEN array(branch)
                 WHEN {IN_ADVANCE} THEN NULL
                 WHEN branch = 'partially_paid' AND {KEEPS_BALANCE} THEN array(branch, 'unpaid_balance')
                 WHEN branch IN ('fully_paid', 'partially_paid') THEN array(branch) END)"""
@@ -274,30 +265,29 @@ def payment_lines(matched: DataFrame, allocations: DataFrame, params: Params) ->
     )
 
 
-def open_lines(without_payments: DataFrame) -> DataFrame:
-    return _lines(without_payments.where("branch = 'unpaid_invoices'"), {})
-
-
 FROM_PAYMENT = ["fp2", "p2", "p3", "p4"]
-# What a residual row does not keep of an undated payment.
-UNDATED = ["datetrx", "payamt", "allocatedamt"]
 CASH = ["cash_paid", "cash_paid2", "cash_paid3"]
+PAIRS = ["p1", "cash_paid4"]
 
 
-def allocation_lines(residual: DataFrame, allocations: DataFrame, payments: DataFrame) -> DataFrame:
-    """Lines of invoices known only through allocations, in one pass.
+def allocation_lines(rows: DataFrame, allocations: DataFrame, payments: DataFrame, params: Params) -> DataFrame:
+    """Lines of invoices known only through allocations, and the (payment, allocation) lines of
+    those paid in instalments, from one join with the allocations.
 
-    The rows that need no payment carry a key no payment has, minus their own
-    allocation id, so that they spread instead of meeting on one null key.
+    The rows that need no payment carry a key no payment has, a negative hash,
+    so that they spread instead of meeting on one null key.
     """
-    own = {c: f"own_{c}" for c in PAYMENT_PART if c not in UNDATED}
-    rows = _matched_allocations(residual.withColumnsRenamed(own).drop(*UNDATED), allocations)
+    instalments = "false" if params.dedupe_installments else IN_INSTALLMENTS
+    wanted = rows.where(f"n_allocations > 0 AND (branch = 'residual' OR {instalments})")
+    rows = wanted.withColumnsRenamed({c: f"own_{c}" for c in PAYMENT_PART}).join(allocated_amounts(allocations), INVOICE_KEY)
     needs_payment = "branch IN ('fp2', 'p2', 'p3', 'p4')"
+    spread = "-1 - pmod(xxhash64(own_c_payment_id_paym, c_allocationline_id), 4611686018427387904L)"
     rows = (
-        rows.withColumn("branch", stage2_case())
+        rows.withColumn("branch", F.when(F.col("branch") == "residual", stage2_case()).otherwise(stage3_case()))
         .where("branch NOT IN ('no_allocation', 'unsupported')")
         .where(f"NOT ({needs_payment}) OR alloc_payment_id <> 0")
-        .withColumn("lookup_id", F.expr(f"IF({needs_payment}, alloc_payment_id, -c_allocationline_id)"))
+        .withColumn("lookup_id", F.expr(f"IF({needs_payment}, alloc_payment_id, {spread})"))
+        .withColumn("source_payment_id", F.expr("IF(branch IN ('p1', 'cash_paid4'), own_c_payment_id_paym, NULL)"))
     )
     paid_by = payments.selectExpr(
         "ad_client_id", "c_payment_id AS lookup_id", "datetrx", "c_doctype_id", "tendertype", "isallocated"
@@ -307,7 +297,7 @@ def allocation_lines(residual: DataFrame, allocations: DataFrame, payments: Data
         "branch",
         F.expr(
             f"""explode(CASE
-                WHEN branch IN ('cash_paid', 'cash_paid2', 'cash_paid3') THEN array(branch)
+                WHEN branch IN ('cash_paid', 'cash_paid2', 'cash_paid3', 'p1', 'cash_paid4') THEN array(branch)
                 WHEN branch = 'p2' AND NOT {IN_ADVANCE} AND {KEEPS_BALANCE} THEN array(branch, 'unpaid_balance2')
                 WHEN branch = 'p2' AND NOT {IN_ADVANCE} THEN array(branch)
                 WHEN branch = 'p2' AND {KEEPS_BALANCE} THEN array('unpaid_balance2')
@@ -315,10 +305,11 @@ def allocation_lines(residual: DataFrame, allocations: DataFrame, payments: Data
         ),
     )
     balance = {"unpaid_balance2": BALANCE}
-    settled = {**_same(["p3", "p4", "cash_paid2", "cash_paid3"], "amount"), "p2": _capped("amount")}
+    settled = {**_same(["p3", "p4", "cash_paid2", "cash_paid3", *PAIRS], "amount"), "p2": _capped("amount")}
     # The second cash kind keeps the paid amount of the whole invoice.
     paid = {b: v for b, v in settled.items() if b != "cash_paid2"}
-    shown = {**_same(["fp2", "p3", "p4", *CASH], "amount"), "p2": _capped("amount")}
+    shown = {**_same(["fp2", "p3", "p4", *CASH, *PAIRS], "amount"), "p2": _capped("amount")}
+    own = lambda c: {"p1": f"own_{c}"}
     return _lines(
         lines,
         {
@@ -326,42 +317,26 @@ def allocation_lines(residual: DataFrame, allocations: DataFrame, payments: Data
             "totalopenamt": {**settled, **balance},
             "paidamt": {**paid, "unpaid_balance2": "0"},
             "allocatedamt": shown,
-            "payamt": shown,
-            "datetrx": {**_same(CASH, "dateinvoiced"), "unpaid_balance2": "NULL"},
-            "c_cashline_id": _same(CASH, "alloc_cashline_id"),
-            "c_payment_id_paym": {**_same(FROM_PAYMENT, "c_payment_id"), **_same(CASH, "own_c_payment_id_paym")},
+            "payamt": {**shown, **own("payamt")},
+            "datetrx": {**_same([*CASH, "cash_paid4"], "dateinvoiced"), "unpaid_balance2": "NULL", **own("datetrx")},
+            "c_cashline_id": _same([*CASH, "cash_paid4"], "alloc_cashline_id"),
+            "c_payment_id_paym": {
+                **_same(FROM_PAYMENT, "c_payment_id"), **_same(CASH, "own_c_payment_id_paym"), **own("c_payment_id_paym"),
+            },
             "c_payment_id": _same(FROM_PAYMENT, "alloc_payment_id"),
             **{
-                c: {"unpaid_balance2": "NULL", **_same(CASH, f"own_{c}")}
+                c: {"unpaid_balance2": "NULL", "cash_paid4": "NULL", **_same(CASH, f"own_{c}"), **own(c)}
                 for c in ("c_doctype_id", "tendertype", "isallocated")
             },
         },
     )
 
 
-def installment_lines(matched: DataFrame, allocations: DataFrame) -> DataFrame:
-    """(payment, allocation) lines of invoices paid in instalments."""
-    rows = _matched_allocations(paid_in_installments(matched), allocations)
-    rows = rows.withColumns({"branch": stage3_case(), "source_payment_id": F.col("c_payment_id_paym")})
-    both = _same(["p1", "cash_paid4"], "amount")
-    dropped = {"cash_paid4": "NULL"}
-    return _lines(
-        rows,
-        {
-            **{c: both for c in ("grandtotal", "totalopenamt", "paidamt", "allocatedamt")},
-            "payamt": {"cash_paid4": "amount"},
-            "datetrx": {"cash_paid4": "dateinvoiced"},
-            "c_cashline_id": {"cash_paid4": "alloc_cashline_id"},
-            **{c: dropped for c in ("c_payment_id_paym", "c_doctype_id", "tendertype", "isallocated")},
-        },
-    )
-
-
 ARM_BRANCHES = {
-    "payments": {"fully_paid", "partially_paid", "unpaid_balance", "partially_paid_2", "cash_paid4"},
-    "open": {"unpaid_invoices"},
-    "allocations": {"cash_paid", "fp2", "unpaid_balance2", "p2", "cash_paid2", "cash_paid3", "p3", "p4"},
-    "installments": {"p1", "cash_paid4"},
+    "payments": {"fully_paid", "partially_paid", "unpaid_balance", "partially_paid_2", "cash_paid4", "unpaid_invoices"},
+    "allocations": {
+        "cash_paid", "fp2", "unpaid_balance2", "p2", "cash_paid2", "cash_paid3", "p3", "p4", "p1", "cash_paid4",
+    },
 }
 
 
@@ -380,30 +355,25 @@ def ledger_invoices(invoices: DataFrame, terms: DataFrame, params: Params) -> Da
     return due.drop("c_paymentterm_id", "netdays", "duedate_calculated", "created")
 
 
+def classified(
+    invoices: DataFrame, allocations: DataFrame, payments: DataFrame, terms: DataFrame, params: Params
+) -> DataFrame:
+    """The first stage of all invoices in the run's currency, stored: what lines are made of."""
+    linked = with_links(ledger_invoices(invoices, terms, params), payments, allocations)
+    return stored(stage1(linked, payments), "classified_invoices")
+
+
 def ledger_lines(
-    invoices: DataFrame,
-    allocations: DataFrame,
-    payments: DataFrame,
-    terms: DataFrame,
-    params: Params,
-    only: set[str] | None = None,
+    rows: DataFrame, allocations: DataFrame, payments: DataFrame, params: Params, only: set[str] | None = None
 ) -> DataFrame:
-    """The union of all lines in the run's currency.
+    """The union of all lines of the ``classified`` rows.
 
     ``only`` limits the work to the arms that yield those branches.
     """
-    due = ledger_invoices(invoices, terms, params)
-    matched = invoices_with_payments(due, payments)
-    lonely = unsettled(due, payments)
-    residual = lonely.where("branch = 'residual'")
     arms = {
-        "payments": lambda: payment_lines(matched, allocations, params),
-        "open": lambda: open_lines(lonely),
-        "allocations": lambda: allocation_lines(residual, allocations, payments),
-        "installments": lambda: installment_lines(matched, allocations),
+        "payments": lambda: payment_lines(rows, params),
+        "allocations": lambda: allocation_lines(rows, allocations, payments, params),
     }
-    if params.dedupe_installments:
-        del arms["installments"]
     wanted = set(BRANCHES) if only is None else only
     union = reduce(
         DataFrame.unionByName, [build() for arm, build in arms.items() if ARM_BRANCHES[arm] & wanted]

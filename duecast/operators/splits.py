@@ -96,8 +96,8 @@ def class_problem(sizes: DataFrame) -> DataFrame:
     return sizes.withColumn(
         "problem",
         F.expr(
-            "CASE WHEN n_paid = 0 OR n_unpaid = 0 THEN 'Only one class found in data' "
-            "WHEN least(n_paid, n_unpaid) < 2 THEN 'Not enough training data' END"
+            "CASE WHEN n_paid = 0 OR n_unpaid = 0 THEN 'all lines are of one class' "
+            "WHEN least(n_paid, n_unpaid) < 2 THEN 'a class has fewer than two lines' END"
         ),
     )
 

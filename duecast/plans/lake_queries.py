@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import clean, features, incremental, ledger, quality, stats
-from ..schemas import CLEAN_REQUIRED, FACT_FLAGS, FACT_REQUIRED, PRIMARY_KEY, SOURCES
+from ..operators import clean, features, incremental, ledger, quality, quarantine, stats
+from ..schemas import CLEAN_REQUIRED, CLEANING_STATS, FACT_FLAGS, FACT_REQUIRED, PRIMARY_KEY, SOURCES
 from ..sources import derived, registry, tables
+from ..sources.lake import Lake
 from ..sources.storage import scratch_path
 from ..streaming.incremental_stream import arrived, clean_arrivals
 from . import nightly
@@ -142,7 +144,7 @@ def nightly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.first("high_water_mark")
     )
     held = [
-        tables.read_lake(spark, f"{lake}/{entity}_cleaned", clean.clean(entity, sources[entity]).schema)
+        nightly.cleaned_table(Lake(spark, lake), spark, entity)
         .groupBy("ad_client_id")
         .agg(F.count("*").alias(f"held_{suffix}"))
         for entity, suffix in stats.SUFFIX.items()
@@ -154,6 +156,85 @@ def nightly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(table)
 
 
+class _Stopped(Exception):
+    pass
+
+
+ADDED = 1_000_000_000
+
+
+def nightly_broken_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lake holds after a run that broke once its facts were written, and after its repetition."""
+    sources = _sources(spark, sf_dir)
+    root = scratch_path(spark, "lake")
+    lake = Lake(spark, root)
+    nightly.run(sources, root, P, RUNS[0])
+    copies = sources["c_invoice"].withColumns(
+        {"c_invoice_id": F.col("c_invoice_id") + ADDED, "created": F.lit(RUNS[1]).cast("timestamp_ntz")}
+    )
+    more = {**sources, "c_invoice": sources["c_invoice"].unionByName(copies)}
+
+    def stop(step: str) -> None:
+        if step == "facts":
+            raise _Stopped
+
+    def state(name: str) -> DataFrame:
+        counted = lambda df, c: df.groupBy("ad_client_id").agg(F.count("*").alias(c))
+        facts_now = counted(lake.read("facts", T.StructType.fromDDL("ad_client_id long, c_invoice_id string")), "fact_rows")
+        invoices = counted(nightly.cleaned_table(lake, spark, "c_invoice"), "invoices")
+        runs = counted(lake.read("cleaning_stats", CLEANING_STATS), "runs")
+        return invoices.join(facts_now, "ad_client_id").join(runs, "ad_client_id").withColumn("state", F.lit(name))
+
+    with contextlib.suppress(_Stopped):
+        nightly.run(more, root, P, RUNS[2], stop)
+    before = state("broken")
+    nightly.run(more, root, P, RUNS[2])
+    return comparable(before.unionByName(state("repeated")))
+
+
+TOO_MUCH = "99999999999999999999"
+
+
+def nightly_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run in which one tenant has amounts beyond all bounds and one has invoices without a key."""
+    sources = _sources(spark, sf_dir)
+    amount = f"IF(ad_client_id = 2 AND c_payment_id % 100 = 7, {TOO_MUCH}, CAST(payamt AS DECIMAL(38,2)))"
+    key = "IF(ad_client_id = 3 AND c_invoice_id % 100 = 9, NULL, c_invoice_id)"
+    bad = {
+        "c_payment": sources["c_payment"].withColumn("payamt", F.expr(amount)),
+        "c_invoice": sources["c_invoice"].withColumn("c_invoice_id", F.expr(key)),
+    }
+    root = scratch_path(spark, "lake")
+    nightly.run({**sources, **bad}, root, P, RUN)
+    lake = Lake(spark, root)
+    status = lake.read("run_status", T.StructType.fromDDL(nightly.STATUS))
+    rejected = lake.read("rejected_rows", T.StructType.fromDDL(quarantine.REJECTS)).groupBy("ad_client_id").agg(
+        F.count("*").alias("rejected"), F.max("rule").alias("rule"), F.max("column_name").alias("column_name")
+    )
+    facts_now = lake.read("facts", T.StructType.fromDDL("ad_client_id long")).groupBy("ad_client_id").agg(F.count("*").alias("fact_rows"))
+    joined = status.join(rejected, "ad_client_id", "left").join(facts_now, "ad_client_id", "left")
+    return comparable(joined.select("ad_client_id", "step", "ok", "result_rows", "rejected", "rule", "column_name", "fact_rows"))
+
+
+def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices after a load of changed, voided, outdated and new documents."""
+    held = _sources(spark, sf_dir)["c_invoice"].withColumn("updated", F.col("created"))
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    schema = clean.clean("c_invoice", held).schema
+    later = "IF(c_invoice_id % 7 <> 0 AND c_invoice_id % 11 <> 0 AND c_invoice_id % 13 = 0, -1, 30)"
+    batch = held.where("c_invoice_id % 7 = 0 OR c_invoice_id % 11 = 0 OR c_invoice_id % 13 = 0").withColumns({
+        "updated": F.expr(f"created + make_dt_interval({later})"),
+        "docstatus": F.expr("IF(c_invoice_id % 7 <> 0 AND c_invoice_id % 11 = 0, 'VO', docstatus)"),
+        "grandtotal": F.expr("CAST(grandtotal + 1 AS DECIMAL(18,2))"),
+    })
+    fresh = held.where("c_invoice_id % 17 = 0").withColumn("c_invoice_id", F.col("c_invoice_id") + ADDED)
+    for rows in (held, batch.unionByName(fresh)):
+        work = lake.begin()
+        incremental.upsert(rows, "c_invoice", work, "invoices", schema, "updated")
+        work.commit()
+    return comparable(lake.read("invoices", schema).select("ad_client_id", "c_invoice_id", "grandtotal", "updated"))
+
+
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load that repeats a month of known rows adds only the unknown ones."""
     invoices = cleaned(spark, sf_dir)["c_invoice"]
@@ -196,7 +277,7 @@ def model_registry_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn(
         "path",
         F.expr(
-            "concat('models/', model_type, '_models/', ad_client_id, '/', date_format(run_ts, 'dd-MM-yyyy_HH:mm:ss'))"
+            "concat('models/', model_type, '_models/', ad_client_id, '/', date_format(run_ts, \"yyyyMMdd'T'HHmmss\"))"
         ),
     )
     return comparable(registry.with_file_name(registry.latest_models(runs)))
@@ -214,6 +295,9 @@ QUERIES = {
     "incremental_invoices": incremental_invoices,
     "incremental_merge": incremental_merge,
     "nightly_runs": nightly_runs,
+    "nightly_broken_run": nightly_broken_run,
+    "nightly_quarantine": nightly_quarantine,
+    "incremental_upsert": incremental_upsert,
     "stream_clean_equals_batch": stream_clean_equals_batch,
     "model_registry_latest": model_registry_latest,
 }
@@ -346,6 +430,34 @@ def _runs_sql() -> str:
 
 ORACLE = {
     "nightly_runs": _runs_sql(),
+    "nightly_broken_run": statement(
+        "SELECT i.ad_client_id, 'broken' AS state, i.invoices, f.fact_rows, CAST(1 AS BIGINT) AS runs FROM held i JOIN made f USING (ad_client_id) "
+        "UNION ALL SELECT i.ad_client_id, 'repeated', 2 * i.invoices, f.fact_rows + coalesce(o.n, 0), CAST(2 AS BIGINT) "
+        "FROM held i JOIN made f USING (ad_client_id) LEFT JOIN opened o USING (ad_client_id)",
+        "held AS (SELECT ad_client_id, count(*) AS invoices FROM inv GROUP BY 1)",
+        "made AS (SELECT ad_client_id, count(*) AS fact_rows FROM facts GROUP BY 1)",
+        # Of the copies, which no payment or allocation names, only open invoices become lines.
+        "opened AS (SELECT ad_client_id, count(*) AS n FROM inv WHERE paidamt = 0 AND dateinvoiced <= duedate "
+        "AND grandtotal > 0 AND c_currency_id = 346 GROUP BY 1)",
+    ),
+    "nightly_quarantine": statement(
+        "SELECT t.ad_client_id, s.step, CASE WHEN b.rejected IS NULL THEN 1 ELSE 0 END::BIGINT AS ok, "
+        "CASE WHEN b.rejected IS NOT NULL THEN 0 WHEN s.step = 'cleaning' THEN least(i.n, p.n, a.n, m.n) ELSE f.n END AS result_rows, "
+        "b.rejected, b.rule, b.column_name, CASE WHEN b.rejected IS NULL THEN f.n END AS fact_rows "
+        "FROM (SELECT DISTINCT ad_client_id FROM c_paymentterm WHERE ad_client_id <> 0) t CROSS JOIN (VALUES ('cleaning'), ('aggregation')) s(step) "
+        "LEFT JOIN bad b USING (ad_client_id) JOIN n_inv i USING (ad_client_id) JOIN n_pay p USING (ad_client_id) "
+        "JOIN n_alloc a USING (ad_client_id) JOIN n_term m USING (ad_client_id) JOIN n_facts f USING (ad_client_id)",
+        "bad AS (SELECT ad_client_id, count(*) AS rejected, 'type' AS rule, 'payamt' AS column_name FROM c_payment "
+        "WHERE ad_client_id = 2 AND c_payment_id % 100 = 7 GROUP BY 1 UNION ALL "
+        "SELECT ad_client_id, count(*), 'not_null', 'c_invoice_id' FROM inv WHERE ad_client_id = 3 AND c_invoice_id % 100 = 9 GROUP BY 1)",
+        *[f"n_{t} AS (SELECT ad_client_id, count(*) AS n FROM {t} GROUP BY 1)" for t in ("inv", "pay", "alloc", "term", "facts")],
+    ),
+    "incremental_upsert": statement(
+        "SELECT ad_client_id, c_invoice_id, round(CAST(CASE WHEN c_invoice_id % 7 = 0 THEN grandtotal + 1 ELSE grandtotal END AS DOUBLE), 2) AS grandtotal, "
+        "CAST(CASE WHEN c_invoice_id % 7 = 0 THEN created + INTERVAL 30 DAY ELSE created END AS TIMESTAMP) AS updated "
+        "FROM inv WHERE c_invoice_id % 7 = 0 OR c_invoice_id % 11 <> 0 "
+        f"UNION ALL SELECT ad_client_id, c_invoice_id + {ADDED}, round(CAST(grandtotal AS DOUBLE), 2), CAST(created AS TIMESTAMP) FROM inv WHERE c_invoice_id % 17 = 0"
+    ),
     "roundtrip_append": statement(f"SELECT {_PAYMENTS} FROM pay"),
     "roundtrip_overwrite_tenant": statement(
         "SELECT "
@@ -384,7 +496,7 @@ ORACLE = {
     ),
     "model_registry_latest": statement(
         "SELECT model_type, ad_client_id, run_ts, 'models/' || model_type || '_models/' || ad_client_id || '/' "
-        "|| strftime(run_ts, '%d-%m-%Y_%H:%M:%S') AS path, strftime(run_ts, '%d-%m-%Y_%H:%M:%S') AS file_name "
+        "|| strftime(run_ts, '%Y%m%dT%H%M%S') AS path, strftime(run_ts, '%Y%m%dT%H%M%S') AS file_name "
         "FROM (SELECT ad_client_id, CAST(max(date_trunc('month', dateinvoiced)) AS TIMESTAMP) AS run_ts FROM facts "
         "GROUP BY 1) CROSS JOIN (VALUES ('classification'), ('regression')) AS t(model_type)"
     ),

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import clean, folds, forest, lasso, ledger, metrics, prep, splits, stats
+from ..operators import folds, forest, lasso, metrics, prep, splits
 from ..sources import derived
+from ..sources.lake import Lake
 from ..sources.storage import measured, scratch_path, stored
-from . import training
+from . import nightly, training
 from .oracle_base import statement
 from .output import comparable, sql_columns
-from .session import cleaned_tables, fact_table, facts, full_fact_table, tuned
+from .session import fact_table, facts, full_fact_table, tuned
 
 P = derived.PARAMS
 RUN = datetime(2001, 2, 1)
@@ -204,18 +205,11 @@ def train_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per tenant whether cleaning kept rows of every entity and facts came out."""
-    sources = derived.ledger_sources(tuned(spark), sf_dir)
-    lines = ledger.build_facts(cleaned_tables(spark, sf_dir), P)
-    table = stats.cleaning_stats(sources, clean.tenants(sources["ad_client"]), lines, RUN)
-    return comparable(
-        table.selectExpr(
-            "ad_client_id",
-            "stack(2, 'cleaning', least(no_clean_entries_invoices, no_clean_entries_alloc, "
-            "no_clean_entries_payments, no_clean_entries_terms), 'aggregation', no_total_aggregated_rows) "
-            "AS (step, result_rows)",
-        ).selectExpr("ad_client_id", "step", "IF(result_rows > 0, 1, 0) AS ok", "result_rows")
-    )
+    """Per tenant how the steps of a nightly run went, as the run itself records it."""
+    root = scratch_path(spark, "lake")
+    nightly.run(derived.ledger_sources(tuned(spark), sf_dir), root, P, RUN)
+    status = Lake(spark, root).read("run_status", T.StructType.fromDDL(nightly.STATUS))
+    return comparable(status.select("ad_client_id", "step", "ok", "result_rows"))
 
 
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +230,7 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "greatest(o_orderkey % 100 - 50, 0) AS clamped",
             "IF(o_orderstatus = 'F', 1, 0) AS finished",
             "coalesce(nullif(o_orderkey % 5, 0), -1) AS filled",
-            "date_format(o_orderdate, 'dd-MM-yyyy_HH:mm:ss') AS stamp",
+            "date_format(o_orderdate, \"yyyyMMdd'T'HHmmss\") AS stamp",
         )
     )
 
@@ -526,6 +520,6 @@ ORACLE = {
         "CAST(ends_with(CAST(o_orderkey AS VARCHAR), '7') AS BIGINT) AS ends_in_seven, "
         "CAST(o_orderkey AS VARCHAR) AS last_segment, greatest(o_orderkey % 100 - 50, 0) AS clamped, "
         "CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS finished, "
-        "coalesce(nullif(o_orderkey % 5, 0), -1) AS filled, strftime(o_orderdate, '%d-%m-%Y_%H:%M:%S') AS stamp FROM orders"
+        "coalesce(nullif(o_orderkey % 5, 0), -1) AS filled, strftime(o_orderdate, '%Y%m%dT%H%M%S') AS stamp FROM orders"
     ),
 }

@@ -1,17 +1,21 @@
-"""The nightly run: load what is new, rebuild the facts, record statistics."""
+"""The nightly run: load what is new, rebuild the facts, record statistics, publish all of it at once."""
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import clean, features, incremental, ledger, stats
+from ..functions.columns import moment
+from ..operators import clean, features, incremental, ledger, quarantine, stats
 from ..params import Params
-from ..schemas import CLEANING_STATS, KEY
+from ..schemas import CLEANING_STATS, KEY, SOURCES
+from ..sources.lake import Lake, Run
 from ..sources.storage import measured, stored
-from ..sources.tables import append_table, existing, read_lake, replace_tenants
+
+STATUS = "ad_client_id long, date_run timestamp_ntz, step string, ok int, result_rows long, message string"
 
 
 def read_batch(
@@ -22,34 +26,94 @@ def read_batch(
         rows = source.join(tenants, "ad_client_id", "left_semi")
     else:
         rows = incremental.rows_after(source, incremental.high_water_marks(run_stats), entity, params, tenants)
-    return stored(rows.where(clean.SCANNED[entity]), "batch")
+    return stored(quarantine.conformed(entity, rows, params.change_column), "batch")
+
+
+def cleaned_schema(spark: SparkSession, entity: str, rows: DataFrame | None = None) -> T.StructType:
+    return clean.clean(entity, spark.createDataFrame([], SOURCES[entity]) if rows is None else rows).schema
 
 
-def load_entity(batch: DataFrame, entity: str, lake: str, params: Params) -> DataFrame:
-    """Clean a batch and append the rows not yet held; returns the whole cleaned table."""
-    path = f"{lake}/{entity}_cleaned"
-    cleaned = clean.clean(entity, batch)
-    held = existing(batch.sparkSession, path, cleaned.schema)
-    append_table(incremental.new_rows(cleaned, held, KEY[entity], params.change_column), path)
-    return read_lake(batch.sparkSession, path, cleaned.schema)
+def cleaned_table(lake: Lake | Run, spark: SparkSession, entity: str) -> DataFrame:
+    return lake.read(f"{entity}_cleaned", cleaned_schema(spark, entity))
 
 
-def run(sources: dict[str, DataFrame], lake: str, params: Params, date_run: datetime) -> DataFrame:
+def load_entity(batch: DataFrame, entity: str, run: Run, params: Params) -> DataFrame:
+    """Clean a batch and put it into the cleaned table; returns the whole table.
+
+    Marked by creation, rows are added if their key is not held; marked by change, the last change of a key stays.
+    """
+    name, key = f"{entity}_cleaned", KEY[entity]
+    spark = batch.sparkSession
+    schema = cleaned_schema(spark, entity, batch)
+    if params.change_column == "created":
+        cleaned = clean.clean(entity, batch)
+        run.put(name, incremental.new_rows(cleaned, run.read(name, schema), key, params.change_column), key, instead=False)
+    else:
+        incremental.upsert(batch, entity, run, name, schema, params.change_column)
+    return run.read(name, schema)
+
+
+def status_rows(recorded: DataFrame, tenants: DataFrame, rejected: DataFrame, date_run: datetime) -> DataFrame:
+    """Per tenant and step whether it went well in this run, with the rows it gave or what was wrong."""
+    steps = recorded.selectExpr(
+        "ad_client_id",
+        "stack(2, 'cleaning', least(no_clean_entries_invoices, no_clean_entries_alloc, no_clean_entries_payments, "
+        "no_clean_entries_terms), 'aggregation', no_total_aggregated_rows) AS (step, result_rows)",
+    )
+    kinds = rejected.groupBy("ad_client_id", "entity", "rule", "column_name").agg(F.count("*").alias("n"))
+    reasons = kinds.groupBy("ad_client_id").agg(
+        F.sum("n").alias("rejected"),
+        F.array_join(F.sort_array(F.collect_list(F.concat_ws(" ", "entity", "rule", "column_name", "n"))), "; ").alias("why"),
+    )
+    listed = tenants.selectExpr("ad_client_id", "explode(array('cleaning', 'aggregation')) AS step")
+    joined = listed.join(steps, ["ad_client_id", "step"], "left").join(reasons, "ad_client_id", "left")
+    return joined.select(
+        "ad_client_id",
+        moment(date_run).alias("date_run"),
+        "step",
+        F.expr("IF(rejected IS NULL AND coalesce(result_rows, 0) > 0, 1, 0) AS ok"),
+        F.expr("IF(rejected IS NULL, coalesce(result_rows, 0), 0) AS result_rows"),
+        F.expr("CASE WHEN rejected IS NOT NULL THEN concat('rejected: ', why) WHEN coalesce(result_rows, 0) = 0 THEN 'no rows' END AS message"),
+    )
+
+
+def run(
+    sources: dict[str, DataFrame],
+    root: str,
+    params: Params,
+    date_run: datetime,
+    progress: Callable[[str], None] = lambda step: None,
+) -> DataFrame:
     """One run over the listed tenants; returns the statistics of all runs so far.
 
     Every source is read once. What the statistics count as read and kept, and
-    so the marks that the next run starts from, is the batch of this run.
+    so the marks that the next run starts from, is the batch of this run. A tenant with rejected rows takes no
+    part: nothing of it is loaded, its marks and facts stay as they were. ``progress`` is told each step; a
+    run that ends early, for whatever reason, leaves the lake as it was.
     """
     started = time.monotonic()
     spark = sources["c_invoice"].sparkSession
+    lake = Lake(spark, root)
+    work = lake.begin()
     tenants = measured(clean.tenants(sources["ad_client"]), "tenants")
-    run_stats = existing(spark, f"{lake}/cleaning_stats", CLEANING_STATS)
+    run_stats = lake.read("cleaning_stats", CLEANING_STATS) if lake.numbers() else None
     batches = {entity: read_batch(sources[entity], entity, run_stats, tenants, params) for entity in clean.KEPT}
-    cleaned = {entity: load_entity(batch, entity, lake, params) for entity, batch in batches.items()}
+    progress("read")
+    batches, rejected = quarantine.split(batches)
+    rejected = stored(rejected, "rejected")
+    failed = measured(rejected.select("ad_client_id").distinct(), "failed_tenants")
+    batches = {entity: rows.join(failed, "ad_client_id", "left_anti") for entity, rows in batches.items()}
+    good = measured(tenants.join(failed, "ad_client_id", "left_anti"), "good_tenants")
+    cleaned = {entity: load_entity(batch, entity, work, params) for entity, batch in batches.items()}
+    progress("cleaned")
     lines = stored(features.line_features(ledger.build_facts(cleaned, params)), "facts")
     partners = measured(features.partner_features(lines), "partners")
-    full = features.with_partner_features(lines, partners)
-    replace_tenants(full, f"{lake}/facts")
-    recorded = stats.cleaning_stats(batches, tenants, lines, date_run, time.monotonic() - started)
-    recorded.write.mode("append").parquet(f"{lake}/cleaning_stats")
-    return read_lake(spark, f"{lake}/cleaning_stats", CLEANING_STATS)
+    work.replace("facts", features.with_partner_features(lines, partners), ["ad_client_id"])
+    progress("facts")
+    recorded = stored(stats.cleaning_stats(batches, good, lines, date_run, time.monotonic() - started), "recorded")
+    work.append("cleaning_stats", recorded)
+    work.append("run_status", status_rows(recorded, tenants, rejected, date_run))
+    work.append("rejected_rows", rejected.withColumn("date_run", moment(date_run)))
+    progress("recorded")
+    work.commit()
+    return lake.read("cleaning_stats", CLEANING_STATS)

@@ -25,6 +25,11 @@ def _due(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFr
     return tables, settle.due_invoices(tables["c_invoice"], tables["c_paymentterm"], P)
 
 
+def _first_stage(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    tables, due = _due(spark, sf_dir)
+    return tables, settle.stage1(settle.with_links(due, tables["c_payment"], tables["c_allocationline"]), tables["c_payment"])
+
+
 def tenant_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.tenants(derived.ledger_sources(tuned(spark), sf_dir)["ad_client"])
 
@@ -37,8 +42,7 @@ def invoices_with_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def settle_stage1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, due = _due(spark, sf_dir)
-    rows = settle.stage1(due, tables["c_payment"])
+    _, rows = _first_stage(spark, sf_dir)
     return comparable(
         rows.select(
             "ad_client_id", "c_invoice_id", "c_payment_id_paym", "branch", "grandtotal", "paidamt",
@@ -48,9 +52,8 @@ def settle_stage1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def settle_stage2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, due = _due(spark, sf_dir)
-    residual = settle.unsettled(due, tables["c_payment"]).where(F.col("branch") == "residual")
-    rows = settle.stage2(residual, tables["c_allocationline"])
+    tables, first = _first_stage(spark, sf_dir)
+    rows = settle.stage2(settle.residual(first), tables["c_allocationline"])
     return comparable(
         rows.select(
             "ad_client_id", "c_invoice_id", "c_allocationline_id", "branch", "grandtotal", "paidamt", "amount",
@@ -60,9 +63,8 @@ def settle_stage2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def settle_stage3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, due = _due(spark, sf_dir)
-    matched = settle.invoices_with_payments(due, tables["c_payment"])
-    rows = settle.stage3(settle.paid_in_installments(matched), tables["c_allocationline"])
+    tables, first = _first_stage(spark, sf_dir)
+    rows = settle.stage3(settle.paid_in_installments(first), tables["c_allocationline"])
     return comparable(
         rows.select(
             "ad_client_id", "c_invoice_id", "c_payment_id_paym", "c_allocationline_id", "branch", "amount"
@@ -80,10 +82,8 @@ LINE_SPEC = (
 
 def _line_query(only: set[str] | None, spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = cleaned_tables(spark, sf_dir)
-    lines = settle.ledger_lines(
-        clean.settleable_invoices(tables), tables["c_allocationline"], tables["c_payment"],
-        tables["c_paymentterm"], P, only,
-    )
+    rows = ledger.classified(tables, P)
+    lines = settle.ledger_lines(rows, tables["c_allocationline"], tables["c_payment"], P, only)
     shown = [item.rsplit(":", 1)[0] for item in LINE_SPEC.split()]
     return comparable(lines.withColumnRenamed("c_payment_id_paym", "paym").select(*shown, "paym"))
 

@@ -13,7 +13,7 @@ from ..functions.columns import moment
 from ..operators import folds, forest, lasso, metrics, prep, splits
 from ..params import Params
 from ..sources import registry
-from ..sources.storage import measured, stored
+from ..sources.storage import measured, scratch_path, stored
 
 PAID = "paid = 1"
 REGRESSION_FOLDS = 10
@@ -79,42 +79,65 @@ def tenant_ids(table: DataFrame) -> Iterator[int]:
         yield row["ad_client_id"]
 
 
+def test_problem(test: DataFrame, tenants: list[int]) -> dict[int, str]:
+    """Tenants whose test rows are not of both classes: nothing can be said about their forests."""
+    sizes = splits.class_sizes(test).where("n_paid > 0 AND n_unpaid > 0").select("ad_client_id")
+    fine = {r["ad_client_id"] for r in sizes.toLocalIterator()}
+    return {t: "the test lines are all of one class" for t in tenants if t not in fine}
+
+
 def train_classifiers(
-    table: DataFrame, grid: forest.Grid, params: Params, root: str, run_ts: datetime, at_once: int = 4
+    table: DataFrame, grid: forest.Grid, params: Params, root: str, run_ts: datetime
 ) -> tuple[DataFrame, DataFrame | None]:
     """One forest per tenant, saved, with a status row each, and test predictions.
 
-    Every fit is a distributed job over one tenant's rows; a few tenants are
-    in work at a time, so that small ones do not wait for each other. Each
-    writes its own results, so no plan grows with the number of tenants. A
-    tenant whose data does not suffice fails alone.
+    Fits are distributed jobs over one tenant's rows, ``grid.parallelism`` of them at a time; votes and
+    predictions are one job for all tenants. A tenant whose data does not suffice fails alone.
     """
     spark = table.sparkSession
-    results_path = f"{root}/test_predictions/{run_ts.strftime('%Y%m%d%H%M%S')}"
     train, test = class_training_rows(table, grid, params)
-    problems = {
+    test = stored(test, "class_test")
+    failed = {
         r["ad_client_id"]: r["problem"]
         for r in splits.class_problem(splits.class_sizes(table)).where("problem IS NOT NULL").toLocalIterator()
     }
-
-    def one(tenant: int) -> tuple:
-        try:
-            if tenant in problems:
-                raise ValueError(problems[tenant])
-            own = F.col("ad_client_id") == tenant
-            model, score, chosen = forest.fit(train.where(own), grid, params)
-            path = registry.save_model(model, root, "classification", tenant, run_ts)
-            forest.predict(model, test.where(own)).write.parquet(f"{results_path}/tenant={tenant}")
-            return tenant, "classification", 1, f"accuracy {score:.4f} with {chosen}", path
-        except Exception as error:  # one tenant must not stop the others
-            return tenant, "classification", 0, str(error), None
-
-    with ThreadPool(at_once) as pool:
-        results = pool.map(inheritable_thread_target(spark)(one), tenant_ids(table))
-    saved = [("classification", row[0], run_ts, row[4]) for row in results if row[4]]
+    tenants = list(tenant_ids(table))
+    failed = test_problem(test, [t for t in tenants if t not in failed]) | failed
+    messages: dict[int, str] = {}
+    saved: list[tuple] = []
+
+    with ThreadPool(grid.parallelism) as threads:
+        pool = lambda job, items: threads.map(inheritable_thread_target(spark)(job), items, 1)
+        models, chosen, inputs, problems = forest.search(
+            spark, train, [t for t in tenants if t not in failed], grid, params, scratch_path(spark, "grid"), pool
+        )
+        failed |= problems
+
+        def save(tenant: int) -> None:
+            try:
+                path = registry.save_model(models[tenant], root, "classification", tenant, run_ts)
+                registry.save_trees(spark, path, root, tenant, run_ts)
+                best = chosen[tenant]
+                messages[tenant] = (
+                    f"accuracy {best['accuracy']:.4f} with {best['n_trees']} trees on {best['fraction']} of the rows each"
+                )
+                saved.append(("classification", tenant, run_ts, path))
+            except Exception as error:  # one tenant must not stop the others
+                failed[tenant] = str(error)
+
+        pool(save, list(models))
+    registry.save_inputs(inputs, root, run_ts)
     registry.register(spark, saved, root)
-    status = spark.createDataFrame([row[:4] for row in results], STATUS)
-    return status, spark.read.schema(forest.PREDICTIONS).parquet(results_path) if saved else None
+    rows = [(t, "classification", int(t not in failed), failed.get(t) or messages[t]) for t in tenants]
+    status = spark.createDataFrame(rows, STATUS)
+    if not saved:
+        return status, None
+    fitted, known = registry.trees_of(spark, root, saved)
+    key = ["c_invoice_id", "paid"]
+    predicted = forest.predict_all(fitted, known, test.withColumn("paid", F.col("paid").cast("int")), key)
+    path = f"{root}/test_predictions/{run_ts.strftime(registry.STAMP)}"
+    predicted.select("ad_client_id", *key, "prediction", "score").write.mode("overwrite").parquet(path)
+    return status, spark.read.schema(forest.PREDICTIONS).parquet(path)
 
 
 def days_status(table: DataFrame, models: DataFrame) -> DataFrame:
@@ -122,7 +145,7 @@ def days_status(table: DataFrame, models: DataFrame) -> DataFrame:
     listed = table.select("ad_client_id").distinct().join(known, "ad_client_id", "left")
     return listed.selectExpr(
         "ad_client_id", "'regression' AS step", "coalesce(found, 0) AS ok",
-        "IF(found = 1, 'fitted', 'Not enough training data') AS message",
+        "IF(found = 1, 'fitted', 'too few paid lines') AS message",
     )
 
 

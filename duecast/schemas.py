@@ -7,49 +7,84 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
 
-_KINDS = {
-    "id": T.LongType(),
-    "long": T.LongType(),
+_TYPES = {
+    "bigint": T.LongType(),
     "int": T.IntegerType(),
-    "text": T.StringType(),
-    "time": T.TimestampNTZType(),
-    "money": MONEY,
-    "real": T.DoubleType(),
+    "string": T.StringType(),
+    "timestamp": T.TimestampNTZType(),
+    "decimal(18,2)": MONEY,
+    "double": T.DoubleType(),
 }
 
 
-def _schema(required: str, optional: str = "", order: list[str] | None = None) -> T.StructType:
-    fields = {}
-    for spec, nullable in ((required, False), (optional, True)):
-        for item in spec.split():
-            name, kind = item.split(":")
-            fields[name] = T.StructField(name, _KINDS[kind], nullable)
-    return T.StructType([fields[n] for n in (order or fields)])
-
-
-INVOICE = _schema(
-    "c_invoice_id:id ad_client_id:id ad_org_id:id dateinvoiced:time c_bpartner_id:id "
-    "c_bpartner_location_id:id c_currency_id:id paymentrule:text c_paymentterm_id:id "
-    "grandtotal:money totalopenamt:money paidamt:money issotrx:text docstatus:text "
-    "isreturntrx:text created:time",
-    "c_payment_id:id c_cashline_id:id duedate:time",
-)
-
-PAYMENT = _schema(
-    "c_payment_id:id ad_client_id:id ad_org_id:id datetrx:time c_doctype_id:id "
-    "tendertype:text c_currency_id:id payamt:money isallocated:text allocatedamt:money "
-    "isreceipt:text docstatus:text created:time",
-    "c_bpartner_id:id c_invoice_id:id duedate:time",
-)
-
-ALLOCATION = _schema(
-    "c_allocationline_id:id ad_client_id:id ad_org_id:id amount:money created:time",
-    "c_invoice_id:id c_bpartner_id:id c_payment_id:id c_cashline_id:id",
-)
-
-TERM = _schema("c_paymentterm_id:id ad_client_id:id netdays:long created:time")
-
-TENANT = _schema("ad_client_id:id")
+def _table(columns: str) -> T.StructType:
+    """One column a line: name, type and, where it must have a value, NOT NULL."""
+    parts = [line.split() for line in columns.strip().splitlines()]
+    return T.StructType([T.StructField(name, _TYPES[kind], not rule) for name, kind, *rule in parts])
+
+
+# The columns that are read of each source table, in the order of the tables (fixed values).
+INVOICE = _table("""
+    c_invoice_id bigint NOT NULL
+    ad_client_id bigint NOT NULL
+    ad_org_id bigint NOT NULL
+    dateinvoiced timestamp NOT NULL
+    c_bpartner_id bigint NOT NULL
+    c_bpartner_location_id bigint NOT NULL
+    c_currency_id bigint NOT NULL
+    paymentrule string NOT NULL
+    c_paymentterm_id bigint NOT NULL
+    grandtotal decimal(18,2) NOT NULL
+    c_payment_id bigint
+    c_cashline_id bigint
+    duedate timestamp
+    totalopenamt decimal(18,2) NOT NULL
+    paidamt decimal(18,2) NOT NULL
+    issotrx string NOT NULL
+    docstatus string NOT NULL
+    isreturntrx string NOT NULL
+    created timestamp NOT NULL
+""")
+
+PAYMENT = _table("""
+    c_payment_id bigint NOT NULL
+    ad_client_id bigint NOT NULL
+    ad_org_id bigint NOT NULL
+    datetrx timestamp NOT NULL
+    c_doctype_id bigint NOT NULL
+    c_bpartner_id bigint
+    c_invoice_id bigint
+    tendertype string NOT NULL
+    c_currency_id bigint NOT NULL
+    payamt decimal(18,2) NOT NULL
+    isallocated string NOT NULL
+    duedate timestamp
+    allocatedamt decimal(18,2) NOT NULL
+    isreceipt string NOT NULL
+    docstatus string NOT NULL
+    created timestamp NOT NULL
+""")
+
+ALLOCATION = _table("""
+    c_allocationline_id bigint NOT NULL
+    ad_client_id bigint NOT NULL
+    ad_org_id bigint NOT NULL
+    c_invoice_id bigint
+    c_bpartner_id bigint
+    c_payment_id bigint
+    c_cashline_id bigint
+    amount decimal(18,2) NOT NULL
+    created timestamp NOT NULL
+""")
+
+TERM = _table("""
+    c_paymentterm_id bigint NOT NULL
+    ad_client_id bigint NOT NULL
+    netdays bigint NOT NULL
+    created timestamp NOT NULL
+""")
+
+TENANT = _table("ad_client_id bigint NOT NULL")
 
 SOURCES = {
     "c_invoice": INVOICE,
@@ -70,7 +105,7 @@ PRIMARY_KEY = {
 # What identifies a row of each entity; terms are shared, so their ids repeat between tenants.
 KEY = {entity: [own] for entity, own in PRIMARY_KEY.items()} | {"c_paymentterm": ["ad_client_id", "c_paymentterm_id"]}
 
-# Columns a cleaned table may not hold null in.
+# Columns a cleaned table may not hold null in (fixed values).
 CLEAN_REQUIRED = {
     "c_invoice": [
         "c_invoice_id", "ad_client_id", "ad_org_id", "dateinvoiced", "c_bpartner_id",
@@ -101,24 +136,43 @@ DEFAULTS = {
     "facts": {"grandtotal": 0, "totalopenamt": 0, "paidamt": 0, "allocatedamt": 0},
 }
 
-REQUEST = _schema(
-    "",
-    "row_id:id ad_client_id:id c_invoice_id:id ad_org_id:id dateinvoiced:time "
-    "c_bpartner_id:id c_bpartner_location_id:id paymentrule:text grandtotal:money "
-    "duedate:time totalopenamt:money tendertype:text",
-)
-
-CLEANING_STATS = _schema(
-    "",
-    "ad_client_id:id date_run:time runtime_in_seconds:real no_entries_invoices:long "
-    "no_entries_alloc:long no_entries_payments:long no_entries_terms:long "
-    "no_clean_entries_invoices:long no_clean_entries_alloc:long no_clean_entries_payments:long "
-    "no_clean_entries_terms:long invoices_remaining_percent:real alloc_remaining_percent:real "
-    "payments_remaining_percent:real terms_remaining_percent:real avg_remaining_percent:real "
-    "no_total_aggregated_rows:long",
-)
-
-# The line columns that the fact table starts with, in its column order.
+# A scoring request, and the statistics of a cleaning run (fixed values).
+REQUEST = _table("""
+    row_id bigint
+    ad_client_id bigint
+    c_invoice_id bigint
+    ad_org_id bigint
+    dateinvoiced timestamp
+    c_bpartner_id bigint
+    c_bpartner_location_id bigint
+    paymentrule string
+    grandtotal decimal(18,2)
+    duedate timestamp
+    totalopenamt decimal(18,2)
+    tendertype string
+""")
+
+CLEANING_STATS = _table("""
+    ad_client_id bigint
+    date_run timestamp
+    runtime_in_seconds double
+    no_entries_invoices bigint
+    no_entries_alloc bigint
+    no_entries_payments bigint
+    no_entries_terms bigint
+    no_clean_entries_invoices bigint
+    no_clean_entries_alloc bigint
+    no_clean_entries_payments bigint
+    no_clean_entries_terms bigint
+    invoices_remaining_percent double
+    alloc_remaining_percent double
+    payments_remaining_percent double
+    terms_remaining_percent double
+    avg_remaining_percent double
+    no_total_aggregated_rows bigint
+""")
+
+# The line columns that the fact table starts with, in its column order (fixed values).
 FACT_LINE = [
     "ad_client_id", "ad_org_id", "dateinvoiced", "c_bpartner_id", "c_invoice_id",
     "c_bpartner_location_id", "paymentrule", "grandtotal", "duedate", "totalopenamt",

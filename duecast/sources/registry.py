@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators import forest, trees
+
 REGISTRY = T.StructType(
     [
         T.StructField("model_type", T.StringType()),
@@ -16,13 +18,12 @@ REGISTRY = T.StructType(
     ]
 )
 
-STAMP = "%d-%m-%Y_%H:%M:%S"
+STAMP = "%Y%m%dT%H%M%S"
+"""How run times are written in names: they sort by time and hold nothing a file system refuses."""
 
 
 def model_path(root: str, model_type: str, tenant: int, run_ts: datetime) -> str:
-    # A colon is not allowed in a folder name on every file system.
-    stamp = run_ts.strftime(STAMP).replace(":", "-")
-    return f"{root}/{model_type}_models/{tenant}/{stamp}"
+    return f"{root}/{model_type}_models/{tenant}/{run_ts.strftime(STAMP)}"
 
 
 def save_model(model: PipelineModel, root: str, model_type: str, tenant: int, run_ts: datetime) -> str:
@@ -32,6 +33,30 @@ def save_model(model: PipelineModel, root: str, model_type: str, tenant: int, ru
     return path
 
 
+def save_trees(spark: SparkSession, path: str, root: str, tenant: int, run_ts: datetime) -> None:
+    """The trees of a model saved at ``path`` as rows, for scoring all tenants in one job."""
+    forest_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/stages")
+    system = forest_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    last = max((s.getPath().getName() for s in system.listStatus(forest_path)), key=lambda n: int(n.split("_")[0]))
+    own = f"{root}/forest_trees/ad_client_id={tenant}/run={run_ts.strftime(STAMP)}"
+    trees.tree_rows(spark, f"{path}/stages/{last}").coalesce(1).write.mode("overwrite").parquet(own)
+
+
+def save_inputs(inputs: DataFrame, root: str, run_ts: datetime) -> None:
+    """The preparations of a run's models, beside their trees."""
+    inputs.write.mode("overwrite").parquet(f"{root}/forest_inputs/run={run_ts.strftime(STAMP)}")
+
+
+def trees_of(spark: SparkSession, root: str, saved: list[tuple] | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Trees and preparations of the models listed as in the registry, each with its tenant."""
+    listed = saved if isinstance(saved, DataFrame) else spark.createDataFrame(saved, REGISTRY)
+    wanted = listed.select("ad_client_id", F.date_format("run_ts", "yyyyMMdd'T'HHmmss").alias("run"))
+    fitted = spark.read.schema(f"{trees.NODES}, ad_client_id long, run string").parquet(f"{root}/forest_trees")
+    inputs = spark.read.schema(f"{forest.INPUTS}, run string").parquet(f"{root}/forest_inputs")
+    key = ["ad_client_id", "run"]
+    return fitted.join(wanted, key, "left_semi").drop("run"), inputs.join(wanted, key, "left_semi").drop("run")
+
+
 def register(spark: SparkSession, saved: list[tuple[str, int, datetime, str]], root: str) -> None:
     """Enter saved models, (type, tenant, run time, path) each, in the registry."""
     if saved:

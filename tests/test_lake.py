@@ -5,33 +5,96 @@ from decimal import Decimal
 
 import making
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from duecast.operators import clean, incremental, quality, score
+from duecast.operators import clean, incremental, quality, quarantine, score
 from duecast.params import Params
 from duecast.plans import nightly
 from duecast.schemas import CLEANING_STATS, REQUEST
 from duecast.sources import derived, registry, tables
+from duecast.sources.lake import BUCKETS, Lake
 from duecast.streaming.incremental_stream import arrived, clean_arrivals
 
 
 def test_two_nightly_runs_load_each_row_once(spark, small, tmp_path):
     sources = derived.ledger_sources(spark, small)
-    lake = str(tmp_path / "lake")
+    root = str(tmp_path / "lake")
+    lake = Lake(spark, root)
+    held = lambda entity: nightly.cleaned_table(lake, spark, entity).count()
     cut = "created < '2001-01-01'"
     early = {k: v.where(cut) if "created" in v.columns else v for k, v in sources.items()}
-    nightly.run(early, lake, derived.PARAMS, datetime(2001, 1, 1))
-    held = spark.read.parquet(f"{lake}/c_invoice_cleaned").count()
-    stats = nightly.run(sources, lake, derived.PARAMS, datetime(2001, 9, 1))
+    nightly.run(early, root, derived.PARAMS, datetime(2001, 1, 1))
+    before = held("c_invoice")
+    stats = nightly.run(sources, root, derived.PARAMS, datetime(2001, 9, 1))
     assert stats.select("date_run").distinct().count() == 2
-    loaded = spark.read.parquet(f"{lake}/c_invoice_cleaned")
-    assert held < loaded.count() == clean.clean("c_invoice", sources["c_invoice"]).count()
+    loaded = held("c_invoice")
+    assert before < loaded == clean.clean("c_invoice", sources["c_invoice"]).count()
     # A third run finds nothing and changes nothing.
-    nightly.run(sources, lake, derived.PARAMS, datetime(2001, 9, 2))
-    assert spark.read.parquet(f"{lake}/c_invoice_cleaned").count() == loaded.count()
-    facts = spark.read.parquet(f"{lake}/facts")
-    assert facts.count() == 1465
-    assert spark.read.parquet(f"{lake}/c_paymentterm_cleaned").count() == 15
+    nightly.run(sources, root, derived.PARAMS, datetime(2001, 9, 2))
+    assert held("c_invoice") == loaded
+    assert lake.read("facts", T.StructType.fromDDL("ad_client_id long, c_invoice_id string")).count() == 1465
+    assert held("c_paymentterm") == 15
+
+
+VALUES = T.StructType().add("id", "long").add("v", "string")
+
+
+def _put(spark, lake, rows, instead=False):
+    work = lake.begin()
+    work.put("t", spark.createDataFrame(rows, VALUES), ["id"], instead)
+    return work
+
+
+def test_a_run_is_seen_once_it_is_committed(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    assert lake.read("t", VALUES).count() == 0
+    first = _put(spark, lake, [(1, "a"), (2, "b")])
+    assert lake.read("t", VALUES).count() == 0
+    late = _put(spark, lake, [(3, "c")])
+    first.commit()
+    assert lake.read("t", VALUES).count() == 2
+    with pytest.raises(RuntimeError):
+        late.commit()
+    # A manifest that was not finished is passed over, and its number is not used again.
+    (tmp_path / "lake" / "manifests" / "number=000000000002").mkdir()
+    assert lake.numbers() == [1]
+    _put(spark, lake, [(3, "c")]).commit()
+    assert lake.numbers() == [1, 3] and lake.read("t", VALUES).count() == 3
+    _put(spark, lake, []).commit()
+    assert lake.read("t", VALUES).count() == 3
+
+
+def test_only_buckets_with_changes_are_written(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    schema = T.StructType.fromDDL("ad_client_id long, c_paymentterm_id long, netdays long, created timestamp_ntz")
+    rows = lambda ids, days, day: spark.createDataFrame([(1, i, days, datetime(2020, 1, day)) for i in ids], schema)
+
+    def load(df):
+        work = lake.begin()
+        incremental.upsert(df, "c_paymentterm", work, "t", schema, "created")
+        work.commit()
+        return {(b, p) for _, b, p in lake.entries()}
+
+    first = load(rows(range(1, 1000), 10, 5))
+    second = load(rows([7, 7], 20, 6).unionByName(rows([7], 30, 4)))
+    assert len(first) == BUCKETS and len(first - second) == len(second - first) == 1
+    assert load(rows([7], 40, 3)) != second  # rewritten, but the held row is later
+    got = {r["c_paymentterm_id"]: r["netdays"] for r in lake.read("t", schema).collect()}
+    assert len(got) == 999 and got[7] == 20 and got[8] == 10
+    assert load(rows([], 0, 1)) and lake.read("t", schema).count() == 999
+
+
+def test_rejects_name_rule_and_value(spark):
+    sources = making.hand_sources(spark)
+    wide = sources["c_payment"].withColumn("payamt", F.expr("CASE c_payment_id % 3 WHEN 0 THEN 'much' WHEN 1 THEN '1e15' ELSE '5' END"))
+    rows = quarantine.conformed("c_payment", wide.withColumn("tendertype", F.lit(None).cast("string")))
+    found = quarantine.rejects("c_payment", rows).collect()
+    ids = {r["c_payment_id"]: r["isreceipt"] == "Y" and r["docstatus"] == "CO" for r in sources["c_payment"].collect()}
+    want = {(str(i), "type", "payamt", "much") for i in ids if i % 3 == 0} | {(str(i), "amount", "payamt", "1e15") for i in ids if i % 3 == 1}
+    want |= {(str(i), "not_null", "tendertype", None) for i, kept in ids.items() if kept}
+    want |= {(str(i), "not_null", "payamt", None) for i, kept in ids.items() if kept and i % 3 == 0}
+    assert {(r["row_key"], r["rule"], r["column_name"], r["value"]) for r in found} == want
+    assert quarantine.rejects("c_payment", quarantine.conformed("c_payment", sources["c_payment"])).count() == 0
 
 
 def test_marks_ignore_runs_that_kept_nothing(spark):

@@ -275,4 +275,4 @@ def making_time():
 
 def test_one_class_tenant_fails_alone(spark):
     sizes = splits.class_problem(splits.class_sizes(_rows(spark, [True] * 5)))
-    assert sizes.first()["problem"] == "Only one class found in data"
+    assert sizes.first()["problem"] == "all lines are of one class"

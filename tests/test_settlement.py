@@ -30,10 +30,14 @@ def _by_branch(df):
 
 
 def _settled(cleaned, params):
-    return settle.ledger_lines(
-        clean.settleable_invoices(cleaned), cleaned["c_allocationline"], cleaned["c_payment"],
-        cleaned["c_paymentterm"], params,
-    )
+    rows = ledger.classified(cleaned, params)
+    return settle.ledger_lines(rows, cleaned["c_allocationline"], cleaned["c_payment"], params)
+
+
+def _first_stage(cleaned):
+    due = settle.due_invoices(cleaned["c_invoice"], cleaned["c_paymentterm"], derived.PARAMS)
+    linked = settle.with_links(due, cleaned["c_payment"], cleaned["c_allocationline"])
+    return due, settle.stage1(linked, cleaned["c_payment"])
 
 
 def test_cleaned_counts(cleaned):
@@ -42,12 +46,11 @@ def test_cleaned_counts(cleaned):
 
 
 def test_stage_counts(cleaned):
-    due = settle.due_invoices(cleaned["c_invoice"], cleaned["c_paymentterm"], derived.PARAMS)
-    assert _by_branch(settle.stage1(due, cleaned["c_payment"])) == {
+    _, rows = _first_stage(cleaned)
+    assert _by_branch(rows) == {
         "fully_paid": 156, "partially_paid": 158, "partially_paid_2": 148, "unpaid_invoices": 85, "residual": 494,
     }
-    residual = settle.unsettled(due, cleaned["c_payment"]).where("branch = 'residual'")
-    assert _by_branch(settle.stage2(residual, cleaned["c_allocationline"])) == {
+    assert _by_branch(settle.stage2(settle.residual(rows), cleaned["c_allocationline"])) == {
         "cash_paid": 81, "fp2": 82, "p2": 67, "cash_paid2": 82, "p3": 164, "cash_paid3": 75, "p4": 150,
         "no_allocation": 68, "unsupported": 39,
     }
@@ -61,8 +64,7 @@ def test_line_and_fact_counts(cleaned):
 
 
 def test_every_row_gets_one_branch(cleaned):
-    due = settle.due_invoices(cleaned["c_invoice"], cleaned["c_paymentterm"], derived.PARAMS)
-    rows = settle.stage1(due, cleaned["c_payment"])
+    due, rows = _first_stage(cleaned)
     assert rows.where("branch IS NULL").count() == 0
     assert rows.select("ad_client_id", "c_invoice_id").distinct().count() == due.count()
 
@@ -81,7 +83,7 @@ def test_rows_do_not_depend_on_order_or_partitions(spark, cleaned):
 def test_crowded_invoices_are_numbered_the_same(cleaned):
     """Splitting groups that are too large for a task changes nothing."""
     tight = replace(derived.PARAMS, hot_group_rows=3)
-    assert ledger.crowded_invoices(cleaned["c_allocationline"], cleaned["c_payment"], tight).count() > 100
+    assert ledger.crowded_invoices(ledger.classified(cleaned, tight), tight).count() > 100
     first, second = (ledger.build_facts(cleaned, p) for p in (derived.PARAMS, tight))
     assert first.exceptAll(second).count() == 0 and second.exceptAll(first).count() == 0
 
@@ -262,10 +264,37 @@ def test_invoices_of_undated_payments_stay(spark):
     """A payment without a date settles nothing, but its invoice is not lost."""
     sources = making.hand_sources(spark)
     undated = sources["c_payment"].withColumn("datetrx", F.lit(None).cast("timestamp_ntz"))
-    tables = [clean.clean(t, s) for t, s in {**sources, "c_payment": undated}.items() if t != "ad_client"]
-    invoices, payments, allocations, terms = tables
-    lines = settle.ledger_lines(invoices, allocations, payments, terms, Params()).collect()
+    tables = clean.clean_all({**sources, "c_payment": undated})
+    lines = _settled(tables, Params()).collect()
     branches = {(r["c_invoice_id"], r["branch"]) for r in lines}
     # Paid in instalments by undated payments, allocated in cash; and open.
     assert {(18, "cash_paid"), (6, "unpaid_invoices")} <= branches
     assert all(r["tendertype"] == "K" for r in lines if r["c_invoice_id"] == 18)
+
+
+def test_a_hot_invoice_is_dealt_over_tasks(spark, cleaned):
+    """A third of all payments on one invoice: the join of the first stage is split by adaptive execution."""
+    import re
+
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "16",
+    }
+    hot = "IF(c_payment_id % 3 = 0, 1, c_invoice_id)"
+    # Many small files, as a task writes one piece of a partition.
+    payments = cleaned["c_payment"].withColumn("c_invoice_id", F.expr(hot)).withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(60))))
+    payments = payments.drop("x").repartition(32)
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        linked = settle.with_links(cleaned["c_invoice"].withColumn("ad_client_id", F.lit(1)), payments.withColumn("ad_client_id", F.lit(1)), cleaned["c_allocationline"])
+        rows = settle.stage1(linked, payments.withColumn("ad_client_id", F.lit(1)))
+        rows.write.format("noop").mode("overwrite").save()
+        rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert re.search(r"skew=true", plan)
