@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -28,6 +29,26 @@ SETTINGS = {
 _HELD: dict[str, Callable[[], None]] = {}
 
 
+# Fixed values of the C library: parameters of mallopt.
+TRIM_THRESHOLD, MMAP_THRESHOLD = -1, -3
+KEPT_FREE = 1 << 20
+"""Free bytes above which an allocation's memory goes back to the machine at once."""
+
+
+@functools.cache
+def lean() -> None:
+    """From now on this worker keeps little of the memory it frees.
+
+    Executors share a machine's memory between the JVM and its Python workers, and
+    workers that stay idle would keep the most they ever used.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    set_option = getattr(ctypes.CDLL(None), "mallopt", None)
+    if set_option is not None:
+        set_option(MMAP_THRESHOLD, KEPT_FREE)
+        set_option(TRIM_THRESHOLD, KEPT_FREE)
+
+
 def _returned() -> None:
     """Gives memory that is free inside this worker back to the machine."""
     gc.collect()
@@ -37,6 +58,22 @@ def _returned() -> None:
         trim(0)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``work`` on batches in a worker that gives free memory back when the task ends."""
+
+    def task(batches: Batches) -> Batches:
+        lean()
+        try:
+            yield from work(batches)
+        finally:
+            _returned()
+
+    return task
+
+
 def holding(owner: str, clear: Callable[[], None]) -> None:
     """Says that a Python worker remembers things for ``owner``; what it held for others goes.
 
@@ -44,6 +81,7 @@ def holding(owner: str, clear: Callable[[], None]) -> None:
     carry the memory of all of them along.
     """
     if owner not in _HELD:
+        lean()
         for let_go in _HELD.values():
             let_go()
         _HELD.clear()

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.storage import stored
-from .common import SPACE, body, kept, lowered, packed, unpacked
+from .common import SPACE, body, kept, lowered, packed, tidy, unpacked
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -124,7 +124,7 @@ def twice_seen(texts: DataFrame, bits: int, min_chars: int) -> np.ndarray:
     schema = "block int, lot int, once binary, twice binary"
     tasks = texts.rdd.getNumPartitions()
     # Two steps, so that no task merges more than the root of all tasks' blocks.
-    filled = texts.mapInArrow(fill, schema).withColumn("lot", F.col("lot") % math.isqrt(tasks) + 1)
+    filled = texts.mapInArrow(tidy(fill), schema).withColumn("lot", F.col("lot") % math.isqrt(tasks) + 1)
     lots = filled.groupBy("block", "lot").applyInArrow(merge, schema)
     merged = lots.groupBy("block").applyInArrow(merge, schema).select("block", "twice")
     result = np.zeros(bits // 8, np.uint8)
@@ -157,7 +157,7 @@ def suspects(texts: DataFrame, bits: int, min_chars: int) -> DataFrame:
                 names=["doc_id", "line"],
             )
 
-    return texts.select("doc_id", "text").mapInArrow(probe, "doc_id long, line string")
+    return texts.select("doc_id", "text").mapInArrow(tidy(probe), "doc_id long, line string")
 
 
 def line_key(line: Column) -> Column:

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
+from .common import lean
+
 BITS_PER_ID = 16
 BLOCK_BITS = 1 << 16
 MAX_BITS = 1 << 27
@@ -37,6 +39,7 @@ def membership(ids: DataFrame) -> Callable[[Column], Column]:
 
     @arrow_udf("boolean")
     def holds(at: pa.Array) -> pa.Array:
+        lean()
         at = np.asarray(at)
         return pa.array((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0)
 

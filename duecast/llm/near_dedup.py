@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import stored
-from .common import body, holding
+from .common import body, holding, tidy
 from .components import components
 from .membership import membership
 
@@ -162,7 +162,7 @@ def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
             )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), body(text).cast("binary").alias("text"))
-    return rows.mapInArrow(sketch, "doc_id long, same binary, n_shingles long, sketch binary")
+    return rows.mapInArrow(tidy(sketch), "doc_id long, same binary, n_shingles long, sketch binary")
 
 
 def word_digest(text: Column) -> Column:
@@ -193,7 +193,7 @@ def candidates(sets: DataFrame) -> DataFrame:
                     names=["node", "band", "value"],
                 )
 
-    banded = sets.select("node", "sketch").mapInArrow(keys, "node long, band int, value long")
+    banded = sets.select("node", "sketch").mapInArrow(tidy(keys), "node long, band int, value long")
     order = F.struct(F.xxhash64("node", F.col("band") % LEADERS), "node")
     buckets = banded.groupBy("band", "value").agg(F.min(order)["node"].alias("leader"), F.count("*").alias("rows"))
     shared = buckets.where("rows > 1").drop("rows")
@@ -218,7 +218,7 @@ def candidates(sets: DataFrame) -> DataFrame:
                 kept = estimated(*sizes, side_of("s_u"), side_of("s_v")) >= DISTANT
                 yield batch.select(["u", "v"]).filter(pa.array(kept))
 
-    return paired.select("u", "v", "n_u", "n_v", "s_u", "s_v").mapInArrow(near, "u long, v long")
+    return paired.select("u", "v", "n_u", "n_v", "s_u", "s_v").mapInArrow(tidy(near), "u long, v long")
 
 
 def least_linked(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
@@ -345,7 +345,7 @@ def with_shingles(docs: DataFrame, wanted: DataFrame, key: str, text: str, size:
     rows = docs.where(membership(wanted.select("least"))(F.col(key)))
     rows = rows.select(F.col(key).cast("long").alias("least"), body(text).cast("binary").alias("text"))
     joined = rows.join(wanted, "least").select("hood", "parts", "node", "same", "text")
-    return joined.mapInArrow(cut, "hood long, parts long, node long, shingles binary").dropDuplicates(["node"])
+    return joined.mapInArrow(tidy(cut), "hood long, parts long, node long, shingles binary").dropDuplicates(["node"])
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import stored
-from .common import body, holding, kept, packed, uniform, unpacked
+from .common import body, holding, kept, lean, packed, tidy, uniform, unpacked
 
 LABELLED_ROWS = 200_000
 FOLDS = 5
@@ -136,7 +136,7 @@ def counted(texts: DataFrame) -> DataFrame:
                 names=["bucket", "seen", "toxic", "other"],
             )
 
-    rows = texts.mapInArrow(count, "bucket int, seen long, toxic long, other long")
+    rows = texts.mapInArrow(tidy(count), "bucket int, seen long, toxic long, other long")
     return rows.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("seen", "toxic", "other")])
 
 
@@ -247,6 +247,7 @@ def findings(text: Column, model: Model, with_passages: bool = False) -> Column:
 
     @arrow_udf(spark_type)
     def find(texts: pa.Array) -> pa.Array:
+        lean()
         used = Model(weights, model.scale, model.log_k, model.slope, model.offset)
         return pa.array([finding(t or "", used, with_passages) for t in texts.to_pylist()], FINDING)
 
