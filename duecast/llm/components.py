@@ -10,7 +10,8 @@ from ..sources.storage import stored
 def _star(links: DataFrame) -> DataFrame:
     """Each node ``u`` of (u, v) with the least of itself and its neighbours, beside every ``v``."""
     least = links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
-    return links.join(least, "u")
+    # A hub has as many edges as its component: stored, its one row joins by a shuffle that is split.
+    return links.join(stored(least, "least_neighbours"), "u")
 
 
 def _large(edges: DataFrame) -> DataFrame:

@@ -196,7 +196,9 @@ def candidates(sets: DataFrame) -> DataFrame:
     banded = sets.select("node", "sketch").mapInArrow(tidy(keys), "node long, band int, value long")
     order = F.struct(F.xxhash64("node", F.col("band") % LEADERS), "node")
     buckets = banded.groupBy("band", "value").agg(F.min(order)["node"].alias("leader"), F.count("*").alias("rows"))
-    shared = buckets.where("rows > 1").drop("rows")
+    # Stored, as are the other small sides of joins on keys that a crowd may share: only
+    # joins of two plain shuffles are split by adaptive execution.
+    shared = stored(buckets.where("rows > 1").drop("rows"), "shared_buckets")
     pairs = (
         banded.join(shared, ["band", "value"])
         .where("node <> leader")
@@ -317,9 +319,11 @@ def hot_links(rows: DataFrame) -> DataFrame:
     found = components(links)
     sizes = rows.select("hood", "node").join(found, "node").groupBy("hood", "component").count()
     core = sizes.groupBy("hood").agg(F.max(F.struct("count", "component"))["component"].alias("core"))
+    core = stored(core, "hot_cores")
     cores = stored(found.join(core, F.col("component") == F.col("core"), "left_semi").select("node"), "hot_core")
-    outside = rows.join(cores, "node", "left_anti")
+    outside = stored(rows.join(cores, "node", "left_anti"), "hot_outside")
     count = outside.groupBy("hood").agg(F.count("*").alias("n"), F.sum(F.length("shingles") / 8).alias("s"))
+    count = stored(count, "hot_sizes")
     again = outside.join(count, "hood").withColumn("part", F.pmod(F.xxhash64("node", F.lit(13)), _parts("n", "s")))
     rest = stored(again.select("hood", "part", "node", "shingles"), "hot_rest")
     return links.unionByName(_met_by(rows, rest))
@@ -365,8 +369,9 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     sets = stored(classes.withColumn("node", F.xxhash64("same")), "classes")
     near = candidates(sets)
     hoods = stored(components(near), "neighbourhoods")
-    members = hoods.join(sets.select("node", "same", "least", "n_shingles"), "node")
+    members = stored(hoods.join(sets.select("node", "same", "least", "n_shingles"), "node"), "hood_members")
     weight = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    weight = stored(weight, "hood_sizes")
     wanted = members.join(weight, "component").select(
         F.col("component").alias("hood"), _parts("n", "s").alias("parts"), "node", "same", "least"
     )
@@ -383,7 +388,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     found = components(links)
     named = sets.select("same", "node", "least").join(found, "node", "left")
     named = stored(named.select("same", "least", F.coalesce("component", "node").alias("root")), "class_roots")
-    first = named.groupBy("root").agg(F.min(F.struct("least", "same")).alias("first"))
+    first = stored(named.groupBy("root").agg(F.min(F.struct("least", "same")).alias("first")), "class_first")
     shown = ["same", F.col("first.least").alias("_component"), (F.col("same") == F.col("first.same")).alias("_first")]
     named = stored(named.join(first, "root").select(*shown), "class_components")
     joined = rows.drop("sketch").join(named, "same", "left")

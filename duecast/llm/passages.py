@@ -11,7 +11,7 @@ identifier and offset, stays, and what any other place covers is removed.
 Runs are counted by a 64-bit hash, a shuffle of hashes alone. Only runs that a filter
 of the repeated hashes lets through then travel with their places, are told apart by a second hash and meet
 their first place in a join. A passage that a third of all documents share is
-counted by partial sums, and its join is split by adaptive execution.
+counted by partial sums, and its join, with first places stored before, is split by adaptive execution.
 
 Sentences end after ``.``, ``!``, ``?`` or a line end; they are equal if their
 words are, in any letter case. Runs of fewer than ``LEAST_WORDS`` words are too
@@ -185,7 +185,8 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     twice = stored(twice, "repeated_hashes")
     suspects = places.where(membership(twice)(F.col("run")))
     again = stored(suspects.join(twice, "run", "left_semi"), "repeated_runs")
-    first = again.groupBy("run", "check").agg(F.min(F.struct(*DOCUMENT, "begin")).alias("first"))
+    # Stored, so that both sides of the join are plain shuffles, which adaptive execution splits.
+    first = stored(again.groupBy("run", "check").agg(F.min(F.struct(*DOCUMENT, "begin")).alias("first")), "first_places")
     later = again.join(first, ["run", "check"]).where(F.struct(*DOCUMENT, "begin") > F.col("first"))
     later = later.select(*DOCUMENT, "begin", "stop", "first")
     before = Window.partitionBy(*DOCUMENT).orderBy("begin", "stop").rowsBetween(Window.unboundedPreceding, -1)

@@ -193,6 +193,8 @@ def with_responses(
         .where("least < response")
         .drop("least")
     )
+    # Stored, so that the join on the commonest page is one of plain shuffles, which adaptive execution splits.
+    groups = stored(groups, "repeated_payloads")
     revisits = (
         keys.join(groups, ["digest", "size"])
         .where("page_id < response")
