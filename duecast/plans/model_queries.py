@@ -201,7 +201,8 @@ def train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each tenant got both models."""
     root = scratch_path(spark, "models")
-    return training.run(_in_full(spark, sf_dir), root, forest.Grid(), P, RUN)
+    status = training.run(_in_full(spark, sf_dir), root, forest.Grid(), P, RUN)
+    return comparable(status.select("ad_client_id", "step", "ok"))
 
 
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,6 +388,15 @@ def _gram_sql() -> str:
 
 
 ORACLE = {
+    "train_status": statement(
+        "SELECT ad_client_id, 'classification' AS step, CASE WHEN least(n_paid, n_unpaid) >= 2 AND test_paid > 0 AND test_unpaid > 0 "
+        "THEN 1 ELSE 0 END::BIGINT AS ok FROM sizes "
+        "UNION ALL SELECT ad_client_id, 'regression', CASE WHEN n_paid >= 4 THEN 1 ELSE 0 END::BIGINT FROM sizes",
+        "sizes AS (SELECT ad_client_id, count(*) FILTER (paid = 1) AS n_paid, count(*) FILTER (paid = 0) AS n_unpaid, "
+        "count(*) FILTER (paid = 1 AND late_one) AS test_paid, count(*) FILTER (paid = 0 AND late_one) AS test_unpaid FROM "
+        "(SELECT ad_client_id, paid, dateinvoiced > max(dateinvoiced) OVER (PARTITION BY ad_client_id) - INTERVAL 365 DAY AS late_one "
+        "FROM facts) GROUP BY 1)",
+    ),
     "training_rows": statement(
         "SELECT "
         + sql_columns("ad_client_id:i c_invoice_id:x paid:i late:i dayslate:i daystosettle:i grandtotal:m")

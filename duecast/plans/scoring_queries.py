@@ -112,11 +112,26 @@ def cashflow_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(score.cash_flow(_plain_answer(spark, sf_dir, 0)))
 
 
+ANSWER = "row_id bigint, totalopenamt decimal(18,2), paid_prediction int, daystosettle_prediction double"
+
+
 def score_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers written as JSON records and read back as text."""
+    """Answers written as JSON records and read back."""
     path = scratch_path(spark, "answers")
     tables.write_records(_plain_answer(spark, sf_dir, 0), path)
-    return spark.read.text(path).withColumnRenamed("value", "record")
+    return comparable(spark.read.schema(ANSWER).json(path))
+
+
+UNTRAINED = 2
+
+
+def score_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenants whose requests are refused, with the reasons; one tenant has no classifier."""
+    asked = requests(spark, sf_dir)
+    known = derived.ledger_sources(spark, sf_dir)["ad_client"].where(f"ad_client_id NOT IN (0, {UNTRAINED})").selectExpr(
+        "'classification' AS model_type", "ad_client_id"
+    )
+    return comparable(scoring.refusals(asked, _snapshot(spark, sf_dir), known))
 
 
 def profile_backjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +163,7 @@ QUERIES = {
     "score_postprocess_null": score_postprocess_null,
     "cashflow_forecast": cashflow_forecast,
     "score_json": score_json,
+    "score_refusals": score_refusals,
     "profile_backjoin": profile_backjoin,
     "score": score_models,
 }
@@ -180,7 +196,20 @@ answer AS (
     j.avg_days_paid_late AS days
   FROM request r LEFT JOIN joined j USING (row_id))"""
 
+_ANSWERED = (
+    "SELECT row_id, round(CAST(totalopenamt AS DOUBLE), 2) AS totalopenamt, CAST(paid_prediction AS BIGINT) AS paid_prediction, "
+    "CASE WHEN paid_prediction = 0 THEN 0 ELSE round_even(days, 0) END AS daystosettle_prediction FROM answer"
+)
+
 ORACLE = {
+    "score_json": statement(_ANSWERED, _REQUESTS, _ANSWERS),
+    "score_refusals": statement(
+        "SELECT ad_client_id, string_agg(reason, '; ' ORDER BY reason) AS reason FROM ("
+        "SELECT ad_client_id, count(*) || ' rows do not meet exactly one feature row' AS reason FROM request "
+        "WHERE row_id NOT IN (SELECT row_id FROM joined) GROUP BY 1 "
+        f"UNION ALL SELECT DISTINCT ad_client_id, 'no classifier has been trained' FROM request WHERE ad_client_id = {UNTRAINED}) GROUP BY 1",
+        _REQUESTS,
+    ),
     "score_input_checks": statement(
         "SELECT c_invoice_id AS event_id, CASE WHEN c_invoice_id % 17 = 0 THEN 'tenant' WHEN c_invoice_id % 19 = 0 THEN 'input' "
         "ELSE 'empty' END AS problem, CAST(400 AS BIGINT) AS status, "
@@ -225,9 +254,7 @@ ORACLE = {
         _REQUESTS, _DERIVED,
     ),
     "score_postprocess": statement(
-        "SELECT row_id, round(CAST(totalopenamt AS DOUBLE), 2) AS totalopenamt, CAST(paid_prediction AS BIGINT) AS paid_prediction, "
-        "CASE WHEN paid_prediction = 0 THEN 0 ELSE round_even(days, 0) END AS daystosettle_prediction FROM answer",
-        _REQUESTS, _ANSWERS,
+        _ANSWERED, _REQUESTS, _ANSWERS,
     ),
     "score_postprocess_null": statement(
         "SELECT row_id, CAST(0 AS BIGINT) AS paid_prediction, CAST(NULL AS DOUBLE) AS daystosettle_prediction "

@@ -25,6 +25,14 @@ def _due(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFr
     return tables, settle.due_invoices(tables["c_invoice"], tables["c_paymentterm"], P)
 
 
+def due_dates_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Due dates that come as text, some of them the null text of the export."""
+    tables = cleaned(spark, sf_dir)
+    text = "IF(c_invoice_id % 5 = 0, '\\\\N', CAST(duedate AS STRING))"
+    due = settle.due_invoices(tables["c_invoice"].withColumn("duedate", F.expr(text)), tables["c_paymentterm"], P)
+    return comparable(due.select("ad_client_id", "c_invoice_id", "dateinvoiced", "duedate"))
+
+
 def _first_stage(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     tables, due = _due(spark, sf_dir)
     return tables, settle.stage1(settle.with_links(due, tables["c_payment"], tables["c_allocationline"]), tables["c_payment"])
@@ -159,6 +167,7 @@ QUERIES = {
     "clean_terms": partial(_clean, "c_paymentterm"),
     "tenant_list": tenant_list,
     "invoices_with_terms": invoices_with_terms,
+    "due_dates_from_text": due_dates_from_text,
     "settle_stage1": settle_stage1,
     "settle_stage2": settle_stage2,
     "settle_stage3": settle_stage3,
@@ -199,6 +208,12 @@ ORACLE = {
     "invoices_with_terms": statement(
         "SELECT ad_client_id, c_invoice_id, dateinvoiced, duedate, netdays, duedate_calculated FROM invt"
     ),
+    "due_dates_from_text": statement(
+        "SELECT i.ad_client_id, c_invoice_id, CAST(dateinvoiced AS TIMESTAMP) AS dateinvoiced, "
+        "CAST(CASE WHEN c_invoice_id % 5 = 0 THEN dateinvoiced + INTERVAL 1 DAY * CAST(netdays AS INT) ELSE duedate END AS TIMESTAMP) AS duedate "
+        "FROM inv i LEFT JOIN term t ON i.c_paymentterm_id = t.c_paymentterm_id AND i.ad_client_id = t.ad_client_id "
+        "WHERE c_invoice_id % 5 = 0 OR dateinvoiced <= duedate"
+    ),
     "settle_stage1": statement(
         "SELECT "
         + sql_columns(

@@ -228,23 +228,76 @@ def test_unknown_category_is_all_zeros(spark):
     assert got == [(1.0, 0.0), (0.0, 1.0), (0.0, 0.0)]
 
 
+@pytest.mark.parametrize("chunk, nodes", [(20_000, 2_000_000), (37, 60)])
+def test_votes_of_rows_equal_the_model(spark, tmp_path, monkeypatch, chunk, nodes):
+    """Two groups' forests applied in one job: as Spark applies each, and by their first trees."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from duecast.operators import trees
+
+    monkeypatch.setattr(trees, "CHUNK_ROWS", chunk)
+    monkeypatch.setattr(trees, "BLOCK_NODES", nodes)
+    rows = spark.range(400).selectExpr(
+        "id", "id % 2 AS part", "rand(1) AS a", "rand(2) AS b", "CAST(floor(rand(3) * 3) AS STRING) AS c"
+    ).withColumn("label", F.expr("CAST((a > 0.5) = (c = '1' OR b > 0.8) AS DOUBLE)"))
+    rows = StringIndexer(inputCol="c", outputCol="ci").fit(rows).transform(rows)
+    rows = OneHotEncoder(inputCol="ci", outputCol="ch").fit(rows).transform(rows)
+    rows = VectorAssembler(inputCols=["a", "b", "ch"], outputCol="v").transform(rows).cache()
+    fitted, want, first = None, {}, {}
+    for part in (0, 1):
+        own = rows.where(f"part = {part}")
+        model = RandomForestClassifier(featuresCol="v", numTrees=7, maxDepth=6, seed=part).fit(own)
+        model.write().overwrite().save(f"{tmp_path}/{part}")
+        got = trees.tree_rows(spark, f"{tmp_path}/{part}").withColumn("part", F.lit(part).cast("long"))
+        fitted = got if fitted is None else fitted.unionByName(got)
+        for r in model.transform(own).select("id", "prediction", vector_to_array("probability").alias("p")).collect():
+            want[r["id"]] = (r["prediction"], r["p"][1])
+        for tree in model.trees[:2]:
+            for r in tree.transform(own).select("id", vector_to_array("probability").alias("p")).collect():
+                first[r["id"]] = first.get(r["id"], 0.0) + r["p"][1]
+    given = rows.select("part", "id", vector_to_array("v").alias("features"))
+    given = given.unionByName(given.limit(1).withColumn("part", F.lit(9).cast("long")))
+    voted = trees.votes(fitted, given, ["part"], ["id"], [2, 7]).collect()
+    assert len(voted) == 400
+    for r in voted:
+        zero, one = r["zero"][1], r["one"][1]
+        assert (float(one > zero), pytest.approx(one / (zero + one), abs=1e-12)) == want[r["id"]]
+        assert r["one"][0] == pytest.approx(first[r["id"]], abs=1e-12) and r["zero"][0] + r["one"][0] == pytest.approx(2)
+
+
 def test_forest_beats_the_majority(spark, small):
-    from duecast.plans import training
+    from duecast.plans import scoring, training
     from duecast.plans.model_queries import QUICK_GRID
     from duecast.plans.session import full_fact_table
     from duecast.sources import derived
     from duecast.sources.storage import scratch_path
 
-    table = full_fact_table(spark, small).where("ad_client_id = 3")
+    whole = full_fact_table(spark, small)
+    table = whole.where("ad_client_id IN (2, 3)")
+    # The third tenant has paid test lines only.
+    newest = whole.where("ad_client_id = 1").agg(F.max("dateinvoiced")).first()[0]
+    late = F.col("dateinvoiced") > F.lit(newest) - F.expr("make_dt_interval(365)")
+    table = table.unionByName(whole.where("ad_client_id = 1").where(~late | (F.col("paid") == 1)))
     root = scratch_path(spark, "models")
-    grid = replace(QUICK_GRID, trees=(10,), sample_fraction=(0.3,), folds=3)
+    grid = replace(QUICK_GRID, trees=(3, 10), sample_fraction=(0.3,), folds=3)
     status, predictions = training.train_classifiers(table, grid, derived.PARAMS, root, making_time())
-    row = status.first()
-    assert row["ok"] == 1
-    paid = table.agg(F.avg("paid")).first()[0]
-    assert float(row["message"].split()[1]) > max(paid, 1 - paid)
-    model = training.latest_classifier(spark, root, 3)
-    assert forest.predict(model, table).count() == table.count()
+    rows = {r["ad_client_id"]: r for r in status.collect()}
+    assert [rows[t]["ok"] for t in (1, 2, 3)] == [0, 1, 1] and "one class" in rows[1]["message"]
+    assert {r["ad_client_id"] for r in predictions.select("ad_client_id").distinct().collect()} == {2, 3}
+    for tenant in (2, 3):
+        paid = table.where(f"ad_client_id = {tenant}").agg(F.avg("paid")).first()[0]
+        assert float(rows[tenant]["message"].split()[1]) > max(paid, 1 - paid)
+    # All tenants in one job give what each saved pipeline gives.
+    asked = table.withColumn("row_id", F.xxhash64("ad_client_id", "c_invoice_id"))
+    got = {r["row_id"]: r for r in scoring.classify(asked, root).collect()}
+    assert len(got) == table.where("ad_client_id <> 1").count()
+    for tenant in (2, 3):
+        model = training.latest_classifier(spark, root, tenant)
+        for r in forest.predict(model, asked.where(f"ad_client_id = {tenant}")).collect():
+            assert got[r["row_id"]]["prediction"] == r["prediction"]
+            assert got[r["row_id"]]["score"] == pytest.approx(r["score"], abs=1e-12)
     with pytest.raises(LookupError):
         training.latest_classifier(spark, root, 30)
 
