@@ -34,9 +34,11 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import arrow_udf
 
 from ..sources.storage import stored
-from .common import SPACE, body, kept, lowered, packed, tidy, unpacked
+from .common import SPACE, body, kept, lean, packed, tidy, unpacked
+from .membership import membership
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -160,8 +162,22 @@ def suspects(texts: DataFrame, bits: int, min_chars: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(tidy(probe), "doc_id long, line string")
 
 
-def line_key(line: Column) -> Column:
-    return lowered(F.btrim(line, F.lit(SPACE)))
+def without(text: Column, lines: Column) -> Column:
+    """(text, lost): a text without the lines whose keys are listed, and how many it had."""
+
+    @arrow_udf("struct<text: string, lost: long>")
+    def cut(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        lean()
+        out = []
+        for body_, found in zip(texts.to_pylist(), lists.to_pylist()):
+            gone = {x.encode() for x in found or ()}
+            # bytes.strip and bytes.lower know ASCII only, as the definition of a key does.
+            parts = (body_ or "").encode().split(b"\n")
+            left = [x for x in parts if x.strip(SPACE.encode()).lower() not in gone]
+            out.append({"text": b"\n".join(left).decode(), "lost": len(parts) - len(left)})
+        return pa.array(out, pa.struct([("text", pa.string()), ("lost", pa.int64())]))
+
+    return cut(text, lines)
 
 
 def drop_lines(
@@ -192,15 +208,21 @@ def drop_lines(
         .groupBy(F.col("doc_id").alias("_doc"))
         .agg(F.collect_set("line").alias("_lines"))
     )
-    own = F.col("row").getField(key).cast("long")
-    joined = packed(docs, columns).join(stored(dropped, "dropped_lines"), own == F.col("_doc"), "left")
-    before, loses = F.col("row").getField(text), F.col("_lines").isNotNull()
-    left = F.filter(F.split(before, "\n"), lambda line: ~F.array_contains("_lines", line_key(line)))
-    joined = joined.withColumn("_kept", F.when(loses, left))
-    after = F.when(loses, F.array_join("_kept", "\n")).otherwise(before)
-    n_lines = count(body(before))
-    return joined.select(
-        *[after.alias(c) if c == text else column for c, column in zip(columns, unpacked(columns))],
-        n_lines.alias("n_lines"),
-        F.when(loses, n_lines - F.size("_kept")).otherwise(0).cast("long").alias("n_dropped"),
-    )
+    dropped = stored(dropped, "dropped_lines")
+    own, before = F.col("row").getField(key).cast("long"), F.col("row").getField(text)
+    rows = packed(docs, columns)
+    # Only documents that may lose a line are shuffled.
+    maybe = membership(dropped.select("_doc"))(own)
+    joined = rows.where(maybe).join(dropped, own == F.col("_doc"), "left")
+    joined = joined.withColumn("_kept", F.when(F.col("_lines").isNotNull(), without(before, F.col("_lines"))))
+
+    def shown(rows: DataFrame, after: Column, lost: Column) -> DataFrame:
+        return rows.select(
+            *[after.alias(c) if c == text else column for c, column in zip(columns, unpacked(columns))],
+            count(body(before)).alias("n_lines"),
+            lost.cast("long").alias("n_dropped"),
+        )
+
+    after = F.when(F.col("_lines").isNotNull(), F.col("_kept.text")).otherwise(before)
+    changed = shown(joined, after, F.coalesce("_kept.lost", F.lit(0)))
+    return shown(rows.where(~maybe), before, F.lit(0)).unionByName(changed)

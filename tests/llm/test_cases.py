@@ -607,3 +607,23 @@ def test_near_copies_that_share_an_identifier(spark, docs, none):
     assert left[9, more] + left[9, near(more)] == 1
     left = Counter({k: n for k, n in left.items() if k[0] != 9 or k[1] is None})
     assert left == Counter([(3, copied), (7, alone), (8, twice), (9, None), (9, None), (None, copied), (None, copied)])
+
+
+def test_part_of_the_same_rows_is_taken(spark):
+    rows = [(1, "a b c d e f g h i j", "s")] * 600 + [(i, f"{i} " + "w " * (i % 17), "s") for i in range(10, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    for weights, share in (((1,), 1.2), ((1,), 0.4), ((1,), 1.77)):
+        got = mixing.mix(df, weights=weights, share=share).collect()
+        assert len(got) == len(rows)
+        taken = sum(r["size"] * r["copies"] for r in got)
+        assert abs(taken - got[0]["target"]) <= 10
+        again = mixing.mix(df.repartition(3), weights=weights, share=share).collect()
+        assert Counter((r["doc_id"], r["copies"]) for r in again) == Counter((r["doc_id"], r["copies"]) for r in got)
+
+
+def test_thousands_of_shared_lines_in_one_text(spark):
+    lines = [f"shared line number {i} of a long list" for i in range(12_000)]
+    rows = [(i, "\n".join(lines + [f"own line of {i}"])) for i in range(3)]
+    got = line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in got} == {0: (12_001, 12_000), 1: (12_001, 12_000), 2: (12_001, 0)}
+    assert {r["doc_id"]: r["text"] for r in got}[1] == "own line of 1"
