@@ -8,7 +8,7 @@ document draws a fixed random number U and is ranked by
 
 and the documents of lowest rank are taken until their words reach the rest. The
 sample has a fixed size in words, so a source misses its target by at most half
-a document. The inclusion odds are those of the source's remaining share times
+a document, also where many rows are the same: of those at the cut as many are taken as fit. The inclusion odds are those of the source's remaining share times
 the document's size over the mean size of its source, so that the sample is one
 of unequal probabilities; a document of no words takes no part in it.
 
@@ -18,8 +18,8 @@ cuts are a table with one row per source.
 
 Cases: a null text has no words; a null source is a source of its own, last in
 order; U depends on identifier and text alone, so reruns agree and the order of
-rows does not matter; rows equal in identifier, source and text are taken
-together; a source or a table without words gives targets of 0; an empty table
+rows does not matter; of rows equal in identifier, source and text some may be taken once more
+than the others; a source or a table without words gives targets of 0; an empty table
 stays empty; columns named like the added ones (``size``, ``source_size``,
 ``target``, ``copies``) are replaced.
 """
@@ -103,11 +103,18 @@ def cuts(sized: DataFrame, weights: Sequence[float], share: float, most: float)
     # The cut lies in the last bin that starts below the rest.
     edge = bins.where("_before <= _rest").groupBy(*SOURCE).agg(F.max(F.struct("_bin", "_before")).alias("_edge"))
     edge = stored(edge.select(*SOURCE, F.col("_edge._bin").alias("_bin"), F.col("_edge._before").alias("_start")), "source_edges")
-    inside = ranked.join(edge, [*SOURCE, "_bin"])
+    # Rows that are the same are one line of the bin, whatever their number.
+    inside = ranked.join(edge, [*SOURCE, "_bin"]).groupBy(*SOURCE, "_rank", "_id", "_text", "size", "_start", "_rest").agg(
+        F.count("*").alias("_same")
+    )
     order = Window.partitionBy(*SOURCE).orderBy(_place()).rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("_before", F.col("_start") + F.coalesce(F.sum("size").over(order), F.lit(0)))
-    chosen = inside.where(F.col("_before") + F.col("size") / 2 <= F.col("_rest"))
-    last = chosen.groupBy(*SOURCE).agg(F.max(_place()).alias("_last"))
+    sums = F.sum(F.col("size") * F.col("_same")).over(order)
+    inside = inside.withColumn("_before", F.col("_start") + F.coalesce(sums, F.lit(0)))
+    # A row is taken if its middle lies within the rest.
+    fits = F.floor((F.col("_rest") - F.col("_before")) / F.col("size") + 0.5)
+    chosen = inside.withColumn("_fits", F.least(fits, F.col("_same"))).where("_fits > 0")
+    last = chosen.groupBy(*SOURCE).agg(F.max(F.struct(_place().alias("place"), "_fits", "_same")).alias("_cut"))
+    last = last.select(*SOURCE, F.col("_cut.place").alias("_last"), "_cut._fits", "_cut._same")
     cut = plan.join(edge, SOURCE, "left").join(last, SOURCE, "left")
     return stored(cut.withColumnRenamed("_bin", "_edge").drop("_start"), "source_cuts")
 
@@ -138,13 +145,22 @@ def mix(
         }
     )
     narrow = stored(sized.select("_id", "_text", *SOURCE, "size"), "document_sizes")
-    ranked = _ranked(sized.join(cuts(narrow, weights, share, most), SOURCE))
+    cut = cuts(narrow, weights, share, most)
+    ranked = _ranked(sized.join(cut, SOURCE))
     bin_of = F.floor(F.col("_spot") * F.col("_bins"))
     sampled = F.when(F.col("_rank").isNull(), False).otherwise(
         F.coalesce((bin_of < F.col("_edge")) | (bin_of == F.col("_edge")) & (_place() <= F.col("_last")), F.lit(False))
     )
-    copies = F.col("_whole").cast("long") + sampled.cast("long")
-    return ranked.select(*unpacked(columns), "size", "source_size", "target", copies.alias("copies"))
+    shown = lambda rows, taken: rows.select(
+        *unpacked(columns), "size", "source_size", "target", (F.col("_whole").cast("long") + taken.cast("long")).alias("copies")
+    )
+    if cut.where("_fits < _same").isEmpty():
+        return shown(ranked, sampled)
+    # Of the same rows at a cut only some are taken; they are numbered as they come.
+    tied = F.coalesce((F.col("_fits") < F.col("_same")) & (_place() == F.col("_last")), F.lit(False))
+    same = stored(ranked.where(tied).withColumn("_at", F.monotonically_increasing_id()), "rows_at_cuts")
+    nth = positions(same, SOURCE, [F.col("_at")], "_nth", HOT_ROWS)
+    return shown(ranked.where(~tied), sampled).unionByName(shown(nth, F.col("_nth") < F.col("_fits")))
 
 
 def copied(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
