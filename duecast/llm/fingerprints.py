@@ -42,6 +42,8 @@ WINDOW = 32
 DIGITS = 12
 ENTRY = DIGITS + 2
 RANGE_ROWS = 20_000
+MOST_RANGES = 10_000
+"""The driver holds samples and a line of each range."""
 SAMPLES_PER_RANGE = 16
 
 GEAR = np.random.default_rng(6).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -144,7 +146,7 @@ def in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
     order = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
     ids = docs.select(order.alias("_id"))
     count = ids.count()
-    ranges = max(8 * partitions(spark), count // RANGE_ROWS)
+    ranges = min(max(8 * partitions(spark), count // RANGE_ROWS), MOST_RANGES)
     rate = min(1.0, ranges * SAMPLES_PER_RANGE / max(count, 1))
     # At most about SAMPLES_PER_RANGE identifiers for each range.
     sample = ids.where(uniform(F.col("_id"), F.lit(6)) < F.lit(rate)).distinct().toArrow()["_id"]

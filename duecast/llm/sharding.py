@@ -33,7 +33,9 @@ from .common import body, kept, uniform, unpacked
 
 RECORD_BYTES = 8
 RANGES_PER_SHARD = 64
-RANGE_BYTES = 64 << 20
+RANGE_ROWS = 5_000_000
+MOST_RANGES = 10_000
+"""Ranges hold keys of some sixty bytes a record; the driver holds samples and a line of each."""
 SAMPLES_PER_RANGE = 8
 TOLERANCE = 0.02
 OVERFULL = 3.0
@@ -119,8 +121,8 @@ def assign(
     )
     rows = stored(rows, "sized")
     keys = rows.select("_hash", "_id", "size")
-    total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    ranges = max(shards * RANGES_PER_SHARD, total // RANGE_BYTES)
+    total, count = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    ranges = min(max(shards * RANGES_PER_SHARD, count // RANGE_ROWS), max(shards, MOST_RANGES))
     cuts, placed = balanced(keys, max(total, 1), ranges)
 
     # One line per range: at most a small multiple of ``ranges``.
