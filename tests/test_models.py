@@ -278,7 +278,7 @@ def test_forest_beats_the_majority(spark, small):
     table = whole.where("ad_client_id IN (2, 3)")
     # The third tenant has paid test lines only.
     newest = whole.where("ad_client_id = 1").agg(F.max("dateinvoiced")).first()[0]
-    late = F.col("dateinvoiced") > F.lit(newest) - F.expr("make_dt_interval(365)")
+    late = F.col("dateinvoiced") > F.lit(newest) - F.expr("make_dt_interval(500)")
     table = table.unionByName(whole.where("ad_client_id = 1").where(~late | (F.col("paid") == 1)))
     root = scratch_path(spark, "models")
     grid = replace(QUICK_GRID, trees=(3, 10), sample_fraction=(0.3,), folds=3)

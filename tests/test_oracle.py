@@ -3,6 +3,7 @@
 import comparing
 import pytest
 
+from duecast.plans import model_queries
 from duecast.plans.catalog import ORACLE, QUERIES
 
 
@@ -12,7 +13,10 @@ def con(small):
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_same_rows_as_sql(spark, con, small, name):
+def test_same_rows_as_sql(spark, con, small, name, monkeypatch):
+    if name == "train_status":
+        # The registered query searches the full grid, see test_models; its status does not depend on it.
+        monkeypatch.setattr(model_queries.forest, "Grid", lambda: model_queries.QUICK_GRID)
     assert comparing.differences(QUERIES[name](spark, small), con, ORACLE[name]) is None
 
 
