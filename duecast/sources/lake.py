@@ -99,7 +99,7 @@ class Run:
         self.tables = [e for e in self.tables if e[0] != name] + [(name, WHOLE, place)]
 
     def append(self, name: str, rows: DataFrame) -> None:
-        self.tables = [*self.tables, (name, WHOLE, self._written(f"{name}", rows, []))]
+        self.tables = [*self.tables, (name, WHOLE, self._written(name, rows, []))]
 
     def put(self, name: str, rows: DataFrame, key: list[str], instead: bool) -> None:
         """Adds rows to a table dealt over buckets of ``key``, or puts them in place of the buckets they fall into."""

@@ -84,6 +84,26 @@ def test_only_buckets_with_changes_are_written(spark, tmp_path):
     assert load(rows([], 0, 1)) and lake.read("t", schema).count() == 999
 
 
+def test_a_nightly_run_follows_changes(spark, tmp_path):
+    """Marked by change, a second run replaces changed invoices and drops voided ones."""
+    params = Params(change_column="updated", as_of=datetime(2021, 1, 31))
+    sources = {k: v if k == "ad_client" else v.withColumn("updated", F.col("created")) for k, v in making.hand_sources(spark).items()}
+    root = str(tmp_path / "lake")
+    nightly.run(sources, root, params, datetime(2020, 6, 1))
+    lake = Lake(spark, root)
+    held = lambda: {r["c_invoice_id"]: r["grandtotal"] for r in nightly.cleaned_table(lake, spark, "c_invoice").collect()}
+    before = held()
+    first, second = sorted(before)[:2]
+    later = sources["c_invoice"].where(F.col("c_invoice_id").isin(first, second)).withColumns({
+        "updated": F.lit(datetime(2020, 7, 1)).cast("timestamp_ntz"),
+        "docstatus": F.expr(f"IF(c_invoice_id = {second}, 'VO', docstatus)"),
+        "grandtotal": F.expr("CAST(grandtotal + 5 AS DECIMAL(18,2))"),
+    })
+    nightly.run({**sources, "c_invoice": sources["c_invoice"].unionByName(later)}, root, params, datetime(2020, 8, 1))
+    after = held()
+    assert after == {k: v + 5 if k == first else v for k, v in before.items() if k != second}
+
+
 def test_rejects_name_rule_and_value(spark):
     sources = making.hand_sources(spark)
     wide = sources["c_payment"].withColumn("payamt", F.expr("CASE c_payment_id % 3 WHEN 0 THEN 'much' WHEN 1 THEN '1e15' ELSE '5' END"))
