@@ -329,3 +329,72 @@ def making_time():
 def test_one_class_tenant_fails_alone(spark):
     sizes = splits.class_problem(splits.class_sizes(_rows(spark, [True] * 5)))
     assert sizes.first()["problem"] == "all lines are of one class"
+
+
+def test_a_grown_tree_takes_the_best_splits():
+    """Against all splits tried one by one; two sampled rows of a leaf differ in no feature or agree in class."""
+    from duecast.operators import trees
+
+    draw = np.random.default_rng(3)
+    x = draw.integers(0, 6, (300, 4)).astype(np.int8)
+    label = ((x[:, 0] > 2) ^ (x[:, 2] < 2) ^ (draw.random(300) < 0.1)).astype(int)
+    weight = draw.poisson(0.7, 300)
+    tree = trees.grow(x, label, weight, 4, 30, draw)
+
+    def impurity(rows):
+        n, k = weight[rows].sum(), (weight * label)[rows].sum()
+        return k * (n - k) / n if n else 0.0
+
+    def check(node, rows):
+        n = weight[rows].sum()
+        assert tree["one"][node] == pytest.approx((weight * label)[rows].sum() / n)
+        tried = [impurity(rows & (x[:, f] <= c)) + impurity(rows & (x[:, f] > c)) for f in range(4) for c in range(5)]
+        if tree["feature"][node] < 0:
+            assert min(tried) >= impurity(rows) - 1e-6
+            return 1
+        low = x[:, tree["feature"][node]] <= tree["threshold"][node]
+        assert impurity(rows & low) + impurity(rows & ~low) == pytest.approx(min(tried))
+        return 1 + check(tree["left"][node], rows & low) + check(tree["right"][node], rows & ~low)
+
+    assert check(0, weight > 0) == len(tree["feature"]) > 3
+    for label, weight in ((label * 0, weight), (label, weight * 0)):
+        assert list(trees.grow(x, label, weight, 2, 30, draw)["feature"]) == [-1]
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_search_needs_a_fit_only_for_chosen_forests_and_large_tenants(spark, small, monkeypatch, most):
+    from duecast.operators import trees
+    from duecast.plans import training
+    from duecast.plans.model_queries import QUICK_GRID
+    from duecast.plans.session import full_fact_table
+    from duecast.sources import derived
+    from duecast.sources.storage import scratch_path
+
+    fits, estimator = [], forest.estimator
+    monkeypatch.setattr(forest, "estimator", lambda *args: fits.append(args) or estimator(*args))
+    monkeypatch.setattr(forest, "ROWS_A_GROUP", most)
+    monkeypatch.setattr(trees, "TREES_A_GROUP", 3)
+    grid = replace(QUICK_GRID, trees=(2, 7), sample_fraction=(0.2, 0.4), folds=3)
+    table = full_fact_table(spark, small).where("ad_client_id IN (2, 3)")
+    status, predictions = training.train_classifiers(table, grid, derived.PARAMS, scratch_path(spark, "models"), making_time())
+    assert [r["ok"] for r in status.collect()] == [1, 1] and predictions.count() > 0
+    assert len(fits) == (2 if most else 2 + 2 * 3 * 2)
+    for row in status.collect():
+        paid = table.where(F.col("ad_client_id") == row["ad_client_id"]).agg(F.avg("paid")).first()[0]
+        assert float(row["message"].split()[1]) > max(paid, 1 - paid) - 0.03
+
+
+def test_grown_trees_do_not_depend_on_how_they_are_dealt(spark, monkeypatch):
+    from duecast.operators import trees
+
+    grid = forest.Grid(trees=(2, 5), sample_fraction=(0.5,), folds=2)
+    rows = spark.range(200).selectExpr(
+        "-1L AS ad_client_id", "CAST(id AS STRING) AS c_invoice_id", "CAST(id % 2 AS INT) AS fold", "CAST(id % 7 > 2 AS INT) AS paid",
+        "array(CAST(id % 3 AS TINYINT), CAST(id % 5 AS TINYINT)) AS features",
+    )
+    got = []
+    for block, parts in ((25, 1), (2, 5)):
+        monkeypatch.setattr(trees, "TREES_A_GROUP", block)
+        found = trees.grown(rows.repartition(parts), grid, 7).collect()
+        got.append({(r["fold"], r["tree"]): r for r in found})
+    assert got[0] == got[1] and len(got[0]) == 10
