@@ -53,11 +53,12 @@ NEIGHBOURS = 50_000
 PAIR_SLOTS = 1 << 22
 """Places for pairs of pieces that the search of short stretches remembers, in an array."""
 SHORT = 48
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 """Characters whose stretches are searched side by side."""
 MULTIPLIER = 0x9E3779B97F4A7C15
-DECODED = 1 << 20
+DECODED = 1 << 16
 """Ids that are decoded at once."""
+LISTS_TOGETHER = 50
 
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -343,6 +344,16 @@ class Vocabulary:
             starts = np.concatenate([[0], ends[:-1]])
         return self._texts(data, starts, ends)
 
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of a batch, some lists at a time: the arrays of a whole batch are many times its size."""
+        parts = []
+        for start in range(0, len(lists), LISTS_TOGETHER):
+            some = lists.slice(start, LISTS_TOGETHER)
+            sizes = some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ids = some.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            parts.append(pc.if_else(some.is_valid(), self.decode_all(ids, sizes), pa.scalar(None, pa.string())))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
     @staticmethod
     def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
         raw = data.tobytes()
@@ -538,9 +549,6 @@ def decoded(ids: Column, model: bytes) -> Column:
 
     @arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        words = vocabulary(model)
-        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        texts = words.decode_all(lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), sizes)
-        return pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
+        return vocabulary(model).decode_lists(lists)
 
     return decode(ids)

@@ -627,3 +627,30 @@ def test_thousands_of_shared_lines_in_one_text(spark):
     got = line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in got} == {0: (12_001, 12_000), 1: (12_001, 12_000), 2: (12_001, 0)}
     assert {r["doc_id"]: r["text"] for r in got}[1] == "own line of 1"
+
+
+def test_a_batch_is_coded_in_little_memory():
+    """What coding a batch takes beside its results does not grow with the batch."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from duecast.llm import pieces
+
+    words = pieces.vocabulary(pieces.model_bytes())
+    draw = np.random.default_rng(1)
+    texts = [" ".join("".join(map(chr, draw.integers(97, 123, 7))) for _ in range(150)) for _ in range(900)]
+    words.encode(texts[0])
+    tracemalloc.start()
+    coded = words.encode_all(texts)
+    encoding = tracemalloc.get_traced_memory()
+    tracemalloc.reset_peak()
+    lists = pa.array([np.frombuffer(c, words.kept_as).astype(np.int32) for c in coded] + [None, []], pa.list_(pa.int32()))
+    before = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    decoded = words.decode_lists(lists)
+    decoding = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert decoded.to_pylist() == [*texts, None, ""]
+    assert encoding[1] - encoding[0] < 45e6 and decoding < 15e6, (encoding, decoding)
