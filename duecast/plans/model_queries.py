@@ -6,14 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import folds, forest, lasso, metrics, prep, splits
+from ..operators import features, folds, forest, lasso, metrics, prep, splits
 from ..sources import derived
 from ..sources.lake import Lake
 from ..sources.storage import measured, scratch_path, stored
 from . import nightly, training
 from .oracle_base import statement
 from .output import comparable, sql_columns
-from .session import fact_table, facts, full_fact_table, tuned
+from .session import fact_table, facts, full_fact_table, shown_partners, tuned
 
 P = derived.PARAMS
 RUN = datetime(2001, 2, 1)
@@ -45,8 +45,10 @@ def feature_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def impute_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prep.impute_constant(_in_full(spark, sf_dir))
-    return comparable(rows.select("ad_client_id", "c_invoice_id", *prep.FEATURES))
+    lines = fact_table(spark, sf_dir)
+    own = comparable(lines.select(*features.PARTNER_KEY, "c_invoice_id", *[c for c in prep.FEATURES if c in lines.columns]))
+    rows = prep.impute_constant(features.with_partner_features(own, shown_partners(lines)))
+    return rows.select("ad_client_id", "c_invoice_id", *prep.FEATURES)
 
 
 SCALED = ["dayslate", "late", "totalopenamt", "paid_late_percent", "avg_paid", "max_late_paid"]
@@ -132,8 +134,11 @@ def fold_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows with a plain prediction: the partner's share of closed lines."""
-    test = splits.time_split(_in_full(spark, sf_dir)).where("is_test = 1")
-    scored = test.withColumn("score", F.expr(HISTORY))
+    lines = fact_table(spark, sf_dir).where("c_bpartner_id IS NOT NULL")
+    test = splits.time_split(lines).where("is_test = 1").select(*features.PARTNER_KEY, "paid")
+    counts = features.partner_features(lines).select(*features.PARTNER_KEY, "closed_invoices_no", "total_invoices")
+    joined = stored(features.with_partner_features(test, measured(counts, "partners")), "judged")
+    scored = joined.withColumn("score", F.expr(HISTORY))
     return scored.withColumn("prediction", F.expr(f"IF(score >= {LIKELY}D, 1, 0)"))
 
 

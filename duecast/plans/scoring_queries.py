@@ -13,7 +13,7 @@ from ..sources.storage import scratch_path, stored
 from . import scoring, training
 from .oracle_base import statement
 from .output import comparable, sql_columns
-from .session import cleaned, fact_table, full_fact_table
+from .session import cleaned, fact_table, full_fact_table, shown_partners
 
 P = derived.PARAMS
 RUN = datetime(2001, 2, 1)
@@ -136,11 +136,14 @@ def score_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile_backjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact lines joined back to their distinct feature rows."""
-    table = full_fact_table(spark, sf_dir)
+    table = fact_table(spark, sf_dir).where("c_bpartner_id IS NOT NULL")
     key = ["ad_client_id", "c_invoice_id", "ad_org_id", "c_bpartner_id", "c_bpartner_location_id"]
-    lines = table.select(*key, "dateinvoiced", "grandtotal")
-    profiles = table.selectExpr(*key, "dateinvoiced AS dateinvoiced_y", "paid_late_percent", "avg_paid", "paid").distinct()
-    return comparable(lines.join(profiles, key, "left"))
+    shown = ["paid_late_percent", "avg_paid"]
+    lines = comparable(table.select(*key, "dateinvoiced", "grandtotal"))
+    # A partner's values are the same on all its rows, so they need no part in the distinct.
+    profiles = comparable(table.selectExpr(*key, "dateinvoiced AS dateinvoiced_y", "paid").distinct())
+    profiles = features.with_partner_features(profiles, shown_partners(table, shown))
+    return lines.join(profiles, key, "left").select(*lines.columns, "dateinvoiced_y", *shown, "paid")
 
 
 def score_models(spark: SparkSession, sf_dir: str) -> DataFrame:

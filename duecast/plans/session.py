@@ -8,6 +8,7 @@ from ..operators import clean, features, ledger
 from ..params import Params
 from ..sources import derived
 from ..sources.storage import measured, stored, stored_all
+from .output import comparable
 
 # Adaptive execution picks join strategies from measured sizes and splits
 # skewed partitions, also where the split costs one more shuffle.
@@ -57,3 +58,11 @@ def full_fact_table(spark: SparkSession, sf_dir: str, params: Params = derived.P
     lines = fact_table(spark, sf_dir, params)
     partners = measured(features.partner_features(lines), "partners")
     return stored(features.with_partner_features(lines, partners), "features")
+
+
+def shown_partners(lines: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The partner values, or some of them, as they are shown: brought to that form once a partner, not once a line."""
+    partners = features.partner_features(lines)
+    if columns is not None:
+        partners = partners.select(*features.PARTNER_KEY, *columns)
+    return measured(comparable(partners), "partners")

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import clean, features, ledger, partners, settle
 from ..sources import derived
-from ..sources.storage import measured
 from .oracle_base import statement
 from .output import comparable, sql_columns
-from .session import cleaned, cleaned_tables, fact_table, tuned
+from .session import cleaned, cleaned_tables, fact_table, shown_partners, tuned
 
 P = derived.PARAMS
 
@@ -151,8 +150,7 @@ def partner_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fact_table(spark, sf_dir)
-    table = measured(features.partner_features(lines), "partners")
-    return comparable(features.with_partner_features(lines, table))
+    return features.with_partner_features(comparable(lines), shown_partners(lines))
 
 
 def feature_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

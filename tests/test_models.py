@@ -398,3 +398,17 @@ def test_grown_trees_do_not_depend_on_how_they_are_dealt(spark, monkeypatch):
         found = trees.grown(rows.repartition(parts), grid, 7).collect()
         got.append({(r["fold"], r["tree"]): r for r in found})
     assert got[0] == got[1] and len(got[0]) == 10
+
+
+@pytest.mark.parametrize("name", ["impute_constant", "best_model", "profile_backjoin"])
+def test_tables_read_once_are_not_stored_with_all_partner_values(monkeypatch, spark, small, name):
+    """Lines with the thirty values of their partner are wide; nothing of that shape is written."""
+    from pyspark.sql import DataFrameWriter
+
+    from duecast.plans.catalog import QUERIES
+
+    written, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: written.append(set(self._df.columns)) or write(self, *a, **k))
+    result = QUERIES[name](spark, small)
+    assert result.count() > 0 and written
+    assert not [columns for columns in written if {"paid", "total_invoices", "std_paid"} <= columns]
