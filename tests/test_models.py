@@ -412,3 +412,12 @@ def test_tables_read_once_are_not_stored_with_all_partner_values(monkeypatch, sp
     result = QUERIES[name](spark, small)
     assert result.count() > 0 and written
     assert not [columns for columns in written if {"paid", "total_invoices", "std_paid"} <= columns]
+
+
+def test_folds_are_dealt_with_the_columns_they_need(monkeypatch, spark, small):
+    from duecast.plans import model_queries, training
+
+    seen, rows = [], training.class_training_rows
+    monkeypatch.setattr(training, "class_training_rows", lambda table, *a: seen.append(table.columns) or rows(table, *a))
+    assert model_queries.stratified_kfold(spark, small).count() > 0
+    assert len(seen[0]) == 6
