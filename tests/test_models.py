@@ -421,3 +421,25 @@ def test_folds_are_dealt_with_the_columns_they_need(monkeypatch, spark, small):
     monkeypatch.setattr(training, "class_training_rows", lambda table, *a: seen.append(table.columns) or rows(table, *a))
     assert model_queries.stratified_kfold(spark, small).count() > 0
     assert len(seen[0]) == 6
+
+
+def test_least_costs_are_those_of_all_cuts():
+    from duecast.operators import trees
+
+    draw = np.random.default_rng(5)
+    x, at = draw.integers(0, 9, (200, 3)).astype(np.int8), draw.integers(0, 40, 200)
+    x[at == 7], at[:40] = 4, np.arange(40)  # a node that no column divides, no empty node
+    label, weight = draw.integers(0, 2, 200).astype(float), draw.integers(1, 4, 200).astype(float)
+    total, ones = np.bincount(at, weight, 40), np.bincount(at, weight * label, 40)
+    cost, cut = trees.least_cost(x, label, weight, at, total, ones, 9)
+    for node in range(40):
+        for column in range(3):
+            tried = {}
+            for c in range(9):
+                sides = [(at == node) & (x[:, column] <= c), (at == node) & (x[:, column] > c)]
+                n, k = [weight[s].sum() for s in sides], [(weight * label)[s].sum() for s in sides]
+                if min(n) > 0:
+                    tried[c] = sum(b * (a - b) / a for a, b in zip(n, k))
+            assert cost[node, column] == pytest.approx(min(tried.values(), default=np.inf))
+            if tried:
+                assert cut[node, column] == min(tried, key=lambda c: (round(tried[c], 9), c))
