@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -52,7 +53,21 @@ def rows_after(
 
 
 def newest(batch: DataFrame, key: list[str], change_column: str) -> DataFrame:
-    """One row per key: the last changed, and of equal ones the greatest in all its values."""
+    """One row per key: the last changed, and of equal ones the greatest in all its values.
+
+    Keys alone are counted first; only rows whose key comes again are compared. ``batch`` is read more than once.
+    """
+    counted = batch.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    repeated = measured(counted, "repeated_keys")
+    if repeated.isEmpty():
+        return batch
+    same = reduce(lambda a, b: a & b, [batch[c].eqNullSafe(repeated[c]) for c in key])
+    own = batch.join(repeated, same, "left_semi")
+    rest = batch.join(repeated, same, "left_anti")
+    return rest.unionByName(last_of(own, key, change_column))
+
+
+def last_of(batch: DataFrame, key: list[str], change_column: str) -> DataFrame:
     order = [c for c in batch.columns if c == change_column] + [c for c in batch.columns if c not in (change_column, *key)]
     chosen = batch.groupBy(*key).agg(F.max(F.struct(*order)).alias("_row"))
     return chosen.select(*[F.col(c) if c in key else F.col("_row").getField(c).alias(c) for c in batch.columns])
@@ -64,9 +79,10 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: list[str], change_
     The target is only searched for the keys of the batch. A batch that is
     small next to it is broadcast, and the target is not shuffled.
     """
-    batch = stored(newest(batch, key, change_column), "batch")
+    batch = newest(batch, key, change_column)
     if target is None:
         return batch
+    batch = stored(batch, "batch")
     known = measured(target.select(*key).join(batch.select(*key), key, "left_semi"), "known_keys")
     return batch.join(known, key, "left_anti")
 

@@ -13,7 +13,7 @@ from ..operators import clean, features, incremental, ledger, quarantine, stats
 from ..params import Params
 from ..schemas import CLEANING_STATS, KEY, SOURCES
 from ..sources.lake import Lake, Run
-from ..sources.storage import measured, stored
+from ..sources.storage import measured, side_by_side, stored
 
 STATUS = "ad_client_id long, date_run timestamp_ntz, step string, ok int, result_rows long, message string"
 
@@ -47,7 +47,8 @@ def load_entity(batch: DataFrame, entity: str, run: Run, params: Params) -> Data
     schema = cleaned_schema(spark, entity, batch)
     if params.change_column == "created":
         cleaned = clean.clean(entity, batch)
-        run.put(name, incremental.new_rows(cleaned, run.read(name, schema), key, params.change_column), key, instead=False)
+        held = run.read(name, schema) if run.holds(name) else None
+        run.put(name, incremental.new_rows(cleaned, held, key, params.change_column), key, instead=False)
     else:
         incremental.upsert(batch, entity, run, name, schema, params.change_column)
     return run.read(name, schema)
@@ -97,14 +98,15 @@ def run(
     work = lake.begin()
     tenants = measured(clean.tenants(sources["ad_client"]), "tenants")
     run_stats = lake.read("cleaning_stats", CLEANING_STATS) if lake.numbers() else None
-    batches = {entity: read_batch(sources[entity], entity, run_stats, tenants, params) for entity in clean.KEPT}
+    wanted = {entity: sources[entity] for entity in clean.KEPT}
+    batches = side_by_side(wanted, lambda entity, source: read_batch(source, entity, run_stats, tenants, params))
     progress("read")
     batches, rejected = quarantine.split(batches)
     rejected = stored(rejected, "rejected")
     failed = measured(rejected.select("ad_client_id").distinct(), "failed_tenants")
     batches = {entity: rows.join(failed, "ad_client_id", "left_anti") for entity, rows in batches.items()}
     good = measured(tenants.join(failed, "ad_client_id", "left_anti"), "good_tenants")
-    cleaned = {entity: load_entity(batch, entity, work, params) for entity, batch in batches.items()}
+    cleaned = side_by_side(batches, lambda entity, batch: load_entity(batch, entity, work, params))
     progress("cleaned")
     lines = stored(features.line_features(ledger.build_facts(cleaned, params)), "facts")
     partners = measured(features.partner_features(lines), "partners")

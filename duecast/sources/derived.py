@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..params import Params
 from . import tables
+from .storage import stored
 
 PARAMS = Params(as_of=datetime(2001, 2, 1))
 
@@ -105,10 +106,10 @@ TERMS = [
 
 
 def ledger_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five source tables."""
+    """The five source tables. Orders meet their customers once, not once a table."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    base = orders.join(customers, orders.o_custkey == customers.c_custkey).selectExpr(*BASE)
+    base = stored(orders.join(customers, orders.o_custkey == customers.c_custkey).selectExpr(*BASE), "orders")
     tenants = customers.selectExpr("CAST(c_nationkey % 4 AS BIGINT) AS ad_client_id").distinct()
     with_payments = base.where("story NOT IN (4, 7, 11)").selectExpr("*", PAYMENT_COPIES)
     with_allocations = base.selectExpr("*", ALLOCATION_COPIES)

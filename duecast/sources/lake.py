@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -79,6 +80,11 @@ class Run:
         self.seen = max(lake.numbers(), default=0)
         self.folder = f"{lake.root}/runs/{self.start + 1:012d}-{uuid.uuid4().hex[:8]}"
         self.tables = lake.entries()
+        # Tables may be written side by side.
+        self.lock = Lock()
+
+    def holds(self, name: str) -> bool:
+        return any(t == name for t, _, _ in self.tables)
 
     def read(self, name: str, schema: T.StructType, buckets: set[int] | None = None) -> DataFrame:
         """A table as this run will leave it."""
@@ -96,10 +102,13 @@ class Run:
     def replace(self, name: str, rows: DataFrame, by: list[str] | None = None) -> None:
         """``rows`` are the table from now on; ``by`` gives the columns with a folder per value."""
         place = self._written(name, rows, by or [])
-        self.tables = [e for e in self.tables if e[0] != name] + [(name, WHOLE, place)]
+        with self.lock:
+            self.tables = [e for e in self.tables if e[0] != name] + [(name, WHOLE, place)]
 
     def append(self, name: str, rows: DataFrame) -> None:
-        self.tables = [*self.tables, (name, WHOLE, self._written(name, rows, []))]
+        place = self._written(name, rows, [])
+        with self.lock:
+            self.tables = [*self.tables, (name, WHOLE, place)]
 
     def put(self, name: str, rows: DataFrame, key: list[str], instead: bool) -> None:
         """Adds rows to a table dealt over buckets of ``key``, or puts them in place of the buckets they fall into."""
@@ -108,12 +117,14 @@ class Run:
         # At most BUCKETS values, known from the names of the folders.
         written = self.lake.spark.read.schema(dealt.schema).parquet(place)
         own = sorted(r[0] for r in written.select(BUCKET).distinct().collect())
-        kept = [e for e in self.tables if not (instead and e[0] == name and e[1] in own)]
-        self.tables = kept + [(name, b, f"{place}#{BUCKET}={b}") for b in own]
+        with self.lock:
+            kept = [e for e in self.tables if not (instead and e[0] == name and e[1] in own)]
+            self.tables = kept + [(name, b, f"{place}#{BUCKET}={b}") for b in own]
 
     def drop(self, name: str, buckets: set[int]) -> None:
         """The table no longer holds these buckets."""
-        self.tables = [e for e in self.tables if not (e[0] == name and e[1] in buckets)]
+        with self.lock:
+            self.tables = [e for e in self.tables if not (e[0] == name and e[1] in buckets)]
 
     def commit(self) -> None:
         """Publishes the run, unless another one has been published since it began."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -77,9 +78,14 @@ def measured(df: DataFrame, name: str) -> DataFrame:
     return stored(df, name)
 
 
-def stored_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Independent tables stored side by side; one small job does not hold up the next."""
+def side_by_side(tables: dict[str, DataFrame], job: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """``job`` of independent tables at the same time; one small job does not hold up the next."""
     spark = next(iter(tables.values())).sparkSession
     with ThreadPool(len(tables)) as pool:
-        store = inheritable_thread_target(spark)(lambda item: stored(item[1], item[0]))
-        return dict(zip(tables, pool.map(store, tables.items())))
+        one = inheritable_thread_target(spark)(lambda item: job(*item))
+        return dict(zip(tables, pool.map(one, tables.items(), 1)))
+
+
+def stored_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Independent tables stored side by side."""
+    return side_by_side(tables, lambda name, df: stored(df, name))

@@ -280,3 +280,20 @@ def test_requests_are_answered_whole_or_refused(spark):
     known = spark.createDataFrame([("classification", t, datetime(2020, 1, 1), "p") for t in (1, 2)], registry.REGISTRY)
     got = {r["ad_client_id"]: r["reason"] for r in scoring.refusals(requests, snapshot, known).collect()}
     assert got == {2: "1 rows do not meet exactly one feature row", 3: "no classifier has been trained"}
+
+
+def test_only_keys_that_come_again_are_compared(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, 5, "a"), (1, 6, "b"), (2, 5, "c"), (None, 4, "d"), (None, 3, "e")], "id long, created long, v string")
+    seen, last_of = [], incremental.last_of
+    monkeypatch.setattr(incremental, "last_of", lambda df, *a: seen.append(df.count()) or last_of(df, *a))
+    assert {tuple(r) for r in incremental.newest(rows, ["id"], "created").collect()} == {(1, 6, "b"), (2, 5, "c"), (None, 4, "d")}
+    assert incremental.newest(rows.where("id = 2"), ["id"], "created").count() == 1
+    assert seen == [4]
+
+
+def test_a_first_load_is_not_looked_up_in_an_empty_table(spark, tmp_path, monkeypatch):
+    asked, new_rows = [], incremental.new_rows
+    monkeypatch.setattr(incremental, "new_rows", lambda batch, held, *a: asked.append(held) or new_rows(batch, held, *a))
+    sources = derived.ledger_sources(spark, "/root/testdata/sf0.001")
+    nightly.run(sources, str(tmp_path / "lake"), derived.PARAMS, datetime(2001, 2, 1))
+    assert asked == [None] * 4
