@@ -443,3 +443,24 @@ def test_least_costs_are_those_of_all_cuts():
             assert cost[node, column] == pytest.approx(min(tried.values(), default=np.inf))
             if tried:
                 assert cut[node, column] == min(tried, key=lambda c: (round(tried[c], 9), c))
+
+
+def test_folds_put_only_keys_in_order(spark, monkeypatch):
+    seen, positions = [], folds.positions
+    monkeypatch.setattr(folds, "positions", lambda df, *a: seen.append(df.columns) or positions(df, *a))
+    rows = _rows(spark, [True] * 11).withColumn("wide", F.lit("x")).withColumn("line_no", F.col("src_invoice_id") % 2)
+    rows = rows.withColumn("src_invoice_id", F.expr("src_invoice_id div 2"))
+    got = folds.contiguous_folds(rows, 3, P).orderBy("src_invoice_id", "line_no").collect()
+    assert [r["fold"] for r in got] == [0] * 4 + [1] * 4 + [2] * 3
+    assert seen == [["ad_client_id", "src_invoice_id", "line_no"]]
+
+
+def test_snapshots_need_no_line_numbers(monkeypatch, spark, small):
+    from pyspark.sql import DataFrameWriter
+
+    from duecast.plans.catalog import QUERIES
+
+    written, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: written.append(set(self._df.columns)) or write(self, *a, **k))
+    assert QUERIES["cashflow_forecast"](spark, small).count() > 0 and written
+    assert not [columns for columns in written if "line_no" in columns]
