@@ -445,6 +445,38 @@ def test_least_costs_are_those_of_all_cuts():
                 assert cut[node, column] == min(tried, key=lambda c: (round(tried[c], 9), c))
 
 
+def test_large_tenants_are_fitted_in_parts_however_their_rows_lie(spark, small, monkeypatch):
+    from duecast.plans import model_queries, training
+
+    table = model_queries._in_full(spark, small)
+    train = training.class_training_rows(table, forest.Grid(folds=2), P)[0].coalesce(1).cache()
+    monkeypatch.setattr(forest, "ROWS_A_TASK", train.count() // 3)
+    _, made = forest.ready(train)
+    sizes = [r["n"] for r in made.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 3 and sum(sizes) == train.count() and max(sizes) < 2 * min(sizes)
+
+
+def test_votes_hold_few_places_at_once_and_add_up_the_same(monkeypatch):
+    import pyarrow as pa
+
+    from duecast.operators import trees
+
+    draw = np.random.default_rng(3)
+    x, label = draw.integers(0, 9, (300, 4)).astype(np.int8), draw.integers(0, 2, 300)
+    fitted = trees.Forest(pa.Table.from_pylist([
+        {"tree": i, **trees.grow(x, label, draw.poisson(0.5, 300), 2, 30, draw)} for i in range(9)
+    ]))
+    share = lambda i, row: fitted.share[:, fitted.leaves(x[row : row + 1], fitted.roots[i : i + 1])[0, 0]]
+    wanted = [[sum((share(i, row) for i in range(stop)), np.zeros(2)) for stop in (0, 4, 9)] for row in range(300)]
+    held, leaves = [], trees.Forest.leaves
+    monkeypatch.setattr(trees.Forest, "leaves", lambda *a: held.append(leaves(*a)) or held[-1])
+    for places in (64, 1 << 14):
+        monkeypatch.setattr(trees, "PLACES", places)
+        assert np.array_equal(fitted.votes(x, [0, 4, 9]), np.moveaxis(np.array(wanted), 2, 0))
+        assert max(found.size for found in held) <= places
+        held.clear()
+
+
 def test_folds_put_only_keys_in_order(spark, monkeypatch):
     seen, positions = [], folds.positions
     monkeypatch.setattr(folds, "positions", lambda df, *a: seen.append(df.columns) or positions(df, *a))
