@@ -50,15 +50,17 @@ REMEMBERED = 120_000
 """Short stretches that a worker remembers before it starts anew."""
 NEIGHBOURS = 50_000
 """Pairs of pieces that the search of a long stretch remembers before it starts anew."""
-PAIR_SLOTS = 1 << 22
+PAIR_SLOTS = 1 << 20
 """Places for pairs of pieces that the search of short stretches remembers, in an array."""
 SHORT = 48
-TOGETHER = 1 << 18
+TOGETHER = 1 << 17
 """Characters whose stretches are searched side by side."""
 MULTIPLIER = 0x9E3779B97F4A7C15
 DECODED = 1 << 16
 """Ids that are decoded at once."""
 LISTS_TOGETHER = 50
+TEXTS_TOGETHER = 250
+"""Texts of a batch that are encoded and decoded before the next ones."""
 
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -316,6 +318,13 @@ class Vocabulary:
         write()
         return out
 
+    def encode_lists(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of the texts of a batch."""
+        lists = self.encode_all(texts.to_pylist())
+        values = np.frombuffer(b"".join(lists), self.kept_as).astype(np.int32)
+        offsets = np.cumsum([0, *map(len, lists)]) // np.dtype(self.kept_as).itemsize
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode_all([text])[0], self.kept_as)
 
@@ -534,16 +543,29 @@ def encoded(text: Column, model: bytes) -> Column:
 
     @arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        words = vocabulary(model)
-        lists = words.encode_all(texts.to_pylist())
-        values = np.frombuffer(b"".join(lists), words.kept_as).astype(np.int32)
-        width = np.dtype(words.kept_as).itemsize
-        offsets = np.cumsum([0, *map(len, lists)]) // width
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+        return vocabulary(model).encode_lists(texts)
 
     return encode(text)
 
 
+def checked(text: Column, model: bytes) -> Column:
+    """The ids of a text column, and whether they decode to the text, as a struct.
+
+    One function for both: of two, one on the other's result, Spark would call the first one twice.
+    """
+
+    @arrow_udf("struct<ids: array<int>, round_trip: boolean>")
+    def check(texts: pa.Array) -> pa.Array:
+        words, ids, same = vocabulary(model), [], []
+        for start in range(0, max(1, len(texts)), TEXTS_TOGETHER):
+            some = texts.slice(start, TEXTS_TOGETHER)
+            ids.append(words.encode_lists(some))
+            same.append(pc.equal(words.decode_lists(ids[-1]), some.fill_null("")))
+        return pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(same)], ["ids", "round_trip"])
+
+    return check(text)
+
+
 def decoded(ids: Column, model: bytes) -> Column:
     """The text of a column of ids."""
 

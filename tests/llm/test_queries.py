@@ -146,6 +146,15 @@ def test_pieces_like_the_library(spark, small, documents):
         assert row["round_trip"]
 
 
+def test_texts_are_encoded_once(spark, small):
+    """A function that decodes another one's ids would have Spark call that one again."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for rows in (QUERIES["op10_pieces"](spark, small), corpus_pipeline.tokens(spark, docs, small)):
+        plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+        calls = [line for line in plan if "ArrowEvalPython" in line]
+        assert len(calls) == 1 and calls[0].count("(text#") == 1
+
+
 def test_pipeline_by_brute_force(spark, small):
     """Each stage against the plain meaning of its decision, on its own input."""
     docs = spark.read.parquet(f"{small}/documents.parquet")
