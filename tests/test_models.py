@@ -496,3 +496,62 @@ def test_snapshots_need_no_line_numbers(monkeypatch, spark, small):
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: written.append(set(self._df.columns)) or write(self, *a, **k))
     assert QUERIES["cashflow_forecast"](spark, small).count() > 0 and written
     assert not [columns for columns in written if "line_no" in columns]
+
+
+def test_coefficients_are_looked_up_once_a_model(spark, capsys):
+    from duecast.operators import score
+
+    names = [*prep.NUMERIC, "paymentrule=P", "tendertype=Missing"]
+    fits = spark.createDataFrame([(1, 2.0, [float(i) for i in range(len(names))])],
+                                 "ad_client_id long, intercept double, coefficients array<double>")
+    rows = spark.range(3).selectExpr("id AS row_id", "1L AS ad_client_id", "'P' AS paymentrule", "CAST(NULL AS STRING) AS tendertype",
+                                     *[f"CAST(id + {i} AS DOUBLE) AS {c}" for i, c in enumerate(prep.NUMERIC)])
+    days = score.predict_days(rows, lasso.with_names(fits, names))
+    for r in days.collect():
+        dot = sum((r["row_id"] + i) * i for i in range(len(prep.NUMERIC)))
+        assert r["days"] == pytest.approx(2.0 + dot + 2 * len(prep.NUMERIC) + 1)
+    days.explain()
+    above = capsys.readouterr().out.split("Join")[0]
+    assert above.count("try_element_at") + above.count("element_at(") <= 2 * len(prep.CATEGORICAL)
+
+
+def test_features_of_rows_need_no_lambda_a_number(spark, capsys):
+    """A lambda is interpreted; only the few labels of a category are still looked at by one."""
+    labels = [["A", "P"], ["Missing"]]
+    inputs = spark.createDataFrame([(1, [1.0] * len(prep.NUMERIC), [2.0] * len(prep.NUMERIC), labels)], forest.INPUTS)
+    rows = spark.range(2).selectExpr("id", "1L AS ad_client_id", "'P' AS paymentrule", "CAST(NULL AS STRING) AS tendertype",
+                                     *[f"IF(id = 0, NULL, {i}) AS {c}" for i, c in enumerate(prep.NUMERIC)])
+    made = forest.with_features(rows, inputs)
+    got = {r["id"]: r["features"] for r in made.collect()}
+    assert got[0] == [-2.0] * len(prep.NUMERIC) + [0.0, 1.0, 1.0]
+    assert got[1] == [(i - 1.0) * 2 for i in range(len(prep.NUMERIC))] + [0.0, 1.0, 1.0]
+    made.select("features").explain()
+    assert capsys.readouterr().out.count("lambdafunction") == len(prep.CATEGORICAL)
+
+
+def test_searched_rows_lie_in_even_parts(spark, small, monkeypatch):
+    from duecast.operators import trees
+    from duecast.plans import model_queries, training
+    from duecast.sources.storage import scratch_path
+
+    table = model_queries._in_full(spark, small).where("ad_client_id = 2")
+    monkeypatch.setattr(forest, "ROWS_A_TASK", 100)
+    found, grown = [], trees.grown
+    monkeypatch.setattr(trees, "grown", lambda codes, *a: found.append(codes) or grown(codes, *a))
+    grid = forest.Grid(trees=(2,), sample_fraction=(0.2,), folds=2, max_depth=4)
+    training.train_classifiers(table, grid, P, scratch_path(spark, "models"), making_time())
+    sizes = [r["n"] for r in found[0].groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == sum(sizes) // 100 > 1 and max(sizes) < 2 * min(sizes)
+
+
+def test_votes_are_dealt_over_more_places_than_cells(spark):
+    """Left to adaptive execution, cells share a task where their bytes are few, however long they take."""
+    from duecast.operators import trees
+
+    grid = forest.Grid(trees=(3,), sample_fraction=(0.5,), folds=2)
+    rows = spark.range(100).selectExpr(
+        "1L AS ad_client_id", "CAST(id AS STRING) AS c_invoice_id", "CAST(id % 2 AS INT) AS fold", "CAST(id % 7 > 2 AS INT) AS paid",
+        "array(CAST(id % 3 AS TINYINT), CAST(id % 5 AS TINYINT)) AS features",
+    )
+    voted = trees.votes(trees.grown(rows, grid, 7), rows.withColumn("fraction", F.lit(0.5)), ["ad_client_id", "fold", "fraction"], ["c_invoice_id"])
+    assert voted.count() == 100 and voted.rdd.getNumPartitions() == 4 * 2
