@@ -555,3 +555,16 @@ def test_votes_are_dealt_over_more_places_than_cells(spark):
     )
     voted = trees.votes(trees.grown(rows, grid, 7), rows.withColumn("fraction", F.lit(0.5)), ["ad_client_id", "fold", "fraction"], ["c_invoice_id"])
     assert voted.count() == 100 and voted.rdd.getNumPartitions() == 4 * 2
+
+
+@pytest.mark.parametrize("name", ["score_json", "score_features", "score_join"])
+def test_requests_and_facts_are_made_of_the_same_stored_entities(monkeypatch, spark, small, name):
+    from pyspark.sql import DataFrameWriter
+
+    from duecast.plans.catalog import QUERIES
+
+    paths, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: paths.append(path) or write(self, path, *a, **k))
+    assert QUERIES[name](spark, small).count() > 0
+    made = [path.split("/")[-1].split("-")[0] for path in paths]
+    assert made.count("orders") == 1 and made.count("c_invoice") == 1 and "asked" not in made
