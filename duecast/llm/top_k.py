@@ -10,8 +10,12 @@ of the other:
 
 with centres c and covering radii r. The first k-th scores come from the sample.
 Inside a block both sides get a cover tree, and pairs of nodes are visited
-best bound first, pruned by the same rule with k-th scores that grow. Equal
-bounds are never pruned, so ties are right.
+best bound first, pruned by the same rule with k-th scores that grow. A pair of
+leaves is one matrix product, of which only scores that reach a query's k-th
+are looked at. Equal bounds are never pruned, so ties are right.
+
+A cell, a block of data met by a chunk of queries, is as large as a task can hold: every row of the data is
+sent once a chunk and every query once a block. Vectors travel as bytes of the least width that holds them.
 
 Equal vectors are one entry with its smallest k + 1 identifiers, which is all
 that a list of k other rows can hold of it; equal queries are one query.
@@ -28,7 +32,8 @@ beyond a long is shown as the largest one.
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,42 +41,105 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.storage import stored
 
-SAMPLE_ROWS = 2048
-"""Vectors that reach the driver to choose pivots from; all rows are indexed."""
+SAMPLE_ROWS = 8192
+"""Vectors that reach the driver to choose pivots and first k-th scores from; all rows are indexed."""
 
 PIVOTS = 64
-BLOCK_ROWS = 4096
-LEAF_ROWS = 64
+BLOCK_ROWS = 1 << 18
+CHUNK_ROWS = 1 << 16
+LEAF_ROWS = 2048
 FANOUT = 32
+ROWS_AT_ONCE = 1024
+PAIRS_A_TASK = 1 << 22
 SCALE = 1024
 LONG = (1 << 63) - 1
 
 
-def quantised(vector: Column) -> Column:
-    return F.transform(vector, lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")))
-
-
-def usable(vector: Column) -> Column:
-    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))
-    return vector.isNotNull() & F.forall(vector, finite)
+def quantised(x: np.ndarray) -> np.ndarray:
+    """floor(1024 * x) as a long, the nearest one where there is none."""
+    with np.errstate(over="ignore"):
+        y = np.floor(SCALE * x)
+    inside = np.abs(y) < 2.0**63
+    return np.where(inside, np.where(inside, y, 0).astype(np.int64), np.where(y > 0, LONG, -LONG - 1))
 
 
-def numbers(column: pa.ChunkedArray) -> np.ndarray:
-    lists = column.combine_chunks()
-    flat = np.asarray(lists.flatten())
-    return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
+def as_bytes(vectors: np.ndarray) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Rows and their bytes: the width of an integer, then the integers. Equal vectors have equal bytes."""
+    most = np.maximum(vectors, ~vectors).max(axis=1, initial=0)
+    widths = np.where(most < 1 << 15, 2, np.where(most < 1 << 31, 4, 8))
+    for width in np.unique(widths):
+        index = np.flatnonzero(widths == width)
+        raw = np.empty((len(index), 1 + vectors.shape[1] * width), np.uint8)
+        raw[:, 0] = width
+        raw[:, 1:] = np.ascontiguousarray(vectors[index].astype(f"<i{width}")).view(np.uint8).reshape(len(index), vectors.shape[1] * width)
+        offsets = np.arange(len(index) + 1, dtype=np.int32) * raw.shape[1]
+        yield index, pa.BinaryArray.from_buffers(pa.binary(), len(index), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
 
 
-def exact(*sides: np.ndarray) -> bool:
-    """Whether inner products of these integers are exact in doubles."""
-    most = [max((abs(int(side.max())), abs(int(side.min())))) if side.size else 0 for side in sides]
-    return max(most) ** 2 * max(side.shape[1] for side in sides) < 2**53
+def packed(rows: DataFrame) -> DataFrame:
+    """(vec_id, vec, asks) of the usable vectors, ``vec`` quantised and as bytes."""
 
-
-def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    if exact(left, right):
-        return left.astype(np.float64) @ right.astype(np.float64).T
-    return left.astype(object) @ right.astype(object).T
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("vec")
+            sizes = np.asarray(lists.value_lengths().fill_null(0))
+            x = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.float64)
+            stops = np.cumsum(sizes)
+            bad = np.append(0, np.cumsum(~np.isfinite(x)))
+            good = np.asarray(lists.is_valid()) & (bad[stops] == bad[stops - sizes])
+            for dims in np.unique(sizes[good]):
+                own = np.flatnonzero(good & (sizes == dims))
+                values = x[(stops - sizes)[own][:, None] + np.arange(dims)]
+                for index, vec in as_bytes(quantised(values)):
+                    held = [batch.column(c).take(pa.array(own[index])) for c in ("vec_id", "asks")]
+                    yield pa.RecordBatch.from_arrays([held[0], vec, held[1]], names=["vec_id", "vec", "asks"])
+
+    return rows.mapInArrow(pack, "vec_id long, vec binary, asks boolean")
+
+
+def parts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a column, where each value begins, and where the last one ends."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8), offsets[:-1], offsets[1:]
+
+
+def lengths(column: pa.Array) -> np.ndarray:
+    """How many integers each value of ``as_bytes`` holds."""
+    if not len(column):
+        return np.zeros(0, np.int64)
+    raw, starts, stops = parts_of(column)
+    return (stops - starts - 1) // raw[starts]
+
+
+def numbers(column: pa.Array) -> np.ndarray:
+    """(row, component) of vectors of one length, in the least width that holds them all."""
+    if not len(column):
+        return np.zeros((0, 0), np.int64)
+    raw, starts, stops = parts_of(column)
+    widths, dims = raw[starts], int(lengths(column[:1])[0])
+    found = [int(w) for w in np.unique(widths)]
+    if not dims or len(found) == 1:
+        held = raw[starts[0] : stops[-1]].reshape(len(column), -1)[:, 1:]
+        return np.ascontiguousarray(held).view(f"<i{found[0]}").reshape(len(column), dims)
+    out = np.empty((len(column), dims), f"<i{found[-1]}")
+    for width in found:
+        out[widths == width] = numbers(column.filter(pa.array(widths == width)))
+    return out
+
+
+def longest(rows: np.ndarray) -> float:
+    """The largest squared length of a row."""
+    parts = (rows[i : i + 8192].astype(np.float64) for i in range(0, len(rows), 8192))
+    return max((float((p * p).sum(axis=1).max(initial=0)) for p in parts), default=0.0)
+
+
+def arithmetic(*sides: np.ndarray) -> type:
+    """The quickest type in which sums and differences of products of these integers are exact.
+
+    No part of an inner product is above the product of both lengths.
+    """
+    most = 4 * max(longest(side) for side in sides)
+    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else object
 
 
 @dataclass
@@ -81,104 +149,128 @@ class Node:
     centre: np.ndarray
     radius: float
     children: list[Node]
+    norm: float = field(init=False)
+
+    def __post_init__(self) -> None:
+        self.norm = float(np.linalg.norm(self.centre))
 
 
 class CoverTree:
     """Nested balls. ``order`` lists the rows so that every node holds a slice of it.
 
     The children of a node are a farthest-first net at half its radius, at most
-    ``FANOUT`` of them; radii are the true covering radii.
+    ``FANOUT`` of them and no more than leaves need; radii are the true covering radii.
     """
 
     def __init__(self, rows: np.ndarray) -> None:
-        self.rows = rows.astype(np.float64)
+        kind = arithmetic(rows)
+        self.exact = kind is not object
+        self.rows = rows.astype(kind if self.exact else np.float64)
         self.order = np.arange(len(rows))
-        self.root = self.build(0, len(rows), 0)
+        self.root = self.build(0, len(rows), self.rows[0] if len(rows) else np.zeros(0))
 
-    def apart(self, index: np.ndarray, centre: np.ndarray) -> np.ndarray:
-        return np.sqrt(((self.rows[index] - centre) ** 2).sum(axis=1))
+    def apart(self, rows: np.ndarray, squares: np.ndarray, centre: np.ndarray) -> np.ndarray:
+        """Squared distances; by products only where these are exact, as differences of large ones are not."""
+        return squares + centre @ centre - 2 * (rows @ centre) if self.exact else ((rows - centre) ** 2).sum(axis=1)
 
-    def build(self, start: int, stop: int, centre: int) -> Node:
+    def build(self, start: int, stop: int, centre: np.ndarray) -> Node:
         index = self.order[start:stop].copy()
-        middle = self.rows[centre if start else index[0]]
-        near = self.apart(index, middle)
-        node = Node(start, stop, middle, float(near.max(initial=0.0)), [])
+        rows = self.rows[index]
+        squares = np.einsum("ij,ij->i", rows, rows)
+        near = self.apart(rows, squares, centre)
+        node = Node(start, stop, centre.astype(np.float64), float(np.sqrt(np.float64(near.max(initial=0)))), [])
         if stop - start <= LEAF_ROWS or node.radius == 0:
             return node
-        centres, owner = [int(index[near.argmin()])], np.zeros(len(index), dtype=int)
-        while near.max() > node.radius / 2 and len(centres) < FANOUT:
+        most = min(FANOUT, max(8, -(-2 * (stop - start) // LEAF_ROWS)))
+        centres, owner = [int(near.argmin())], np.zeros(len(index), dtype=np.int8)
+        near = self.apart(rows, squares, rows[centres[0]])
+        while len(centres) < most and near.max() > (node.radius**2 / 4 if len(centres) > 1 else 0):
             far = int(near.argmax())
-            distance = self.apart(index, self.rows[index[far]])
+            distance = self.apart(rows, squares, rows[far])
             closer = distance < near
             owner[closer], near = len(centres), np.minimum(near, distance)
-            centres.append(int(index[far]))
+            centres.append(far)
+        if len(centres) == 1:
+            return node
+        middles = [rows[c] for c in centres]
+        del rows, squares, near
         at = start
-        for number, own in enumerate(centres):
+        for number, middle in enumerate(middles):
             members = index[owner == number]
             if len(members):
                 self.order[at : at + len(members)] = members
-                node.children.append(self.leaf_or_node(at, at + len(members), own))
+                node.children.append(self.build(at, at + len(members), middle))
                 at += len(members)
         return node
 
-    def leaf_or_node(self, start: int, stop: int, centre: int) -> Node:
-        if stop - start > LEAF_ROWS:
-            return self.build(start, stop, centre)
-        middle = self.rows[centre]
-        radius = float(self.apart(self.order[start:stop], middle).max(initial=0.0))
-        return Node(start, stop, middle, radius, [])
-
 
 def reach(a: Node, b: Node) -> float:
     """No product of a row of ``a`` and a row of ``b`` is above this."""
-    norm_a, norm_b = np.linalg.norm(a.centre), np.linalg.norm(b.centre)
-    most = a.centre @ b.centre + norm_a * b.radius + norm_b * a.radius + a.radius * b.radius
-    return float(most) + 1.0 + 1e-9 * abs(float(most))
+    most = float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
+    return most + 1.0 + 1e-9 * abs(most)
 
 
 def best_in_block(
     queries: np.ndarray, floors: np.ndarray, data: np.ndarray, firsts: np.ndarray, k: int
-) -> list[list[tuple[int, int]]]:
-    """For each query the (score, data row) of its ``k`` best rows here at or above its floor.
+) -> tuple[np.ndarray, np.ndarray]:
+    """(query, place): the scores and the data rows (-1: none) of the ``k`` best rows here at or above a query's floor.
 
     Ties go to the smaller of ``firsts``, the rows' smallest identifiers.
     """
-    wide = np.float64 if exact(queries, data) else object
-    worst_score = -np.inf if wide is np.float64 else -(1 << 200)
-    scores = np.full((len(queries), k), worst_score, dtype=wide)
-    found = np.full((len(queries), k), -1, dtype=np.int64)
-    kth = floors.astype(np.float64).copy()
+    kind = arithmetic(queries, data)
     left, right = CoverTree(queries), CoverTree(data)
-    values_q, values_d = queries.astype(wide), data.astype(wide)
+    left.rows = right.rows = None
+    values_q, values_d = queries[left.order].astype(kind), data[right.order].astype(kind)
+    firsts, kth, last = firsts[right.order], floors[left.order].astype(np.float64), np.full(len(queries), LONG)
+    wide = object if kind is object else np.float64
+    scores = np.full((len(queries), k), -(1 << 200) if wide is object else -np.inf, dtype=wide)
+    found, ties = np.full((len(queries), k), -1, dtype=np.int64), np.full((len(queries), k), LONG)
     heap, count = [(-reach(left.root, right.root), 0, left.root, right.root)], 0
     while heap:
         bound, _, q, d = heapq.heappop(heap)
-        rows = left.order[q.start : q.stop]
-        if -bound < kth[rows].min():
+        if -bound < kth[q.start : q.stop].min():
+            continue
+        if q.children or d.children:
+            split_q = q.children and (not d.children or q.radius >= d.radius)
+            for pair in [(c, d) for c in q.children] if split_q else [(q, c) for c in d.children]:
+                count += 1
+                heapq.heappush(heap, (-reach(*pair), count, *pair))
             continue
-        if not q.children and not d.children:
-            others = right.order[d.start : d.stop]
-            new = values_q[rows] @ values_d[others].T
-            all_scores = np.concatenate([scores[rows], new], axis=1)
-            all_found = np.concatenate([found[rows], np.broadcast_to(others, new.shape)], axis=1)
-            ties = np.where(all_found < 0, np.iinfo(np.int64).max, firsts[all_found])
-            if wide is object:
-                ranks = [sorted(range(len(s)), key=lambda i, s=s, t=t: (-s[i], t[i]))[:k] for s, t in zip(all_scores, ties)]
-                best = np.array(ranks)
-            else:
-                best = np.lexsort((ties, -all_scores), axis=1)[:, :k]
-            scores[rows] = np.take_along_axis(all_scores, best, axis=1)
-            found[rows] = np.take_along_axis(all_found, best, axis=1)
-            kth[rows] = np.maximum(floors[rows], scores[rows, -1].astype(np.float64))
+        new = values_q[q.start : q.stop] @ values_d[d.start : d.stop].T
+        low = kth[q.start : q.stop]
+        if kind is np.float32:
+            low = np.nextafter(np.ceil(low).astype(np.float32), np.float32(-np.inf))
+        hit = np.flatnonzero(new.max(axis=1) >= low)
+        new, low = new[hit], low[hit, None]
+        above = new >= low
+        if kind is not object and k < new.shape[1] and np.count_nonzero(above) > 8 * k * len(hit):
+            above = new >= np.maximum(low, np.partition(new, -k, axis=1)[:, -k, None])
+        row, column = np.nonzero(above)
+        score = new[row, column].astype(wide)
+        row, column = hit[row] + q.start, column + d.start
+        kept = (score > kth[row]) | ((score == kth[row]) & (firsts[column] <= last[row]))
+        row, column, score = row[kept], column[kept], score[kept]
+        if not len(row):
             continue
-        split_q = q.children and (not d.children or q.radius >= d.radius)
-        for pair in [(c, d) for c in q.children] if split_q else [(q, c) for c in d.children]:
-            count += 1
-            heapq.heappush(heap, (-reach(*pair), count, *pair))
-    return [
-        [(int(s), int(f)) for s, f in zip(scores[i], found[i]) if f >= 0 and s >= floors[i]]
-        for i in range(len(queries))
-    ]
+        touched, row = np.unique(row, return_inverse=True)
+        of = np.concatenate([np.repeat(np.arange(len(touched)), k), row])
+        all_scores = np.concatenate([scores[touched].ravel(), score])
+        all_ties = np.concatenate([ties[touched].ravel(), firsts[column]])
+        all_found = np.concatenate([found[touched].ravel(), column])
+        if wide is object:
+            order = np.array(sorted(range(len(of)), key=lambda i: (of[i], -all_scores[i], all_ties[i], all_found[i] < 0)))
+        else:
+            order = np.lexsort((all_ties, -all_scores, of))
+        # Every query brings its k places, so that there are k to take.
+        best = order[(np.searchsorted(of[order], np.arange(len(touched))))[:, None] + np.arange(k)]
+        scores[touched], found[touched], ties[touched] = all_scores[best], all_found[best], all_ties[best]
+        worst = scores[touched, -1].astype(np.float64)
+        # In doubles a score of any size may be shown too large.
+        kth[touched] = np.maximum(kth[touched], worst - 1e-9 * np.abs(worst) if wide is object else worst)
+        last[touched] = LONG if wide is object else ties[touched, -1]
+    back, known = np.argsort(left.order), found >= 0
+    found[known] = right.order[found[known]]
+    return scores[back], found[back]
 
 
 def farthest_first(rows: np.ndarray, count: int) -> np.ndarray:
@@ -190,36 +282,54 @@ def farthest_first(rows: np.ndarray, count: int) -> np.ndarray:
     return rows[chosen]
 
 
-def indexed(entries: DataFrame, pivots: np.ndarray, sample: np.ndarray, k: int) -> DataFrame:
-    """Adds to ``entries`` (vec, ..) the nearest pivot, the distance to it and the k-th best score in the sample.
+def indexed(entries: DataFrame, pivots: np.ndarray, sample: np.ndarray, k: int = 0) -> DataFrame:
+    """Adds to ``entries`` (vec, ..) its length, the nearest pivot, the distance to it and, for a ``k``, the k-th best score in the sample.
 
     Vectors of another length than the pivots belong to pivot -1, the origin.
     """
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema)
-    schema = f"{kept}, dims int, pivot int, away double, least double"
+    added = [("dims", pa.int32()), ("pivot", pa.int32()), ("away", pa.float64())] + [("least", pa.float64())] * bool(k)
+    kinds = {"dims": "int", "pivot": "int", "away": "double", "least": "double"}
+    schema = [f"{f.name} {f.dataType.simpleString()}" for f in entries.schema] + [f"{c} {kinds[c]}" for c, _ in added]
+    squares = (pivots**2).sum(axis=1) if len(pivots) else 0
 
-    def place(batches):
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = [np.array(v, dtype=np.int64) for v in batch.column("vec").to_pylist()]
-            pivot, away, least = [], [], []
-            for v in vectors:
-                row = v.astype(np.float64)
-                if len(pivots) and len(v) == pivots.shape[1]:
-                    distance = np.sqrt(((pivots - row) ** 2).sum(axis=1))
-                    pivot.append(int(distance.argmin()))
-                    away.append(float(distance.min()))
-                    known = sample @ row if len(sample) >= k else []
-                    low = float(np.partition(known, -k)[-k]) if len(known) else -np.inf
-                    least.append(low - 1.0 - 1e-9 * abs(low) if np.isfinite(low) else -np.inf)
-                else:
-                    pivot.append(-1)
-                    away.append(float(np.sqrt((row**2).sum())))
-                    least.append(-np.inf)
-            columns = [*batch.columns, pa.array([len(v) for v in vectors], pa.int32()), pa.array(pivot, pa.int32())]
-            columns += [pa.array(away, pa.float64()), pa.array(least, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "dims", "pivot", "away", "least"])
-
-    return entries.mapInArrow(place, schema)
+            dims = lengths(batch.column("vec"))
+            out = {"dims": dims, "pivot": np.full(len(dims), -1), "away": np.zeros(len(dims)), "least": np.full(len(dims), -np.inf)}
+            for size in np.unique(dims):
+                own = np.flatnonzero(dims == size)
+                for at in np.split(own, range(ROWS_AT_ONCE, len(own), ROWS_AT_ONCE)):
+                    rows = numbers(batch.column("vec").take(pa.array(at))).astype(np.float64)
+                    centre = np.zeros(size)
+                    if len(pivots) and size == pivots.shape[1]:
+                        out["pivot"][at] = nearest = (squares - 2 * rows @ pivots.T).argmin(axis=1)
+                        centre = pivots[nearest]
+                        if k and len(sample) >= k:
+                            low = np.partition(rows @ sample.T, -k, axis=1)[:, -k]
+                            out["least"][at] = np.where(np.isfinite(low), low - 1.0 - 1e-9 * np.abs(low), -np.inf)
+                    out["away"][at] = np.sqrt(((rows - centre) ** 2).sum(axis=1))
+            arrays = [*batch.columns, *[pa.array(out[c], t) for c, t in added]]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *[c for c, _ in added]])
+
+    return entries.mapInArrow(place, ", ".join(schema))
+
+
+def hits_of(scores: np.ndarray, found: np.ndarray, ids: pa.Array, k: int) -> tuple[pa.Array, pa.Array]:
+    """Per query the ``k`` best (lost, vec_id) of its entries, as two lists; lost is the score with its sign changed."""
+    row, place = np.nonzero(found >= 0)
+    sizes = np.asarray(ids.value_lengths())
+    starts, entry = np.cumsum(sizes) - sizes, found[row, place]
+    lost = scores[row, place]
+    lost = np.array([-max(-LONG, min(LONG, int(s))) for s in lost], np.int64) if scores.dtype == object else -lost.astype(np.int64)
+    each = np.repeat(np.arange(len(entry)), sizes[entry])
+    nth = np.arange(len(each)) - np.repeat(np.cumsum(sizes[entry]) - sizes[entry], sizes[entry])
+    named = np.asarray(ids.flatten())[starts[entry][each] + nth]
+    order = np.lexsort((named, lost[each], row[each]))
+    begins = np.searchsorted(row[each][order], np.arange(len(found)))
+    counts = np.diff(np.append(begins, len(order)))
+    order = order[np.arange(len(order)) - np.repeat(begins, counts) < k]
+    offsets = pa.array(np.append(0, np.cumsum(np.minimum(counts, k))), pa.int32())
+    return tuple(pa.ListArray.from_arrays(offsets, pa.array(v[order], pa.int64())) for v in (lost[each], named))
 
 
 def open_pairs(data: list, queries: list, pivots: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -241,37 +351,36 @@ def search(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest inner products of each query with other rows."""
     spark = rows.sparkSession
-    clean = rows.where(F.col(key).isNotNull() & usable(F.col(vector))).select(
-        F.col(key).cast("long").alias("vec_id"), quantised(F.col(vector)).alias("vec"), is_query.alias("asks")
+    known = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(
+        F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vec"), is_query.alias("asks")
     )
     # Spark reduces a group to its first k + 1 rows before the shuffle.
     first = Window.partitionBy("vec").orderBy("vec_id")
-    distinct = clean.groupBy("vec", "vec_id").agg(F.max("asks").alias("asks"))
     entries = (
-        distinct.select("vec", "vec_id")
+        packed(known).select("vec", "vec_id").distinct()
         .withColumn("at", F.row_number().over(first))
         .where(F.col("at") <= k + 1)
         .groupBy("vec")
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
     entries = stored(entries, "entries")
-    drawn = entries.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE_ROWS).toArrow()["vec"].to_pylist()
-    dims = max({len(v) for v in drawn}, key=[len(v) for v in drawn].count, default=0)
-    sample = [v for v in drawn if len(v) == dims]
-    sample = np.array(sample, dtype=np.float64).reshape(len(sample), dims)
+    drawn = entries.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE_ROWS).toArrow()["vec"].combine_chunks()
+    sizes = lengths(drawn)
+    dims = int(np.bincount(sizes).argmax()) if len(sizes) else 0
+    sample = numbers(drawn.filter(pa.array(sizes == dims))).astype(np.float64)
     pivots = farthest_first(sample, PIVOTS) if len(sample) else sample
 
-    data = stored(indexed(entries, pivots, sample, k + 1), "indexed")
-    asking = distinct.where("asks").select("vec", F.col("vec_id").alias("query_id"))
+    data = stored(indexed(entries, pivots, sample), "indexed")
+    asking = packed(known.where("asks")).select("vec", F.col("vec_id").alias("query_id")).distinct()
     asking = stored(asking.withColumn("query", F.xxhash64("vec")), "asking")
     queries = asking.groupBy("vec").agg(F.min("query_id").alias("first"), F.first("query").alias("query"))
     queries = stored(indexed(queries, pivots, sample, k + 1), "queries")
 
     # At most PIVOTS + 1 groups for each length of vector.
-    summary = lambda df: df.groupBy("dims", "pivot").agg(
-        F.max("away").alias("radius"), F.min("least").alias("least"), F.count("*").alias("rows")
+    summary = lambda df, *more: df.groupBy("dims", "pivot").agg(
+        F.max("away").alias("radius"), F.count("*").alias("rows"), *more
     ).collect()
-    pairs = open_pairs(summary(data), asked := summary(queries), pivots)
+    pairs = open_pairs(summary(data), asked := summary(queries, F.min("least").alias("least")), pivots)
     schema = "dims int, pivot int, target int, blocks long"
     pairs_df = spark.createDataFrame(pairs or [(0, 0, 0, 0)], schema)
     aimed = queries.join(F.broadcast(pairs_df), ["dims", "pivot"])
@@ -279,9 +388,14 @@ def search(
     per_pivot = {(q["dims"], q["pivot"]): q["rows"] for q in asked}
     for dims_, pivot, target, _ in pairs:
         rounds[dims_, target] = rounds.get((dims_, target), 0) + per_pivot[dims_, pivot]
-    chunks = [(d, t, -(-n // BLOCK_ROWS)) for (d, t), n in rounds.items()] or [(0, 0, 0)]
+    chunks = [(d, t, -(-n // CHUNK_ROWS)) for (d, t), n in rounds.items()] or [(0, 0, 0)]
     chunks_df = spark.createDataFrame(chunks, "dims int, target int, chunks long")
     blocks_df = pairs_df.select("dims", "target", "blocks").distinct().join(chunks_df, ["dims", "target"])
+    # Many places for few cells, as cells are long tasks and their bytes say little about their time.
+    blocks = {(d, t): b for d, _, t, b in pairs}
+    cells = sum(blocks[d, t] * c for d, t, c in chunks if (d, t) in blocks)
+    work = sum(blocks[at] * BLOCK_ROWS * n for at, n in rounds.items())
+    places = max(1, min(1000, 2 * cells, work // PAIRS_A_TASK))
 
     block = ["dims", "target", "block", "chunk"]
     spread = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
@@ -300,34 +414,24 @@ def search(
     )
 
     def meet(asked_: pa.Table, held: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"first": [], "query": [], "score": [], "ids": []}
+        asked_ = asked_.select(["first", "query", "least", "vec"]).combine_chunks()
+        lists = [pa.array([], pa.list_(pa.int64()))] * 2
         if len(asked_) and len(held):
-            ids = held["ids"].to_pylist()
-            found = best_in_block(
-                numbers(asked_["vec"]),
-                np.asarray(asked_["least"]),
-                numbers(held["vec"]),
-                np.array([i[0] for i in ids], dtype=np.int64),
-                k + 1,
-            )
-            for first_, query, hits in zip(asked_["first"].to_pylist(), asked_["query"].to_pylist(), found):
-                for score, row in hits:
-                    out["first"].append(first_)
-                    out["query"].append(query)
-                    out["score"].append(max(-LONG, min(LONG, score)))
-                    out["ids"].append(ids[row])
-        kinds = [("first", pa.int64()), ("query", pa.int64()), ("score", pa.int64()), ("ids", pa.list_(pa.int64()))]
-        return pa.table({n: pa.array(out[n], t) for n, t in kinds})
+            ids = held["ids"].combine_chunks()
+            firsts = np.asarray(ids.flatten())[np.cumsum(sizes := np.asarray(ids.value_lengths())) - sizes]
+            sides = [numbers(side["vec"].combine_chunks()) for side in (asked_, held)]
+            scores, found = best_in_block(sides[0], np.asarray(asked_["least"]), sides[1], firsts, k + 1)
+            lists = hits_of(scores, found, ids, k + 1)
+        kept = asked_.select(["first", "query"]).slice(0, len(lists[0]))
+        return kept.append_column("lost", lists[0]).append_column("found", lists[1])
 
     hits = (
-        asked_blocks.groupBy(*block)
-        .cogroup(data_blocks.groupBy(*block))
-        .applyInArrow(meet, "first long, query long, score long, ids array<long>")
+        asked_blocks.repartition(places, *block).groupBy(*block)
+        .cogroup(data_blocks.repartition(places, *block).groupBy(*block))
+        .applyInArrow(meet, "first long, query long, lost array<long>, found array<long>")
     )
-    best = Window.partitionBy("first", "query").orderBy(F.desc("score"), F.col("ids")[0])
-    merged = hits.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1)
-    pair = F.transform("ids", lambda i: F.struct((-F.col("score")).alias("lost"), i.alias("vec_id")))
-    lists = merged.groupBy("first", "query").agg(
+    pair = F.arrays_zip("lost", F.col("found").alias("vec_id"))
+    lists = hits.where(F.size("lost") > 0).groupBy("first", "query").agg(
         F.slice(F.sort_array(F.flatten(F.collect_list(pair))), 1, k + 1).alias("hits")
     )
     lists = lists.join(queries.select("first", "query", "vec"), ["first", "query"])
